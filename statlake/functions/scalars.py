@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from statlake import rules
+from statlake.functions.safe import double_to_int, to_bigint, to_double, to_int, to_timestamp
 from statlake.functions.timecode import ascii_digits, strip
 
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
-
 
 def _number(c: Column) -> Column:
     """Double for text that is a plain decimal number, else null."""
     t = ascii_digits(strip(c))
-    t = F.when(t.contains("_"), F.regexp_replace(t, "(?<=[0-9])_(?=[0-9])", "")).otherwise(t)
-    return F.when(t.rlike(NUMBER) | t.rlike(SPECIAL), t.try_cast("double"))
+    return to_double(F.when(t.contains("_"), F.regexp_replace(t, "(?<=[0-9])_(?=[0-9])", "")).otherwise(t))
 
 
 def parse_value(c: Column) -> Column:
@@ -27,10 +24,9 @@ def cast_value(c: Column, target: str) -> Column:
     """Typed cast of a text value; failures become null."""
     n = _number(F.translate(c, ",", ""))
     if target == "INT":
-        return n.try_cast("bigint").try_cast("int")
+        return double_to_int(n)
     if target == "BIGINT":
-        whole = F.translate(c, ",", "").try_cast("bigint")
-        return F.coalesce(whole, n.try_cast("bigint"))
+        return to_bigint(F.translate(c, ",", ""), n)
     if target == "DOUBLE":
         return n
     if target == "BOOLEAN":
@@ -119,7 +115,7 @@ def importance(priority: Column) -> Column:
 
 def selection_score(title: Column, updated: Column) -> Column:
     """Freshness, coverage and frequency points of a dataset for a domain selection."""
-    year = F.substring(updated, 1, 4).try_cast("int")
+    year = to_int(F.substring(updated, 1, 4))
     low = F.lower(title)
     points = F.lit(0)
     for word, p in reversed(rules.FREQUENCY_POINTS):
@@ -209,4 +205,4 @@ def growth_percent(now: Column, before: Column, digits: int = 2) -> Column:
 
 def iso_timestamp(c: Column) -> Column:
     """ISO-8601 text to a timestamp, null if it is not one."""
-    return c.try_cast("timestamp")
+    return to_timestamp(c)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from statlake.functions.safe import digits_to_int
+
 FULL_WIDTH = "０１２３４５６７８９"
 ASCII = "0123456789"
 
@@ -23,110 +25,102 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
-
-
-# Notation by shape, and the year before the first year of each era.
-QUARTER_SHAPES = ["9999Q9", "9999-Q9"]
-MONTH_SHAPES = ["9999-99", "999999"]
-DAY_SHAPES = ["9999-99-99", "99999999"]
-FISCAL_SHAPES = ["9999FY", "FY9999", "FY9999FY"]
-CALENDAR_SHAPES = ["9999CY", "CY9999", "CY9999CY"]
+# Fixed values. Shape -> (type, position of the year, month, day and period digit,
+# months per period, month the sort key starts with); 0 where there is none.
+NOTATIONS = {
+    "9999": ("year", 1, 0, 0, 0, 0, 1),
+    "9999Q9": ("quarter", 1, 0, 0, 6, 3, 1), "9999-Q9": ("quarter", 1, 0, 0, 7, 3, 1),
+    "9999-99": ("month", 1, 6, 0, 0, 0, 1), "999999": ("month", 1, 5, 0, 0, 0, 1),
+    "9999-99-99": ("day", 1, 6, 9, 0, 0, 1), "99999999": ("day", 1, 5, 7, 0, 0, 1),
+    "9999FY": ("fiscal_year", 1, 0, 0, 0, 0, 4), "FY9999": ("fiscal_year", 3, 0, 0, 0, 0, 4),
+    "FY9999FY": ("fiscal_year", 3, 0, 0, 0, 0, 4),
+    "9999CY": ("calendar_year", 1, 0, 0, 0, 0, 1), "CY9999": ("calendar_year", 3, 0, 0, 0, 0, 1),
+    "CY9999CY": ("calendar_year", 3, 0, 0, 0, 0, 1),
+    "9999H9": ("half_year", 1, 0, 0, 6, 6, 1),
+}
+# The year before the first year of each era.
 ERAS = {"令和": 2018, "平成": 1988}
 
 FIELDS = ["time_original", "time_year", "time_month", "time_quarter", "time_type", "time_sort_key"]
 
 
-def _read(c: Column) -> dict[str, Column]:
-    """Text, upper-case code with ASCII digits, and the code's shape."""
-    text = strip(c)
-    code = F.upper(ascii_digits(text))
-    return {"text": text, "code": code, "shape": F.translate(code, ASCII, "9" * 10)}
-
-
-def _classify(text: Column, code: Column, shape: Column) -> dict[str, Column]:
-    digits = F.translate(code, "-", "")
-    m, d, last = _int(F.substring(digits, 5, 2)), _int(F.substring(digits, 7, 2)), _int(F.substring(code, -1, 1))
-    era = _int(F.regexp_extract(code, "^(?:" + "|".join(ERAS) + ")([0-9]+)年?$", 1))
-    kind = (F.when(shape == "9999", "year")
-            .when(shape.isin(QUARTER_SHAPES) & last.between(1, 4), "quarter")
-            .when(shape.isin(MONTH_SHAPES) & m.between(1, 12), "month")
-            .when(shape.isin(DAY_SHAPES) & m.between(1, 12) & d.between(1, 31), "day")
-            .when(shape.isin(FISCAL_SHAPES), "fiscal_year")
-            .when(shape.isin(CALENDAR_SHAPES), "calendar_year")
-            .when((shape == "9999H9") & last.isin(1, 2), "half_year")
-            .when(era.isNotNull(), "japanese_year")
-            .otherwise("unknown"))
-    before = F.lit(None).cast("int")
-    for name, year in ERAS.items():
-        before = F.when(code.startswith(name), year).otherwise(before)
-    found = F.when(shape.startswith("9999"), F.substring(code, 1, 4)).otherwise(
-        F.regexp_extract(code, "([0-9]{4})", 1))
-    return {"kind": kind, "year": F.when(kind == "japanese_year", era + before).otherwise(_int(found)),
-            "m": m, "d": d, "last": last}
-
+def _notation(shape: Column) -> Column:
+    names = ["kind", "y", "m", "d", "p", "step", "first"]
+    entries = [x for k, v in NOTATIONS.items()
+               for x in (F.lit(k), F.struct(*[F.lit(u).alias(n) for n, u in zip(names, v)]))]
+    return F.try_element_at(F.create_map(*entries), shape)
 
-def _finish(text: Column, kind: Column, year: Column, m: Column, d: Column, last: Column) -> list[Column]:
-    dated = kind.isin("month", "day")
-    quarter = (F.when(dated, ((m + 2) / 3).cast("int")).when(kind == "quarter", last)
-               .when(kind == "half_year", last * 2 - 1))
-    key_month = (F.when(dated, m).when(kind == "quarter", last * 3 - 2).when(kind == "half_year", last * 6 - 5)
-                 .when(kind == "fiscal_year", 4).otherwise(1))
-    key = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(key_month.cast("string"), 2, "0"), F.lit("-"),
-                   F.lpad(F.when(kind == "day", d).otherwise(1).cast("string"), 2, "0"))
-    loose = F.when(F.coalesce(year, F.lit(0)) != 0, F.concat(year.cast("string"), F.lit("-01-01"))).otherwise(text)
-    some = text.isNotNull()
-    return [text.alias("time_original"), F.when(some, year).alias("time_year"),
-            F.when(dated, m).alias("time_month"), quarter.alias("time_quarter"),
-            F.coalesce(kind, F.lit("unknown")).alias("time_type"),
-            F.when(some, F.when(kind == "unknown", loose).otherwise(key)).alias("time_sort_key")]
 
+def computed_once(df: DataFrame, columns: list[Column], drop: tuple[str, ...] = ()) -> DataFrame:
+    """Append columns through ``inline`` of a one-element array.
 
-def parse_time(c: Column) -> Column:
-    """struct(time_original, time_year, time_month, time_quarter, time_type, time_sort_key)."""
-    first = _read(F.nullif(c, F.lit("")))
-    second = _classify(**first)
-    return F.struct(*_finish(first["text"], **second))
+    The generator keeps the optimizer from copying the expressions into every
+    later use (a filter on a parsed field would otherwise repeat the parser),
+    and it stays inside whole-stage code generation.
+    """
+    kept = [F.col(c) for c in df.columns if c not in drop]
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
 
 
 def with_time(df: DataFrame, column: str) -> DataFrame:
-    """Add the six time fields of a code column, staged so that each step is computed once per row."""
-    keep = [F.col(c) for c in df.columns]
-    read = df.select("*", F.struct(*[v.alias(k) for k, v in _read(F.nullif(F.col(column), F.lit(""))).items()]).alias("_r"))
-    r = F.col("_r")
-    split = read.select(*keep, r["text"].alias("_text"), F.struct(*[
-        v.alias(k) for k, v in _classify(r["text"], r["code"], r["shape"]).items()]).alias("_c"))
-    c = F.col("_c")
-    return split.select(*keep, *_finish(F.col("_text"), *[c[k] for k in ("kind", "year", "m", "d", "last")]))
+    """Add the six time fields of a code column.
 
+    Table-driven and staged: the shape selects a notation, the notation says
+    where the parts are. Steps stay small enough for the JIT compiler.
+    """
+    kept = [F.col(c) for c in df.columns]
+    text = strip(F.nullif(F.col(column), F.lit("")))
+    read = computed_once(df, [text.alias("_text"), F.upper(ascii_digits(text)).alias("_code")])
+    code, note = F.col("_code"), F.col("_note")
+    read = computed_once(read, [_notation(F.translate(code, ASCII, "9" * 10)).alias("_note")])
 
-def time_year(c: Column) -> Column:
-    return parse_time(c)["time_year"]
+    def part(name, length):
+        return F.when(note[name] > 0, code.substr(note[name], F.lit(length))).cast("int")
 
-
-def time_quarter(c: Column) -> Column:
-    return parse_time(c)["time_quarter"]
-
-
-def time_sort_key(c: Column) -> Column:
-    return parse_time(c)["time_sort_key"]
+    plain = F.when(note.isNotNull(), code.substr(note["y"], F.lit(4))).otherwise(
+        F.regexp_extract(code, "([0-9]{4})", 1))
+    era = F.when(note.isNull(), digits_to_int(
+        F.regexp_extract(code, "^(?:" + "|".join(ERAS) + ")([0-9]{1,9})年?$", 1)))
+    parts = computed_once(read, [digits_to_int(plain).alias("_year"), era.alias("_era"), part("m", 2).alias("_m"),
+                                 part("d", 2).alias("_d"), part("p", 1).alias("_p")])
+    m, d, p = F.col("_m"), F.col("_d"), F.col("_p")
+    fits = (F.coalesce(m.between(1, 12), F.lit(True)) & F.coalesce(d.between(1, 31), F.lit(True))
+            & F.coalesce((p > 0) & (p * note["step"] <= 12), F.lit(True)))
+    before = F.lit(None).cast("int")
+    for name, year in ERAS.items():
+        before = F.when(code.startswith(name), year).otherwise(before)
+    kind = F.when(note.isNotNull() & fits, note["kind"]).when(F.col("_era").isNotNull(), "japanese_year").otherwise("unknown")
+    staged = computed_once(parts, [
+        kind.alias("_kind"), F.when(F.col("_era").isNotNull(), F.col("_era") + before).otherwise(F.col("_year")).alias("_y"),
+        F.when(fits, F.coalesce(m, (p - 1) * note["step"] + 1)).alias("_start")], ("_year", "_era"))
+    kind, year, start = F.col("_kind"), F.col("_y"), F.col("_start")
+    key = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
+                      F.lpad(F.coalesce(start, note["first"], F.lit(1)).cast("string"), 2, "0"),
+                      F.lpad(F.coalesce(d, F.lit(1)).cast("string"), 2, "0"))
+    loose = F.when(F.coalesce(year, F.lit(0)) != 0, F.concat(year.cast("string"), F.lit("-01-01"))).otherwise(F.col("_text"))
+    out = computed_once(staged, [
+        F.col("_text").alias("time_original"), year.alias("time_year"),
+        F.when(kind.isin("month", "day"), m).alias("time_month"),
+        F.when(start.isNotNull(), ((start + 2) / 3).cast("int")).alias("time_quarter"), kind.alias("time_type"),
+        F.when(kind == "unknown", loose).otherwise(key).alias("time_sort_key")],
+        ("_text", "_code", "_note", "_m", "_d", "_p", "_kind", "_y", "_start"))
+    return out.select(*kept, *FIELDS)
 
 
 def loose_year(c: Column) -> Column:
     """First run of four digits anywhere, 2020 if there is none."""
-    return F.coalesce(_int(F.regexp_extract(ascii_digits(c), "([0-9]{4})", 1)), F.lit(2020))
+    return F.coalesce(digits_to_int(F.regexp_extract(ascii_digits(c), "([0-9]{4})", 1)), F.lit(2020))
 
 
 def loose_quarter(c: Column) -> Column:
-    return F.coalesce(_int(F.regexp_extract(ascii_digits(F.upper(c)), "Q([1-4])", 1)), F.lit(0))
+    return F.coalesce(digits_to_int(F.regexp_extract(ascii_digits(F.upper(c)), "Q([1-4])", 1)), F.lit(0))
 
 
 def loose_month(c: Column) -> Column:
     """``dddd-dd``, then eight digits, then six; any two digits pass as a month."""
     d = ascii_digits(c)
     forms = ["[0-9]{4}-([0-9]{2})", "[0-9]{4}([0-9]{2})[0-9]{2}", "[0-9]{4}([0-9]{2})"]
-    return F.coalesce(*[_int(F.regexp_extract(d, f, 1)) for f in forms], F.lit(0))
+    return F.coalesce(*[digits_to_int(F.regexp_extract(d, f, 1)) for f in forms], F.lit(0))
 
 
 def year_bounds(start: str | None, end: str | None) -> Column:

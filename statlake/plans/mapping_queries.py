@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions import scalars as S, text as X, timecode as TC
+from statlake.functions.safe import to_date, to_int
 from statlake.operators import mapping as M
 from statlake.plans import views as V
 from statlake.plans.registered import query
@@ -41,18 +42,13 @@ def timed(spark, sf):
 
 @query("x01_parse_time", "raw_obs", _TIME_SQL)
 def parse_time(spark, sf):
-    raw = V.raw_obs(spark, sf)
-    return raw.select(F.col("attr_id").alias("stats_data_id"), "row_seq",
-                      TC.parse_time(F.col("attr_time")).alias("t")).select("stats_data_id", "row_seq", "t.*")
+    return timed(spark, sf)
 
 
 @query("x02_time_fields", "raw_obs", f"""SELECT time_year, time_quarter, time_sort_key, count(*) AS n
  FROM ({_TIME_SQL}) GROUP BY ALL""")
 def time_fields(spark, sf):
-    c = F.col("attr_time")
-    return (V.raw_obs(spark, sf).select(TC.time_year(c).alias("time_year"), TC.time_quarter(c).alias("time_quarter"),
-                                        TC.time_sort_key(c).alias("time_sort_key"))
-            .groupBy("time_year", "time_quarter", "time_sort_key").agg(F.count(F.lit(1)).alias("n")))
+    return (timed(spark, sf).groupBy("time_year", "time_quarter", "time_sort_key").agg(F.count(F.lit(1)).alias("n")))
 
 
 for _name, _where, _cond in [
@@ -216,7 +212,7 @@ def text_or_object(spark, sf):
 def builtin_functions(spark, sf):
     u = F.col("updated_date")
     return V.listing(spark, sf).select(
-        "id", F.year(u.try_cast("date")).alias("y"), F.substring(u, 1, 4).try_cast("int").alias("year_text"),
+        "id", F.year(to_date(u)).alias("y"), to_int(F.substring(u, 1, 4)).alias("year_text"),
         F.lower("organization").alias("org_low"), F.when(u == "", "none").otherwise("dated").alias("dated"),
         F.coalesce(F.nullif(u, F.lit("")), F.lit("1970-01-01")).alias("filled"))
 

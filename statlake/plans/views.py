@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from statlake.functions.timecode import computed_once
+
 # Titles by document number; the given texts are Latin, so rules on Japanese
 # words need titles of their own.
 TITLES = [
@@ -48,12 +50,9 @@ def pick_sql(index: str, values: list[str]) -> str:
 
 # --- raw observations --------------------------------------------------------------
 
-def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
-    l, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
-    joined = (l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey))
-    n = F.col("l_orderkey") + F.col("l_linenumber")
-    y, m, q = F.year("l_shipdate"), F.month("l_shipdate"), F.quarter("l_shipdate")
-    ship = F.col("l_shipdate")
+def _time_and_value() -> tuple[Column, Column]:
+    n, ship, whole = F.col("_n"), F.col("_ship"), F.col("_whole")
+    y, m, q = F.year(ship), F.month(ship), F.quarter(ship)
     half = F.when(m <= 6, "1").otherwise("2")
     style = n % 12
     time = (F.when(style == 0, F.date_format(ship, "yyyy"))
@@ -67,13 +66,21 @@ def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
             .when(style == 8, F.concat(y.cast("string"), F.lit("H"), half))
             .when(style == 9, F.concat(F.lit("平成"), (y - 1988).cast("string"), F.lit("年")))
             .when(style == 10, F.concat(y.cast("string"), F.lit("000000"))))
-    whole = F.floor("l_extendedprice").cast("bigint")
     value = (F.when(n % 17 == 0, "-").when(n % 17 == 1, "")
              .when((n % 5 == 0) & (whole >= 1000), F.concat(
                  F.floor(whole / 1000).cast("string"), F.lit(","), F.lpad((whole % 1000).cast("string"), 3, "0")))
              .when(n % 5 == 1, F.concat(whole.cast("string"), F.lit(".5")))
              .otherwise(whole.cast("string")))
-    return joined.select(
+    return time, value
+
+
+def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
+    l, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
+    joined = (l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey))
+    n = F.col("l_orderkey") + F.col("l_linenumber")
+    whole, ship = F.floor("l_extendedprice").cast("bigint"), F.col("l_shipdate")
+    time, value = _time_and_value()
+    raw = joined.select(
         F.concat(F.lit("ds"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("dataset_id"),
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("attr_id"),
         F.concat_ws("-", F.lpad(F.col("l_partkey").cast("string"), 9, "0"),
@@ -84,9 +91,9 @@ def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "学生数").otherwise("輸送量").alias("attr_cat02"),
         pick((F.col("l_partkey") + F.col("l_linenumber")) % 10, INDICATORS).alias("attr_cat03"),
         F.when(n % 23 != 0, F.lpad(F.col("c_nationkey").cast("string"), 5, "0")).alias("attr_area"),
-        time.alias("attr_time"),
         pick(n % 3, ["円", "人", "件"]).alias("attr_unit"),
-        value.alias("value"))
+        n.alias("_n"), ship.alias("_ship"), whole.alias("_whole"))
+    return computed_once(raw, [time.alias("attr_time"), value.alias("value")], ("_n", "_ship", "_whole"))
 
 
 _INDICATOR_SQL = pick_sql("(l_partkey + l_linenumber) % 10", INDICATORS)
