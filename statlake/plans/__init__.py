@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["mapping_queries"]
+MODULES = ["mapping_queries", "analytics_queries"]
 
 
 def all_queries():
