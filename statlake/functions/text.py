@@ -116,9 +116,9 @@ def char_ngrams(chars: Column, sizes) -> Column:
     ``substring`` would walk the text from its start for every n-gram.
     """
     count = F.size(chars)
-    parts = []
-    for n in sizes:
-        def gram(ch, i, n=n):
-            return F.concat(ch, *[F.get(chars, i + k) for k in range(1, n)])
-        parts.append(F.transform(F.slice(chars, F.lit(1), F.greatest(count - (n - 1), F.lit(0))), gram))
+
+    def of_size(n: int) -> Column:
+        return F.transform(F.slice(chars, F.lit(1), F.greatest(count - (n - 1), F.lit(0))),
+                           lambda ch, i: F.concat(ch, *[F.get(chars, i + k) for k in range(1, n)]))
+    parts = [of_size(n) for n in sizes]
     return F.concat(*parts)
