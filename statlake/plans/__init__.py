@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["mapping_queries", "analytics_queries", "quality_queries", "search_queries"]
+MODULES = ["mapping_queries", "analytics_queries", "quality_queries", "search_queries", "report_queries", "lake_queries"]
 
 
 def all_queries():

@@ -146,6 +146,17 @@ def register_entries(spark, sf):
                       "record_count", F.size("column_names").alias("columns"), F.size("keywords").alias("keywords"))
 
 
+@query("k02_extended_entries", "catalog raw_obs", """SELECT dataset_id, title, 'year' AS partition_fields, 0::BIGINT AS null_value, CASE WHEN priority = 1 THEN 'failed' ELSE 'success' END AS ingestion_status FROM catalog""")
+def extended_entries(spark, sf):
+    c = V.catalog(spark, sf).select("dataset_id", "title", "priority")
+    schema = c.select("dataset_id", F.explode(F.array(F.lit("year"), F.lit("value"))).alias("name")).withColumn("is_partition", F.col("name") == "year")
+    profile = c.select("dataset_id", F.lit("value").alias("column"), F.lit(0).cast("bigint").alias("null_count"), F.lit(5).cast("bigint").alias("distinct_count"))
+    runs = c.filter("priority = 1").select("dataset_id", F.lit("failed").alias("ingestion_status"), F.lit(1.5).alias("ingestion_duration_seconds"))
+    out = C.extended_entries(c, schema, profile, runs)
+    return out.select("dataset_id", "title", F.concat_ws("|", "partition_fields").alias("partition_fields"),
+                      F.try_element_at("null_counts", F.lit("value")).alias("null_value"), "ingestion_status")
+
+
 @query("k01_replace_by_id", "catalog", """SELECT dataset_id, CASE WHEN priority = 3 THEN 'new title' ELSE title END AS title FROM catalog UNION ALL SELECT 'x' || dataset_id, title FROM catalog WHERE priority = 4""")
 def replace_by_id(spark, sf):
     c = V.catalog(spark, sf).select("dataset_id", "title", "priority")
