@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-N = F.lit(1)
 
 
 def basic_statistics(facts: DataFrame) -> DataFrame:
@@ -20,7 +19,7 @@ def basic_statistics(facts: DataFrame) -> DataFrame:
     The three distinct counts run over one row per (dataset, year, region), not over all facts.
     """
     cells = facts.groupBy("dataset_id", "year", "region_code").agg(
-        F.count(N).alias("n"), F.sum("value").alias("s"), F.count("value").alias("nv"),
+        F.count("*").alias("n"), F.sum("value").alias("s"), F.count("value").alias("nv"),
         F.min("value").alias("lo"), F.max("value").alias("hi"))
     return cells.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("record_count"), F.countDistinct("dataset_id").alias("unique_datasets"),
@@ -32,7 +31,7 @@ def basic_statistics(facts: DataFrame) -> DataFrame:
 
 def region_year_statistics(facts: DataFrame, limit: int = 100) -> DataFrame:
     return (facts.groupBy("year", "region_code")
-            .agg(F.count(N).alias("record_count"), F.sum("value").alias("total_value"), F.avg("value").alias("avg_value"),
+            .agg(F.count("*").alias("record_count"), F.sum("value").alias("total_value"), F.avg("value").alias("avg_value"),
                  F.min("value").alias("min_value"), F.max("value").alias("max_value"))
             .orderBy(F.desc("year"), "region_code").limit(limit))
 
@@ -58,9 +57,9 @@ def group_statistics(facts: DataFrame, keys: list[str], *, where: Column | None
         F.sum(v).alias(total) if total else None, rounded(F.avg(v)).alias(average) if average else None,
         rounded(F.min(v)).alias(minimum) if minimum else None, rounded(F.max(v)).alias(maximum) if maximum else None,
         rounded(F.stddev_samp(v)).alias(deviation) if deviation else None,
-        F.count(N).alias(count) if count else None] if a is not None]
+        F.count("*").alias(count) if count else None] if a is not None]
     if min_count:
-        aggs.append(F.count(N).alias("_n"))
+        aggs.append(F.count("*").alias("_n"))
     out = (facts if where is None else facts.filter(where)).groupBy(*keys).agg(*aggs)
     if min_count:
         out = out.filter(F.col("_n") >= min_count).drop("_n")
@@ -108,8 +107,8 @@ def related_statistics(left: DataFrame, right: DataFrame, keys: list[str], group
     rows, so its contribution is weighted by ``n`` (one for an unmatched row of
     a left join) and the right sums by the number of left rows.
     """
-    a = left.groupBy(*dict.fromkeys([*keys, *group])).agg(F.sum("value").alias("_s"), F.count(N).alias("_n"))
-    b = right.groupBy(*keys).agg(F.sum("value").alias("_t"), F.count(N).alias("_m"))
+    a = left.groupBy(*dict.fromkeys([*keys, *group])).agg(F.sum("value").alias("_s"), F.count("*").alias("_n"))
+    b = right.groupBy(*keys).agg(F.sum("value").alias("_t"), F.count("*").alias("_m"))
     j = a.join(b, keys, how)
     weight = F.coalesce(F.col("_m"), F.lit(1))
     total = F.sum(F.col("_s") * weight)
@@ -128,17 +127,19 @@ def related_statistics(left: DataFrame, right: DataFrame, keys: list[str], group
 def inventory_counts(inventory: DataFrame, tables: dict[str, DataFrame], by: list[str] | None = None) -> DataFrame:
     """Row counts of tables beside every inventory row that names the table.
 
-    A table is counted first; the inventory then joins the counts by table name.
+    A table is counted first; the inventory then joins the counts by table
+    name. The name is an aggregate, so it stays a join key instead of being
+    folded away (which would leave a nested-loop join).
     """
     by = by or []
-    counts = [df.groupBy(*by).agg(F.count(N).alias("record_count")).withColumn("table_name", F.lit(name))
+    counts = [df.groupBy(*by).agg(F.count("*").alias("record_count"), F.max(F.lit(name)).alias("table_name"))
               for name, df in tables.items()]
     return inventory.join(reduce(DataFrame.unionByName, counts), "table_name")
 
 
 def domain_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row count per table, in one plan."""
-    parts = [df.agg(F.count(N).alias("record_count")).select(F.lit(name).alias("domain"), "record_count")
+    parts = [df.agg(F.count("*").alias("record_count")).select(F.lit(name).alias("domain"), "record_count")
              for name, df in tables.items()]
     return reduce(DataFrame.unionAll, parts).orderBy(F.desc("record_count"), "domain")
 
@@ -160,7 +161,7 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     column with one dominant value costs one row per task.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in columns]))
-    values = df.select(pairs.alias("p")).groupBy("p.column", "p.v").agg(F.count(N).alias("n"))
+    values = df.select(pairs.alias("p")).groupBy("p.column", "p.v").agg(F.count("*").alias("n"))
     return values.groupBy("column").agg(
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
         F.count("v").alias("distinct_count"), F.sum("n").alias("row_count"))
@@ -170,7 +171,7 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def dataset_profiles(facts: DataFrame) -> DataFrame:
     """Year range, region count and granularity of every dataset."""
-    cells = facts.groupBy("dataset_id", "year", "region_code", F.col("quarter") > 0, F.col("month") > 0).agg(F.count(N).alias("n"))
+    cells = facts.groupBy("dataset_id", "year", "region_code", F.col("quarter") > 0, F.col("month") > 0).agg(F.count("*").alias("n"))
     q, m = cells.columns[3], cells.columns[4]
     return cells.groupBy("dataset_id").agg(
         F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.countDistinct("year").alias("years"),
@@ -185,10 +186,10 @@ def join_compatibility(facts: DataFrame, dataset_id: str) -> DataFrame:
     work grows with the pairs, not with pairs of datasets.
     """
     profiles = dataset_profiles(facts)
-    regions = facts.groupBy("dataset_id", "region_code").agg(F.count(N).alias("_n"))
+    regions = facts.groupBy("dataset_id", "region_code").agg(F.count("*").alias("_n"))
     own = regions.filter(F.col("dataset_id") == dataset_id).select("region_code")
     shared = (regions.filter(F.col("dataset_id") != dataset_id).join(own, "region_code")
-              .groupBy("dataset_id").agg(F.count(N).alias("shared_regions")))
+              .groupBy("dataset_id").agg(F.count("*").alias("shared_regions")))
     me = profiles.filter(F.col("dataset_id") == dataset_id)
     start, end, grain = (me.select(c).scalar() for c in ("first_year", "last_year", "granularity"))
     overlap = F.least("last_year", end) - F.greatest("first_year", start) + 1

@@ -10,7 +10,6 @@ from statlake import rules
 from statlake.functions import scalars as S, text as X
 from statlake.operators.ranking import first_of, top_per_group, top_with_priority
 
-N = F.lit(1)
 
 
 def catalog_entries(listing: DataFrame, stats: DataFrame, columns: DataFrame, source: str) -> DataFrame:
@@ -67,7 +66,7 @@ def store_schema(catalog: DataFrame, columns: DataFrame) -> DataFrame:
 def statistics(catalog: DataFrame) -> DataFrame:
     """Counts by status and domain and overall sums, as (group, name, value) rows from one scan."""
     cells = catalog.groupBy("ingestion_status", "domain").agg(
-        F.count(N).alias("n"), F.sum("record_count").alias("records"), F.sum("data_size_bytes").alias("bytes"),
+        F.count("*").alias("n"), F.sum("record_count").alias("records"), F.sum("data_size_bytes").alias("bytes"),
         F.sum(F.when(F.col("ingestion_duration_seconds") > 0, F.col("ingestion_duration_seconds"))).alias("secs"),
         F.count_if(F.col("ingestion_duration_seconds") > 0).alias("timed"))
     by = [cells.groupBy(F.col(c).alias("name")).agg(F.sum("n").cast("double").alias("value")).select(F.lit(g).alias("group"), "name", "value")
@@ -82,8 +81,8 @@ def statistics(catalog: DataFrame) -> DataFrame:
 def summary(catalog: DataFrame) -> DataFrame:
     """Per domain: datasets, records and share with a time range."""
     ranged = F.col("time_range_start").isNotNull()
-    return catalog.groupBy("domain").agg(F.count(N).alias("datasets"), F.sum("record_count").alias("total_records"),
-                                         (F.count_if(ranged) / F.count(N)).alias("share_with_time_range"))
+    return catalog.groupBy("domain").agg(F.count("*").alias("datasets"), F.sum("record_count").alias("total_records"),
+                                         (F.count_if(ranged) / F.count("*")).alias("share_with_time_range"))
 
 
 def listing_catalog(listing: DataFrame) -> DataFrame:
@@ -97,7 +96,7 @@ def listing_catalog(listing: DataFrame) -> DataFrame:
 
 def listing_summary(classified: DataFrame) -> DataFrame:
     """Counts by domain, importance and frequency as (group, name, count) rows from one grouping."""
-    cells = classified.groupBy("domain", "importance", "update_frequency").agg(F.count(N).alias("n"))
+    cells = classified.groupBy("domain", "importance", "update_frequency").agg(F.count("*").alias("n"))
     rows = F.array(*[F.struct(F.lit(c).alias("group"), F.col(c).alias("name")) for c in ("domain", "importance", "update_frequency")])
     return (cells.select(F.explode(rows).alias("x"), "n").groupBy("x.group", "x.name").agg(F.sum("n").alias("count")))
 

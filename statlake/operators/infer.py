@@ -13,7 +13,6 @@ from statlake.functions import scalars as S
 from statlake.functions.safe import digits_to_int
 from statlake.operators.ranking import top_per_group
 
-N = F.lit(1)
 COLUMNS = ["dataset_id", "position", "name", "type", "nullable", "source_field", "description", "is_partition"]
 INT_MAX = 2147483647
 VOTE = 0.8            # fixed value: share a type needs to win the vote
@@ -49,7 +48,7 @@ def voted_types(values: DataFrame) -> DataFrame:
     voters = top_per_group(values, ["dataset_id", "field"], [F.asc("_pos")], VOTE_VALUES, "_rn")
     kind = voters.withColumn("kind", value_class(F.col("v")))
     k = F.col("kind")
-    c = kind.groupBy("dataset_id", "field").agg(F.count(N).alias("n"), *[F.count_if(k == t).alias(t) for t in ("BIGINT", "INT", "DOUBLE", "BOOLEAN")])
+    c = kind.groupBy("dataset_id", "field").agg(F.count("*").alias("n"), *[F.count_if(k == t).alias(t) for t in ("BIGINT", "INT", "DOUBLE", "BOOLEAN")])
     vote = F.when(F.col("BIGINT") > 0, "BIGINT")
     for t in ("INT", "DOUBLE", "BOOLEAN"):
         vote = vote.when(F.col(t) > F.col("n") * VOTE, t)
@@ -92,7 +91,7 @@ def schema_from_metadata(items: DataFrame, area_as_text: bool = False) -> DataFr
     code = F.coalesce("code", F.lit(""))
     largest = F.max(F.when(code.rlike("^[0-9]+$"), code).cast("double"))
     looks = first.groupBy(*keys).agg(F.bool_and((code == "") | code.rlike("^[0-9]+$")).alias("digits"), largest.alias("top"))
-    dims = looks.join(items.groupBy(*keys).agg(F.count(N).alias("items")), keys)
+    dims = looks.join(items.groupBy(*keys).agg(F.count("*").alias("items")), keys)
     text = F.col("dim_id") == "time"
     if area_as_text:
         text = text | (F.col("dim_id") == "area")
@@ -126,7 +125,7 @@ def to_struct(schema_rows: DataFrame) -> T.StructType:
 
 def adaptive_partitions(facts: DataFrame) -> DataFrame:
     """Partition columns by number of regions and years: none, year, or year and region."""
-    cells = facts.groupBy("dataset_id", "year", "region_code").agg(F.count(N).alias("n"))
+    cells = facts.groupBy("dataset_id", "year", "region_code").agg(F.count("*").alias("n"))
     c = cells.groupBy("dataset_id").agg(F.countDistinct("region_code").alias("regions"), F.countDistinct("year").alias("years"))
     choice = (F.when(F.col("regions") > 100, "").when(F.col("regions") == 1, "year")
               .when(F.col("regions") * F.col("years") <= 100, "year,region_code").otherwise("year"))
@@ -138,7 +137,7 @@ def check_schema(schema: DataFrame) -> DataFrame:
     def has(name):
         return F.count_if(F.col("name") == name) > 0
     c = schema.groupBy("dataset_id").agg(
-        F.count(N).alias("column_count"), F.count_if("is_partition").alias("partition_count"),
+        F.count("*").alias("column_count"), F.count_if("is_partition").alias("partition_count"),
         *[has(n).alias(f"_{n}") for n in ("dataset_id", "record_id", "value")])
     issues = F.array_compact(F.array(
         *[F.when(~F.col(f"_{n}"), F.lit(f"missing {n}")) for n in ("dataset_id", "record_id", "value")],
@@ -215,7 +214,7 @@ def search_summary(items: DataFrame) -> DataFrame:
     year = digits_to_int(F.regexp_extract("code", "^([0-9]{4})", 1))
     good = F.col("level").isin("", "1", "2") & (F.col("name") != "") & ~S.has_any(F.col("name"), rules.TOTAL_ITEM_WORDS) & ~F.col("name").rlike("^[A-Z][0-9]+")
     counts = rows.groupBy("dataset_id", "role", "dim_pos").agg(
-        F.count(N).alias("items"), F.min(F.when(year.between(1900, 2100), year)).alias("a"), F.max(F.when(year.between(1900, 2100), year)).alias("b"),
+        F.count("*").alias("items"), F.min(F.when(year.between(1900, 2100), year)).alias("a"), F.max(F.when(year.between(1900, 2100), year)).alias("b"),
         F.count_if(year.between(1900, 2100)).alias("years"), F.count_if(good).alias("good"))
 
     def last(role, col, extra=None):

@@ -118,8 +118,8 @@ def column_mapping(schema: T.StructType) -> dict[str, str]:
 
 def transform_results(raw: DataFrame, mapped: DataFrame) -> DataFrame:
     """Input and output row counts of every dataset, from two pre-aggregated sides."""
-    a = raw.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("input_records"))
-    b = mapped.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("output_records"))
+    a = raw.groupBy("dataset_id").agg(F.count("*").alias("input_records"))
+    b = mapped.groupBy("dataset_id").agg(F.count("*").alias("output_records"))
     return (a.join(b, "dataset_id", "left")
             .select("dataset_id", "input_records", F.coalesce("output_records", F.lit(0)).alias("output_records"),
                     (F.col("input_records") == F.coalesce("output_records", F.lit(0))).alias("success")))

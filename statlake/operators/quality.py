@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from statlake.functions.safe import to_double
 from statlake.schemas import get_domain, get_schema
 
-N = F.lit(1)
 RESULT = ["dataset_id", "check_type", "status", "expected", "actual", "difference"]
 
 
@@ -27,7 +26,7 @@ def is_blank(c: Column) -> Column:
 def null_check(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Blank count per column (and group), one row per column."""
     present = [c for c in columns if c in df.columns]
-    counts = df.groupBy(*(by or [])).agg(F.count(N).alias("total"), *[F.count_if(is_blank(F.col(c))).alias(c) for c in present])
+    counts = df.groupBy(*(by or [])).agg(F.count("*").alias("total"), *[F.count_if(is_blank(F.col(c))).alias(c) for c in present])
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("null_count")) for c in present]))
     return counts.select(*(by or []), "total", pairs.alias("p")).select(*(by or []), "p.column", "p.null_count", "total")
 
@@ -44,16 +43,16 @@ def out_of_range(df: DataFrame, column: str, low: float | None = None, high: flo
 
 
 def range_check(df: DataFrame, column: str, low: float | None = None, high: float | None = None) -> DataFrame:
-    return out_of_range(df, column, low, high).groupBy("reason").agg(F.count(N).alias("rows"))
+    return out_of_range(df, column, low, high).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
-    return df.groupBy(*keys).agg(F.count(N).alias("rows")).filter(F.col("rows") > 1)
+    return df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
 def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
-    return duplicate_keys(df, keys).agg(F.count(N).alias("duplicate_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("duplicate_rows"))
+    return duplicate_keys(df, keys).agg(F.count("*").alias("duplicate_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("duplicate_rows"))
 
 
 def repeated_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -62,7 +61,7 @@ def repeated_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     The first row per key is a map-side minimum. Joining it back keeps hot keys
     splittable, where a row number would sort each whole key in one task.
     """
-    firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"), F.count(N).alias("_n")).filter(F.col("_n") > 1)
+    firsts = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
     right = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     return (df.join(right, same).filter(F.struct(*order) > F.col("_first"))
@@ -114,7 +113,7 @@ def dataset_gate(df: DataFrame, domain: str, threshold: float = 0.1) -> DataFram
     if not 0 <= threshold <= 1:
         raise ValueError("threshold must lie between 0 and 1")
     failed = (F.size(missing_fields(df, domain)) > 0) | (F.size(type_errors(df, domain)) > 0)
-    counts = df.groupBy("dataset_id").agg(F.count(N).alias("total"), F.count_if(failed).alias("failed"))
+    counts = df.groupBy("dataset_id").agg(F.count("*").alias("total"), F.count_if(failed).alias("failed"))
     rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
     return counts.select("dataset_id", "total", "failed", rate.alias("failure_rate"), (rate <= threshold).alias("passed"))
 
@@ -125,7 +124,7 @@ def quality_gate(df: DataFrame, check_duplicates: bool = True) -> DataFrame:
     if missing_columns(df, required):
         raise ValueError(f"missing columns: {missing_columns(df, required)}")
     cells = df.groupBy("dataset_id", "year", "region_code").agg(
-        F.count(N).alias("n"), *[F.count_if(is_blank(F.col(c))).alias(f"null_{c}") for c in required])
+        F.count("*").alias("n"), *[F.count_if(is_blank(F.col(c))).alias(f"null_{c}") for c in required])
     repeated = F.count_if(F.col("n") > 1) if check_duplicates else F.lit(0)
     out = cells.groupBy("dataset_id").agg(
         F.sum("n").alias("total"), *[F.sum(f"null_{c}").alias(f"null_{c}") for c in required], repeated.alias("duplicate_keys"))
@@ -137,7 +136,7 @@ def quality_gate(df: DataFrame, check_duplicates: bool = True) -> DataFrame:
 
 def reconcile_counts(df: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected (dataset_id, expected) against loaded row counts; a dataset may be absent on one side."""
-    actual = df.groupBy("dataset_id").agg(F.count(N).alias("actual"))
+    actual = df.groupBy("dataset_id").agg(F.count("*").alias("actual"))
     j = expected.join(actual, "dataset_id", "full").select(
         "dataset_id", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("actual", F.lit(0)).alias("actual"))
     return _result(j.withColumn("difference", F.col("actual") - F.col("expected")), "row_count",
@@ -165,7 +164,7 @@ def reconcile_schema(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def reconcile_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
-    counts = df.groupBy("dataset_id").agg(F.count(N).alias("expected"), *[F.count(c).alias(c) for c in columns])
+    counts = df.groupBy("dataset_id").agg(F.count("*").alias("expected"), *[F.count(c).alias(c) for c in columns])
     total = reduce(lambda a, b: a + b, [F.col("expected") - F.col(c) for c in columns])
     return _result(counts.withColumn("difference", total).withColumn("actual", F.col("expected") - total),
                    "null_value", F.col("difference") == 0)
@@ -173,7 +172,7 @@ def reconcile_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def partition_check(df: DataFrame, column: str = "year") -> DataFrame:
     """Per dataset: number of distinct partition values; none or a null value fails."""
-    cells = df.groupBy("dataset_id", column).agg(F.count(N).alias("n"))
+    cells = df.groupBy("dataset_id", column).agg(F.count("*").alias("n"))
     out = cells.groupBy("dataset_id").agg(F.count(column).alias("actual"), F.count_if(F.col(column).isNull()).alias("difference"))
     return _result(out.withColumn("expected", F.lit(column)), "partition", (F.col("actual") > 0) & (F.col("difference") == 0))
 
@@ -185,7 +184,7 @@ def full_check(df: DataFrame, expected: DataFrame, expected_schema: DataFrame, c
     actual = wanted.select("dataset_id", F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema.fields])).alias("c")
     ).select("dataset_id", "c.*")
-    issues = reconcile_schema(actual, expected_schema).groupBy("dataset_id").agg(F.count(N).alias("difference"))
+    issues = reconcile_schema(actual, expected_schema).groupBy("dataset_id").agg(F.count("*").alias("difference"))
     schema = _result(wanted.join(issues, "dataset_id", "left").fillna(0, ["difference"]), "schema", F.col("difference") == 0)
     parts = [reconcile_counts(df, expected), schema, reconcile_nulls(df, columns), partition_check(df, partition)]
     return reduce(DataFrame.unionByName, parts)
@@ -193,7 +192,7 @@ def full_check(df: DataFrame, expected: DataFrame, expected_schema: DataFrame, c
 
 def validation_report(results: DataFrame) -> DataFrame:
     """Per check type, and one ``all`` row: datasets, passed, failed, errors, pass rate in percent."""
-    cells = results.groupBy("check_type", "dataset_id", "status").agg(F.count(N).alias("n"))
+    cells = results.groupBy("check_type", "dataset_id", "status").agg(F.count("*").alias("n"))
     both = cells.select(F.explode(F.array(F.lit("all"), "check_type")).alias("check_type"), "dataset_id", "status", "n")
 
     def total(status):
@@ -214,8 +213,8 @@ def quality_score(facts: DataFrame, as_of_year: int) -> DataFrame:
     """
     v = F.col("value")
     shape = facts.groupBy("dataset_id").agg(
-        F.count(N).alias("records"), F.count("value").alias("filled"), F.percentile_approx(v, [0.25, 0.75], 10000).alias("q"))
-    years = facts.groupBy("dataset_id", "year").agg(F.count(N).alias("n"))
+        F.count("*").alias("records"), F.count("value").alias("filled"), F.percentile_approx(v, [0.25, 0.75], 10000).alias("q"))
+    years = facts.groupBy("dataset_id", "year").agg(F.count("*").alias("n"))
     series = years.groupBy("dataset_id").agg(F.count("year").alias("years"), F.min("year").alias("a"), F.max("year").alias("b"))
     fence = shape.select("dataset_id", (F.col("q")[0] - (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("lo"),
                          (F.col("q")[1] + (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("hi"))
@@ -233,10 +232,10 @@ def quality_score(facts: DataFrame, as_of_year: int) -> DataFrame:
 
 def timeseries_suitability(facts: DataFrame, min_time_points: int = 20, frequency: str = "any") -> DataFrame:
     """Datasets with enough time points of the wanted frequency, and whether their years are continuous."""
-    points = facts.groupBy("dataset_id", "year", "quarter", "month").agg(F.count(N).alias("n"))
+    points = facts.groupBy("dataset_id", "year", "quarter", "month").agg(F.count("*").alias("n"))
     kind = F.when(F.max("month") > 0, "monthly").when(F.max("quarter") > 0, "quarterly").otherwise("annual")
     out = points.groupBy("dataset_id").agg(
-        F.count(N).alias("time_points"), kind.alias("frequency"),
+        F.count("*").alias("time_points"), kind.alias("frequency"),
         (F.countDistinct("year") == F.max("year") - F.min("year") + 1).alias("is_continuous"))
     ok = F.col("time_points") >= min_time_points
     return out.filter(ok if frequency == "any" else ok & (F.col("frequency") == frequency))
@@ -249,7 +248,7 @@ def correlation_candidates(facts: DataFrame, first: str, second: str, min_overla
     """
     def rows(word):
         return facts.filter(F.col("indicator").contains(word))
-    base = rows(first).groupBy("year").agg(F.count(N).alias("_n")).select("year")
-    other = rows(second).groupBy("dataset_id", "year").agg(F.count(N).alias("_n")).select("dataset_id", "year")
-    return (other.join(base, "year").groupBy("dataset_id").agg(F.count(N).alias("overlap_years"))
+    base = rows(first).groupBy("year").agg(F.count("*").alias("_n")).select("year")
+    other = rows(second).groupBy("dataset_id", "year").agg(F.count("*").alias("_n")).select("dataset_id", "year")
+    return (other.join(base, "year").groupBy("dataset_id").agg(F.count("*").alias("overlap_years"))
             .filter(F.col("overlap_years") >= min_overlap))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-N = F.lit(1)
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rn") -> DataFrame:
@@ -103,14 +102,14 @@ def exact_percentiles(df: DataFrame, group: str, value: str, points: list[float]
     lows = [max(0.0, p - slack) for p in points]
     highs = [min(1.0, p + slack) for p in points]
     marks = rows.groupBy(group).agg(
-        F.count(N).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
         F.percentile_approx("v", lows, accuracy).alias("a"), F.percentile_approx("v", highs, accuracy).alias("b"))
     few = F.col("n") <= accuracy          # ranks of small groups need no bracket
     brackets = marks.select(group, "n", F.explode(F.array(*[
         F.struct(F.lit(p).alias("p"), F.when(few | F.lit(p <= slack), F.col("lo")).otherwise(F.col("a")[i]).alias("a"),
                  F.when(few | F.lit(p >= 1 - slack), F.col("hi")).otherwise(F.col("b")[i]).alias("b")) for i, p in enumerate(points)])).alias("x")
     ).select(group, "n", "x.*")
-    counted = rows.groupBy(group, "v").agg(F.count(N).alias("c"))
+    counted = rows.groupBy(group, "v").agg(F.count("*").alias("c"))
     hit = counted.join(brackets, group).filter(F.col("v") <= F.col("b"))
     below = hit.groupBy(group, "p").agg(F.coalesce(F.sum(F.when(F.col("v") < F.col("a"), F.col("c"))), F.lit(0)).alias("below"))
     inside = hit.filter(F.col("v") >= F.col("a"))

@@ -8,7 +8,6 @@ from statlake import rules
 from statlake.functions.safe import to_timestamp
 from statlake.schemas import DOMAINS, REGISTRY_STATUSES
 
-N = F.lit(1)
 STAGES = ["fetch", "transform", "validate", "load"]
 
 
@@ -34,7 +33,7 @@ def remove(registry: DataFrame, ids: DataFrame) -> DataFrame:
 def latest_status(events: DataFrame) -> DataFrame:
     """Current status of every dataset from its events; unknown statuses are ignored."""
     known = events.filter(F.col("status").isin(REGISTRY_STATUSES))
-    last = known.groupBy("dataset_id").agg(F.max(F.struct("ts", "event_id", "status", "error_message")).alias("r"), F.count(N).alias("events"))
+    last = known.groupBy("dataset_id").agg(F.max(F.struct("ts", "event_id", "status", "error_message")).alias("r"), F.count("*").alias("events"))
     return last.select("dataset_id", "r.status", F.col("r.ts").alias("updated_at"), F.col("r.error_message").alias("error_message"), "events")
 
 
@@ -45,7 +44,7 @@ def stage_stamps(events: DataFrame) -> DataFrame:
 
 def statistics(registry: DataFrame) -> DataFrame:
     """Counts by status and by domain from one grouping."""
-    cells = registry.groupBy("status", "domain").agg(F.count(N).alias("n"))
+    cells = registry.groupBy("status", "domain").agg(F.count("*").alias("n"))
     rows = F.array(F.struct(F.lit("status").alias("group"), F.col("status").alias("name")),
                    F.struct(F.lit("domain").alias("group"), F.col("domain").alias("name")))
     return cells.select(F.explode(rows).alias("x"), "n").groupBy("x.group", "x.name").agg(F.sum("n").alias("count"))
@@ -53,7 +52,7 @@ def statistics(registry: DataFrame) -> DataFrame:
 
 def _counts() -> list[Column]:
     s = F.col("status")
-    return [F.count(N).alias("total_datasets"), F.count_if(s == "completed").alias("completed"), F.count_if(s == "failed").alias("failed"),
+    return [F.count("*").alias("total_datasets"), F.count_if(s == "completed").alias("completed"), F.count_if(s == "failed").alias("failed"),
             F.count_if(s.isin("processing", "in_progress")).alias("in_progress"), F.count_if(s == "pending").alias("pending")]
 
 
@@ -93,7 +92,7 @@ def freshness_alerts(registry: DataFrame, as_of: Column, stale: int = rules.STAL
 
 
 def count_alerts(registry: DataFrame, minimum: int = rules.MIN_DATASETS_PER_DOMAIN) -> DataFrame:
-    counts = registry.groupBy("domain").agg(F.count(N).alias("current_count"))
+    counts = registry.groupBy("domain").agg(F.count("*").alias("current_count"))
     return counts.filter(F.col("current_count") < minimum).withColumn("minimum_required", F.lit(minimum))
 
 
@@ -110,7 +109,7 @@ def dashboard(registry: DataFrame, as_of: Column) -> DataFrame:
         ("total", c("total_datasets")), ("completed", c("completed")), ("failed", c("failed")),
         ("completion_rate", F.round("completion_rate", 2)), ("total_records", c("total_records")),
         ("average_freshness_days", F.round("average_freshness_days", 1))])
-    a = long(freshness_alerts(registry, as_of).groupBy("alert_type").agg(F.count(N).alias("n")), "freshness_alert", c("alert_type"), [("count", c("n"))])
+    a = long(freshness_alerts(registry, as_of).groupBy("alert_type").agg(F.count("*").alias("n")), "freshness_alert", c("alert_type"), [("count", c("n"))])
     b = long(count_alerts(registry), "count_alert", c("domain"), [("current_count", c("current_count"))])
     return p.unionByName(d).unionByName(a).unionByName(b)
 
@@ -124,7 +123,7 @@ def start_stage() -> Column:
 
 def stage_dashboard(registry: DataFrame) -> DataFrame:
     """Counts by status and by the stage a dataset is in."""
-    cells = registry.groupBy("status", start_stage().alias("stage")).agg(F.count(N).alias("n"))
+    cells = registry.groupBy("status", start_stage().alias("stage")).agg(F.count("*").alias("n"))
     rows = F.array(F.struct(F.lit("status").alias("group"), F.col("status").alias("name")),
                    F.struct(F.lit("stage").alias("group"), F.col("stage").alias("name")))
     return cells.select(F.explode(rows).alias("x"), "n").groupBy("x.group", "x.name").agg(F.sum("n").alias("count"))
@@ -134,7 +133,7 @@ def final_report(registry: DataFrame) -> DataFrame:
     """Success rate (0..1) and total and mean seconds of the datasets with a start and an end."""
     span = (F.unix_timestamp(to_timestamp(F.coalesce("load_date", "validation_date", "transformation_date")))
             - F.unix_timestamp(to_timestamp(F.col("fetch_date"))))
-    out = registry.agg(F.count(N).alias("total_datasets"), F.count_if(F.col("status") == "completed").alias("success_count"),
+    out = registry.agg(F.count("*").alias("total_datasets"), F.count_if(F.col("status") == "completed").alias("success_count"),
                        F.count_if(F.col("status") == "failed").alias("failed_count"), F.coalesce(F.sum(span), F.lit(0)).alias("total_seconds"))
     return out.select("*", F.coalesce(F.try_divide("success_count", "total_datasets"), F.lit(0.0)).alias("success_rate"),
                       F.coalesce(F.try_divide("total_seconds", "total_datasets"), F.lit(0.0)).alias("mean_seconds"))
@@ -142,7 +141,7 @@ def final_report(registry: DataFrame) -> DataFrame:
 
 def errors_by_message(registry: DataFrame) -> DataFrame:
     failed = registry.filter(F.col("error_message").isNotNull())
-    return failed.groupBy("error_message").agg(F.count(N).alias("datasets"))
+    return failed.groupBy("error_message").agg(F.count("*").alias("datasets"))
 
 
 def failed_datasets(registry: DataFrame) -> DataFrame:
@@ -172,4 +171,4 @@ def next_dataset(registry: DataFrame, threshold: int = 0) -> DataFrame:
 
 
 def inventory_summary(inventory: DataFrame) -> DataFrame:
-    return inventory.agg(F.count(N).alias("total"), *[F.count_if(F.col("status") == s).alias(s) for s in REGISTRY_STATUSES])
+    return inventory.agg(F.count("*").alias("total"), *[F.count_if(F.col("status") == s).alias(s) for s in REGISTRY_STATUSES])

@@ -9,7 +9,6 @@ from statlake.functions import scalars as S
 from statlake.functions.safe import to_timestamp
 from statlake.operators.ranking import exact_percentiles
 
-N = F.lit(1)
 
 
 def _seconds(start: str, end: str) -> Column:
@@ -20,7 +19,7 @@ def lake_summary(registry: DataFrame) -> DataFrame:
     """Datasets, records and estimated bytes per domain."""
     n = F.coalesce(F.sum("record_count"), F.lit(0))
     return registry.groupBy(F.coalesce("domain", F.lit("unknown")).alias("domain")).agg(
-        F.count(N).alias("datasets"), n.alias("records"), (n * rules.BYTES_PER_RECORD).alias("estimated_bytes")).orderBy("domain")
+        F.count("*").alias("datasets"), n.alias("records"), (n * rules.BYTES_PER_RECORD).alias("estimated_bytes")).orderBy("domain")
 
 
 def processing_times(registry: DataFrame) -> DataFrame:
@@ -33,14 +32,14 @@ def processing_times(registry: DataFrame) -> DataFrame:
 
 def success_rates(registry: DataFrame) -> DataFrame:
     return registry.groupBy(F.coalesce("domain", F.lit("unknown")).alias("domain")).agg(
-        (F.count_if(F.col("status") == "completed") / F.count(N) * 100).alias("success_rate"))
+        (F.count_if(F.col("status") == "completed") / F.count("*") * 100).alias("success_rate"))
 
 
 def quality_metrics(registry: DataFrame) -> DataFrame:
     done = F.col("status") == "completed"
     n = F.count_if(done)
     return registry.agg(
-        n.alias("total_validated"), F.coalesce(F.try_divide(n, F.count(N)) * 100, F.lit(0.0)).alias("validation_pass_rate"),
+        n.alias("total_validated"), F.coalesce(F.try_divide(n, F.count("*")) * 100, F.lit(0.0)).alias("validation_pass_rate"),
         F.coalesce(F.try_divide(F.sum(F.when(done, F.coalesce("record_count", F.lit(0)))), n), F.lit(0.0)).alias("average_record_count"))
 
 
@@ -49,7 +48,7 @@ def ingestion_report(registry: DataFrame) -> DataFrame:
     def long(df, section):
         rows = F.array(*[F.struct(F.lit(section).alias("section"), F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in df.columns])
         return df.select(F.inline(rows))
-    counts = registry.agg(F.count(N).alias("total_datasets"), F.count_if(F.col("status") == "completed").alias("successful_datasets"),
+    counts = registry.agg(F.count("*").alias("total_datasets"), F.count_if(F.col("status") == "completed").alias("successful_datasets"),
                           F.count_if(F.col("status") == "failed").alias("failed_datasets"))
     rates = success_rates(registry).select(F.lit("success_rate").alias("section"), F.col("domain").alias("name"), F.col("success_rate").alias("value"))
     return (long(counts, "counts").unionByName(long(processing_times(registry), "seconds")).unionByName(rates)
@@ -59,9 +58,9 @@ def ingestion_report(registry: DataFrame) -> DataFrame:
 def domain_reports(registry: DataFrame) -> DataFrame:
     """Per domain: datasets, records, mean total seconds, quality score 0..100."""
     return registry.groupBy("domain").agg(
-        F.count(N).alias("total_datasets"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
+        F.count("*").alias("total_datasets"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
         F.coalesce(F.avg(_seconds("fetch_date", "load_date")), F.lit(0.0)).alias("average_processing_time"),
-        (F.count_if(F.col("status") == "completed") / F.count(N) * 100).alias("data_quality_score"))
+        (F.count_if(F.col("status") == "completed") / F.count("*") * 100).alias("data_quality_score"))
 
 
 # --- errors --------------------------------------------------------------------------
@@ -74,7 +73,7 @@ def error_summary(log: DataFrame) -> DataFrame:
     def known(c):
         return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown")).alias(c)
     cols = ["stage_name", "dataset_id", "error_type"]
-    cells = log.groupBy(*[known(c) for c in cols]).agg(F.count(N).alias("n"))
+    cells = log.groupBy(*[known(c) for c in cols]).agg(F.count("*").alias("n"))
     rows = F.array(F.struct(F.lit("total").alias("group"), F.lit("errors").alias("name")),
                    *[F.struct(F.lit(c).alias("group"), F.col(c).alias("name")) for c in cols])
     return cells.select(F.explode(rows).alias("x"), "n").groupBy("x.group", "x.name").agg(F.sum("n").alias("count"))
@@ -100,7 +99,7 @@ def retained_failures(gate: DataFrame, raw_root: str, transformed_root: str) ->
 def run_summary(runs: DataFrame) -> DataFrame:
     """Success, failed and skipped datasets, their records and seconds, of a run-result table."""
     s = F.col("status")
-    return runs.agg(F.count(N).alias("total"), F.count_if(s == "success").alias("successful"), F.count_if(s == "failed").alias("failed"),
+    return runs.agg(F.count("*").alias("total"), F.count_if(s == "success").alias("successful"), F.count_if(s == "failed").alias("failed"),
                     F.count_if(s == "skipped").alias("skipped"), F.coalesce(F.sum(F.when(s == "success", F.col("records"))), F.lit(0)).alias("total_records"),
                     F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("total_seconds"))
 

@@ -133,20 +133,20 @@ def search(catalog: DataFrame, queries: list[str], max_results: int = 20, **filt
 
 def suggestions(catalog: DataFrame, queries: list[str], results: DataFrame | None = None, fewer_than: int = 3) -> DataFrame:
     """Other words for queries with few results (all queries if no results are given)."""
-    top = (catalog.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("s"))
+    top = (catalog.groupBy("domain").agg(F.count("*").alias("n"), F.min("seq").alias("s"))
            .orderBy(F.desc("n"), "s").limit(3))
     names = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "s", "domain"))).alias("a"))
     spark = catalog.sparkSession
     rows = spark.createDataFrame(list(enumerate(queries)), "query_id int, query string")
     if results is not None:
-        counts = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"))
+        counts = results.groupBy("query_id").agg(F.count("*").alias("hits"))
         rows = rows.join(counts, "query_id", "left").filter(F.coalesce("hits", F.lit(0)) < fewer_than)
     popular = names.select(F.transform("a", lambda d: d["domain"])).scalar()
     return rows.withColumn("_top", popular).select("query_id", "query", X.suggest(F.col("query"), F.col("_top")).alias("suggestions"))
 
 
 def search_statistics(catalog: DataFrame) -> DataFrame:
-    return catalog.agg(F.count(F.lit(1)).alias("total_datasets"), F.count_if(F.col("ingestion_status") == "success").alias("searchable_datasets"),
+    return catalog.agg(F.count("*").alias("total_datasets"), F.count_if(F.col("ingestion_status") == "success").alias("searchable_datasets"),
                        F.coalesce(F.avg(F.size("keywords")), F.lit(0.0)).alias("avg_keywords_per_dataset"))
 
 

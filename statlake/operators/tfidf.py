@@ -18,13 +18,13 @@ def gram_counts(docs: DataFrame, key: str, text: Column, sizes) -> DataFrame:
     clean = F.regexp_replace(F.lower(text), r"(?U)\s\s+", " ")
     chars = docs.select(key, F.split(clean, "").alias("_c"))
     grams = chars.select(key, F.explode(char_ngrams(F.col("_c"), sizes)).alias("gram"))
-    return grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf"))
+    return grams.groupBy(key, "gram").agg(F.count("*").alias("tf"))
 
 
 def inverse_frequencies(counts: DataFrame, docs: DataFrame) -> DataFrame:
     """One row per n-gram. Document frequency is a map-side count, so a common n-gram costs one row per task."""
-    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    df = counts.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    total = docs.agg(F.count("*").alias("n")).scalar()
+    df = counts.groupBy("gram").agg(F.count("*").alias("df"))
     return df.select("gram", "df", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
@@ -51,9 +51,9 @@ def tfidf_search(docs: DataFrame, key: str, text: Column, query: str, k: int = 1
 def tfidf_keywords(docs: DataFrame, key: str, text: Column, k: int = 10, sizes=(2, 3, 4), features: int = 1000) -> DataFrame:
     """Best n-grams of every document among the ``features`` most frequent n-grams of the corpus."""
     counts = gram_counts(docs, key, text, sizes)
-    vocabulary = (counts.groupBy("gram").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    vocabulary = (counts.groupBy("gram").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
                   .orderBy(F.desc("total"), "gram").limit(features))
-    total = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = docs.agg(F.count("*").alias("n")).scalar()
     idf = vocabulary.select("gram", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     # The vocabulary is bounded by ``features``, so broadcasting it is safe at any scale.
     weighted = counts.join(F.broadcast(idf), "gram").select(key, "gram", (F.col("tf") * F.col("idf")).alias("w"))

@@ -120,14 +120,14 @@ def _catalog_report(name, sql, keys, *aggs):
 
 _domain = lambda: F.col("domain")
 _catalog_report("a16_catalog_by_domain", "SELECT domain, count(*) AS dataset_count, CAST(sum(record_count) AS BIGINT) AS total_records FROM catalog GROUP BY 1",
-                [_domain], lambda: F.count(F.lit(1)).alias("dataset_count"), lambda: F.sum("record_count").alias("total_records"))
+                [_domain], lambda: F.count("*").alias("dataset_count"), lambda: F.sum("record_count").alias("total_records"))
 _catalog_report("a17_catalog_by_creation_year", "SELECT CAST(year(created_at) AS INT) AS year, domain, count(*) AS dataset_count FROM catalog GROUP BY 1, 2",
-                [lambda: F.year("created_at").alias("year"), _domain], lambda: F.count(F.lit(1)).alias("dataset_count"))
+                [lambda: F.year("created_at").alias("year"), _domain], lambda: F.count("*").alias("dataset_count"))
 _catalog_report("a18_missing_time_by_domain", """SELECT domain, count(*) AS total, CAST(sum(CASE WHEN time_range_start IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_time,
- avg(record_count) AS avg_records FROM catalog GROUP BY 1""", [_domain], lambda: F.count(F.lit(1)).alias("total"),
+ avg(record_count) AS avg_records FROM catalog GROUP BY 1""", [_domain], lambda: F.count("*").alias("total"),
                 lambda: F.count_if(F.col("time_range_start").isNull()).alias("missing_time"), lambda: F.avg("record_count").alias("avg_records"))
 _catalog_report("a23_catalog_by_priority", "SELECT domain, priority, count(*) AS count, avg(record_count) AS avg_records FROM catalog GROUP BY 1, 2",
-                [_domain, lambda: F.col("priority")], lambda: F.count(F.lit(1)).alias("count"), lambda: F.avg("record_count").alias("avg_records"))
+                [_domain, lambda: F.col("priority")], lambda: F.count("*").alias("count"), lambda: F.avg("record_count").alias("avg_records"))
 _catalog_report("a24_mean_records_by_domain", "SELECT domain, avg(record_count) AS avg_records FROM catalog GROUP BY 1",
                 [_domain], lambda: F.avg("record_count").alias("avg_records"))
 
@@ -139,7 +139,7 @@ def time_range(spark, sf):
 
 @query("a20_row_count", "obs", "SELECT count(*) AS count FROM obs")
 def row_count(spark, sf):
-    return domain_rows(spark, sf, "health").agg(F.count(F.lit(1)).alias("count"))
+    return domain_rows(spark, sf, "health").agg(F.count("*").alias("count"))
 
 
 @query("a22_column_profile", "obs", " UNION ALL ".join(
@@ -152,7 +152,7 @@ def column_profile(spark, sf):
 
 @query("a25_duplicate_ids", "raw_obs", "SELECT attr_id, count(*) AS count FROM raw_obs GROUP BY 1 HAVING count(*) > 1")
 def duplicate_ids(spark, sf):
-    return V.raw_obs(spark, sf).groupBy("attr_id").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
+    return V.raw_obs(spark, sf).groupBy("attr_id").agg(F.count("*").alias("count")).filter("count > 1")
 
 
 @query("a26_top_regions", "obs", "SELECT region_code, sum(value) AS total_value FROM obs WHERE year = 1998 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
@@ -326,4 +326,4 @@ def domain_counts(spark, sf):
  SELECT year, count(*) AS regions, max(s) AS largest FROM big GROUP BY 1""")
 def common_table(spark, sf):
     big = A.key_totals(domain_rows(spark, sf, "population"), ["year", "region_code"], "s")
-    return big.groupBy("year").agg(F.count(F.lit(1)).alias("regions"), F.max("s").alias("largest"))
+    return big.groupBy("year").agg(F.count("*").alias("regions"), F.max("s").alias("largest"))

@@ -9,7 +9,6 @@ from statlake.operators import catalog as C, infer as I, mapping as M, quality a
 from statlake.session import materialise
 from statlake.sources import landing as L, sinks as W
 
-N = F.lit(1)
 
 
 def open_work(registry: DataFrame) -> DataFrame:
@@ -37,7 +36,7 @@ def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.
 def core_gate(rows: DataFrame, threshold: float = 0.1) -> DataFrame:
     """Failure share on the columns every domain has: a blank region or a missing value fails a row."""
     bad = Q.is_blank(F.col("region_code")) | F.col("value").isNull() | F.col("year").isNull()
-    c = rows.groupBy("dataset_id").agg(F.count(N).alias("total"), F.count_if(bad).alias("failed"))
+    c = rows.groupBy("dataset_id").agg(F.count("*").alias("total"), F.count_if(bad).alias("failed"))
     rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
     return c.select("dataset_id", "total", "failed", rate.alias("failure_rate"), (rate <= threshold).alias("passed"))
 
@@ -55,11 +54,13 @@ def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, ord
     """One dataset under a schema of its own: from metadata if there is any, else from data. Returns the stored rows."""
     spark = raw.sparkSession
     own = raw.filter(F.col("dataset_id") == dataset_id)
-    data = I.schema_from_data(own, order)
-    schema = data if items is None else I.preferred_schema(I.schema_from_metadata(items.filter(F.col("dataset_id") == dataset_id)), data)
-    rows = schema.collect()      # one row per column of one dataset
-    struct = M.dynamic_struct([r.asDict() for r in sorted(rows, key=lambda r: r["position"])])
-    parts = [r["name"] for r in sorted(rows, key=lambda r: r["position"]) if r["is_partition"]]
+    rows = []
+    if items is not None:
+        rows = I.schema_from_metadata(items.filter(F.col("dataset_id") == dataset_id)).collect()
+    rows = rows or I.schema_from_data(own, order).collect()
+    rows.sort(key=lambda r: r["position"])      # one row per column of one dataset
+    struct = M.dynamic_struct([r.asDict() for r in rows])
+    parts = [r["name"] for r in rows if r["is_partition"]]
     typed = M.transform_dynamic(own, struct, dataset_id)
     parts = affordable_partitions(typed, parts)
     W.create_dynamic_table(spark, dataset_id, struct, path, parts, domain, table)

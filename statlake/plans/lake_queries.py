@@ -16,7 +16,6 @@ from statlake.session import scratch_path
 from statlake.sources import landing as L, sinks as W
 from statlake.streaming import incremental as U
 
-N = F.lit(1)
 
 
 def fresh(name: str) -> str:
@@ -138,7 +137,7 @@ def search_summary(spark, sf):
  FROM s JOIN y USING (dataset_id)""")
 def rich_catalog(spark, sf):
     docs = metadata_docs(spark, sf)
-    stats = V.raw_obs(spark, sf).groupBy("dataset_id").agg(F.count(N).alias("record_count"), F.min("attr_time").alias("time_range_start"), F.max("attr_time").alias("time_range_end"))
+    stats = V.raw_obs(spark, sf).groupBy("dataset_id").agg(F.count("*").alias("record_count"), F.min("attr_time").alias("time_range_start"), F.max("attr_time").alias("time_range_end"))
     out = J.build_catalog(I.table_info(docs), I.dimension_items(docs), stats)
     return out.select("dataset_id", "table_name", "title", "domain", F.concat_ws("|", "keywords").alias("keywords"), F.size("dimensions").alias("dimensions"),
                       "start_year", "end_year", "record_count", "time_range_start", "time_range_end")
@@ -227,7 +226,7 @@ def retrieval_plan(spark, sf):
 def chunked(spark, sf):
     """Rows with a chunk number, and the chunk table: every seventh chunk of a dataset failed."""
     raw = raw_columns(spark, sf).withColumn("chunk_num", F.pmod(F.length("attr_id") + F.substring("attr_id", -1, 1).cast("int"), F.lit(5)))
-    counts = raw.groupBy("dataset_id").agg(F.count(N).alias("n"))
+    counts = raw.groupBy("dataset_id").agg(F.count("*").alias("n"))
     d = F.substring("dataset_id", 3, 9).cast("int")
     chunks = counts.select("dataset_id", (F.col("n") + F.when(d % 5 == 0, 1).otherwise(0)).alias("total"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("chunk_num"))
     return raw, chunks.withColumn("ok", (d + F.col("chunk_num")) % 7 != 0)
@@ -284,14 +283,14 @@ def domain_table(spark, sf):
 def time_partitions(spark, sf):
     path = scratch_path(spark, "by_year")
     W.write_typed(W.time_partitioned(raw_columns(spark, sf)), path, ["year"])
-    return spark.read.parquet(path).groupBy("year").agg(F.count(N).alias("n"))
+    return spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
 
 
 @query("s18_partition_decision", "raw_obs", "SELECT false AS partitioned, count(*) AS rows FROM raw_obs")
 def partition_decision(spark, sf):
     path = scratch_path(spark, "decided")
     ok = W.create_from_raw(raw_columns(spark, sf), path)
-    return spark.read.parquet(path).agg(F.lit(ok).alias("partitioned"), F.count(N).alias("rows"))
+    return spark.read.parquet(path).agg(F.lit(ok).alias("partitioned"), F.count("*").alias("rows"))
 
 
 @query("s19_reload", "obs", "SELECT year, count(*) AS n FROM obs WHERE year >= 1999 GROUP BY 1")
@@ -300,7 +299,7 @@ def reload_dataset(spark, sf):
     rows = domain_rows(spark, sf, "generic")
     W.replace_dataset(rows, path)
     W.replace_dataset(rows.filter(F.col("year") >= 1999), path)
-    return spark.read.parquet(path).groupBy("year").agg(F.count(N).alias("n"))
+    return spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
 
 
 @query("s20_catalog_json", "catalog", "SELECT dataset_id, title, array_to_string(keywords, '|') AS keywords, record_count FROM catalog")
@@ -327,7 +326,7 @@ def catalog_csv(spark, sf):
 def error_log_json(spark, sf):
     path = scratch_path(spark, "errors")
     W.append_error_log(V.error_log(spark, sf).select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), "dataset_id", "stage_name", "error_message"), path)
-    return L.read_error_log(spark, path).groupBy("date", "stage_name").agg(F.count(N).alias("n"))
+    return L.read_error_log(spark, path).groupBy("date", "stage_name").agg(F.count("*").alias("n"))
 
 
 @query("s24_report_json", "obs", "SELECT year, count(*) AS n FROM obs GROUP BY 1")
@@ -352,7 +351,7 @@ def file_inventory(spark, sf):
 @query("s28_load_history", "obs", """SELECT 'd' || lpad(CAST(year - 1990 AS VARCHAR), 2, '0') AS domain, count(*) AS record_count, year AS first_year, year AS last_year, CAST(1 AS BIGINT) AS partitions FROM obs GROUP BY year""")
 def load_history(spark, sf):
     path = scratch_path(spark, "audit")
-    rows = domain_rows(spark, sf, "generic").groupBy("year").agg(F.count(N).alias("record_count"))
+    rows = domain_rows(spark, sf, "generic").groupBy("year").agg(F.count("*").alias("record_count"))
     audit = rows.select(F.concat(F.lit("d"), F.lpad((F.col("year") - 1990).cast("string"), 2, "0")).alias("domain"), "record_count", F.col("year").alias("first_year"),
                         F.col("year").alias("last_year"), F.lit(1).cast("bigint").alias("partitions"), F.timestamp_seconds(F.lit(1009756800) + F.col("year")).alias("committed_at"))
     W.append_audit(audit, path)

@@ -48,7 +48,7 @@ def parse_time(spark, sf):
 @query("x02_time_fields", "raw_obs", f"""SELECT time_year, time_quarter, time_sort_key, count(*) AS n
  FROM ({_TIME_SQL}) GROUP BY ALL""")
 def time_fields(spark, sf):
-    return (timed(spark, sf).groupBy("time_year", "time_quarter", "time_sort_key").agg(F.count(F.lit(1)).alias("n")))
+    return (timed(spark, sf).groupBy("time_year", "time_quarter", "time_sort_key").agg(F.count("*").alias("n")))
 
 
 for _name, _where, _cond in [
@@ -93,7 +93,7 @@ def cast_value(spark, sf):
  FROM (SELECT unnest([value, attr_time, attr_area, attr_cat03]) AS v FROM raw_obs)) GROUP BY kind""")
 def scalar_type(spark, sf):
     v = V.raw_obs(spark, sf).select(F.explode(F.array("value", "attr_time", "attr_area", "attr_cat03")).alias("v"))
-    return v.groupBy(S.infer_scalar_type(F.col("v")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return v.groupBy(S.infer_scalar_type(F.col("v")).alias("kind")).agg(F.count("*").alias("n"))
 
 
 @query("x09_normalize_name", "", """SELECT doc_id, CASE WHEN w = '' THEN 'column' ELSE w END AS name FROM (

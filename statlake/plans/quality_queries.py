@@ -19,7 +19,7 @@ KEYS = ["dataset_id", "attr_area", "attr_time", "attr_cat01"]
 def required_columns(spark, sf):
     raw = V.raw_obs(spark, sf)
     missing = Q.missing_columns(raw, ["dataset_id", "attr_time", "attr_cat04", "value"])
-    return raw.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("rows")).withColumn("missing", F.lit(",".join(missing)))
+    return raw.groupBy("dataset_id").agg(F.count("*").alias("rows")).withColumn("missing", F.lit(",".join(missing)))
 
 
 @query("q02_null_check", "raw_obs", " UNION ALL ".join(
@@ -103,7 +103,7 @@ def quality_gate(spark, sf):
 
 
 def _expected(spark, sf):
-    n = F.count(F.lit(1))
+    n = F.count("*")
     return (V.table(spark, sf, "lineitem").groupBy(F.concat(F.lit("ds"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("dataset_id"))
             .agg((n + F.min("l_suppkey") % 2).alias("expected")))
 

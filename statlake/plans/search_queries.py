@@ -54,7 +54,7 @@ def filtered_search(spark, sf):
 
 @query("k06_expand_queries", "", f"WITH {_EXP_SQL} SELECT query_id, query, lower(string_agg(word, '|' ORDER BY word_idx)) AS words, (SELECT count(*) FROM documents) AS documents FROM q GROUP BY 1, 2")
 def expand_queries(spark, sf):
-    total = V.table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
+    total = V.table(spark, sf, "documents").agg(F.count("*")).scalar()
     rows = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, query string")
     return rows.select("query_id", "query", F.lower(F.concat_ws("|", X.expand_query(F.col("query")))).alias("words"), total.alias("documents"))
 
@@ -98,7 +98,7 @@ def suggest_when_few(spark, sf):
     c = V.catalog(spark, sf)
     found = S.search(c, QUERIES)
     few = S.suggestions(c, QUERIES, found)
-    hits = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    hits = found.groupBy("query_id").agg(F.count("*").alias("n"))
     return few.join(hits, "query_id", "left").select("query_id", "query", F.coalesce("n", F.lit(0)).alias("hits"))
 
 
@@ -138,7 +138,7 @@ def english_synonyms(spark, sf):
  FROM catalog doc JOIN catalog c USING (dataset_id), (SELECT count(*) AS n FROM region)""")
 def register_entries(spark, sf):
     c = V.catalog(spark, sf)
-    n = V.table(spark, sf, "region").agg(F.count(F.lit(1))).scalar()
+    n = V.table(spark, sf, "region").agg(F.count("*")).scalar()
     listing = c.select("dataset_id", "title", "description")
     stats = c.select("dataset_id", "time_range_start", "time_range_end").withColumn("record_count", n)
     out = C.catalog_entries(listing, stats, c.select("dataset_id", "column_names"), "api")
@@ -295,7 +295,7 @@ def _tfidf(spark, sf, k):
 @query("k24_tfidf_search", "catalog", _TFIDF_SQL + " SELECT round(s, 6) AS score, count(*) AS datasets FROM r GROUP BY 1")
 def tfidf_search(spark, sf):
     hits = TF.tfidf_search(V.catalog(spark, sf), "dataset_id", _search_text(), "労働力調査", 2 ** 31 - 1)
-    return hits.groupBy(F.round("score", 6).alias("score")).agg(F.count(F.lit(1)).alias("datasets"))
+    return hits.groupBy(F.round("score", 6).alias("score")).agg(F.count("*").alias("datasets"))
 
 
 @query("k25_tfidf_keywords", "catalog", f"""WITH docs AS (SELECT dataset_id AS k, regexp_replace(lower(title || ' ' || description), '[\\s\\x{{0085}}\\x{{00A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]{{2,}}', ' ', 'g') AS t FROM catalog), {_GRAMS}

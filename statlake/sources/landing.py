@@ -10,7 +10,6 @@ from statlake.operators.infer import list_or_one
 from statlake.operators.mapping import rename_raw, split_dimension
 from statlake.schemas import RAW_FIELDS, RAW_SCHEMA
 
-N = F.lit(1)
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -65,7 +64,7 @@ def unwrap_listing(docs: DataFrame, doc: str = "doc") -> DataFrame:
 
 def merge_pages(rows: DataFrame, batch_size: int, page: str = "page") -> DataFrame:
     """Listing rows up to and including the first page that is not full."""
-    pages = rows.groupBy(page).agg(F.count(N).alias("_n"))
+    pages = rows.groupBy(page).agg(F.count("*").alias("_n"))
     end = pages.filter(F.col("_n") < batch_size).agg(F.min(page)).scalar()
     return rows.filter(F.coalesce(F.col(page) <= end, F.lit(True)))
 
@@ -101,7 +100,7 @@ def in_chunk_order(rows: DataFrame, position: str) -> DataFrame:
 
 def completeness_audit(chunk_rows: DataFrame, chunks: DataFrame) -> DataFrame:
     """Per dataset: failed chunks, rows received against the total, and whether it is complete."""
-    got = chunk_rows.groupBy("dataset_id").agg(F.count(N).alias("received"))
+    got = chunk_rows.groupBy("dataset_id").agg(F.count("*").alias("received"))
     want = chunks.groupBy("dataset_id").agg(F.max("total").alias("total"), F.count_if(~F.col("ok")).alias("failed_chunks"))
     j = want.join(got, "dataset_id", "left").select("dataset_id", "total", "failed_chunks", F.coalesce("received", F.lit(0)).alias("received"))
     return j.withColumn("complete", (F.col("failed_chunks") == 0) & (F.col("received") == F.col("total")))

@@ -159,7 +159,7 @@ def show_partitions(spark: SparkSession, table: str) -> DataFrame:
 
 def load_metadata(df: DataFrame, domain: str, loaded_at: Column) -> DataFrame:
     """Audit row of a load: records, first and last partition, time."""
-    return df.agg(F.count(F.lit(1)).alias("record_count"), F.min("year").alias("first_year"), F.max("year").alias("last_year"),
+    return df.agg(F.count("*").alias("record_count"), F.min("year").alias("first_year"), F.max("year").alias("last_year"),
                   F.countDistinct("year").alias("partitions")).select(F.lit(domain).alias("domain"), "*", loaded_at.alias("committed_at"))
 
 
@@ -174,7 +174,7 @@ def load_history(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
 def file_inventory(df: DataFrame) -> DataFrame:
     """Files behind a scan with their size and record count."""
     m = df.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size_in_bytes"))
-    return m.groupBy("file_path", "file_size_in_bytes").agg(F.count(F.lit(1)).alias("record_count"))
+    return m.groupBy("file_path", "file_size_in_bytes").agg(F.count("*").alias("record_count"))
 
 
 # --- documents --------------------------------------------------------------------------------
