@@ -119,8 +119,12 @@ def loose_quarter(c: Column) -> Column:
 def loose_month(c: Column) -> Column:
     """``dddd-dd``, then eight digits, then six; any two digits pass as a month."""
     d = ascii_digits(c)
-    forms = ["[0-9]{4}-([0-9]{2})", "[0-9]{4}([0-9]{2})[0-9]{2}", "[0-9]{4}([0-9]{2})"]
-    return F.coalesce(*[digits_to_int(F.regexp_extract(d, f, 1)) for f in forms], F.lit(0))
+    size = F.length(d)
+
+    def first(pattern, worth_trying):
+        return digits_to_int(F.when(worth_trying, F.regexp_extract(d, pattern, 1)))
+    return F.coalesce(first("[0-9]{4}-([0-9]{2})", d.contains("-")), first("[0-9]{4}([0-9]{2})[0-9]{2}", size >= 8),
+                      first("[0-9]{4}([0-9]{2})", size >= 6), F.lit(0))
 
 
 def year_bounds(start: str | None, end: str | None) -> Column:

@@ -40,19 +40,26 @@ def value_class(v: Column) -> Column:
             .when(F.lower(t).isin("true", "false"), "BOOLEAN").otherwise("STRING"))
 
 
-def voted_types(values: DataFrame) -> DataFrame:
-    """Type of every (dataset, field) by the vote of its first values.
+def field_types(values: DataFrame) -> DataFrame:
+    """(dataset_id, field, type, distinct) from sampled values, in one grouping.
 
-    A single BIGINT decides; INT, DOUBLE and BOOLEAN need more than 80 percent.
+    The first values of a field vote. A single BIGINT decides; INT, DOUBLE and
+    BOOLEAN need more than 80 percent. Groups are bounded by the sample size.
     """
-    voters = top_per_group(values, ["dataset_id", "field"], [F.asc("_pos")], VOTE_VALUES, "_rn")
-    kind = voters.withColumn("kind", value_class(F.col("v")))
+    w = Window.partitionBy("dataset_id", "field").orderBy("_pos")
+    votes = F.col("_rn") <= VOTE_VALUES
+    kind = values.withColumn("_rn", F.row_number().over(w)).withColumn("kind", F.when(votes, value_class(F.col("v"))))
     k = F.col("kind")
-    c = kind.groupBy("dataset_id", "field").agg(F.count("*").alias("n"), *[F.count_if(k == t).alias(t) for t in ("BIGINT", "INT", "DOUBLE", "BOOLEAN")])
+    c = kind.groupBy("dataset_id", "field").agg(
+        F.count(k).alias("n"), F.countDistinct("v").alias("distinct"), *[F.count_if(k == t).alias(t) for t in ("BIGINT", "INT", "DOUBLE", "BOOLEAN")])
     vote = F.when(F.col("BIGINT") > 0, "BIGINT")
     for t in ("INT", "DOUBLE", "BOOLEAN"):
         vote = vote.when(F.col(t) > F.col("n") * VOTE, t)
-    return c.select("dataset_id", "field", vote.otherwise("STRING").alias("type"))
+    return c.select("dataset_id", "field", vote.otherwise("STRING").alias("type"), "distinct")
+
+
+def voted_types(values: DataFrame) -> DataFrame:
+    return field_types(values).select("dataset_id", "field", "type")
 
 
 def _leading(ids: DataFrame) -> DataFrame:
@@ -64,9 +71,7 @@ def _leading(ids: DataFrame) -> DataFrame:
 
 
 def schema_from_data(raw: DataFrame, order: list[str], records: int = 1000) -> DataFrame:
-    values = field_values(sample(raw, order, records))
-    shape = values.groupBy("dataset_id", "field").agg(F.countDistinct("v").alias("distinct"))
-    cols = shape.join(voted_types(values), ["dataset_id", "field"])
+    cols = field_types(field_values(sample(raw, order, records)))
     by_field = Window.partitionBy("dataset_id").orderBy("field")
     name = F.when(F.col("field") == "$", "value").otherwise(S.normalize_field(F.col("field")))
     cols = cols.withColumn("name", name).withColumn("position", F.row_number().over(by_field) + 2)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from statlake.functions import scalars as S, timecode as TC
+from statlake.functions.timecode import computed_once
 from statlake.schemas import DOMAINS, get_domain, spark_type
 
 CRITICAL_COLUMNS = ["value", "year", "region_code"]
@@ -58,21 +59,30 @@ def map_domains(raw: DataFrame, domain: Column) -> DataFrame:
 
     Columns a row's domain does not have stay null, so one scan feeds every table.
     """
-    all_dims: dict[str, Column | None] = {}
-    for d in DOMAINS.values():
-        for c, a in d.dimensions:
-            case = F.when(F.col("domain") == d.name, _attr(raw, a))
-            all_dims[c] = case if all_dims.get(c) is None else F.coalesce(all_dims[c], case)
-    quarter = [d.name for d in DOMAINS.values() if d.period == "quarter"]
-    month = [d.name for d in DOMAINS.values() if d.period == "month"]
     known = F.when(domain.isin(list(DOMAINS)), domain).otherwise("generic")
-    base = raw.withColumn("domain", known)
+    base = computed_once(raw, [known.alias("_domain")])
+    kind = F.col("_domain")
+
+    def of(names):
+        return kind.isin(sorted(names))
+    sources: dict[str, dict[str, list[str]]] = {}
+    for d in DOMAINS.values():
+        for column, attr in d.dimensions:
+            sources.setdefault(column, {}).setdefault(attr, []).append(d.name)
+    dims = []
+    for column, attrs in sources.items():
+        case = None
+        for attr, names in attrs.items():
+            case = F.when(of(names), _attr(raw, attr)) if case is None else case.when(of(names), _attr(raw, attr))
+        dims.append(case.alias(column))
+    periods = {p: [d.name for d in DOMAINS.values() if d.period == p] for p in ("quarter", "month")}
+    time = F.col("attr_time")
     return base.select(
-        "domain", F.coalesce(F.nullif(F.col("dataset_id"), F.lit("")), _attr(raw, "id")).alias("dataset_id"),
-        _attr(raw, "id").alias("stats_data_id"), TC.loose_year(F.col("attr_time")).alias("year"),
-        F.when(F.col("domain").isin(quarter), TC.loose_quarter(F.col("attr_time"))).alias("quarter"),
-        F.when(F.col("domain").isin(month), TC.loose_month(F.col("attr_time"))).alias("month"),
-        _attr(raw, "area").alias("region_code"), *[v.alias(c) for c, v in all_dims.items()],
+        kind.alias("domain"), F.coalesce(F.nullif(F.col("dataset_id"), F.lit("")), _attr(raw, "id")).alias("dataset_id"),
+        _attr(raw, "id").alias("stats_data_id"), TC.loose_year(time).alias("year"),
+        F.when(of(periods["quarter"]), TC.loose_quarter(time)).alias("quarter"),
+        F.when(of(periods["month"]), TC.loose_month(time)).alias("month"),
+        _attr(raw, "area").alias("region_code"), *dims,
         S.parse_value(F.col("value")).alias("value"), _attr(raw, "unit").alias("unit"))
 
 

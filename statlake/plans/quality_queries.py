@@ -15,7 +15,7 @@ from statlake.schemas import DOMAINS, get_schema
 KEYS = ["dataset_id", "attr_area", "attr_time", "attr_cat01"]
 
 
-@query("q01_required_columns")
+@query("q01_required_columns", "raw_obs", "SELECT dataset_id, count(*) AS rows, 'attr_cat04' AS missing FROM raw_obs GROUP BY 1")
 def required_columns(spark, sf):
     raw = V.raw_obs(spark, sf)
     missing = Q.missing_columns(raw, ["dataset_id", "attr_time", "attr_cat04", "value"])

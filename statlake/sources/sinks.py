@@ -14,25 +14,22 @@ CODECS = ("snappy", "zstd", "gzip")
 ROWS_PER_FILE = 5_000_000
 
 
-def spread_for(df: DataFrame, partition_columns: list[str], pieces: int = 1) -> DataFrame:
-    """Shuffle rows by partition value so that each value makes few files.
+def spread_for(df: DataFrame, partition_columns: list[str]) -> DataFrame:
+    """Group rows by partition value before a write, so that each value makes few files.
 
-    ``pieces`` cuts every value into that many hash buckets of the row, which
-    keeps a year with a third of all rows from being one task's work.
+    ``rebalance`` lets the adaptive engine cut a value with most of the rows
+    into advisory-size tasks and merge small ones, by measured sizes.
     """
-    if not partition_columns:
-        return df
-    salt = [F.pmod(F.xxhash64(*df.columns), F.lit(pieces))] if pieces > 1 else []
-    return df.repartition(*partition_columns, *salt)
+    return df.hint("rebalance", *[F.col(c) for c in partition_columns]) if partition_columns else df
 
 
 def write_typed(df: DataFrame, path: str, partition_by: list[str] | None = None, codec: str = "snappy",
-                mode: str = "errorifexists", pieces: int = 16) -> None:
+                mode: str = "errorifexists") -> None:
     """Parquet without the bookkeeping column; integers, doubles and text keep their type."""
     if codec not in CODECS:
         raise ValueError(f"unknown codec {codec}")
     parts = partition_by or []
-    out = spread_for(df.drop("updated_at"), parts, pieces)
+    out = spread_for(df.drop("updated_at"), parts)
     writer = out.write.mode(mode).option("compression", codec).option("maxRecordsPerFile", ROWS_PER_FILE)
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
 
@@ -99,12 +96,12 @@ def create_dynamic_table(spark: SparkSession, dataset_id: str, schema: T.StructT
     return table
 
 
-def insert_rows(df: DataFrame, table: str, pieces: int = 16) -> None:
+def insert_rows(df: DataFrame, table: str) -> None:
     """Append with the table's columns in the table's order; new partitions become visible."""
     target = df.sparkSession.table(table).schema
     parts = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
-    spread_for(rows, parts, pieces).write.insertInto(table)
+    spread_for(rows, parts).write.insertInto(table)
 
 
 def load_parquet(spark: SparkSession, path: str, table: str) -> None:
