@@ -213,14 +213,13 @@ def quality_score(facts: DataFrame, as_of_year: int) -> DataFrame:
     """
     v = F.col("value")
     shape = facts.groupBy("dataset_id").agg(
-        F.count("*").alias("records"), F.count("value").alias("filled"), F.percentile_approx(v, [0.25, 0.75], 10000).alias("q"))
-    years = facts.groupBy("dataset_id", "year").agg(F.count("*").alias("n"))
-    series = years.groupBy("dataset_id").agg(F.count("year").alias("years"), F.min("year").alias("a"), F.max("year").alias("b"))
+        F.count("*").alias("records"), F.count("value").alias("filled"), F.percentile_approx(v, [0.25, 0.75], 10000).alias("q"),
+        F.countDistinct("year").alias("years"), F.min("year").alias("a"), F.max("year").alias("b"))
     fence = shape.select("dataset_id", (F.col("q")[0] - (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("lo"),
                          (F.col("q")[1] + (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("hi"))
     outside = (facts.join(fence, "dataset_id").groupBy("dataset_id")
                .agg(F.count_if((v < F.col("lo")) | (v > F.col("hi"))).alias("outliers")))
-    j = shape.join(series, "dataset_id").join(outside, "dataset_id")
+    j = shape.join(outside, "dataset_id")
     completeness = F.col("filled") / F.col("records")
     continuity = F.col("years") / (F.col("b") - F.col("a") + 1)
     timeliness = F.greatest(F.lit(0.0), F.lit(1.0) - F.greatest(F.lit(as_of_year) - F.col("b"), F.lit(0)) / 10.0)

@@ -319,9 +319,9 @@ def code_and_label(spark, sf):
     return out.select(F.col("attr_id").alias("stats_data_id"), "row_seq", "attr_area", "region_name")
 
 
-@query("p21_lineage_columns", "obs", """SELECT dataset_id, year, value, TIMESTAMP '2001-12-31 00:00:00' AS ingested_at, 'v1' AS source_version, 'getStatsData' AS endpoint FROM obs""")
+@query("p21_lineage_columns", "obs", """SELECT dataset_id, year, value, TIMESTAMP '2001-12-31 00:00:00' AS ingested_at, 'v1' AS source_version, 'api/data' AS endpoint FROM obs""")
 def lineage_columns(spark, sf):
-    out = M.with_lineage(domain_rows(spark, sf, "generic"), "v1", "getStatsData", F.lit("2001-12-31 00:00:00").cast("timestamp"))
+    out = M.with_lineage(domain_rows(spark, sf, "generic"), "v1", "api/data", F.lit("2001-12-31 00:00:00").cast("timestamp"))
     return out.select("dataset_id", "year", "value", "ingested_at", "source_version", "endpoint")
 
 

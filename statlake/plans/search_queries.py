@@ -52,11 +52,12 @@ def filtered_search(spark, sf):
                             tags=["official"]).select("dataset_id", "score")
 
 
-@query("k06_expand_queries", "", f"WITH {_EXP_SQL} SELECT query_id, query, lower(string_agg(word, '|' ORDER BY word_idx)) AS words, (SELECT count(*) FROM documents) AS documents FROM q GROUP BY 1, 2")
+@query("k06_expand_queries", "listing", """SELECT id, array_to_string(list_sort(list_distinct([title] || list_filter(string_split(title, ' '), lambda t: length(t) >= 2)
+  || CASE WHEN contains(title, '人口') THEN ['人口', '世帯', '国勢調査', 'population'] ELSE [] END || CASE WHEN contains(title, '労働') THEN ['労働', '雇用', '就業', '失業', 'labor', 'employment'] ELSE [] END
+  || CASE WHEN contains(title, '経済') THEN ['経済', 'GDP', '景気', 'economy'] ELSE [] END || CASE WHEN contains(title, '医療') THEN ['医療', '健康', '病院', 'health'] ELSE [] END
+  || CASE WHEN contains(title, '農業') THEN ['農業', '農家', 'agriculture'] ELSE [] END || CASE WHEN contains(title, '商業') THEN ['商業', '小売', 'commerce'] ELSE [] END)), '|') AS words FROM listing""")
 def expand_queries(spark, sf):
-    total = V.table(spark, sf, "documents").agg(F.count("*")).scalar()
-    rows = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, query string")
-    return rows.select("query_id", "query", F.lower(F.concat_ws("|", X.expand_query(F.col("query")))).alias("words"), total.alias("documents"))
+    return V.listing(spark, sf).select("id", F.concat_ws("|", F.array_sort(X.expand_query(F.col("title")))).alias("words"))
 
 
 _HITS = f"""{_EXP_SQL}, m AS (SELECT q.query_id, q.query, q.word_idx, q.word, c.* FROM q JOIN catalog c ON ingestion_status = 'success' AND {_MATCH}
