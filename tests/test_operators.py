@@ -92,6 +92,18 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("n", [60, 600, 1500])
+def test_top_per_group_in_pieces(spark, n):
+    rows, df = skewed(spark, 6000)
+    out = R.top_per_group(df, ["k"], [F.desc("v"), F.asc("i")], n)
+    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 4
+    want = {}
+    for k, i, _, v in sorted(rows, key=lambda r: (-r[3], r[1])):
+        want.setdefault(k, []).append(i)
+    assert sorted(r["i"] for r in out.collect()) == sorted(i for v in want.values() for i in v[:n])
+    assert out.columns == ["k", "i", "g", "v", "rn"]
+
+
 def test_lag_by_blocks(spark):
     rows, df = skewed(spark, 1500)
     out = R.lag_by_blocks(df, "k", ["g", "i"], F.floor(F.col("g") / 10), "v", "prev")
