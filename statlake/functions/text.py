@@ -109,16 +109,10 @@ def suggest(query: Column, top_domains: Column) -> Column:
     return F.slice(F.array_distinct(words), 1, 5)
 
 
-def char_ngrams(chars: Column, sizes) -> Column:
-    """Character n-grams from an array of characters (``F.split(text, "")``).
+def char_ngrams(c: Column, sizes) -> Column:
+    """Character n-grams of the whole text, one array element per occurrence.
 
-    Pass a materialised column: indexing an array is constant time, whereas
-    ``substring`` would walk the text from its start for every n-gram.
+    One pass per size: an empty match with a look-ahead at every character. The
+    first look-ahead skips the second half of characters beyond the basic plane.
     """
-    count = F.size(chars)
-
-    def of_size(n: int) -> Column:
-        return F.transform(F.slice(chars, F.lit(1), F.greatest(count - (n - 1), F.lit(0))),
-                           lambda ch, i: F.concat(ch, *[F.get(chars, i + k) for k in range(1, n)]))
-    parts = [of_size(n) for n in sizes]
-    return F.concat(*parts)
+    return F.concat(*[F.regexp_extract_all(c, F.lit(r"(?s)(?!\p{Cs})(?=(.{%d}))" % n), F.lit(1)) for n in sizes])

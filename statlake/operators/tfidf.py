@@ -16,8 +16,7 @@ from statlake.operators.ranking import top_per_group
 def gram_counts(docs: DataFrame, key: str, text: Column, sizes) -> DataFrame:
     """(key, gram, tf) over whole lower-cased texts; runs of white space count as one blank."""
     clean = F.regexp_replace(F.lower(text), r"(?U)\s\s+", " ")
-    chars = docs.select(key, F.split(clean, "").alias("_c"))
-    grams = chars.select(key, F.explode(char_ngrams(F.col("_c"), sizes)).alias("gram"))
+    grams = docs.select(key, clean.alias("_t")).select(key, F.explode(char_ngrams(F.col("_t"), sizes)).alias("gram"))
     return grams.groupBy(key, "gram").agg(F.count("*").alias("tf"))
 
 

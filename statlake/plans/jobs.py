@@ -27,7 +27,7 @@ def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.
     staged = materialise(mapped, "staged")
     gate = materialise(core_gate(staged, threshold), "gate")
     passed = gate.filter("passed").select("dataset_id")
-    W.write_typed(staged.join(passed, "dataset_id", "left_semi"), path, ["domain", "year"])
+    W.write_typed(staged.join(passed, "dataset_id", "left_semi"), path, ["domain", "year"], mode="append")
     done = work.join(gate, "dataset_id", "left")
     return done.select("dataset_id", "domain", F.when(F.col("passed"), "success").when(F.col("total").isNull(), "skipped").otherwise("failed").alias("status"),
                        F.coalesce(F.when(F.col("passed"), F.col("total")), F.lit(0)).alias("records"))
@@ -79,7 +79,7 @@ def affordable_partitions(rows: DataFrame, columns: list[str], limit: int = 100)
 
 def priority_build(chunk_rows: DataFrame, chunks: DataFrame, path: str) -> DataFrame:
     """Complete datasets to a year-partitioned lake folder; returns the completeness audit."""
-    W.write_typed(W.time_partitioned(L.merge_chunks_strict(chunk_rows, chunks)), path, ["year"])
+    W.write_typed(W.time_partitioned(L.merge_chunks_strict(chunk_rows, chunks)), path, ["year"], mode="append")
     return L.completeness_audit(chunk_rows, chunks)
 
 

@@ -31,6 +31,7 @@ def write_typed(df: DataFrame, path: str, partition_by: list[str] | None = None,
     parts = partition_by or []
     out = spread_for(df.drop("updated_at"), parts)
     writer = out.write.mode(mode).option("compression", codec).option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer = writer.option("partitionOverwriteMode", "static")      # an overwrite replaces the whole folder
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
 
 
@@ -114,6 +115,12 @@ def replace_dataset(df: DataFrame, path: str, partition_by: list[str] | None = N
     write_typed(df, path, partition_by, mode="overwrite")
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Overwrite only the partitions that occur in ``df``."""
+    (spread_for(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def register_datasets(rows: DataFrame, table: str) -> DataFrame:
     """Insert inventory rows whose required fields are filled; returns the rejected rows."""
     ok = F.lit(True)

@@ -107,6 +107,6 @@ def test_keywords(spark):
 
 
 def test_char_ngrams(spark):
-    df = spark.createDataFrame([("人口x",), ("a",), ("",)], "t string").withColumn("c", F.split("t", ""))
-    got = [sorted(r[0]) for r in df.select(X.char_ngrams(F.col("c"), (2, 3))).collect()]
-    assert got == [["人口", "人口x", "口x"], [], []]
+    df = spark.createDataFrame([("人口x",), ("a",), ("",), ("a😀b\n",)], "t string")
+    got = [sorted(r[0]) for r in df.select(X.char_ngrams(F.col("t"), (2, 3))).collect()]
+    assert got == [["人口", "人口x", "口x"], [], [], sorted(["a😀", "😀b", "b\n", "a😀b", "😀b\n"])]

@@ -115,3 +115,29 @@ def test_partition_decision(spark, tmp_path):
     assert W.create_from_raw(ok, str(tmp_path / "y")) is True
     assert W.create_from_raw(ok.unionAll(spark.createDataFrame([("3", "99", "1")], ok.schema)), str(tmp_path / "n")) is False
     assert "year" in spark.read.parquet(str(tmp_path / "y")).columns and "year" not in spark.read.parquet(str(tmp_path / "n")).columns
+
+
+def test_reload_replaces_the_folder_and_partitions_can_be_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "r")
+    df = spark.createDataFrame([("a", 2020, 1.0), ("b", 2021, 2.0)], "k string, year int, value double")
+    W.replace_dataset(df, path, ["year"])
+    W.replace_partitions(df.filter("year = 2021").withColumn("value", F.lit(9.0)), path, ["year"])
+    assert {(r["k"], r["value"]) for r in spark.read.parquet(path).collect()} == {("a", 1.0), ("b", 9.0)}
+    W.replace_dataset(df.filter("year = 2020"), path, ["year"])
+    assert [r["k"] for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_ingest_twice_appends_open_work_only(spark, tmp_path):
+    from statlake.plans import jobs as J
+    raw = spark.createDataFrame([("d1", "1", "2020", "01", "5"), ("d2", "2", "2021", "", "6"), ("d3", "3", "2021", "02", "7")],
+                                "dataset_id string, attr_id string, attr_time string, attr_area string, value string")
+    reg = spark.createDataFrame([("d1", "labor", None), ("d2", "trade", None), ("d3", "generic", "2020-01-01"), ("d4", "labor", None)],
+                                "dataset_id string, domain string, load_date string")
+    for c in ("fetch_date", "transformation_date", "validation_date"):
+        reg = reg.withColumn(c, F.lit(None).cast("string"))
+    path = str(tmp_path / "lake")
+    out = {r["dataset_id"]: r["status"] for r in J.ingest(raw, reg, path, 0.1).collect()}
+    assert out == {"d1": "success", "d2": "failed", "d4": "skipped"}
+    J.ingest(raw, reg.filter("dataset_id = 'd2'"), path, 1.0)
+    rows = {(r["dataset_id"], r["domain"], r["year"]) for r in spark.read.parquet(path).collect()}
+    assert rows == {("d1", "labor", 2020), ("d2", "trade", 2021)}
