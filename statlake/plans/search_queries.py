@@ -144,7 +144,7 @@ def register_entries(spark, sf):
     stats = c.select("dataset_id", "time_range_start", "time_range_end").withColumn("record_count", n)
     out = C.catalog_entries(listing, stats, c.select("dataset_id", "column_names"), "api")
     return out.select("dataset_id", "title", "table_name", V.pick(F.substring("dataset_id", 4, 9).cast("int") % 15, [d for _, d in V.TITLES]).alias("domain"),
-                      "record_count", F.size("column_names").alias("columns"), F.size("keywords").alias("keywords"))
+                      "record_count", F.size("column_names").cast("bigint").alias("columns"), F.size("keywords").cast("bigint").alias("keywords"))
 
 
 @query("k02_extended_entries", "catalog raw_obs", """SELECT dataset_id, title, 'year' AS partition_fields, 0::BIGINT AS null_value, CASE WHEN priority = 1 THEN 'failed' ELSE 'success' END AS ingestion_status FROM catalog""")

@@ -73,7 +73,7 @@ def chunk_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_record
     """(dataset_id, total) to one row per chunk with its first record number (from 1)."""
     n = F.ceil(F.least(F.col("total"), F.lit(max_records)) / chunk_size).cast("int")
     chunks = totals.filter(n > 0).select("dataset_id", "total", n.alias("num_chunks"), F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_num"))
-    return chunks.withColumn("start_position", F.col("chunk_num") * chunk_size + 1)
+    return chunks.withColumn("start_position", F.col("chunk_num").cast("bigint") * chunk_size + 1)
 
 
 def retrieval_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_records: int = rules.MAX_RECORDS) -> DataFrame:
