@@ -13,7 +13,11 @@ from statlake.schemas import RAW_FIELDS, RAW_SCHEMA
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Landed records as all-text rows. A file holds an array or one object; JSON lines split better."""
+    """Landed records as all-text rows. A file holds an array or one object.
+
+    Pass ``multi_line=False`` for JSON lines: they split across tasks, and in
+    multi-line mode only the first record of such a file would be read.
+    """
     return rename_raw(spark.read.schema(RAW_SCHEMA).json(path, multiLine=multi_line))
 
 
