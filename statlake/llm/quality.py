@@ -2,9 +2,10 @@
 
 Positives are labelled good documents, the unlabelled ones are all documents. With the
 logistic loss the risk of the negatives is the unlabelled risk less the positives'
-share of it, by the class prior; a model that drives it below zero overfits, so steps
-then go back up that risk (the non-negative estimator). The prior is the share of good
-documents among the labelled rows that may be learned from.
+share of it, by the class prior; a model that drives it below zero overfits, so it
+counts as zero at least and no step is taken that brings it below (the non-negative
+estimator). The prior is the share of good documents among the labelled rows that may
+be learned from.
 
 A document is a short vector of shares (kinds of characters, repeated words and lines,
 lengths of words) with two bends each. Means and spreads, and every gradient, are sums
@@ -31,7 +32,7 @@ from statlake.llm.decontamination import AT_ONCE, tokens
 from statlake.llm.toxicity import held_out
 from statlake.session import materialise
 
-ROUNDS, RIDGE, BACK = 25, 1e-3, 0.5
+PASSES, RIDGE = 24, 5.0
 
 _KINDS = ["upper", "lower", "digit", "space", "line", "bang", "pipe", "sign", "stop", "other", "wide"]
 _KIND = np.full(256, 9, dtype=np.int64)
@@ -142,10 +143,12 @@ class Model:
         return _sigmoid(((x - self.mean) / self.scale) @ self.weights)
 
 
-def fit(rows: DataFrame, prior: float, rounds: int = ROUNDS, ridge: float = RIDGE) -> Model | None:
-    """Newton steps on the risk of ``rows`` (``f, positive``), or back up the negatives' risk where it is below zero.
+def fit(rows: DataFrame, prior: float, passes: int = PASSES, ridge: float = RIDGE) -> Model | None:
+    """Newton steps on the risk of ``rows`` (``f, positive``), none of which takes the negatives' risk below zero.
 
-    None if there are no rows or no positives.
+    A step that would, or that does not lower the risk, is halved; so the fit ends at the
+    least risk or where the negatives' risk is used up. The ridge is that of a prior on
+    the weights: its share falls as positives grow. None if there are no rows or no positives.
     """
     moments = _sums(rows, lambda x, p: np.concatenate([[len(x), p.sum()], x.sum(axis=0), (x * x).sum(axis=0)]))
     if moments is None or moments[1] == 0:
@@ -156,30 +159,39 @@ def fit(rows: DataFrame, prior: float, rounds: int = ROUNDS, ridge: float = RIDG
     scale = np.sqrt(np.maximum(moments[2 + d:] / n - mean ** 2, 0))
     scale[scale < 1e-9] = 1.0
     mean[0], scale[0] = 0.0, 1.0                          # the constant
-    w = np.zeros(d)
-    w[0] = np.log(prior / (1 - prior))
-    penalty = np.full(d, ridge)
+    penalty = np.full(d, ridge / positives)
     penalty[0] = 0.0
-    for _ in range(rounds):
-        def sums(x, p, w=w):
+
+    def risks(w: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """Risk of the negatives, whole risk, its gradient and curvature."""
+        def sums(x, p):
             x = (x - mean) / scale
             z = x @ w
-            s, loss = _sigmoid(z), np.logaddexp(0, z)
-            return np.concatenate([[loss.sum(), loss[p].sum()], s @ x, s[p] @ x[p], x[p].sum(axis=0), ((x * (s * (1 - s))[:, None]).T @ x).ravel()])
+            s = _sigmoid(z)
+            return np.concatenate([[np.logaddexp(0, z).sum(), np.logaddexp(0, z[p]).sum(), np.logaddexp(0, -z[p]).sum()],
+                                   s @ x, x[p].sum(axis=0), ((x * (s * (1 - s))[:, None]).T @ x).ravel()])
 
         total = _sums(rows, sums)
-        negative_risk = total[0] / n - prior * total[1] / positives
-        up, up_p, mean_p = total[2:2 + d] / n, total[2 + d:2 + 2 * d] / positives, total[2 + 2 * d:2 + 3 * d] / positives
-        if negative_risk < 0:
-            w = w + BACK * (up - prior * up_p)
-            continue
-        gradient = up - prior * mean_p + penalty * w
-        curve = total[2 + 3 * d:].reshape(d, d) / n + np.diag(penalty + 1e-9)
+        negative = total[0] / n - prior * total[1] / positives
+        risk = prior * total[2] / positives + max(negative, 0.0) + 0.5 * (penalty * w * w).sum()
+        gradient = total[3:3 + d] / n - prior * total[3 + d:3 + 2 * d] / positives + penalty * w
+        return negative, risk, gradient, total[3 + 2 * d:].reshape(d, d) / n + np.diag(penalty + 1e-9)
+
+    w = np.zeros(d)
+    w[0] = np.log(prior / (1 - prior))
+    _, risk, gradient, curve = risks(w)
+    share = 1.0
+    for _ in range(passes):
         step = np.linalg.solve(curve, gradient)
         longest = np.abs(step).max()
-        w = w - step * min(1.0, 2.0 / max(longest, 1e-12))
-        if longest < 1e-4:
+        if longest * share < 1e-3:
             break
+        tried = w - share * step * min(1.0, 2.0 / longest)
+        negative, new_risk, new_gradient, new_curve = risks(tried)
+        if negative < 0 or new_risk > risk:
+            share /= 2
+        else:
+            w, risk, gradient, curve, share = tried, new_risk, new_gradient, new_curve, min(1.0, share * 2)
     return Model(mean, scale, w)
 
 

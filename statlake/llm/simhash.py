@@ -120,7 +120,7 @@ def _reach(fps: np.ndarray, stored: np.ndarray, radius: int) -> tuple[np.ndarray
                 found[1].append(fps[hit])
                 queue.extend(hit.tolist())
                 left = left[~near]
-    none = np.empty(0, np.int64)
+    none = np.empty(0, np.uint64)
     return (np.concatenate(found[0]), np.concatenate(found[1])) if found[0] else (none, none)
 
 
@@ -154,11 +154,11 @@ def links(fps: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, chunk: in
         def emit(table):
             order = np.cumsum(np.concatenate([[False], (table["key"][1:] != table["key"][:-1]) | (table["part"][1:] != table["part"][:-1])]))
             a, b = _links_of(order, table["fp"], table["stored"], radius)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         held = None
         for batch in batches:
-            new = {"key": batch.column(0).to_numpy(), "part": batch.column(1).to_numpy(), "fp": batch.column(2).to_numpy(),
+            new = {"key": batch.column(0).to_numpy(), "part": batch.column(1).to_numpy(), "fp": batch.column(2).to_numpy().view(np.uint64),        # bits of signed numbers are counted otherwise
                    "stored": batch.column(3).to_numpy(zero_copy_only=False)}
             if not len(new["key"]):
                 continue

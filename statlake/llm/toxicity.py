@@ -57,7 +57,7 @@ _TABLE = {ord(k): v for k, v in {**LOOK_ALIKES, **DIGITS}.items()}
 _TABLE |= {ord("i"): "l", ord("і"): "l", ord("ι"): "l", ord("ı"): "l"}
 _TABLE |= {c: None for c in [*range(0x300, 0x370), 0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF]}
 _ASCII_TABLE = str.maketrans({k: v for k, v in {**DIGITS, "i": "l"}.items()})
-_SIGN = re.compile(r"(?<=\w)[@$!|](?=\w)|(?<!\S)[@$](?=\w)")
+_SIGN = re.compile(r"(?<=[\w@$!|])[@$!|](?=[@$!|]*\w)|(?<!\S)[@$](?=[@$!|]*\w)")
 _WORD = re.compile(r"[^\W_]+")
 
 
