@@ -230,7 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, t
     covered = (spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reached)))
                .groupBy("key").agg(F.sum("new").alias("n_hit")))
     items = met.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    by_text = covered.join(items, "key")
+    by_text = materialise(covered.join(items, "key"), "contaminated-texts")      # a plain side: the join can split a text of many rows
     return read.select("id", "key", "n_words").join(by_text, "key", "left").select(
         F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
