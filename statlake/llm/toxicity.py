@@ -30,7 +30,6 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statlake.llm.common import text_of
@@ -119,8 +118,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     """``text, toxic``: equal texts once; at most ``sample`` ids of either class are joined."""
     known = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id"), 5, 0))
              .groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max("toxic").alias("toxic")))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("l_id"), "l_id")
-    chosen = known.withColumn("nr", F.row_number().over(order)).filter(F.col("nr") <= sample).select("l_id", "toxic")
+    known = materialise(known, "toxic-labels")
+    some = [known.filter(of_class).orderBy(F.xxhash64("l_id"), "l_id").limit(sample) for of_class in ("toxic > 0", "toxic <= 0")]
+    chosen = some[0].union(some[1])
     text = text_of("text")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
     return materialise(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-sample")
