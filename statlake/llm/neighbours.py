@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from statlake.session import materialise
 
-BLOCK, QUERY_BLOCK, GROUP_BLOCKS = 4096, 256, 16
+BLOCK, QUERY_BLOCK, GROUP_BLOCKS = 1024, 256, 4
+#: Most tasks that pairs of blocks are dealt to; beyond, a task has several groups.
+MOST_TASKS = 4096
 QUERY_BITS = 4
 #: Error bound in standard deviations of the estimate.
 CONFIDENCE = 3.5
@@ -157,7 +159,9 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     queries = materialise(packed(queries.repartition(F.pmod("mix", F.lit(1 << 10))), QUERY_BLOCK, False), "query-blocks")
     sent = queries.select("dims", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"))
-    pairs = candidates.join(sent.hint("shuffle_merge"), ["dims", "group"])
+    # Blocks are few and small beside the work they make, so the number of tasks is set, not found from their size.
+    tasks = min(groups, MOST_TASKS)
+    pairs = candidates.repartition(tasks, "dims", "group").join(sent.repartition(tasks, "dims", "group").hint("shuffle_merge"), ["dims", "group"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
