@@ -219,7 +219,8 @@ def grouped(docs: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, text:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, text: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` of each row."""
     rows = materialise(grouped(docs, radius, count, text), "grouped-rows")
-    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join has a plain side and can split a component that many rows share.
+    ids = materialise(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return rows.join(ids, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
