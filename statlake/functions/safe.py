@@ -18,7 +18,9 @@ def digits_to_int(c: Column) -> Column:
 
 
 def to_int(c: Column) -> Column:
-    return F.when(c.rlike("^[+-]?[0-9]{1,9}$"), c).cast("int")
+    """Int of a plain integer in range, else null."""
+    n = F.when(c.rlike("^[+-]?[0-9]{1,10}$"), c).cast("bigint")
+    return F.when(n.between(-2147483648, 2147483647), n).cast("int")
 
 
 def to_double(c: Column) -> Column:
@@ -37,7 +39,10 @@ def double_to_int(n: Column) -> Column:
 def to_bigint(c: Column, n: Column) -> Column:
     """Exact for plain integers, through the double value otherwise."""
     whole = F.when(c.rlike("^[+-]?[0-9]{1,18}$"), c).cast("bigint")
-    return F.coalesce(whole, F.when(F.abs(n) < 9.2e18, n).cast("bigint"))
+    wide = F.when(c.rlike("^[+-]?[0-9]{19,38}$"), c).cast("decimal(38,0)")
+    in_range = wide.between(F.lit("-9223372036854775808").cast("decimal(38,0)"), F.lit("9223372036854775807").cast("decimal(38,0)"))
+    other = F.when(~c.rlike("^[+-]?[0-9]+$") & (F.abs(n) < 9.2e18), n).cast("bigint")
+    return F.coalesce(whole, F.when(in_range, wide).cast("bigint"), other)
 
 
 def to_timestamp(c: Column) -> Column:

@@ -115,10 +115,10 @@ def select_for_domains(listing: DataFrame, n: int = 3) -> DataFrame:
 
 
 def selection_candidates(listing: DataFrame, per_domain: int = 20, **criteria) -> DataFrame:
-    """First listing rows of every domain with their candidate score."""
-    hits = top_per_group(datasets_by_domain_words(listing), ["domain"], [F.asc("seq")], per_domain)
+    """The listing rows of every domain with the highest candidate scores, all rows being scored."""
     score = S.candidate_score(F.col("title"), F.col("description"), F.col("record_count"), **criteria)
-    return hits.select(F.col("id").alias("dataset_id"), "domain", "domain_seq", score.alias("priority"), "seq")
+    hits = datasets_by_domain_words(listing).select(F.col("id").alias("dataset_id"), "domain", "domain_seq", score.alias("priority"), "seq")
+    return top_per_group(hits, ["domain"], [F.desc("priority"), F.asc("seq")], per_domain).select(*hits.columns)
 
 
 def preview(table: DataFrame, filters: dict[str, object], limit: int = 1000) -> DataFrame:

@@ -11,67 +11,62 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from statlake import rules
 from statlake.functions import scalars as S
 from statlake.functions.safe import digits_to_int
-from statlake.operators.ranking import top_per_group
 
 COLUMNS = ["dataset_id", "position", "name", "type", "nullable", "source_field", "description", "is_partition"]
 INT_MAX = 2147483647
-VOTE = 0.8            # fixed value: share a type needs to win the vote
-VOTE_VALUES = 100     # fixed value: values that vote
 
 
-def sample(raw: DataFrame, order: list[str], records: int = 1000) -> DataFrame:
-    """First records of every dataset by a stable order."""
-    return top_per_group(raw, ["dataset_id"], [F.asc(c) for c in order], records, "_pos")
-
-
-def field_values(rows: DataFrame) -> DataFrame:
-    """(dataset_id, field, _pos, v) of the non-null fields of sampled rows."""
-    attrs = [c for c in rows.columns if c.startswith("attr_") or c == "value"]
+def field_values(raw: DataFrame) -> DataFrame:
+    """(dataset_id, field, v): the distinct non-null values of all records, folded before they are shuffled."""
+    attrs = [c for c in raw.columns if c.startswith("attr_") or c == "value"]
     pairs = F.explode(F.array(*[F.struct(F.lit("$" if c == "value" else "@" + c[5:]).alias("field"), F.col(c).alias("v")) for c in attrs]))
-    return rows.select("dataset_id", "_pos", pairs.alias("p")).select("dataset_id", "_pos", "p.*").filter(F.col("v").isNotNull())
+    return raw.select("dataset_id", pairs.alias("p")).select("dataset_id", "p.*").filter(F.col("v").isNotNull()).distinct()
 
 
 def value_class(v: Column) -> Column:
+    """Narrowest type that holds the text; integers beyond 18 digits stay text."""
     t = F.trim(v)
-    whole = t.rlike("^-?[0-9]+$")
-    number = F.when(whole, t).cast("double")
-    return (F.when(whole, F.when(number.between(-INT_MAX - 1, INT_MAX), "INT").otherwise("BIGINT"))
+    number = F.when(t.rlike("^-?[0-9]{1,18}$"), t).cast("bigint")
+    return (F.when(number.isNotNull(), F.when(number.between(-INT_MAX - 1, INT_MAX), "INT").otherwise("BIGINT"))
             .when(t.rlike(r"^-?[0-9]+[.][0-9]+$"), "DOUBLE")
             .when(F.lower(t).isin("true", "false"), "BOOLEAN").otherwise("STRING"))
 
 
 def field_types(values: DataFrame) -> DataFrame:
-    """(dataset_id, field, type, distinct) from sampled values, in one grouping.
-
-    The first values of a field vote. A single BIGINT decides; INT, DOUBLE and
-    BOOLEAN need more than 80 percent. Groups are bounded by the sample size.
-    """
-    w = Window.partitionBy("dataset_id", "field").orderBy("_pos")
-    votes = F.col("_rn") <= VOTE_VALUES
-    kind = values.withColumn("_rn", F.row_number().over(w)).withColumn("kind", F.when(votes, value_class(F.col("v"))))
+    """(dataset_id, field, type, distinct): the narrowest type that holds every value of a field, so none is lost on load."""
+    kind = values.withColumn("kind", value_class(F.col("v")))
     k = F.col("kind")
-    c = kind.groupBy("dataset_id", "field").agg(
-        F.count(k).alias("n"), F.countDistinct("v").alias("distinct"), *[F.count_if(k == t).alias(t) for t in ("BIGINT", "INT", "DOUBLE", "BOOLEAN")])
-    vote = F.when(F.col("BIGINT") > 0, "BIGINT")
-    for t in ("INT", "DOUBLE", "BOOLEAN"):
-        vote = vote.when(F.col(t) > F.col("n") * VOTE, t)
-    return c.select("dataset_id", "field", vote.otherwise("STRING").alias("type"), "distinct")
+    c = kind.groupBy("dataset_id", "field").agg(F.count("*").alias("distinct"), *[F.count_if(k == t).alias(t) for t in ("INT", "BIGINT", "DOUBLE", "BOOLEAN")])
+    n = F.col("distinct")
+    fits = (F.when(F.col("INT") == n, "INT").when(F.col("INT") + F.col("BIGINT") == n, "BIGINT")
+            .when(F.col("INT") + F.col("BIGINT") + F.col("DOUBLE") == n, "DOUBLE").when(F.col("BOOLEAN") == n, "BOOLEAN"))
+    return c.select("dataset_id", "field", fits.otherwise("STRING").alias("type"), "distinct")
 
 
 def voted_types(values: DataFrame) -> DataFrame:
     return field_types(values).select("dataset_id", "field", "type")
 
 
-def _leading(ids: DataFrame) -> DataFrame:
+_LEADING = ((1, "dataset_id", "データセットID"), (2, "record_id", "レコードID"))
+
+
+def _leading() -> list[Column]:
     """The two columns every dynamic schema starts with."""
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), F.lit("STRING").alias("type"), F.lit(False).alias("nullable"),
-                              F.lit(None).cast("string").alias("source_field"), F.lit(d).alias("description"), F.lit(False).alias("is_partition"))
-                     for i, n, d in ((1, "dataset_id", "データセットID"), (2, "record_id", "レコードID"))])
-    return ids.select("dataset_id", F.inline(rows))
+    return [F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), F.lit("STRING").alias("type"), F.lit(False).alias("nullable"),
+                     F.lit(None).cast("string").alias("source_field"), F.lit(d).alias("description"), F.lit(False).alias("is_partition"))
+            for i, n, d in _LEADING]
+
 
+def with_leading(columns: DataFrame) -> DataFrame:
+    """The first column of each dataset (position 3) brings the leading ones along, so nothing is evaluated twice."""
+    own = F.struct(*COLUMNS[1:])
+    rows = F.when(F.col("position") == 3, F.array(*_leading(), own)).otherwise(F.array(own))
+    return columns.select("dataset_id", F.inline(rows)).select(*COLUMNS)
 
-def schema_from_data(raw: DataFrame, order: list[str], records: int = 1000) -> DataFrame:
-    cols = field_types(field_values(sample(raw, order, records)))
+
+def schema_from_data(raw: DataFrame, area_as_text: bool = True) -> DataFrame:
+    """One column per field, typed over all values. Area codes keep their leading zeros unless ``area_as_text`` is off."""
+    cols = field_types(field_values(raw))
     by_field = Window.partitionBy("dataset_id").orderBy("field")
     name = F.when(F.col("field") == "$", "value").otherwise(S.normalize_field(F.col("field")))
     cols = cols.withColumn("name", name).withColumn("position", F.row_number().over(by_field) + 2)
@@ -79,24 +74,26 @@ def schema_from_data(raw: DataFrame, order: list[str], records: int = 1000) -> D
             .when(F.col("distinct").between(10, 1000), 3))
     chosen = F.row_number().over(Window.partitionBy("dataset_id").orderBy(F.asc_nulls_last("_rank"), "position"))
     cols = cols.withColumn("_rank", rank).withColumn("_order", chosen)
-    out = cols.select("dataset_id", "position", "name", F.when(F.col("field") == "$", "DOUBLE").otherwise(F.col("type")).alias("type"),
-                      F.lit(True).alias("nullable"), F.col("field").alias("source_field"),
-                      S.field_description(F.col("field")).alias("description"),
-                      (F.col("_rank").isNotNull() & (F.col("_order") <= 2)).alias("is_partition"))
-    return _leading(cols.select("dataset_id").distinct()).unionByName(out).select(*COLUMNS)
+    kind = F.when(F.col("field") == "$", "DOUBLE")
+    if area_as_text:
+        kind = kind.when(F.col("field") == "@area", "STRING")
+    return with_leading(cols.select(
+        "dataset_id", "position", "name", kind.otherwise(F.col("type")).alias("type"),
+        F.lit(True).alias("nullable"), F.col("field").alias("source_field"), S.field_description(F.col("field")).alias("description"),
+        (F.col("_rank").isNotNull() & (F.col("_order") <= 2)).alias("is_partition")))
 
 
-def schema_from_metadata(items: DataFrame, area_as_text: bool = False) -> DataFrame:
+def schema_from_metadata(items: DataFrame, area_as_text: bool = True) -> DataFrame:
     """One column per dimension and the value. Items: dataset_id, dim_pos, dim_id, dim_name, item_pos, code.
 
-    Area codes become INT like other digit codes unless ``area_as_text`` keeps their leading zeros.
+    A type holds every code of its dimension. Area codes keep their leading zeros; without
+    ``area_as_text`` they become numbers like other digit codes.
     """
     keys = ["dataset_id", "dim_pos", "dim_id", "dim_name"]
-    first = top_per_group(items, keys, [F.asc("item_pos")], 10)
     code = F.coalesce("code", F.lit(""))
     largest = F.max(F.when(code.rlike("^[0-9]+$"), code).cast("double"))
-    looks = first.groupBy(*keys).agg(F.bool_and((code == "") | code.rlike("^[0-9]+$")).alias("digits"), largest.alias("top"))
-    dims = looks.join(items.groupBy(*keys).agg(F.count("*").alias("items")), keys)
+    dims = items.groupBy(*keys).agg(F.bool_and((code == "") | code.rlike("^[0-9]{1,18}$")).alias("digits"), largest.alias("top"),
+                                    F.count("*").alias("items"))
     text = F.col("dim_id") == "time"
     if area_as_text:
         text = text | (F.col("dim_id") == "area")
@@ -110,7 +107,7 @@ def schema_from_metadata(items: DataFrame, area_as_text: bool = False) -> DataFr
     value = dims.groupBy("dataset_id").agg((F.max("position") + 1).alias("position")).select(
         "dataset_id", "position", F.lit("value").alias("name"), F.lit("DOUBLE").alias("type"), F.lit(True).alias("nullable"),
         F.lit("$").alias("source_field"), F.lit("統計値").alias("description"), F.lit(False).alias("is_partition"))
-    return _leading(dims.select("dataset_id").distinct()).unionByName(cols).unionByName(value).select(*COLUMNS)
+    return with_leading(cols.unionByName(value))
 
 
 def preferred_schema(from_metadata: DataFrame, from_data: DataFrame) -> DataFrame:

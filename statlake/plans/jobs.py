@@ -50,25 +50,29 @@ def ingest_complete(spark: SparkSession, raw_path: str, domain: str, dataset_id:
     return Q.quality_gate(rows)
 
 
-def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, order: list[str], path: str, table: str, domain: str = "generic") -> DataFrame:
-    """One dataset under a schema of its own: from metadata if there is any, else from data. Returns the stored rows."""
+def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, path: str, table: str, domain: str = "generic",
+                   max_partitions: int = 100) -> DataFrame:
+    """One dataset under a schema of its own: from metadata if there is any, else from data. Returns the stored rows.
+
+    Of the schema's partition columns, the leading ones are used that make at most ``max_partitions`` partitions.
+    """
     spark = raw.sparkSession
     own = raw.filter(F.col("dataset_id") == dataset_id)
     rows = []
     if items is not None:
         rows = I.schema_from_metadata(items.filter(F.col("dataset_id") == dataset_id)).collect()
-    rows = rows or I.schema_from_data(own, order).collect()
+    rows = rows or I.schema_from_data(own).collect()
     rows.sort(key=lambda r: r["position"])      # one row per column of one dataset
     struct = M.dynamic_struct([r.asDict() for r in rows])
     parts = [r["name"] for r in rows if r["is_partition"]]
     typed = M.transform_dynamic(own, struct, dataset_id)
-    parts = affordable_partitions(typed, parts)
+    parts = affordable_partitions(typed, parts, max_partitions)
     W.create_dynamic_table(spark, dataset_id, struct, path, parts, domain, table)
     W.insert_rows(typed, table)
     return spark.table(table)
 
 
-def affordable_partitions(rows: DataFrame, columns: list[str], limit: int = 100) -> list[str]:
+def affordable_partitions(rows: DataFrame, columns: list[str], limit: int) -> list[str]:
     """Leading partition columns that together make at most ``limit`` partitions."""
     if not columns:
         return columns

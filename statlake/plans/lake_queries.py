@@ -25,28 +25,25 @@ def fresh(name: str) -> str:
 
 # --- schema inference ---------------------------------------------------------------------
 
-_SAMPLE = """sm AS (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY row_seq, attr_id) AS pos FROM raw_obs QUALIFY pos <= 1000),
- fv AS (SELECT dataset_id, pos, f.* FROM sm, LATERAL (VALUES ('$', value), ('@id', attr_id), ('@tab', attr_tab), ('@cat01', attr_cat01), ('@cat02', attr_cat02), ('@cat03', attr_cat03),
-   ('@area', attr_area), ('@time', attr_time), ('@unit', attr_unit)) f(field, v) WHERE v IS NOT NULL),
- vt AS (SELECT dataset_id, field, count(*) AS n, count(*) FILTER (k = 'B') AS b, count(*) FILTER (k = 'I') AS i, count(*) FILTER (k = 'D') AS d FROM (
-   SELECT *, CASE WHEN regexp_matches(v, '^-?[0-9]+$') THEN CASE WHEN abs(v::DOUBLE) > 2147483647 THEN 'B' ELSE 'I' END WHEN regexp_matches(v, '^-?[0-9]+\\.[0-9]+$') THEN 'D' ELSE 'S' END AS k
-   FROM fv QUALIFY row_number() OVER (PARTITION BY dataset_id, field ORDER BY pos) <= 100) GROUP BY ALL),
- ty AS (SELECT dataset_id, field, CASE WHEN b > 0 THEN 'BIGINT' WHEN i > n * 0.8 THEN 'INT' WHEN d > n * 0.8 THEN 'DOUBLE' ELSE 'STRING' END AS type FROM vt),
- dc AS (SELECT dataset_id, field, count(DISTINCT v) AS distinct_values FROM fv GROUP BY ALL)"""
-_ORDER = ["row_seq", "attr_id"]
-
-
-@query("i02_type_vote", "raw_obs", f"WITH {_SAMPLE} SELECT dataset_id, field, type FROM ty")
+_VALUES = """fv AS (SELECT DISTINCT dataset_id, f.field, f.v FROM raw_obs, LATERAL (VALUES ('$', value), ('@id', attr_id), ('@tab', attr_tab), ('@cat01', attr_cat01), ('@cat02', attr_cat02), ('@cat03', attr_cat03),
+   ('@area', attr_area), ('@time', attr_time), ('@unit', attr_unit)) f(field, v) WHERE f.v IS NOT NULL),
+ vt AS (SELECT dataset_id, field, count(*) AS distinct_values, count(*) FILTER (k = 'I') AS i, count(*) FILTER (k = 'B') AS b, count(*) FILTER (k = 'D') AS d, count(*) FILTER (k = 'T') AS t FROM (
+   SELECT *, CASE WHEN regexp_matches(trim(v), '^-?[0-9]{1,18}$') THEN CASE WHEN CAST(trim(v) AS BIGINT) BETWEEN -2147483648 AND 2147483647 THEN 'I' ELSE 'B' END
+     WHEN regexp_matches(trim(v), '^-?[0-9]+\\.[0-9]+$') THEN 'D' WHEN lower(trim(v)) IN ('true', 'false') THEN 'T' ELSE 'S' END AS k FROM fv) GROUP BY ALL),
+ ty AS (SELECT dataset_id, field, distinct_values, CASE WHEN i = distinct_values THEN 'INT' WHEN i + b = distinct_values THEN 'BIGINT' WHEN i + b + d = distinct_values THEN 'DOUBLE' WHEN t = distinct_values THEN 'BOOLEAN' ELSE 'STRING' END AS type FROM vt)"""
+
+
+@query("i02_type_vote", "raw_obs", f"WITH {_VALUES} SELECT dataset_id, field, type FROM ty")
 def type_vote(spark, sf):
-    return I.voted_types(I.field_values(I.sample(V.raw_obs(spark, sf).drop("_none"), _ORDER)))
+    return I.voted_types(I.field_values(V.raw_obs(spark, sf).drop("_none")))
 
 
 def data_schema(spark, sf):
-    return I.schema_from_data(V.raw_obs(spark, sf), _ORDER)
+    return I.schema_from_data(V.raw_obs(spark, sf))
 
 
-@query("i01_schema_from_data", "raw_obs", f"""WITH {_SAMPLE}, c AS (SELECT dataset_id, field, CASE WHEN field = '$' THEN 'value' WHEN field LIKE '@cat%' THEN 'category_' || field[5:] ELSE field[2:] END AS name,
-   CASE WHEN field = '$' THEN 'DOUBLE' ELSE type END AS type, distinct_values, row_number() OVER (PARTITION BY dataset_id ORDER BY field) + 2 AS position FROM ty JOIN dc USING (dataset_id, field)),
+@query("i01_schema_from_data", "raw_obs", f"""WITH {_VALUES}, c AS (SELECT dataset_id, field, CASE WHEN field = '$' THEN 'value' WHEN field LIKE '@cat%' THEN 'category_' || field[5:] ELSE field[2:] END AS name,
+   CASE WHEN field = '$' THEN 'DOUBLE' WHEN field = '@area' THEN 'STRING' ELSE type END AS type, distinct_values, row_number() OVER (PARTITION BY dataset_id ORDER BY field) + 2 AS position FROM ty),
  r AS (SELECT *, CASE WHEN name = 'time' THEN 1 WHEN name = 'area' THEN 2 WHEN distinct_values BETWEEN 10 AND 1000 THEN 3 END AS prio FROM c)
  SELECT dataset_id, CAST(position AS INT) AS position, name, type, true AS nullable, field AS source_field, prio IS NOT NULL AND row_number() OVER (PARTITION BY dataset_id ORDER BY prio NULLS LAST, position) <= 2 AS is_partition FROM r
  UNION ALL SELECT DISTINCT dataset_id, p.i, p.n, 'STRING', false, NULL, false FROM raw_obs, (VALUES (1, 'dataset_id'), (2, 'record_id')) p(i, n)""")
@@ -58,12 +55,11 @@ def items(spark, sf):
     return V.dim_items(V.raw_obs(spark, sf), V.area_labels(spark, sf)).withColumn("item_pos", F.col("code"))
 
 
-_META_COLS = """f AS (SELECT * FROM dim_items QUALIFY row_number() OVER (PARTITION BY dataset_id, dim_id ORDER BY code) <= 10),
- m AS (SELECT dataset_id, dim_pos, dim_id, dim_name, bool_and(regexp_matches(code, '^[0-9]+$')) AS digits, max(TRY_CAST(code AS BIGINT)) AS top FROM f GROUP BY ALL),
+_META_COLS = """m AS (SELECT dataset_id, dim_pos, dim_id, dim_name, bool_and(regexp_matches(code, '^[0-9]{1,18}$')) AS digits, max(TRY_CAST(code AS BIGINT)) AS top FROM dim_items GROUP BY ALL),
  n AS (SELECT dataset_id, dim_id, count(*) AS items FROM dim_items GROUP BY ALL),
  d AS (SELECT m.*, items, dim_id = 'time' OR (dim_id = 'area' AND items BETWEEN 10 AND 1000) AS cand, row_number() OVER (PARTITION BY dataset_id ORDER BY dim_pos) + 2 AS position FROM m JOIN n USING (dataset_id, dim_id)),
  s AS (SELECT dataset_id, CAST(position AS INT) AS position, CASE WHEN dim_id = 'tab' THEN 'indicator' WHEN dim_id LIKE 'cat%' THEN 'category_' || dim_id[4:] ELSE dim_id END AS name,
-  CASE WHEN dim_id = 'time' THEN 'STRING' WHEN digits THEN CASE WHEN top > 2147483647 THEN 'BIGINT' ELSE 'INT' END ELSE 'STRING' END AS type, '@' || dim_id AS source_field,
+  CASE WHEN dim_id IN ('time', 'area') THEN 'STRING' WHEN digits THEN CASE WHEN top > 2147483647 THEN 'BIGINT' ELSE 'INT' END ELSE 'STRING' END AS type, '@' || dim_id AS source_field,
   cand AND sum(CASE WHEN cand THEN 1 ELSE 0 END) OVER (PARTITION BY dataset_id ORDER BY dim_pos) <= 2 AS is_partition FROM d
   UNION ALL SELECT dataset_id, CAST(max(position) + 1 AS INT), 'value', 'DOUBLE', '$', false FROM d GROUP BY 1
   UNION ALL SELECT DISTINCT dataset_id, p.i, p.n, 'STRING', NULL, false FROM dim_items, (VALUES (1, 'dataset_id'), (2, 'record_id')) p(i, n))"""
@@ -200,8 +196,8 @@ def unwrap_listing(spark, sf):
     return L.unwrap_listing(l.select(doc.alias("doc"))).select("id", "title", "organization", "updated_date")
 
 
-@query("s04_merge_pages", "listing", """SELECT id, page FROM (SELECT id, CASE WHEN seq % 10 < 7 THEN seq % 10 ELSE 9 END AS page FROM listing) WHERE page <= (
- SELECT min(page) FROM (SELECT page, count(*) AS n FROM (SELECT CASE WHEN seq % 10 < 7 THEN seq % 10 ELSE 9 END AS page FROM listing) GROUP BY 1) WHERE n < 101)""")
+@query("s04_merge_pages", "listing", """WITH p AS (SELECT id, CASE WHEN seq % 10 < 7 THEN seq % 10 ELSE 9 END AS page FROM listing)
+ SELECT id, page, coalesce(page > (SELECT min(page) FROM (SELECT page, count(*) AS n FROM p GROUP BY 1) WHERE n < 101), false) AS after_short FROM p""")
 def merge_pages(spark, sf):
     p = F.col("seq") % 10
     return L.merge_pages(V.listing(spark, sf).select("id", F.when(p < 7, p).otherwise(F.lit(9)).alias("page")), 101)
@@ -211,14 +207,14 @@ def totals(spark, sf):
     return V.registry(spark, sf).filter(F.col("record_count").isNotNull()).select("dataset_id", (F.col("record_count") * 3).alias("total"))
 
 
-@query("s05_chunk_plan", "registry", """SELECT dataset_id, total, CAST(ceil(least(total, 1000000) / 100000) AS INT) AS num_chunks, CAST(i AS INT) AS chunk_num, i * 100000 + 1 AS start_position
- FROM (SELECT dataset_id, record_count * 3 AS total FROM registry WHERE record_count IS NOT NULL), LATERAL (SELECT unnest(generate_series(0, CAST(ceil(least(total, 1000000) / 100000) AS INT) - 1)) AS i)""")
+@query("s05_chunk_plan", "registry", """SELECT dataset_id, total, CAST(ceil(total / 100000) AS INT) AS num_chunks, CAST(i AS INT) AS chunk_num, i * 100000 + 1 AS start_position
+ FROM (SELECT dataset_id, record_count * 3 AS total FROM registry WHERE record_count IS NOT NULL), LATERAL (SELECT unnest(generate_series(0, CAST(ceil(total / 100000) AS INT) - 1)) AS i)""")
 def chunk_plan(spark, sf):
     return L.chunk_plan(totals(spark, sf))
 
 
 @query("s08_retrieval_plan", "registry", """SELECT dataset_id, total, CASE WHEN total <= 100000 THEN 'single' ELSE 'chunked' END AS retrieval_mode,
- CAST(CASE WHEN total <= 100000 THEN 1 ELSE ceil(least(total, 1000000) / 100000) END AS INT) AS num_chunks, total > 1000000 AS truncated FROM (SELECT dataset_id, record_count * 3 AS total FROM registry WHERE record_count IS NOT NULL)""")
+ CAST(CASE WHEN total <= 100000 THEN 1 ELSE ceil(total / 100000) END AS INT) AS num_chunks, false AS truncated FROM (SELECT dataset_id, record_count * 3 AS total FROM registry WHERE record_count IS NOT NULL)""")
 def retrieval_plan(spark, sf):
     return L.retrieval_plan(totals(spark, sf))
 
@@ -446,9 +442,9 @@ def ingest_complete(spark, sf):
     return gate.select("dataset_id", "total", "passed")
 
 
-@query("e03_ingest_dynamic", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, CAST(attr_area AS INT) AS area, attr_cat01 AS category_01, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
+@query("e03_ingest_dynamic", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, attr_area AS area, attr_cat01 AS category_01, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
 def ingest_dynamic(spark, sf):
-    out = J.ingest_dynamic(V.raw_obs(spark, sf), items(spark, sf), "ds00001", _ORDER, scratch_path(spark, "dynamic"), fresh("dataset_ds00001"))
+    out = J.ingest_dynamic(V.raw_obs(spark, sf), items(spark, sf), "ds00001", scratch_path(spark, "dynamic"), fresh("dataset_ds00001"))
     return out.select("record_id", "time", "area", "category_01", "value")
 
 

@@ -78,7 +78,7 @@ def parse_value(spark, sf):
 
 @query("x07_cast_value", "raw_obs", """SELECT attr_id, row_seq,
   CAST(trunc(TRY_CAST(replace(value, ',', '') AS DOUBLE)) AS INT) AS as_int,
-  CAST(trunc(TRY_CAST(replace(value, ',', '') AS DOUBLE)) AS BIGINT) AS as_bigint,
+  CASE WHEN regexp_matches(replace(value, ',', ''), '^[+-]?[0-9]+$') THEN TRY_CAST(replace(value, ',', '') AS BIGINT) ELSE CAST(trunc(TRY_CAST(replace(value, ',', '') AS DOUBLE)) AS BIGINT) END AS as_bigint,
   TRY_CAST(replace(value, ',', '') AS DOUBLE) AS as_double, lower(value) IN ('true', '1', 'yes') AS as_boolean, value AS as_string
  FROM raw_obs""")
 def cast_value(spark, sf):

@@ -242,7 +242,7 @@ def select_for_domains(spark, sf):
     return C.select_for_domains(V.listing(spark, sf))
 
 
-@query("k23_candidate_selection", "listing", f"""WITH {_DOMAIN_HITS}, c AS (SELECT id AS dataset_id, domain, ds, {CANDIDATE_SQL} AS priority, seq FROM h QUALIFY row_number() OVER (PARTITION BY domain ORDER BY seq) <= 20),
+@query("k23_candidate_selection", "listing", f"""WITH {_DOMAIN_HITS}, c AS (SELECT id AS dataset_id, domain, ds, {CANDIDATE_SQL} AS priority, seq FROM h QUALIFY row_number() OVER (PARTITION BY domain ORDER BY priority DESC, seq) <= 20),
  s AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY priority DESC, ds, seq) AS rn, first_value((-priority, ds, seq)) OVER (PARTITION BY domain ORDER BY priority DESC, ds, seq) AS lead FROM c),
  a0 AS (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY ds, rn) AS dup FROM s WHERE rn <= greatest(1, 35 // (SELECT count(DISTINCT domain) FROM c))),
  a AS (SELECT dataset_id, priority, 1 AS stage, row_number() OVER (ORDER BY lead, rn) AS pos FROM a0 WHERE dup = 1 ORDER BY lead, rn LIMIT 35),

@@ -156,7 +156,6 @@ TRANSFER_USD_PER_GB = 0.114
 BYTES_PER_RECORD = 1024
 LATENCY_TARGETS_MS = {"catalog_search": 100.0, "sql": 5000.0}
 CHUNK_SIZE = 100_000
-MAX_RECORDS = 1_000_000
 STALE_DAYS = 30
 VERY_STALE_DAYS = 90
 MIN_DATASETS_PER_DOMAIN = 3

@@ -67,26 +67,30 @@ def unwrap_listing(docs: DataFrame, doc: str = "doc") -> DataFrame:
 
 
 def merge_pages(rows: DataFrame, batch_size: int, page: str = "page") -> DataFrame:
-    """Listing rows up to and including the first page that is not full."""
+    """All landed listing rows; ``after_short`` marks those of pages after the first one that is not full."""
     pages = rows.groupBy(page).agg(F.count("*").alias("_n"))
     end = pages.filter(F.col("_n") < batch_size).agg(F.min(page)).scalar()
-    return rows.filter(F.coalesce(F.col(page) <= end, F.lit(True)))
+    return rows.withColumn("after_short", F.coalesce(F.col(page) > end, F.lit(False)))
 
 
-def chunk_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_records: int = rules.MAX_RECORDS) -> DataFrame:
-    """(dataset_id, total) to one row per chunk with its first record number (from 1)."""
-    n = F.ceil(F.least(F.col("total"), F.lit(max_records)) / chunk_size).cast("int")
+def _planned(max_records: int | None):
+    return F.col("total") if max_records is None else F.least(F.col("total"), F.lit(max_records))
+
+
+def chunk_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_records: int | None = None) -> DataFrame:
+    """(dataset_id, total) to one row per chunk with its first record number (from 1); covers the total unless told otherwise."""
+    n = F.ceil(_planned(max_records) / chunk_size).cast("int")
     chunks = totals.filter(n > 0).select("dataset_id", "total", n.alias("num_chunks"), F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_num"))
     return chunks.withColumn("start_position", F.col("chunk_num").cast("bigint") * chunk_size + 1)
 
 
-def retrieval_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_records: int = rules.MAX_RECORDS) -> DataFrame:
-    """One read up to ``chunk_size`` records, chunks beyond, never more than ``max_records``."""
+def retrieval_plan(totals: DataFrame, chunk_size: int = rules.CHUNK_SIZE, max_records: int | None = None) -> DataFrame:
+    """One read up to ``chunk_size`` records, chunks beyond; ``max_records`` is the caller's, none by default."""
     single = F.col("total") <= chunk_size
-    wanted = F.least(F.col("total"), F.lit(max_records))
+    wanted = _planned(max_records)
     return totals.select("dataset_id", "total", F.when(single, "single").otherwise("chunked").alias("retrieval_mode"),
                          F.when(single, 1).otherwise(F.ceil(wanted / chunk_size).cast("int")).alias("num_chunks"),
-                         (F.col("total") > max_records).alias("truncated"))
+                         (wanted < F.col("total")).alias("truncated"))
 
 
 def merge_chunks(chunk_rows: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -116,16 +120,10 @@ def merge_chunks_strict(chunk_rows: DataFrame, chunks: DataFrame) -> DataFrame:
     return chunk_rows.join(done, "dataset_id", "left_semi")
 
 
-def split_scan(df: DataFrame, values: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """A large dataset spread by its finest dimension; failed values are simply not listed.
-
-    The shuffle key adds the record id, so one dominant area does not land in one task.
-    """
+def split_scan(df: DataFrame, values: list[str] | None = None) -> DataFrame:
+    """The listed values of a dataset's finest dimension; failed values are simply not listed. A filter, no shuffle."""
     dim = split_dimension(df.columns)
-    if dim is None:
-        return df
-    rows = df.filter(F.col(dim).isin(values)) if values is not None else df
-    return rows.repartition(partitions, dim, "attr_id") if partitions else rows.repartition(dim, "attr_id")
+    return df if dim is None or values is None else df.filter(F.col(dim).isin(values))
 
 
 def read_error_log(spark: SparkSession, path: str) -> DataFrame:

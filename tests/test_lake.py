@@ -89,9 +89,9 @@ def test_chunk_plan(spark):
     plan = {}
     for r in L.chunk_plan(df).collect():
         plan.setdefault(r["dataset_id"], []).append(r["start_position"])
-    assert sorted(plan["a"]) == [1] and sorted(plan["b"]) == [1, 100001, 200001] and len(plan["c"]) == 10 and "z" not in plan
+    assert sorted(plan["a"]) == [1] and sorted(plan["b"]) == [1, 100001, 200001] and len(plan["c"]) == 50 and "z" not in plan
     modes = {r["dataset_id"]: (r["retrieval_mode"], r["num_chunks"], r["truncated"]) for r in L.retrieval_plan(df).collect()}
-    assert modes["a"] == ("single", 1, False) and modes["b"] == ("chunked", 3, False) and modes["c"] == ("chunked", 10, True)
+    assert modes["a"] == ("single", 1, False) and modes["b"] == ("chunked", 3, False) and modes["c"] == ("chunked", 50, False)
 
 
 def test_new_or_changed(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from statlake.operators import (analytics as A, catalog as C, infer as I, mapping as M, quality as Q, ranking as R, registry as G,
                                 search as SE, tfidf as TF)
+from statlake.functions import scalars as SC
 from statlake.schemas import DOMAINS, get_domain, get_schema
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -229,10 +230,28 @@ def test_vector_search(spark):
 def test_type_vote(spark):
     def vote(values):
         df = spark.createDataFrame([("d", i, v, "2020") for i, v in enumerate(values)], "dataset_id string, i int, value string, attr_time string")
-        return {r["field"]: r["type"] for r in I.voted_types(I.field_values(I.sample(df, ["i"]))).collect()}["$"]
-    assert vote(["1"] * 9 + ["x"]) == "INT" and vote(["1"] * 8 + ["x"] * 2) == "STRING"
+        return {r["field"]: r["type"] for r in I.voted_types(I.field_values(df)).collect()}["$"]
+    assert vote(["1"] * 9 + ["x"]) == "STRING" and vote(["1"] * 8 + ["2.5"] * 2) == "DOUBLE"
     assert vote(["1", "99999999999"]) == "BIGINT" and vote(["1.5"] * 10) == "DOUBLE" and vote(["true", "FALSE"]) == "BOOLEAN"
-    assert vote(["0", "1"]) == "INT" and vote(["1"] * 100 + ["x"] * 500) == "INT" and vote([None, "x"]) == "STRING"
+    assert vote(["0", "1"]) == "INT" and vote(["1"] * 5000 + ["x"]) == "STRING" and vote([None, "x"]) == "STRING" and vote(["1" * 25]) == "STRING"
+
+
+def test_late_values_are_not_lost(spark):
+    rows = [("d", str(i), "100" if i < 200 else "A100", "01000", "2020", str(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "dataset_id string, attr_id string, attr_cat01 string, attr_area string, attr_time string, value string")
+    schema = {r["name"]: r for r in I.schema_from_data(df).collect()}
+    assert schema["category_01"]["type"] == schema["area"]["type"] == "STRING"
+    out = M.transform_dynamic(df, I.to_struct(I.schema_from_data(df)), "d")
+    assert out.filter("category_01 IS NULL").count() == 0 and {r.area for r in out.collect()} == {"01000"}
+    items = spark.createDataFrame([("d", 0, "cat01", "c", i, str(i) if i < 10 else "X") for i in range(11)],
+                                  "dataset_id string, dim_pos int, dim_id string, dim_name string, item_pos int, code string")
+    assert {r["name"]: r["type"] for r in I.schema_from_metadata(items).collect()}["category_01"] == "STRING"
+
+
+def test_wide_integers_are_exact(spark):
+    df = spark.createDataFrame([(t,) for t in ("1234567890123456789", "9223372036854775807", "-9223372036854775808", "9223372036854775808", "12.9", "1e3")], "t string")
+    got = [r[0] for r in df.select(SC.cast_value(F.col("t"), "BIGINT")).collect()]
+    assert got == [1234567890123456789, 2 ** 63 - 1, -2 ** 63, None, 12, 1000]
 
 
 def test_schema_from_metadata(spark):
@@ -241,9 +260,9 @@ def test_schema_from_metadata(spark):
     s = I.schema_from_metadata(items)
     got = [(r["name"], r["type"], r["is_partition"]) for r in s.orderBy("position").collect()]
     assert got == [("dataset_id", "STRING", False), ("record_id", "STRING", False), ("indicator", "STRING", False), ("category_01", "INT", False),
-                   ("area", "INT", False), ("time", "STRING", True), ("value", "DOUBLE", False)]
+                   ("area", "STRING", False), ("time", "STRING", True), ("value", "DOUBLE", False)]
     assert I.check_schema(s).first()["valid"] is True
-    assert {r["name"]: r["type"] for r in I.schema_from_metadata(items, area_as_text=True).collect()}["area"] == "STRING"
+    assert {r["name"]: r["type"] for r in I.schema_from_metadata(items, area_as_text=False).collect()}["area"] == "INT"
     assert [f.name for f in I.to_struct(s).fields][-1] == "value"
 
 
