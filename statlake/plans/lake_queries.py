@@ -405,15 +405,17 @@ def new_or_changed(spark, sf):
     return U.new_or_changed(fetched.drop("priority"), stored.drop("priority"), ["dataset_id"])
 
 
-@query("u03_stream_landing", "raw_obs", "SELECT DISTINCT attr_id FROM raw_obs")
+@query("u03_stream_landing", "raw_obs", """SELECT attr_id, CASE WHEN right(attr_id, 1) = '1' THEN value || '0' ELSE value END AS value
+ FROM (SELECT attr_id, min(value) AS value FROM raw_obs GROUP BY 1)""")
 def stream_landing(spark, sf):
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-state"))
-    rows = V.raw_obs(spark, sf).select(F.col("attr_id").alias("@id"), F.col("attr_time").alias("@time"), F.col("value").alias("$"))
+    rows = V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$"))
     rows.filter(F.length("@id") % 2 == 0).write.json(landing)
     U.stream_landing(spark, landing, out, checkpoint, ["attr_id"])
-    rows.write.mode("append").json(landing)
+    changed = F.when(F.col("@id").endswith("1"), F.concat("$", F.lit("0"))).otherwise(F.col("$"))
+    rows.withColumn("$", changed).write.mode("append").json(landing)
     U.stream_landing(spark, landing, out, checkpoint, ["attr_id"])
-    return spark.read.parquet(out).select("attr_id")
+    return U.stored_records(spark, out, ["attr_id"]).select("attr_id", "value")
 
 
 def landed_registry(spark, sf):

@@ -31,25 +31,49 @@ def new_or_changed(fetched: DataFrame, stored: DataFrame, keys: list[str]) -> Da
     return fetched.withColumn("_hash", row_hash(rest)).join(old, cond, "left_anti").drop("_hash")
 
 
+BUCKETS = 64
+
+
+def latest(versions: DataFrame, keys: list[str], recency: list[str]) -> DataFrame:
+    """The newest version of every key."""
+    rest = [c for c in versions.columns if c not in keys and c not in recency]
+    return versions.groupBy(*keys).agg(F.max(F.struct(*recency, *rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def stored_records(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """What ``stream_landing`` has stored: the newest version of every key."""
+    return latest(spark.read.schema(_stored_schema(spark)).parquet(out).drop("bucket"), keys, ["batch_id"])
+
+
+def _stored_schema(spark: SparkSession) -> T.StructType:
+    columns = rename_raw(spark.createDataFrame([], RAW_SCHEMA)).schema
+    return T.StructType([*columns.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.LongType())])
+
+
 def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str, keys: list[str], files_per_batch: int = 1000) -> None:
-    """Append records of newly landed files whose key is not stored yet, then stop.
+    """Append new and changed records of newly landed files, then stop.
 
-    Each batch writes its own folder and only looks at earlier folders, so a
-    batch that is run again after a failure replaces itself and nothing else.
+    Of several versions of a key within a batch the one landed last counts (by time of
+    its file). Each batch writes its own folder, by key bucket, and only looks at the
+    buckets it touches in earlier folders; a batch that is run again after a failure
+    replaces itself and nothing else.
     """
-    columns = rename_raw(spark.createDataFrame([], RAW_SCHEMA)).schema
-    stored = T.StructType([*columns.fields, T.StructField("batch_id", T.LongType())])
-    spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+    schema = _stored_schema(spark)
+    spark.createDataFrame([], rename_raw(spark.createDataFrame([], RAW_SCHEMA)).schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1/bucket=-1")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        seen = session.read.schema(stored).parquet(out)
-        seen = seen.filter(F.col("batch_id") < batch_id).select(*keys)
-        rest = [c for c in batch.columns if c not in keys]
-        one = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*batch.columns)
-        one.join(seen, keys, "left_anti").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        one = latest(batch, keys, ["_landed", "_file"]).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)))
+        one.persist()
+        try:
+            touched = [r[0] for r in one.select("bucket").distinct().collect()]           # at most BUCKETS numbers
+            seen = session.read.schema(schema).parquet(out).filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
+            fresh = new_or_changed(one, latest(seen, [*keys, "bucket"], ["batch_id"]).select(*one.columns), keys)
+            fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            one.unpersist()
 
     source = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    query = (rename_raw(source).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    landed = rename_raw(source.select("*", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file")))
+    query = landed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

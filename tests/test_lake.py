@@ -100,14 +100,19 @@ def test_new_or_changed(spark):
     assert {tuple(r) for r in U.new_or_changed(new, old, ["k"]).collect()} == {("b", "3"), ("c", "4")}
 
 
-def test_stream_stores_each_key_once(spark, tmp_path):
+def test_stream_keeps_the_newest_version_of_each_key(spark, tmp_path):
     landing, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     rows = spark.createDataFrame([("1", "5"), ("2", "6"), ("1", "5")], "`@id` string, `$` string")
     rows.write.json(landing)
     U.stream_landing(spark, landing, out, state, ["attr_id"])
     spark.createDataFrame([("2", "9"), ("3", "7")], "`@id` string, `$` string").write.mode("append").json(landing)
     U.stream_landing(spark, landing, out, state, ["attr_id"])
-    assert sorted((r["attr_id"], r["value"]) for r in spark.read.parquet(out).collect()) == [("1", "5"), ("2", "6"), ("3", "7")]
+    got = U.stored_records(spark, out, ["attr_id"])
+    assert sorted((r["attr_id"], r["value"]) for r in got.collect()) == [("1", "5"), ("2", "9"), ("3", "7")]
+    assert spark.read.parquet(out).count() == 4
+    spark.createDataFrame([("3", "7"), ("2", "6")], "`@id` string, `$` string").write.mode("append").json(landing)
+    U.stream_landing(spark, landing, out, state, ["attr_id"])
+    assert sorted((r["attr_id"], r["value"]) for r in U.stored_records(spark, out, ["attr_id"]).collect()) == [("1", "5"), ("2", "6"), ("3", "7")]
 
 
 def test_partition_decision(spark, tmp_path):
