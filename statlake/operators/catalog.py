@@ -121,9 +121,10 @@ def selection_candidates(listing: DataFrame, per_domain: int = 20, **criteria) -
     return top_per_group(hits, ["domain"], [F.desc("priority"), F.asc("seq")], per_domain).select(*hits.columns)
 
 
-def preview(table: DataFrame, filters: dict[str, object], limit: int = 1000) -> DataFrame:
+def preview(table: DataFrame, filters: dict[str, object], limit: int = 1000, order: str = "dataset_id") -> DataFrame:
+    """First rows that fit; ordered, so that a preview can be repeated."""
     conds = [F.col(k) == v for k, v in filters.items()]
-    return table.filter(reduce(lambda a, b: a & b, conds, F.lit(True))).limit(limit)
+    return table.filter(reduce(lambda a, b: a & b, conds, F.lit(True))).orderBy(order).limit(limit)
 
 
 def english_synonyms(keywords: DataFrame) -> DataFrame:

@@ -6,31 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 
-DIRECT = 50       # rows per group that may go to the group's task from every input task
-SALTS = 64
-LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def _allow_group_limit(df: DataFrame, n: int) -> None:
-    """The planner only pushes a group limit below its threshold; raise it to what is asked for."""
-    conf = df.sparkSession.conf
-    if int(conf.get(LIMIT_CONF, "1000")) <= n:
-        conf.set(LIMIT_CONF, str(n + 1))
-
-
 def top_per_group(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rn") -> DataFrame:
     """First ``n`` rows of every group, numbered from 1.
 
     The planner keeps ``n`` rows per group in every input task before the
-    shuffle, so a hot group never travels whole. Where ``n`` rows from every
-    task are still many, they meet in pieces by input task first; any split
-    into pieces gives the same result.
+    shuffle, so a hot group never travels whole. It does so for ``n`` below
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which the session raises.
     """
-    _allow_group_limit(df, n)
-    if n > DIRECT:
-        piece = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (df.withColumn("_salt", F.spark_partition_id() % SALTS).withColumn("_piece", F.row_number().over(piece))
-              .filter(F.col("_piece") <= n).drop("_salt", "_piece"))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 

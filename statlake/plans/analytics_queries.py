@@ -309,9 +309,10 @@ def two_key_sort(spark, sf):
             .orderBy(F.desc("year"), F.desc("value"), "stats_data_id").limit(100))
 
 
-@query("o02_sample_rows")
+@query("o02_sample_rows", "obs", f"SELECT year, region_code, stats_data_id, value FROM obs WHERE year >= {Y} ORDER BY stats_data_id, year, region_code, value LIMIT 1000")
 def sample_rows(spark, sf):
-    return domain_rows(spark, sf, "population").filter(F.col("year") >= Y).limit(1000)
+    rows = domain_rows(spark, sf, "population").filter(F.col("year") >= Y).select("year", "region_code", "stats_data_id", "value")
+    return rows.orderBy("stats_data_id", "year", "region_code", "value").limit(1000)
 
 
 _UNION = ["population", "economy", "labor", "education", "health", "agriculture", "construction", "transport", "trade", "social_welfare", "generic"]

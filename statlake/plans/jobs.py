@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from statlake.functions import scalars as S, text as X
 from statlake.operators import catalog as C, infer as I, mapping as M, quality as Q, registry as G
-from statlake.session import materialise
+from statlake.session import materialise, scratch_path
 from statlake.sources import landing as L, sinks as W
 
 
@@ -16,21 +18,57 @@ def open_work(registry: DataFrame) -> DataFrame:
     return registry.filter(F.col("load_date").isNull()).withColumn("start_stage", G.start_stage())
 
 
-def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.1) -> DataFrame:
+def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.1, stage_path: str | None = None) -> DataFrame:
     """Map, check and store every open dataset that has landed; returns one result row per dataset.
 
-    Rows are mapped once into a staging folder; the gate and the final write
-    both read it. Datasets above the failure threshold stay in staging.
+    Rows are mapped once into a staging folder; the gate and the final write both
+    read it. Datasets above the failure threshold stay in staging. With a
+    ``stage_path`` kept between runs, a dataset whose transformation is stamped
+    resumes from its staged rows and is not mapped again. A run can be repeated:
+    of a dataset only its newest staged rows count, and one with rows in the lake
+    gets no second copy (it fails if their number is not that of its staged rows).
     """
-    work = open_work(registry).select("dataset_id", "domain")
-    mapped = M.map_domains(raw.join(work, "dataset_id"), F.col("domain"))
-    staged = materialise(mapped, "staged")
-    gate = materialise(core_gate(staged, threshold), "gate")
-    passed = gate.filter("passed").select("dataset_id")
-    W.write_typed(staged.join(passed, "dataset_id", "left_semi"), path, ["domain", "year"], mode="append")
+    spark = raw.sparkSession
+    work = materialise(open_work(registry).select("dataset_id", "domain", "start_stage"), "work")
+    unmapped = F.lit(stage_path is None) | F.col("start_stage").isin("fetch", "transform")
+    to_map = raw.join(work.filter(unmapped).select("dataset_id", "domain"), "dataset_id")
+    staged = stage_rows(M.map_domains(to_map, F.col("domain")), stage_path or scratch_path(spark, "staged"))
+    staged = staged.join(work.select("dataset_id"), "dataset_id", "left_semi")
+    stored = W.read_if_there(spark, path, staged.schema).join(work.select("dataset_id"), "dataset_id", "left_semi")
+    gate = core_gate(staged, threshold).join(stored.groupBy("dataset_id").agg(F.count("*").alias("stored")), "dataset_id", "left")
+    gate = materialise(gate, "gate")
+    new = gate.filter(F.col("passed") & F.col("stored").isNull()).select("dataset_id")
+    W.write_typed(staged.join(new, "dataset_id", "left_semi"), path, ["domain", "year"], mode="append")
     done = work.join(gate, "dataset_id", "left")
-    return done.select("dataset_id", "domain", F.when(F.col("passed"), "success").when(F.col("total").isNull(), "skipped").otherwise("failed").alias("status"),
-                       F.coalesce(F.when(F.col("passed"), F.col("total")), F.lit(0)).alias("records"))
+    loaded = F.col("passed") & (F.coalesce("stored", "total") == F.col("total"))
+    return done.select(
+        "dataset_id", "domain", F.when(loaded, "success").when(F.col("total").isNull(), "skipped").otherwise("failed").alias("status"),
+        F.when(loaded, F.col("total")).otherwise(0).alias("records"), "start_stage",
+        F.when(loaded | F.col("total").isNull(), "").when(F.col("passed"), "load: other rows are stored already")
+        .otherwise("validation: too many rows fail").alias("error_message"))
+
+
+def stage_rows(mapped: DataFrame, path: str) -> DataFrame:
+    """Add a run to the staging folder; returns of every dataset the rows of its newest run."""
+    run = f"{time.time_ns():020d}"
+    mapped.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
+    schema = T.StructType([*mapped.schema.fields, T.StructField("run", T.StringType())])
+    rows = mapped.sparkSession.read.schema(schema).parquet(path)
+    newest = rows.groupBy("dataset_id").agg(F.max("run").alias("run"))
+    return rows.join(newest, ["dataset_id", "run"], "left_semi").select(*mapped.columns)
+
+
+def record_results(registry: DataFrame, results: DataFrame, at: Column) -> DataFrame:
+    """Registry after a run: status, error and the stamps of the stages each dataset has passed.
+
+    Skipped datasets keep their row. Store the result in a new folder and read that from then on.
+    """
+    ran, ok = F.col("status") != "skipped", F.col("status") == "success"
+    mapped = ran & F.col("start_stage").isin("fetch", "transform")
+    return C.update_columns(registry, results.select(
+        "dataset_id", F.when(ok, "completed").when(ran, "failed").alias("status"), F.when(ran, F.col("error_message")).alias("error_message"),
+        F.when(mapped, at).alias("fetch_date"), F.when(mapped, at).alias("transformation_date"),
+        F.when(ok, at).alias("validation_date"), F.when(ok, at).alias("load_date")))
 
 
 def core_gate(rows: DataFrame, threshold: float = 0.1) -> DataFrame:
@@ -43,11 +81,12 @@ def core_gate(rows: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 def ingest_complete(spark: SparkSession, raw_path: str, domain: str, dataset_id: str, path: str, table: str,
                     multi_line: bool = True) -> DataFrame:
-    """One landed dataset to its domain table; returns its quality gate. Pass ``multi_line=False`` for JSON lines."""
+    """One landed dataset to its domain table if its quality gate lets it pass; returns the gate. Pass ``multi_line=False`` for JSON lines."""
     rows = materialise(M.map_domain(L.read_raw(spark, raw_path, multi_line), domain, dataset_id=F.lit(dataset_id)), "mapped")
+    gate = materialise(Q.quality_gate(rows), "gate")
     W.create_domain_table(spark, domain, path, table)
-    W.insert_rows(rows, table)
-    return Q.quality_gate(rows)
+    W.insert_rows(rows.join(gate.filter("passed").select("dataset_id"), "dataset_id", "left_semi"), table)
+    return gate
 
 
 def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, path: str, table: str, domain: str = "generic",
@@ -82,9 +121,14 @@ def affordable_partitions(rows: DataFrame, columns: list[str], limit: int) -> li
 
 
 def priority_build(chunk_rows: DataFrame, chunks: DataFrame, path: str) -> DataFrame:
-    """Complete datasets to a year-partitioned lake folder; returns the completeness audit."""
-    W.write_typed(W.time_partitioned(L.merge_chunks_strict(chunk_rows, chunks)), path, ["year"], mode="append")
-    return L.completeness_audit(chunk_rows, chunks)
+    """Complete datasets to a year-partitioned lake folder; returns the completeness audit.
+
+    The audit is computed once and decides what is written.
+    """
+    audit = materialise(L.completeness_audit(chunk_rows, chunks), "audit")
+    rows = chunk_rows.join(audit.filter("complete").select("dataset_id"), "dataset_id", "left_semi")
+    W.write_typed(W.time_partitioned(rows), path, ["year"], mode="append")
+    return audit
 
 
 def build_catalog(info: DataFrame, items: DataFrame, stats: DataFrame, search_keywords: DataFrame | None = None) -> DataFrame:
@@ -112,15 +156,32 @@ def build_catalog(info: DataFrame, items: DataFrame, stats: DataFrame, search_ke
         "record_count", "time_range_start", "time_range_end")
 
 
-def run_batch(listing: DataFrame, raw: DataFrame, registry: DataFrame, path: str, n: int, **wanted) -> tuple[DataFrame, DataFrame]:
-    """Next datasets of the listing through ``ingest``; returns results and progress after the batch."""
-    batch = C.work_batch(listing, n, key="dataset_id", **wanted).select("dataset_id")
-    results = materialise(ingest(raw, registry.join(batch, "dataset_id", "left_semi"), path, 1.0), "results")
-    change = results.select("dataset_id", F.when(F.col("status") == "success", "completed").when(F.col("status") == "failed", "failed").alias("status"))
-    return results, G.progress_percent(C.update_columns(registry, change))
+def run_selected(batch: DataFrame, raw: DataFrame, registry: DataFrame, path: str, threshold: float, at: Column,
+                 stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Chosen datasets through ``ingest``; returns results and the stored registry after the run."""
+    chosen = registry.join(batch.select("dataset_id"), "dataset_id", "left_semi")
+    results = materialise(ingest(raw, chosen, path, threshold, stage_path), "results")
+    return results, materialise(record_results(registry, results, at), "registry")
+
+
+def run_batch(listing: DataFrame, raw: DataFrame, registry: DataFrame, path: str, n: int, threshold: float = 0.1, at: Column | None = None,
+              stage_path: str | None = None, **wanted) -> tuple[DataFrame, DataFrame]:
+    """Next datasets of the listing through ``ingest``; returns results and the stored registry after the batch."""
+    return run_selected(C.work_batch(listing, n, key="dataset_id", **wanted), raw, registry, path, threshold, now() if at is None else at, stage_path)
 
 
 def priority_batch(registry: DataFrame, n: int = 5, threshold: int = 0) -> DataFrame:
     """Next pending datasets at or above a priority, marked as processing."""
     ok = (F.col("status") == "pending") & (F.col("priority") >= threshold)
     return registry.filter(ok).orderBy(F.desc("priority"), "seq").limit(n).withColumn("status", F.lit("processing"))
+
+
+def run_priority_batch(raw: DataFrame, registry: DataFrame, path: str, n: int = 5, priority: int = 0, threshold: float = 0.1,
+                       at: Column | None = None, stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Next pending datasets by priority through ``ingest``; returns results and the stored registry."""
+    batch = materialise(priority_batch(registry, n, priority).select("dataset_id"), "batch")
+    return run_selected(batch, raw, registry, path, threshold, now() if at is None else at, stage_path)
+
+
+def now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from statlake.functions import scalars as S, timecode as TC
-from statlake.operators import analytics as A, infer as I, search as SE
+from statlake.operators import analytics as A, infer as I, registry as G, search as SE
 from statlake.plans import jobs as J, views as V
 from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
@@ -339,9 +339,10 @@ def show_partitions(spark, sf):
     return W.show_partitions(spark, table)
 
 
-@query("s27_file_inventory")
+@query("s27_file_inventory", "", "SELECT count(*) AS record_count, true AS sizes_known FROM lineitem")
 def file_inventory(spark, sf):
-    return W.file_inventory(V.table(spark, sf, "lineitem"))
+    files = W.file_inventory(V.table(spark, sf, "lineitem"))
+    return files.agg(F.sum("record_count").alias("record_count"), F.bool_and(F.col("file_size_in_bytes") > 0).alias("sizes_known"))
 
 
 @query("s28_load_history", "obs", """SELECT 'd' || lpad(CAST(year - 1990 AS VARCHAR), 2, '0') AS domain, count(*) AS record_count, year AS first_year, year AS last_year, CAST(1 AS BIGINT) AS partitions FROM obs GROUP BY year""")
@@ -433,15 +434,44 @@ _LANDED = """CASE CAST(dataset_id[3:] AS INT) % 3 WHEN 0 THEN 'labor' WHEN 1 THE
 @query("e01_ingest", "obs", f"""SELECT dataset_id, {_LANDED} AS domain, CASE WHEN count(*) FILTER (region_code = '') / count(*) <= 0.05 THEN 'success' ELSE 'failed' END AS status,
  CASE WHEN count(*) FILTER (region_code = '') / count(*) <= 0.05 THEN count(*) ELSE 0 END AS records FROM obs WHERE CAST(dataset_id[3:] AS INT) % 4 <> 0 GROUP BY dataset_id""")
 def ingest(spark, sf):
-    return J.ingest(V.raw_obs(spark, sf), landed_registry(spark, sf), scratch_path(spark, "lake"), 0.05)
+    return J.ingest(V.raw_obs(spark, sf), landed_registry(spark, sf), scratch_path(spark, "lake"), 0.05).drop("start_stage", "error_message")
 
 
-@query("e02_ingest_complete", "raw_obs", "SELECT 'X1' AS dataset_id, count(*) AS total, count(*) > 0 AND false AS passed FROM raw_obs")
+_AT = "2002-02-02T00:00:00"
+_BLANK = "count(*) FILTER (region_code = '') / count(*) <= 0.05"
+
+
+@query("e01_ingest_resumed", "obs", f"""SELECT dataset_id, CASE WHEN loaded OR good THEN 'completed' ELSE 'failed' END AS status, CASE WHEN loaded THEN '2001-01-01T00:00:00' ELSE '{_AT}' END AS transformation_date,
+ CASE WHEN loaded THEN '2001-01-01T00:00:00' WHEN good THEN '{_AT}' END AS load_date, CASE WHEN NOT loaded AND NOT good THEN 'validate' END AS resumed_at, CASE WHEN NOT loaded AND good THEN n ELSE 0 END AS stored
+ FROM (SELECT dataset_id, CAST(dataset_id[3:] AS INT) % 4 = 0 AS loaded, {_BLANK} AS good, count(*) AS n FROM obs GROUP BY 1)""")
+def ingest_resumed(spark, sf):
+    """Registry and stored rows after three runs: one, the same again as after a crash, and one on the stamped registry."""
+    path, staged = scratch_path(spark, "lake"), scratch_path(spark, "stage")
+    raw, before = V.raw_obs(spark, sf), landed_registry(spark, sf)
+    J.ingest(raw, before, path, 0.05, staged)
+    first, after = J.run_selected(before, raw, before, path, 0.05, F.lit(_AT), staged)
+    second, last = J.run_selected(after, raw, after, path, 0.05, F.lit("2003-03-03T00:00:00"), staged)
+    stored = spark.read.parquet(path).groupBy("dataset_id").agg(F.count("*").alias("stored"))
+    resumed = second.select("dataset_id", F.col("start_stage").alias("resumed_at"))
+    out = last.join(resumed, "dataset_id", "left").join(stored, "dataset_id", "left")
+    return out.select("dataset_id", "status", "transformation_date", "load_date", "resumed_at", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
+@query("e02_ingest_complete", "raw_obs", """SELECT 'X1' AS dataset_id, count(*) AS total, count(*) > 0 AND false AS passed, CAST(0 AS BIGINT) AS stored FROM raw_obs
+ UNION ALL SELECT 'X2', count(DISTINCT coalesce(attr_area, '')), true, count(DISTINCT coalesce(attr_area, '')) FROM raw_obs""")
 def ingest_complete(spark, sf):
-    path = scratch_path(spark, "landed")
-    raw_columns(spark, sf).drop("dataset_id").toDF("@id", "@area", "@time", "@cat01", "@unit", "$").write.json(path)
-    gate = J.ingest_complete(spark, path, "population", "X1", scratch_path(spark, "population"), fresh("population"), multi_line=False)
-    return gate.select("dataset_id", "total", "passed")
+    """A dataset with repeated keys stays out of its table, one with a row per region goes in."""
+    raw, names = raw_columns(spark, sf).drop("dataset_id"), ["@id", "@area", "@time", "@cat01", "@unit", "$"]
+    regions = raw.groupBy(F.coalesce("attr_area", F.lit("")).alias("@area")).agg(F.min("attr_id").alias("@id")).select(
+        "@id", "@area", F.lit("2000").alias("@time"), F.lit("c").alias("@cat01"), F.lit("u").alias("@unit"), F.lit("1").alias("$"))
+    out = []
+    for dataset_id, rows in (("X1", raw.toDF(*names)), ("X2", regions)):
+        path, name = scratch_path(spark, "landed"), fresh("population")
+        rows.write.json(path)
+        gate = J.ingest_complete(spark, path, "population", dataset_id, scratch_path(spark, "population"), name, multi_line=False)
+        stored = spark.table(name).groupBy("dataset_id").agg(F.count("*").alias("stored"))
+        out.append(gate.join(stored, "dataset_id", "left").select("dataset_id", "total", "passed", F.coalesce("stored", F.lit(0)).alias("stored")))
+    return out[0].unionByName(out[1])
 
 
 @query("e03_ingest_dynamic", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, attr_area AS area, attr_cat01 AS category_01, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
@@ -456,12 +486,24 @@ def priority_build(spark, sf):
     return audit.select("dataset_id", F.col("total").cast("bigint").alias("total"), "received", "complete")
 
 
-@query("e06_run_batch", "raw_obs", """SELECT count(*) AS total, count(*) FILTER (d % 4 = 0) + (SELECT count(*) FROM (SELECT d FROM ds WHERE d % 4 <> 0 AND d % 10 + 1 >= 6 ORDER BY d % 10 DESC, d LIMIT 8)) AS completed,
- CAST(0 AS BIGINT) AS failed FROM ds""".replace("FROM ds WHERE", "FROM (SELECT DISTINCT CAST(dataset_id[3:] AS INT) AS d FROM raw_obs) WHERE").replace("FROM ds", "FROM (SELECT DISTINCT CAST(dataset_id[3:] AS INT) AS d FROM raw_obs)"))
+_BATCH = f"""ds AS (SELECT dataset_id, CAST(dataset_id[3:] AS INT) AS d, {_BLANK} AS good, count(*) AS n FROM obs GROUP BY dataset_id),
+ b AS (SELECT * FROM ds WHERE d % 4 <> 0 AND d % 10 + 1 >= 6 ORDER BY d % 10 DESC, d LIMIT 8)"""
+
+
+@query("e06_run_batch", "obs", f"""WITH {_BATCH} SELECT count(*) AS total, count(*) FILTER (d % 4 = 0) + (SELECT count(*) FILTER (good) FROM b) AS completed, (SELECT count(*) FILTER (NOT good) FROM b) AS failed FROM ds""")
 def run_batch(spark, sf):
     r = landed_registry(spark, sf)
-    _, progress = J.run_batch(r, V.raw_obs(spark, sf), r, scratch_path(spark, "batch"), 8, priority_min=6)
-    return progress.select("total", "completed", "failed")
+    _, after = J.run_batch(r, V.raw_obs(spark, sf), r, scratch_path(spark, "batch"), 8, 0.05, priority_min=6)
+    return G.progress_percent(after).select("total", "completed", "failed")
+
+
+@query("e07_priority_ingest", "obs", f"""WITH {_BATCH} SELECT dataset_id, CASE WHEN good THEN 'completed' ELSE 'failed' END AS status, CASE WHEN good THEN '{_AT}' END AS load_date, CASE WHEN good THEN n ELSE 0 END AS stored FROM b""")
+def priority_ingest(spark, sf):
+    path = scratch_path(spark, "batch")
+    results, after = J.run_priority_batch(V.raw_obs(spark, sf), landed_registry(spark, sf), path, 8, 6, 0.05, F.lit(_AT))
+    stored = spark.read.parquet(path).groupBy("dataset_id").agg(F.count("*").alias("stored"))
+    out = after.join(results.select("dataset_id"), "dataset_id", "left_semi").join(stored, "dataset_id", "left")
+    return out.select("dataset_id", "status", "load_date", F.coalesce("stored", F.lit(0)).alias("stored"))
 
 
 @query("e07_priority_batch", "registry", "SELECT dataset_id, priority, 'processing' AS status FROM registry WHERE status = 'pending' AND priority >= 4 ORDER BY priority DESC, seq LIMIT 5")

@@ -252,7 +252,7 @@ def candidate_selection(spark, sf):
     return select_diverse(C.selection_candidates(V.listing(spark, sf), max_records=5000), 35).select("dataset_id", "priority", "stage")
 
 
-@query("k28_preview")
+@query("k28_preview", "catalog", "SELECT dataset_id, title FROM catalog WHERE domain = 'labor' AND ingestion_status = 'success' ORDER BY dataset_id LIMIT 1000")
 def preview(spark, sf):
     return C.preview(V.catalog(spark, sf), {"domain": "labor", "ingestion_status": "success"}).select("dataset_id", "title")
 

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",     # top-n per group cuts each input task
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from statlake.functions.safe import to_int
@@ -121,6 +122,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
      .partitionBy(*partition_by).parquet(path))
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a Parquet folder; none where the folder has not been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def register_datasets(rows: DataFrame, table: str) -> DataFrame:
     """Insert inventory rows whose required fields are filled; returns the rejected rows."""
     ok = F.lit(True)
