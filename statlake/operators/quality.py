@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from statlake.functions.safe import to_double
+from statlake.operators.ranking import exact_percentiles
 from statlake.schemas import get_domain, get_schema
 
 RESULT = ["dataset_id", "check_type", "status", "expected", "actual", "difference"]
@@ -163,6 +164,13 @@ def reconcile_schema(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return j.withColumn("issue", issue).filter(F.col("issue").isNotNull())
 
 
+def column_sets(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """(dataset_id, column) rows of two sides: each once, as ``both``, ``missing`` (expected only) or ``extra``."""
+    sides = actual.select("dataset_id", "column", F.lit(True).alias("a")).unionByName(expected.select("dataset_id", "column", F.lit(False).alias("a")))
+    one = sides.groupBy("dataset_id", "column").agg(F.bool_or("a").alias("has"), F.bool_and("a").alias("only"))
+    return one.select("dataset_id", "column", F.when(F.col("only"), "extra").when(F.col("has"), "both").otherwise("missing").alias("side"))
+
+
 def reconcile_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     counts = df.groupBy("dataset_id").agg(F.count("*").alias("expected"), *[F.count(c).alias(c) for c in columns])
     total = reduce(lambda a, b: a + b, [F.col("expected") - F.col(c) for c in columns])
@@ -208,18 +216,18 @@ def validation_report(results: DataFrame) -> DataFrame:
 def quality_score(facts: DataFrame, as_of_year: int) -> DataFrame:
     """Completeness, continuity of the year series, timeliness and outlier share per dataset, and a 0..100 score.
 
-    Outliers lie beyond 1.5 interquartile ranges. The quartiles are approximate
-    (bounded memory per group); every row is then tested against them.
+    Outliers lie beyond 1.5 interquartile ranges of the exact quartiles; every row is tested against them.
     """
     v = F.col("value")
     shape = facts.groupBy("dataset_id").agg(
-        F.count("*").alias("records"), F.count("value").alias("filled"), F.percentile_approx(v, [0.25, 0.75], 10000).alias("q"),
+        F.count("*").alias("records"), F.count("value").alias("filled"),
         F.countDistinct("year").alias("years"), F.min("year").alias("a"), F.max("year").alias("b"))
-    fence = shape.select("dataset_id", (F.col("q")[0] - (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("lo"),
-                         (F.col("q")[1] + (F.col("q")[1] - F.col("q")[0]) * 1.5).alias("hi"))
+    quartiles = exact_percentiles(facts, "dataset_id", "value", [0.25, 0.75], interpolate=False)
+    q = [F.max(F.when(F.col("point") == x, F.col("value"))) for x in (0.25, 0.75)]
+    fence = quartiles.groupBy("dataset_id").agg((q[0] - (q[1] - q[0]) * 1.5).alias("lo"), (q[1] + (q[1] - q[0]) * 1.5).alias("hi"))
     outside = (facts.join(fence, "dataset_id").groupBy("dataset_id")
                .agg(F.count_if((v < F.col("lo")) | (v > F.col("hi"))).alias("outliers")))
-    j = shape.join(outside, "dataset_id")
+    j = shape.join(outside, "dataset_id", "left").withColumn("outliers", F.coalesce("outliers", F.lit(0)))
     completeness = F.col("filled") / F.col("records")
     continuity = F.col("years") / (F.col("b") - F.col("a") + 1)
     timeliness = F.greatest(F.lit(0.0), F.lit(1.0) - F.greatest(F.lit(as_of_year) - F.col("b"), F.lit(0)) / 10.0)

@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from statlake.session import materialise
+
+
+
+SALTS = 64
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rn") -> DataFrame:
     """First ``n`` rows of every group, numbered from 1.
 
     The planner keeps ``n`` rows per group in every input task before the
-    shuffle, so a hot group never travels whole. It does so for ``n`` below
+    shuffle, so a hot group never travels whole; it does so for ``n`` below
     ``spark.sql.optimizer.windowGroupLimitThreshold``, which the session raises.
+    What many input tasks keep of one group meets in pieces by input task
+    first; any split into pieces gives the same result.
     """
+    piece = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    kept = (df.withColumn("_salt", F.spark_partition_id() % SALTS).withColumn("_piece", F.row_number().over(piece))
+            .filter(F.col("_piece") <= n).drop("_salt", "_piece"))
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    return kept.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
 def first_of(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
@@ -93,39 +103,37 @@ def status_transitions(events: DataFrame) -> DataFrame:
 
 # --- exact percentiles -------------------------------------------------------------------------
 
-def exact_percentiles(df: DataFrame, group: str, value: str, points: list[float], accuracy: int = 10000) -> DataFrame:
-    """Exact percentiles with linear interpolation, one row per group and point.
+def exact_percentiles(df: DataFrame, group: str, value: str, points: list[float], blocks: int | None = None, interpolate: bool = True) -> DataFrame:
+    """Exact percentiles, one row per group and point: interpolated, or else the first value that reaches the share.
 
     The built-in exact aggregate holds all distinct values of a group in one
-    buffer. Here an approximate pass with a guaranteed rank error brackets each
-    wanted rank; the rows below a bracket are only counted, and only the
-    distinct values inside the brackets (a few per ``accuracy``) are ranked.
+    buffer. Here the distinct values are counted, range-partitioned over all
+    groups and written; a group's ranks run through its blocks by one total per
+    block, and only blocks that hold a wanted rank are ordered. A task thus
+    holds one block, whose size is the data over the number of blocks
+    (``blocks``, else the session's shuffle partitions), however large a group is.
     """
     rows = df.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("v"))
-    slack = 2.0 / accuracy
-    lows = [max(0.0, p - slack) for p in points]
-    highs = [min(1.0, p + slack) for p in points]
-    marks = rows.groupBy(group).agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-        F.percentile_approx("v", lows, accuracy).alias("a"), F.percentile_approx("v", highs, accuracy).alias("b"))
-    few = F.col("n") <= accuracy          # ranks of small groups need no bracket
-    brackets = marks.select(group, "n", F.explode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.when(few | F.lit(p <= slack), F.col("lo")).otherwise(F.col("a")[i]).alias("a"),
-                 F.when(few | F.lit(p >= 1 - slack), F.col("hi")).otherwise(F.col("b")[i]).alias("b")) for i, p in enumerate(points)])).alias("x")
-    ).select(group, "n", "x.*")
     counted = rows.groupBy(group, "v").agg(F.count("*").alias("c"))
-    hit = counted.join(brackets, group).filter(F.col("v") <= F.col("b"))
-    below = hit.groupBy(group, "p").agg(F.coalesce(F.sum(F.when(F.col("v") < F.col("a"), F.col("c"))), F.lit(0)).alias("below"))
-    inside = hit.filter(F.col("v") >= F.col("a"))
-    w = Window.partitionBy(group, "p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("upto", F.sum("c").over(w)).join(below, [group, "p"])
+    cut = counted.repartitionByRange(blocks, group, "v") if blocks else counted.repartitionByRange(group, "v")
+    cut = materialise(cut.withColumn("block", F.spark_partition_id()), "ranked")      # block numbers must not change
+    sums = cut.groupBy(group, "block").agg(F.sum("c").alias("size"))
+    of_group = Window.partitionBy(group)
+    upto = F.sum("size").over(of_group.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sums = sums.select(group, "block", "size", (upto - F.col("size")).alias("before"), F.sum("size").over(of_group).alias("n"))
     # Positions are zero-based: the value at position i is the first with cumulative count above i.
-    pos = F.col("p") * (F.col("n") - 1)
-    last = F.col("below") + F.col("upto")
+    p = F.col("p")
+    exact = p * (F.col("n") - 1) if interpolate else F.greatest(F.ceil(p * F.col("n")) - 1, F.lit(0)).cast("double")
+    wanted = (sums.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in points])))
+              .withColumn("pos", exact).withColumn("i", F.floor("pos")).withColumn("j", F.ceil("pos"))
+              .filter((F.col("before") <= F.col("j")) & (F.col("i") < F.col("before") + F.col("size"))))
+    w = Window.partitionBy(group, "block").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cut.join(wanted.select(group, "block").distinct(), [group, "block"], "left_semi").withColumn("last", F.sum("c").over(w))
+    hit = ranked.join(wanted, [group, "block"])
+    last = F.col("before") + F.col("last")
     first = last - F.col("c")
 
     def at(i):
-        return F.max(F.when((first <= i) & (i < last), F.col("v")))
-    picked = ranked.groupBy(group, "p", "n").agg(at(F.floor(pos)).alias("x"), at(F.ceil(pos)).alias("y"))
-    part = F.col("p") * (F.col("n") - 1) - F.floor(F.col("p") * (F.col("n") - 1))
-    return picked.select(group, F.col("p").alias("point"), (F.col("x") + (F.col("y") - F.col("x")) * part).alias("value"))
+        return F.max(F.when((first <= F.col(i)) & (F.col(i) < last), F.col("v")))
+    picked = hit.groupBy(group, "p", "pos").agg(at("i").alias("x"), at("j").alias("y"))
+    return picked.select(group, p.alias("point"), (F.col("x") + (F.col("y") - F.col("x")) * (F.col("pos") - F.floor("pos"))).alias("value"))

@@ -7,10 +7,14 @@ the task that reads the document, so what is shuffled is the distinct n-grams.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from statlake.functions.text import char_ngrams
 from statlake.operators.ranking import top_per_group
+from statlake.session import materialise
+from statlake.sources.sinks import write_typed
 
 
 def gram_counts(docs: DataFrame, key: str, text: Column, sizes) -> DataFrame:
@@ -47,6 +51,36 @@ def tfidf_search(docs: DataFrame, key: str, text: Column, query: str, k: int = 1
     return hits.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
+def build_index(docs: DataFrame, key: str, text: Column, path: str, sizes=(2, 3), buckets: int = 64) -> None:
+    """Write postings (bucket, gram, key, weight, idf) of documents whose vectors have length one.
+
+    Postings are cut into ``buckets`` folders by n-gram, so a query reads the folders of its own n-grams only.
+    """
+    counts = materialise(gram_counts(docs, key, text, sizes), "grams")
+    weighted = counts.join(inverse_frequencies(counts, docs), "gram").select(key, "gram", "idf", (F.col("tf") * F.col("idf")).alias("w"))
+    lengths = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
+    postings = weighted.join(lengths, key).select(_bucket(F.col("gram"), buckets).alias("bucket"), "gram", key, (F.col("w") / F.col("l")).alias("weight"), "idf")
+    write_typed(postings, path, ["bucket"])
+
+
+def search_index(spark: SparkSession, path: str, key: str, query: str, k: int = 10, sizes=(2, 3), buckets: int = 64) -> DataFrame:
+    """(rank, key, score) of the top k documents of an index; scores equal in nine places rank by key."""
+    q = query.lower()
+    tf = Counter(q[i:i + n] for n in sizes for i in range(len(q) - n + 1))
+    terms = spark.createDataFrame(sorted(tf.items()), "gram string, tf long").withColumn("bucket", _bucket(F.col("gram"), buckets))
+    own = [r["bucket"] for r in terms.select("bucket").distinct().collect()]          # n-grams of one query
+    hits = spark.read.parquet(path).filter(F.col("bucket").isin(own) & F.col("gram").isin(list(tf)))
+    weight = F.try_element_at(F.create_map(*[F.lit(x) for kv in sorted(tf.items()) for x in kv]), F.col("gram")) * F.col("idf") if tf else F.lit(0.0)
+    length = hits.groupBy("gram").agg(F.max(weight).alias("w")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l")).scalar()
+    score = F.round(F.sum(F.col("weight") * weight) / length, 9)
+    best = hits.groupBy(key).agg(score.alias("score")).orderBy(F.desc("score"), key).limit(k)
+    return best.select(F.row_number().over(Window.orderBy(F.desc("score"), key)).alias("rank"), key, "score")
+
+
+def _bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+
 def tfidf_keywords(docs: DataFrame, key: str, text: Column, k: int = 10, sizes=(2, 3, 4), features: int = 1000) -> DataFrame:
     """Best n-grams of every document among the ``features`` most frequent n-grams of the corpus."""
     counts = gram_counts(docs, key, text, sizes)

@@ -10,6 +10,7 @@ from statlake.operators.ranking import select_diverse
 from statlake.plans import views as V
 from statlake.plans.mapping_queries import CANDIDATE_SQL, SELECTION_SQL
 from statlake.plans.registered import query
+from statlake.session import materialise, scratch_path
 
 QUERIES = ["人口 統計", "労働", "経済", "医療 病院", "the", "雇用", "総合データ"]
 # What each query expands to, written out for the check: (query, position, word).
@@ -147,15 +148,22 @@ def register_entries(spark, sf):
                       "record_count", F.size("column_names").cast("bigint").alias("columns"), F.size("keywords").cast("bigint").alias("keywords"))
 
 
-@query("k02_extended_entries", "catalog raw_obs", """SELECT dataset_id, title, 'year' AS partition_fields, 0::BIGINT AS null_value, CASE WHEN priority = 1 THEN 'failed' ELSE 'success' END AS ingestion_status FROM catalog""")
+@query("k02_extended_entries", "raw_obs", """SELECT dataset_id, max(attr_cat01) AS title, 'attr_area' AS partition_fields, count(*) FILTER (attr_area IS NULL) AS null_areas, count(DISTINCT attr_area) AS distinct_areas,
+ CASE WHEN count(*) FILTER (attr_area IS NULL) > 0 THEN 'failed' ELSE 'success' END AS ingestion_status FROM raw_obs GROUP BY 1""")
 def extended_entries(spark, sf):
-    c = V.catalog(spark, sf).select("dataset_id", "title", "priority")
-    schema = c.select("dataset_id", F.explode(F.array(F.lit("year"), F.lit("value"))).alias("name")).withColumn("is_partition", F.col("name") == "year")
-    profile = c.select("dataset_id", F.lit("value").alias("column"), F.lit(0).cast("bigint").alias("null_count"), F.lit(5).cast("bigint").alias("distinct_count"))
-    runs = c.filter("priority = 1").select("dataset_id", F.lit("failed").alias("ingestion_status"), F.lit(1.5).alias("ingestion_duration_seconds"))
-    out = C.extended_entries(c, schema, profile, runs)
+    """Null and distinct counts of every dataset's columns, its partition and its status from the raw rows."""
+    raw = V.raw_obs(spark, sf)
+    cells = raw.select("dataset_id", F.explode(F.array(*[F.struct(F.lit(x).alias("column"), F.col(x).alias("v")) for x in ("attr_area", "attr_cat01")])).alias("x"))
+    values = cells.groupBy("dataset_id", "x.column", "x.v").agg(F.count("*").alias("n"))
+    profile = materialise(values.groupBy("dataset_id", "column").agg(
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"), F.count("v").alias("distinct_count")), "profile")
+    schema = profile.select("dataset_id", F.col("column").alias("name"), (F.col("column") == "attr_area").alias("is_partition"))
+    runs = profile.filter("column = 'attr_area'").select("dataset_id", F.when(F.col("null_count") > 0, "failed").alias("ingestion_status"))
+    entries = raw.groupBy("dataset_id").agg(F.max("attr_cat01").alias("title"))
+    out = C.extended_entries(entries, schema, profile, runs)
     return out.select("dataset_id", "title", F.concat_ws("|", "partition_fields").alias("partition_fields"),
-                      F.try_element_at("null_counts", F.lit("value")).alias("null_value"), "ingestion_status")
+                      F.try_element_at("null_counts", F.lit("attr_area")).alias("null_areas"),
+                      F.try_element_at("distinct_counts", F.lit("attr_area")).alias("distinct_areas"), "ingestion_status")
 
 
 @query("k01_replace_by_id", "catalog", """SELECT dataset_id, CASE WHEN priority = 3 THEN 'new title' ELSE title END AS title FROM catalog UNION ALL SELECT 'x' || dataset_id, title FROM catalog WHERE priority = 4""")
@@ -172,7 +180,8 @@ def update_status(spark, sf):
     c = V.catalog(spark, sf)
     changes = c.filter("priority = 2").select("dataset_id", F.lit("failed").alias("ingestion_status"), F.lit("late").alias("ingestion_error"))
     extra = spark.createDataFrame([("unknown", "failed", "late")], changes.schema)
-    return C.update_status(c, changes.unionByName(extra)).select("dataset_id", "ingestion_status", "ingestion_error")
+    old = materialise(c, "catalog")
+    return materialise(C.update_columns(old, changes.unionByName(extra)), "catalog").select("dataset_id", "ingestion_status", "ingestion_error")
 
 
 @query("k15_catalog_statistics", "catalog", """SELECT 'status' AS "group", ingestion_status AS name, count(*)::DOUBLE AS value FROM catalog GROUP BY 2 UNION ALL SELECT 'domain', domain, count(*) FROM catalog GROUP BY 2
@@ -293,10 +302,13 @@ def _tfidf(spark, sf, k):
     return TF.tfidf_search(V.catalog(spark, sf), "dataset_id", _search_text(), "労働力調査", k)
 
 
-@query("k24_tfidf_search", "catalog", _TFIDF_SQL + " SELECT round(s, 6) AS score, count(*) AS datasets FROM r GROUP BY 1")
+@query("k24_tfidf_search", "catalog", _TFIDF_SQL + """ SELECT CAST(row_number() OVER (ORDER BY round(s, 9) DESC, dataset_id) AS INT) AS rank, dataset_id, round(s, 6) AS score
+ FROM r ORDER BY rank LIMIT 100""")
 def tfidf_search(spark, sf):
-    hits = TF.tfidf_search(V.catalog(spark, sf), "dataset_id", _search_text(), "労働力調査", 2 ** 31 - 1)
-    return hits.groupBy(F.round("score", 6).alias("score")).agg(F.count("*").alias("datasets"))
+    path = scratch_path(spark, "index")
+    TF.build_index(V.catalog(spark, sf).select("dataset_id", _search_text().alias("text")), "dataset_id", F.col("text"), path)
+    hits = TF.search_index(spark, path, "dataset_id", "労働力調査", 100)
+    return hits.withColumn("score", F.round("score", 6))
 
 
 @query("k25_tfidf_keywords", "catalog", f"""WITH docs AS (SELECT dataset_id AS k, regexp_replace(lower(title || ' ' || description), '[\\s\\x{{0085}}\\x{{00A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]{{2,}}', ' ', 'g') AS t FROM catalog), {_GRAMS}

@@ -116,11 +116,11 @@ def test_lag_by_blocks(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("accuracy", [20, 100, 10000])
-def test_exact_percentiles(spark, accuracy):
+@pytest.mark.parametrize("blocks", [None, 1, 50])
+def test_exact_percentiles(spark, blocks):
     rows, df = skewed(spark, 3000)
     points = [0.0, 0.5, 0.95, 0.99, 1.0]
-    got = {(r["k"], r["point"]): r["value"] for r in R.exact_percentiles(df, "k", "v", points, accuracy).collect()}
+    got = {(r["k"], r["point"]): r["value"] for r in R.exact_percentiles(df, "k", "v", points, blocks).collect()}
     by = {}
     for k, _, _, v in rows:
         by.setdefault(k, []).append(v)
@@ -135,6 +135,15 @@ def test_known_percentiles(spark):
     assert got == pytest.approx([25.0, 42.75, 44.55])
 
 
+def test_percentile_blocks_stay_small(spark):
+    """A task of the ranking holds one block: its share of the values, not of the group."""
+    df = spark.range(200000).select(F.lit("one").alias("k"), F.col("id").cast("double").alias("v"))
+    got = R.exact_percentiles(df, "k", "v", [0.25, 0.999], 40)
+    assert {r["point"]: r["value"] for r in got.collect()} == pytest.approx({0.25: 49999.75, 0.999: 199799.001})
+    cut = df.groupBy("k", "v").count().repartitionByRange(40, "k", "v")
+    assert cut.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 3 * 200000 / 40
+
+
 def test_select_diverse(spark):
     rows = [("a1", "x", 0, 9, 1), ("a2", "x", 0, 8, 2), ("a3", "x", 0, 7, 3), ("b1", "y", 1, 5, 4), ("c1", "z", 2, 6, 5), ("a1", "z", 2, 9, 1)]
     df = spark.createDataFrame(rows, "dataset_id string, domain string, domain_seq int, priority int, seq int")
