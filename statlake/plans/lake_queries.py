@@ -282,11 +282,16 @@ def time_partitions(spark, sf):
     return spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
 
 
-@query("s18_partition_decision", "raw_obs", "SELECT false AS partitioned, count(*) AS rows FROM raw_obs")
+@query("s18_partition_decision", "raw_obs", """SELECT 'all' AS part, count(*) FILTER (attr_time IS NULL OR length(attr_time) < 4) = 0 AS partitioned, count(*) AS rows FROM raw_obs
+ UNION ALL SELECT 'timed', true, count(*) FROM raw_obs WHERE length(attr_time) >= 4""")
 def partition_decision(spark, sf):
-    path = scratch_path(spark, "decided")
-    ok = W.create_from_raw(raw_columns(spark, sf), path)
-    return spark.read.parquet(path).agg(F.lit(ok).alias("partitioned"), F.count("*").alias("rows"))
+    """All rows, of which some have a short time code, and those with a code long enough."""
+    raw, out = V.raw_obs(spark, sf), []
+    for part, rows in (("all", raw), ("timed", raw.filter(F.length("attr_time") >= 4))):
+        path = scratch_path(spark, "decision")
+        ok = W.create_from_raw(rows, path)
+        out.append(spark.read.parquet(path).agg(F.lit(part).alias("part"), F.lit(ok).alias("partitioned"), F.count("*").alias("rows")))
+    return out[0].unionByName(out[1])
 
 
 @query("s19_reload", "obs", "SELECT year, count(*) AS n FROM obs WHERE year >= 1999 GROUP BY 1")
@@ -362,12 +367,16 @@ def load_metadata(spark, sf):
 
 @query("s29_evolve", "catalog", "SELECT dataset_id, record_count::DOUBLE AS records, priority::BIGINT AS priority, CAST(NULL AS VARCHAR) AS note FROM catalog")
 def evolve(spark, sf):
+    """A column added in place; renames and types by a rewrite into a new table, which is read back."""
     c = V.catalog(spark, sf).select("dataset_id", "record_count", "priority")
-    path, table = scratch_path(spark, "evolve"), fresh("evolve")
-    spark.sql(W.ddl(table, c.schema, path))
+    table, changed = fresh("evolve"), fresh("evolved")
+    spark.sql(W.ddl(table, c.schema, scratch_path(spark, "evolve")))
     W.insert_rows(c, table)
     W.add_column(spark, table, "note", "string", "remark")
-    return W.evolve(spark.table(table), {"record_count": "records"}, {"record_count": "double", "priority": "bigint"})
+    rows = W.evolve(spark.table(table), {"record_count": "records"}, {"record_count": "double", "priority": "bigint"})
+    spark.sql(W.ddl(changed, rows.schema, scratch_path(spark, "evolved")))
+    W.insert_rows(rows, changed)
+    return spark.table(changed)
 
 
 @query("s31_register_inventory", "registry", "SELECT dataset_id, ingestion_status FROM (SELECT dataset_id, status AS ingestion_status FROM registry WHERE fetch_date IS NOT NULL)")
