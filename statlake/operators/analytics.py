@@ -128,8 +128,10 @@ def inventory_counts(inventory: DataFrame, tables: dict[str, DataFrame], by: lis
     """Row counts of tables beside every inventory row that names the table.
 
     A table is counted first; the inventory then joins the counts by table
-    name. The name is an aggregate, so it stays a join key instead of being
-    folded away (which would leave a nested-loop join).
+    name. By definition every inventory row of a table meets every group of it,
+    so the result is their product; the fact rows themselves do not take part.
+    The name is an aggregate so that the planner keeps an equi-join on it; the
+    adaptive engine broadcasts the counts where it measures them as small.
     """
     by = by or []
     counts = [df.groupBy(*by).agg(F.count("*").alias("record_count"), F.max(F.lit(name)).alias("table_name"))
