@@ -37,22 +37,27 @@ CHUNK = 50_000
 HASHES_AT_ONCE = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Signed 64-bit SimHash; counts bits over blocks of shingles, so memory is bounded by the text."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles of a text, in blocks."""
     raw = (text or "").encode("utf-8", "surrogatepass").lower().split()       # of bytes: A-Z, and space and U+0009 to U+000D
     if not raw:
-        return 0
+        return
     joined = b" ".join(raw)
     ends = np.cumsum([len(w) + 1 for w in raw]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(raw) - shingle + 1)
     first, last = starts[:n].tolist(), (ends[shingle - 1:] if len(raw) >= shingle else ends[-1:]).tolist()
-    counts = np.zeros(BITS, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, HASHES_AT_ONCE):
-        hashes = np.array([digest(joined[s:e], 42) for s, e in zip(first[at:at + HASHES_AT_ONCE], last[at:at + HASHES_AT_ONCE])],
-                          dtype="<u8")
+        yield np.array([digest(joined[s:e], 42) for s, e in zip(first[at:at + HASHES_AT_ONCE], last[at:at + HASHES_AT_ONCE])], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Signed 64-bit SimHash; counts bits over blocks of shingles, so memory is bounded by the text."""
+    counts, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, shingle):
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     bits = (counts * 2 > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
@@ -225,9 +230,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, count: int = SEGMENTS
 
 
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the least id; of repeated rows one, null ids last."""
+    """``docs`` with one row of each group of near copies: the one with the least id; of repeated rows one, null ids last.
+
+    Near copies are those of ``near_copies``: five-word shingles, similarity of 0.8 or more.
+    """
+    from statlake.llm import near_copies        # builds on this module
+
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("kept")
-    kept = grouped(docs, text=text).groupBy("root").agg(first).select(_row_key("kept.doc_id").alias("k_id"), F.col("kept.content").alias("k_content"))
+    kept = near_copies.grouped(docs, text).groupBy("root").agg(first).select(_row_key("kept.doc_id").alias("k_id"), F.col("kept.content").alias("k_content"))
     own, content = fresh(docs, "key"), fresh(docs, "content")
     rows = docs.withColumn(own, _row_key("doc_id")).withColumn(content, F.xxhash64(text_of(text)))
     return (rows.join(kept, (F.col(own) == F.col("k_id")) & (F.col(content) == F.col("k_content")), "left_semi")

@@ -166,3 +166,31 @@ def test_odd_vectors(spark):
     got = neighbours_of(spark, rows)
     assert [v for _, v, _ in got[0]] == [1, 8, 8, 50] and [v for _, v, _ in got[100]] == [101] and sorted(got) == [0, 50, 100]
     assert neighbours_of(spark, []) == {}
+
+
+def test_deduplicated_equals_brute_force(spark):
+    rng = random.Random(9)
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"e{rng.random()}"
+        return words
+
+    texts, vocabulary = [], [f"w{i}" for i in range(300)]
+    for n in (6, 24, 80, 300, 1500):                     # groups around the limit, edited copies of copies, and strays
+        for _ in range(6):
+            at = rng.choices(vocabulary, k=n)
+            texts += [" ".join(at), " ".join(rng.choices(vocabulary, k=n))]
+            for _ in range(10):
+                at = edited(at, rng.randint(0, max(1, n // 35)))
+                texts.append(" ".join(at))
+    rows = list(enumerate(texts)) + [(5_000, texts[0]), (5_001, "short one"), (5_002, "Short ONE"), (5_003, None), (5_004, " ")]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    near = [(i, j) for i in sets for j in sets if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = sorted(set(roots(list(sets), near).values()))
+    got = sorted(r.doc_id for r in simhash.deduplicated(docs_of(spark, rows)).collect())
+    assert len(texts) * 0.3 < len(want) < len(texts) * 0.8 and got == want
