@@ -9,7 +9,9 @@ is the rate; ``rate / (rate + threshold)`` the score.
 
 The lexicon, weights and threshold are learned from at most ``SAMPLE`` labelled rows of
 either class, chosen by a hash of the id: words and beginnings by the log odds of
-occurring in toxic documents, equal texts once; the threshold by the fewest errors.
+occurring in toxic documents, equal texts once; the threshold by the fewest errors. The
+number of entries has no limit of its own: an entry has at least ``STEM[0]`` letters and
+occurs in ``LEAST_DOCUMENTS`` toxic documents of the sample.
 
 Defined results: null and empty texts, and texts without words, score 0; of an id with
 several labels, toxic wins; rows with a null id are scored and not learned from;
@@ -36,7 +38,6 @@ from statlake.llm.common import text_of
 from statlake.session import materialise
 
 SAMPLE = 8_000                 # labelled rows of either class
-LEXICON = 2_000                # entries
 STEM = (3, 10)                 # letters of a beginning
 LEAST_DOCUMENTS, LEAST_ODDS, CAUTION = 3, 10.0, 1.5
 
@@ -149,8 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     odds = F.ln(t / (toxic + 1)) - F.ln(c / (clean + 1)) - CAUTION * F.sqrt(1 / t + 1 / c)
     found = (counts.filter(F.col("toxic") >= LEAST_DOCUMENTS).withColumn("weight", odds)
              .filter(F.col("weight") >= math.log(LEAST_ODDS))
-             .orderBy((F.col("weight") * F.col("toxic")).desc(), F.length(F.trim("entry")).desc(), F.length("entry"), "entry")
-             .limit(LEXICON).collect())
+             .orderBy((F.col("weight") * F.col("toxic")).desc(), F.length(F.trim("entry")).desc(), F.length("entry"), "entry").collect())      # as many as the sample has
     lexicon = Lexicon(selected([(r["entry"], r["weight"], r["toxic"]) for r in found]))
 
     def rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Toxicity and quality: folding, learning, and accuracy on rows held out."""
 
+import random
 import zlib
 
 import numpy as np
@@ -46,6 +47,22 @@ def test_toxicity_learned(spark):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_lexicon_keeps_rare_words_beside_many(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghmnopqrstuvwxyz", k=12)) for _ in range(290)]
+    common, rare = words[:260], words[260:]
+    ids = [i for i in range(2_200) if zlib.crc32(str(i).encode()) % 5]
+    toxic = {i: [f"n{i}"] for i in ids[:150]}
+    for word in words:
+        for i in rng.sample(ids[:150], 12 if word in common else 6):
+            toxic[i].append(word)
+    docs = spark.createDataFrame([(i, " ".join(toxic.get(i, ["fine", f"n{i}"])), "", 1) for i in ids], DOCS)
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    machine = lexicon.automaton()
+    assert all(lexicon.rate(machine, word) > 0 for word in common + rare)
+
+
 def held_out_rows(spark, sf, query, label):
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     return [(r, labels[r.doc_id]) for r in query.collect() if r.held_out and r.doc_id in labels]
