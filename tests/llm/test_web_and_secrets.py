@@ -57,6 +57,13 @@ def test_scores_equal_brute_force(spark):
         assert got[h] == pytest.approx((t[h], d[h]), abs=1e-8)
 
 
+def test_each_linker_of_a_blocked_host_is_blocked(spark):
+    rows = [("http://bad.net/es/1", None), *[(f"http://f{i}.org/", link("bad.net")) for i in range(30)], ("http://fine.org/", link("bad.net", "x.org", "y.org")),
+            ("http://good.com/", link("fine.org"))]
+    got = {v[0]: v[3] for v in judged(spark, rows).values()}
+    assert all(got[f"f{i}.org"] == "block" for i in range(30)) and got["fine.org"] == got["good.com"] == "allow"
+
+
 def test_no_pages(spark):
     assert url_filter.judge(spark.createDataFrame([], PAGES)).count() == 0
 
