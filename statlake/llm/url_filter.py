@@ -17,6 +17,7 @@ empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -81,10 +82,11 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, damping: float = 0.85,
-                tolerance: float = 1e-6, max_iterations: int = 50) -> DataFrame:
+                tolerance: float = 1e-6, max_iterations: int | None = None) -> DataFrame:
     """``host, trust, distrust, exposure`` at the fixed point of the propagations, to within ``tolerance``.
 
-    Every iteration is written to the shared folder and read back, so a lost
+    An iteration shrinks the sum of all changes by ``damping`` at least, which bounds
+    their number; it is an error to pass the bound (or ``max_iterations``). Every iteration is written to the shared folder and read back, so a lost
     executor costs one iteration at most; only the largest change reaches the driver.
     """
     verdict = F.col("found.verdict")
@@ -99,6 +101,9 @@ def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RU
         edges.join(links_out, "src").join(links_in, "dst")
         .select("src", "dst", (F.col("links") / F.col("out")).alias("forward"), (F.col("links") / F.col("in")).alias("backward")),
         "url-edges")
+    if max_iterations is None:
+        mass = seeds.agg(F.sum("trust0"), F.sum("distrust0"), F.lit(1.0)).first()
+        max_iterations = 2 + math.ceil(math.log(tolerance / max(x or 0.0 for x in mass)) / math.log(damping))
     zero = F.lit(0.0)
     scores = ("trust", "distrust", "exposure")
     own = seeds.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"), F.col("distrust0").alias("exposure"))
@@ -116,6 +121,8 @@ def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RU
         state = new.select("host", *scores)
         if change is None or change <= tolerance:
             break
+    else:
+        raise RuntimeError("scores did not settle")
     return state
 
 

@@ -64,6 +64,15 @@ def test_each_linker_of_a_blocked_host_is_blocked(spark):
     assert all(got[f"f{i}.org"] == "block" for i in range(30)) and got["fine.org"] == got["good.com"] == "allow"
 
 
+def test_scores_settle_on_cycles(spark):
+    rows = [("http://a.com/", link("b.com")), ("http://b.com/", link("a.com"))]
+    df = spark.createDataFrame([(i, u, h, "", "") for i, (u, h) in enumerate(rows)], PAGES)
+    edges = url_filter.host_edges(df)
+    assert all(r.trust == pytest.approx(1.0, abs=1e-5) for r in url_filter.host_scores(df, edges, damping=0.5).collect())
+    with pytest.raises(RuntimeError):
+        url_filter.host_scores(df, edges, max_iterations=3)
+
+
 def test_no_pages(spark):
     assert url_filter.judge(spark.createDataFrame([], PAGES)).count() == 0
 
