@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +39,21 @@ def fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int = 1) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Sorted batches cut where one of the first ``keys`` columns changes; the flag marks the first piece of a run."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        new[0] = last is None or any(c[0] != x for c, x in zip(columns, last))
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        ends = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        if ends[0] > 0:
+            yield False, batch.slice(0, ends[0])
+        yield from ((True, batch.slice(s, e - s)) for s, e in pairwise(ends))
+        last = [c[-1] for c in columns]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import chat, decontamination, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity, url_filter
+from statlake.llm import (chat, decontamination, line_dedup, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity,
+                          url_filter)
 from statlake.llm.common import LOWER, UPPER, table
 
 SHARDS = 24
@@ -64,11 +65,16 @@ def op10_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFr
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_perfect_hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_link_graph_url_filter, op2_blob_ledger_secrets, op3_lpt_shards, op4_incremental_chat_format, op5_pivotal_mix,
         op6_simhash_components, op7_winnowed_decontamination, op8_one_bit_neighbours, op9_lexicon_toxicity,
-        op10_positive_unlabelled_quality)
+        op10_positive_unlabelled_quality, op13_perfect_hash_lines)
 }
 
 
@@ -191,10 +197,24 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+_LINES_SQL = f"""
+WITH l AS MATERIALIZED (
+  SELECT rn, doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM (SELECT rn, doc_id, lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+        FROM (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+often AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= {line_dedup.LEAST_CHARS}
+          GROUP BY key HAVING count(DISTINCT rn) >= {line_dedup.LEAST_DOCS}),
+judged AS (SELECT rn, l.doc_id AS doc_id, pos, line, often.key IS NOT NULL AND l.doc_id IS DISTINCT FROM keeper AS dropped
+           FROM l LEFT JOIN often ON l.key = often.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY rn, doc_id"""
+
 ORACLES = {
     "op1_link_graph_url_filter": _url_sql(),
     "op2_blob_ledger_secrets": _secret_sql(),
     "op4_incremental_chat_format": _chat_sql(),
     "op7_winnowed_decontamination": _contamination_sql(),
     "op8_one_bit_neighbours": _NEAREST_SQL,
+    "op13_perfect_hash_lines": _LINES_SQL,
 }
