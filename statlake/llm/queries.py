@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import (chat, decontamination, line_dedup, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity,
+from statlake.llm import (chat, codebooks, decontamination, line_dedup, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity,
                           url_filter)
 from statlake.llm.common import LOWER, UPPER, table
 
@@ -65,6 +65,12 @@ def op10_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFr
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_member_resident_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codebooks.compressed(table(spark, sf_dir, "embeddings"))
+    return codebooks.with_label_error(coded).select(
+        "vec_id", codebooks.hex_code(F.col("code")).alias("code"), "error", "label_error", F.lit(codebooks.digest(books)).alias("codebooks_sha256"))
+
+
 def op13_perfect_hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.deduplicated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -74,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_link_graph_url_filter, op2_blob_ledger_secrets, op3_lpt_shards, op4_incremental_chat_format, op5_pivotal_mix,
         op6_simhash_components, op7_winnowed_decontamination, op8_one_bit_neighbours, op9_lexicon_toxicity,
-        op10_positive_unlabelled_quality, op13_perfect_hash_lines)
+        op10_positive_unlabelled_quality, op12_member_resident_codes, op13_perfect_hash_lines)
 }
 
 
@@ -210,11 +216,46 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY rn, doc_id"""
 
+def _codes_sql(parts: int = codebooks.PARTS, entries: int = codebooks.ENTRIES, rounds: int = codebooks.ROUNDS) -> str:
+    gap = "list_inner_product(p.part, p.part) - 2 * list_inner_product(p.part, b.part) + list_inner_product(b.part, b.part)"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT rn, pos, CAST(best[1] AS BIGINT) AS error, CAST(best[2] AS BIGINT) AS idx
+  FROM (SELECT rn, p.pos AS pos, min([{gap}, CAST(idx AS DOUBLE)]) AS best FROM p JOIN b{i} b ON p.pos = b.pos GROUP BY rn, p.pos))""")
+        if i < rounds:
+            steps.append(f"""
+b{i + 1} AS MATERIALIZED (
+  SELECT b.pos AS pos, b.idx AS idx, coalesce(m.part, b.part) AS part FROM b{i} b LEFT JOIN (
+    SELECT pos, idx, list(floor(total / n) ORDER BY k) AS part FROM (
+      SELECT pos, idx, k, sum(x) AS total, count(*) AS n
+      FROM (SELECT a.pos AS pos, a.idx AS idx, unnest(p.part) AS x, generate_subscripts(p.part, 1) AS k FROM a{i} a JOIN p ON a.rn = p.rn AND a.pos = p.pos)
+      GROUP BY pos, idx, k) GROUP BY pos, idx) m ON b.pos = m.pos AND b.idx = m.idx)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rn, vec_id, label,
+    list_transform(embedding, lambda x: floor({codebooks.SCALE} * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (
+  SELECT rn, pos, e[pos * (len(e) // {parts}) + 1:(pos + 1) * (len(e) // {parts})] AS part FROM (SELECT *, unnest(range({parts})) AS pos FROM v)),
+b0 AS MATERIALIZED (SELECT pos, rn - 1 AS idx, part FROM p WHERE rn <= {entries}),
+{', '.join(x.strip() for x in steps)},
+coded AS (
+  SELECT vec_id, label, code, error FROM v JOIN (
+    SELECT rn, string_agg(lower(lpad(hex(idx), 2, '0')), '' ORDER BY pos) AS code, CAST(sum(error) AS BIGINT) AS error FROM a{rounds} GROUP BY rn) c ON v.rn = c.rn),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY pos, idx, k)) AS h
+  FROM (SELECT pos, idx, unnest(part) AS x, generate_subscripts(part, 1) AS k FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded, books"""
+
+
 ORACLES = {
     "op1_link_graph_url_filter": _url_sql(),
     "op2_blob_ledger_secrets": _secret_sql(),
     "op4_incremental_chat_format": _chat_sql(),
     "op7_winnowed_decontamination": _contamination_sql(),
     "op8_one_bit_neighbours": _NEAREST_SQL,
+    "op12_member_resident_codes": _codes_sql(),
     "op13_perfect_hash_lines": _LINES_SQL,
 }
