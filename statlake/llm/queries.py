@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import (chat, codebooks, decontamination, line_dedup, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity,
+from statlake.llm import (chat, codebooks, decontamination, lexical, line_dedup, mixing, neighbours, quality, secret_scan, sharding, simhash, toxicity,
                           url_filter)
 from statlake.llm.common import LOWER, UPPER, table
 
@@ -65,6 +65,10 @@ def op10_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFr
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_member_resident_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = codebooks.compressed(table(spark, sf_dir, "embeddings"))
     return codebooks.with_label_error(coded).select(
@@ -80,7 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_link_graph_url_filter, op2_blob_ledger_secrets, op3_lpt_shards, op4_incremental_chat_format, op5_pivotal_mix,
         op6_simhash_components, op7_winnowed_decontamination, op8_one_bit_neighbours, op9_lexicon_toxicity,
-        op10_positive_unlabelled_quality, op12_member_resident_codes, op13_perfect_hash_lines)
+        op10_positive_unlabelled_quality, op11_nra_search, op12_member_resident_codes, op13_perfect_hash_lines)
 }
 
 
@@ -216,6 +220,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY rn, doc_id"""
 
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_SEARCH_SQL = f"""
+WITH d AS MATERIALIZED (SELECT * FROM (SELECT row_number() OVER () AS dn, doc_id, {_TERMS} AS ts FROM documents) WHERE len(ts) > 0),
+whole AS (SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS words FROM d),
+tf AS MATERIALIZED (SELECT dn, t, count(*) AS tf FROM (SELECT dn, unnest(ts) AS t FROM d) GROUP BY dn, t),
+asked AS (SELECT DISTINCT itn, item_id, t FROM (SELECT itn, item_id, unnest(ts) AS t FROM (
+  SELECT row_number() OVER () AS itn, item_id, {_TERMS} AS ts FROM benchmark))),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY t, docs),
+m AS (SELECT dn, doc_id, 100 - 50 + ((50 * len(ts) * docs) // words) AS m FROM d, whole),
+scored AS (
+  SELECT itn, item_id, tf.dn AS dn, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf ON asked.t = tf.t JOIN weight ON asked.t = weight.t JOIN m ON tf.dn = m.dn GROUP BY itn, item_id, tf.dn, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY itn ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= {lexical.K}"""
+
+
 def _codes_sql(parts: int = codebooks.PARTS, entries: int = codebooks.ENTRIES, rounds: int = codebooks.ROUNDS) -> str:
     gap = "list_inner_product(p.part, p.part) - 2 * list_inner_product(p.part, b.part) + list_inner_product(b.part, b.part)"
     steps = []
@@ -256,6 +276,7 @@ ORACLES = {
     "op4_incremental_chat_format": _chat_sql(),
     "op7_winnowed_decontamination": _contamination_sql(),
     "op8_one_bit_neighbours": _NEAREST_SQL,
+    "op11_nra_search": _SEARCH_SQL,
     "op12_member_resident_codes": _codes_sql(),
     "op13_perfect_hash_lines": _LINES_SQL,
 }
