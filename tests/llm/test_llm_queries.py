@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, con, sf, name):
 def test_all_are_registered():
     names = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf):
