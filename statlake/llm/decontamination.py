@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import ascii_lower, text_of
+from statlake.llm.common import ascii_lower, fresh, text_of
 from statlake.session import materialise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -222,14 +222,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, t
     sure = (possible.select("key", F.explode("hits").alias("h")).join(prints, F.col("h.hash") == F.col("hash"), "left_semi")
             .groupBy("key").agg(F.collect_list("h").alias("hits")))
     around = extended(possible.select("key", "text").join(sure, "key"))
-    met = materialise(around.join(windows, ["window", "length"]).select("key", "start", "length", "item_id"), "document-hits")
+    # A window of many items meets a place once; its items are taken once a text, not once a place.
+    met = materialise(around.join(windows.select("window", "length").distinct(), ["window", "length"], "left_semi"), "document-hits")
 
     spans = met.select("key", "start", (F.col("start") + F.col("length")).alias("end")).distinct()
     upto = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("end").over(upto), F.lit(0))
     covered = (spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reached)))
                .groupBy("key").agg(F.sum("new").alias("n_hit")))
-    items = met.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    held = met.select("key", "window", "length").distinct().join(windows, ["window", "length"])
+    items = held.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     by_text = materialise(covered.join(items, "key"), "contaminated-texts")      # a plain side: the join can split a text of many rows
     return read.select("id", "key", "n_words").join(by_text, "key", "left").select(
         F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -240,5 +242,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, t
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark passage."""
-    bad = contamination(docs, benchmark, text=text).filter("contaminated").select(F.col("text_sha256").alias("bad")).distinct()
-    return docs.join(bad, F.sha2(text_of(text).cast("binary"), 256) == F.col("bad"), "left_anti")
+    bad = fresh(docs, "bad")
+    digests = contamination(docs, benchmark, text=text).filter("contaminated").select(F.col("text_sha256").alias(bad)).distinct()
+    return docs.join(digests, F.sha2(text_of(text).cast("binary"), 256) == F.col(bad), "left_anti")

@@ -9,8 +9,9 @@ Hamming ball around its own values; whatever meets is compared in full.
 
 Copies are folded into one fingerprint before anything meets. What meets in a bucket
 is linked by a search that compares an undecided fingerprint only with those not yet
-reached, and leaves one link per fingerprint, not all pairs. Buckets beyond
-``CHUNK`` entries are cut into chunks that meet pairwise in tasks of their own.
+reached, and leaves one link per fingerprint, not all pairs. Stored and looked-up entries
+of buckets beyond ``CHUNK`` entries are cut into chunks that meet pairwise in tasks of
+their own.
 
 Defined results: null texts and texts without words have fingerprint zero and are
 linked like any other; fewer words than a shingle form one shingle; ``component_id``
@@ -145,15 +146,18 @@ def _links_of(groups: np.ndarray, fps: np.ndarray, stored: np.ndarray, radius: i
 def links(fps: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, chunk: int = CHUNK) -> DataFrame:
     """``a, b``: links between distinct ``fp`` that connect all pairs at distance up to ``radius``."""
     entries = fps.select("fp", F.inline(_keys(F.col("fp"), radius, count)))
-    large = (entries.filter("stored").groupBy("key").count().filter(F.col("count") > chunk)
-             .select("key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")))
-    own, all_chunks = F.pmod(F.xxhash64("fp"), "chunks").cast("int"), F.sequence(F.lit(0), F.col("chunks") - 1)
-    # A stored entry of chunk i goes to the tasks (i, j) and (j, i); a looked-up entry to all (i, i).
-    meets = F.when(F.col("stored"), F.array_distinct(F.concat(
-        F.transform(all_chunks, lambda j: F.greatest(own, j) * F.col("chunks") + F.least(own, j))))).otherwise(
-        F.transform(all_chunks, lambda j: j * F.col("chunks") + j))
-    split = (entries.join(large, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-             .select("key", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(meets)).alias("part"), "fp", "stored"))
+    kinds = entries.groupBy("key").agg(F.count_if("stored").alias("held"), F.count_if(~F.col("stored")).alias("asked"))
+    large = (kinds.filter((F.col("held") > 0) & (F.col("held") + F.col("asked") > chunk))
+             .select("key", F.ceil(F.col("held") / chunk).cast("int").alias("s"), F.greatest(F.lit(1), F.ceil(F.col("asked") / chunk)).cast("int").alias("q")))
+    large = materialise(large, "large-buckets")
+    mix, stored, asked = F.xxhash64("fp"), F.sequence(F.lit(0), F.col("s") - 1), F.sequence(F.lit(0), F.col("q") - 1)
+    own, at = F.pmod(mix, "s").cast("int"), F.pmod(mix, "q").cast("int")
+    # Chunks of stored entries meet each other, and each chunk of looked-up ones.
+    among = F.array_distinct(F.transform(stored, lambda j: F.greatest(own, j) * F.col("s") + F.least(own, j)))
+    tasks = F.when(F.col("s").isNull(), F.array(F.lit(0))).when(
+        F.col("stored"), F.concat(among, F.transform(asked, lambda j: F.col("s") * F.col("s") + own * F.col("q") + j))).otherwise(
+        F.transform(stored, lambda i: F.col("s") * F.col("s") + i * F.col("q") + at))
+    split = entries.join(large, "key", "left").select("key", F.explode(tasks).alias("part"), "fp", "stored")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(table):
@@ -161,20 +165,22 @@ def links(fps: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, chunk: in
             a, b = _links_of(order, table["fp"], table["stored"], radius)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-        held = None
+        held: list[dict[str, np.ndarray]] = []                # pieces of the last bucket, which may go on
         for batch in batches:
+            if not batch.num_rows:
+                continue
             new = {"key": batch.column(0).to_numpy(), "part": batch.column(1).to_numpy(), "fp": batch.column(2).to_numpy().view(np.uint64),        # bits of signed numbers are counted otherwise
                    "stored": batch.column(3).to_numpy(zero_copy_only=False)}
-            if not len(new["key"]):
-                continue
-            held = new if held is None else {k: np.concatenate([held[k], new[k]]) for k in new}
-            same = (held["key"] == held["key"][-1]) & (held["part"] == held["part"][-1])
-            cut = len(same) - int(same.sum())             # the last bucket may go on in the next batch
-            if cut:
-                yield emit({k: v[:cut] for k, v in held.items()})
-                held = {k: v[cut:] for k, v in held.items()}
-        if held is not None:
-            yield emit(held)
+            same = (new["key"] == new["key"][-1]) & (new["part"] == new["part"][-1])
+            cut = len(same) - int(same.sum())
+            goes_on = held and held[-1]["key"][-1] == new["key"][-1] and held[-1]["part"][-1] == new["part"][-1]
+            if cut or (held and not goes_on):
+                done = [*held, {k: v[:cut] for k, v in new.items()}]
+                yield emit({k: np.concatenate([d[k] for d in done]) for k in new})
+                held = []
+            held.append({k: v[cut:] for k, v in new.items()})
+        if held:
+            yield emit({k: np.concatenate([d[k] for d in held]) for k in held[0]})
 
     dealt = split.repartition("key", "part").sortWithinPartitions("key", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -197,11 +203,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges, mark = materialise(oriented(edges), "links"), None
     for _ in range(max_rounds):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        own = least(both).select("u", F.least("u", "m").alias("m"))
+        own = materialise(least(both).select("u", F.least("u", "m").alias("m")), "least-neighbours")       # a plain side: the join can split a hub
         star = both.filter("v > u").join(own, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         star = materialise(oriented(star), "large-star")
         down = star.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        low = least(down)
+        low = materialise(least(down), "least-below")
         small = down.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         edges = materialise(oriented(small), "small-star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -229,20 +235,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, count: int = SEGMENTS
     return rows.join(ids, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the least id; of repeated rows one, null ids last.
+def deduplicated(docs: DataFrame, radius: int = RADIUS, count: int = SEGMENTS, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the least id; of repeated rows one, null ids last.
 
-    Near copies are those of ``near_copies``: five-word shingles, similarity of 0.8 or more.
+    Shingles and distance are those of ``near_duplicates``.
     """
-    from statlake.llm import near_copies        # builds on this module
-
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("kept")
-    kept = near_copies.grouped(docs, text).groupBy("root").agg(first).select(_row_key("kept.doc_id").alias("k_id"), F.col("kept.content").alias("k_content"))
-    own, content = fresh(docs, "key"), fresh(docs, "content")
+    own, content, kept_own, kept_content = (fresh(docs, name) for name in ("key", "content", "kept_key", "kept_content"))
+    kept = grouped(docs, radius, count, text).groupBy("root").agg(first).select(
+        _row_key("kept.doc_id").alias(kept_own), F.col("kept.content").alias(kept_content))
+    kept = materialise(kept, "kept-rows")
     rows = docs.withColumn(own, _row_key("doc_id")).withColumn(content, F.xxhash64(text_of(text)))
-    return (rows.join(kept, (F.col(own) == F.col("k_id")) & (F.col(content) == F.col("k_content")), "left_semi")
+    return (rows.join(kept, (F.col(own) == F.col(kept_own)) & (F.col(content) == F.col(kept_content)), "left_semi")
             .dropDuplicates([own, content]).drop(own, content))
 
 
 def _row_key(doc_id: str) -> Column:
-    return F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    return F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit("null"))

@@ -5,6 +5,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -66,6 +67,19 @@ def test_pipeline_stages(spark, sf):
     assert sorted(map(tuple, run.select("doc_id", "shard", "slot").collect())) == sorted(map(tuple, now.select("doc_id", "shard", "slot").collect()))
 
 
+CLASHING = ["bad", "k_id", "k_content", "row", "hit", "root", "fp", "node", "kept", "size", "bucket", "block", "score", "key", "m_id", "shard", "slot"]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_clashing_columns(spark, sf, stage):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    run = dict(corpus_pipeline.STAGES)[stage]
+    more = run(spark, docs.withColumns({c: F.lit("clash") for c in CLASHING}), sf)
+    assert stage == "sharding" or more.columns == [*docs.columns, *CLASHING]
+    plain = run(spark, docs, sf)
+    assert sorted(r.doc_id for r in more.select("doc_id").collect()) == sorted(r.doc_id for r in plain.select("doc_id").collect())
+
+
 def test_pipeline_of_no_documents(spark, sf):
     now = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
