@@ -18,16 +18,27 @@ INT_MAX = 2147483647
 
 
 def field_values(raw: DataFrame) -> DataFrame:
-    """(dataset_id, field, v): the distinct non-null values of all records, folded before they are shuffled."""
-    attrs = [c for c in raw.columns if c.startswith("attr_") or c == "value"]
-    pairs = F.explode(F.array(*[F.struct(F.lit("$" if c == "value" else "@" + c[5:]).alias("field"), F.col(c).alias("v")) for c in attrs]))
-    return raw.select("dataset_id", pairs.alias("p")).select("dataset_id", "p.*").filter(F.col("v").isNotNull()).distinct()
+    """(dataset_id, field, v): the distinct non-null values of all records, folded before they are shuffled.
+
+    Records come as columns, or as a ``record`` map with whatever fields they have.
+    """
+    if "record" in raw.columns:
+        pairs = F.transform(F.map_entries("record"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("v")))
+    else:
+        attrs = [c for c in raw.columns if c.startswith("attr_") or c == "value"]
+        pairs = F.array(*[F.struct(F.lit("$" if c == "value" else "@" + c[5:]).alias("field"), F.col(c).alias("v")) for c in attrs])
+    return raw.select("dataset_id", F.explode(pairs).alias("p")).select("dataset_id", "p.*").filter(F.col("v").isNotNull()).distinct()
+
+
+def is_code(text: Column) -> Column:
+    """Digits that a number would not give back: a leading zero is part of a code."""
+    return text.rlike("^-?0[0-9]+$")
 
 
 def value_class(v: Column) -> Column:
-    """Narrowest type that holds the text; integers beyond 18 digits stay text."""
+    """Narrowest type that holds the text; codes with a leading zero and integers beyond 18 digits stay text."""
     t = F.trim(v)
-    number = F.when(t.rlike("^-?[0-9]{1,18}$"), t).cast("bigint")
+    number = F.when(t.rlike("^-?[0-9]{1,18}$") & ~is_code(t), t).cast("bigint")
     return (F.when(number.isNotNull(), F.when(number.between(-INT_MAX - 1, INT_MAX), "INT").otherwise("BIGINT"))
             .when(t.rlike(r"^-?[0-9]+[.][0-9]+$"), "DOUBLE")
             .when(F.lower(t).isin("true", "false"), "BOOLEAN").otherwise("STRING"))
@@ -66,11 +77,17 @@ def with_leading(columns: DataFrame) -> DataFrame:
 
 
 def schema_from_data(raw: DataFrame, area_as_text: bool = True) -> DataFrame:
-    """One column per field, typed over all values. Area codes keep their leading zeros unless ``area_as_text`` is off."""
+    """One column per field, typed over all values. Area codes are text unless ``area_as_text`` is off.
+
+    Fields whose names fall together are numbered from the second on.
+    """
     cols = field_types(field_values(raw))
     by_field = Window.partitionBy("dataset_id").orderBy("field")
     name = F.when(F.col("field") == "$", "value").otherwise(S.normalize_field(F.col("field")))
-    cols = cols.withColumn("name", name).withColumn("position", F.row_number().over(by_field) + 2)
+    cols = cols.withColumn("_name", F.when(name == "", "column").otherwise(name)).withColumn("position", F.row_number().over(by_field) + 2)
+    same = F.row_number().over(Window.partitionBy("dataset_id", "_name").orderBy(F.col("field") != "$", "field"))
+    same = same + F.col("_name").isin(*[n for _, n, _ in _LEADING]).cast("int")
+    cols = cols.withColumn("_same", same).withColumn("name", F.when(F.col("_same") > 1, F.concat_ws("_", "_name", "_same")).otherwise(F.col("_name")))
     rank = (F.when(F.col("name").isin("year", "time", "date"), 1).when(F.col("name").isin("area", "region_code", "prefecture"), 2)
             .when(F.col("distinct").between(10, 1000), 3))
     chosen = F.row_number().over(Window.partitionBy("dataset_id").orderBy(F.asc_nulls_last("_rank"), "position"))
@@ -87,13 +104,13 @@ def schema_from_data(raw: DataFrame, area_as_text: bool = True) -> DataFrame:
 def schema_from_metadata(items: DataFrame, area_as_text: bool = True) -> DataFrame:
     """One column per dimension and the value. Items: dataset_id, dim_pos, dim_id, dim_name, item_pos, code.
 
-    A type holds every code of its dimension. Area codes keep their leading zeros; without
-    ``area_as_text`` they become numbers like other digit codes.
+    A type holds every code of its dimension, and codes with leading zeros stay text. Area
+    codes are text anyway; without ``area_as_text`` they are typed like other codes.
     """
     keys = ["dataset_id", "dim_pos", "dim_id", "dim_name"]
     code = F.coalesce("code", F.lit(""))
     largest = F.max(F.when(code.rlike("^[0-9]+$"), code).cast("double"))
-    dims = items.groupBy(*keys).agg(F.bool_and((code == "") | code.rlike("^[0-9]{1,18}$")).alias("digits"), largest.alias("top"),
+    dims = items.groupBy(*keys).agg(F.bool_and((code == "") | (code.rlike("^[0-9]{1,18}$") & ~is_code(code))).alias("digits"), largest.alias("top"),
                                     F.count("*").alias("items"))
     text = F.col("dim_id") == "time"
     if area_as_text:

@@ -18,6 +18,14 @@ def rename_raw(df: DataFrame) -> DataFrame:
     return df.toDF(*["value" if c == "$" else "attr_" + c[1:] if c.startswith("@") else c for c in df.columns])
 
 
+def source_column(df: DataFrame, field: str) -> Column:
+    """A landed field by its own name, from the ``record`` map or from its renamed column; null where there is none."""
+    if "record" in df.columns:
+        return F.element_at("record", F.lit(field))
+    name = "value" if field == "$" else "attr_" + field[1:] if field.startswith("@") else field
+    return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+
+
 def _attr(df: DataFrame, name: str) -> Column:
     """Attribute text; a missing attribute or column is the empty text, not null."""
     col = f"attr_{name}"
@@ -99,15 +107,14 @@ def with_label(raw: DataFrame, labels: DataFrame, dimension: str, out: str, code
 
 
 def transform_dynamic(raw: DataFrame, schema: T.StructType, dataset_id: str | None = None) -> DataFrame:
-    """Project raw rows into a dynamic schema whose fields name their source field."""
+    """Project raw rows, or records with any fields, into a dynamic schema whose fields name their source field."""
     own = F.lit(dataset_id) if dataset_id is not None else F.col("dataset_id")
-    cols = [own.alias("dataset_id"), _attr(raw, "id").alias("record_id")]
+    cols = [own.alias("dataset_id"), F.coalesce(source_column(raw, "@id"), F.lit("")).alias("record_id")]
     for f in schema.fields:
         source = f.metadata.get("source_field")
         if f.name in ("dataset_id", "record_id") or not source:
             continue
-        name = "value" if source == "$" else "attr_" + source.lstrip("@")
-        c = F.col(name) if name in raw.columns else F.lit(None).cast("string")
+        c = source_column(raw, source)
         cols.append(S.cast_value(c, f.metadata.get("type", "STRING")).cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 

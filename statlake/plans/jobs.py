@@ -80,9 +80,12 @@ def core_gate(rows: DataFrame, threshold: float = 0.1) -> DataFrame:
 
 
 def ingest_complete(spark: SparkSession, raw_path: str, domain: str, dataset_id: str, path: str, table: str,
-                    multi_line: bool = True) -> DataFrame:
-    """One landed dataset to its domain table if its quality gate lets it pass; returns the gate. Pass ``multi_line=False`` for JSON lines."""
-    rows = materialise(M.map_domain(L.read_raw(spark, raw_path, multi_line), domain, dataset_id=F.lit(dataset_id)), "mapped")
+                    fields: list[str] | None = None) -> DataFrame:
+    """One landed dataset to its domain table if its quality gate lets it pass; returns the gate.
+
+    ``fields`` spares the survey of field names; a domain table takes its own ones only.
+    """
+    rows = materialise(M.map_domain(L.read_raw(spark, raw_path, fields), domain, dataset_id=F.lit(dataset_id)), "mapped")
     gate = materialise(Q.quality_gate(rows), "gate")
     W.create_domain_table(spark, domain, path, table)
     W.insert_rows(rows.join(gate.filter("passed").select("dataset_id"), "dataset_id", "left_semi"), table)
@@ -90,10 +93,12 @@ def ingest_complete(spark: SparkSession, raw_path: str, domain: str, dataset_id:
 
 
 def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, path: str, table: str, domain: str = "generic",
-                   max_partitions: int = 100) -> DataFrame:
-    """One dataset under a schema of its own: from metadata if there is any, else from data. Returns the stored rows.
+                   max_partitions: int = 100, listing: DataFrame | None = None, source: str = "api") -> tuple[DataFrame, DataFrame]:
+    """One dataset under a schema of its own: from metadata if there is any, else from data. Returns the stored rows and the catalog entry.
 
-    Of the schema's partition columns, the leading ones are used that make at most ``max_partitions`` partitions.
+    Raw rows come as columns or as records with any fields. Of the schema's partition columns,
+    the leading ones are used that make at most ``max_partitions`` partitions. The entry is made
+    from what is stored, and from the dataset's row of ``listing`` (dataset_id, title, description).
     """
     spark = raw.sparkSession
     own = raw.filter(F.col("dataset_id") == dataset_id)
@@ -108,7 +113,19 @@ def ingest_dynamic(raw: DataFrame, items: DataFrame | None, dataset_id: str, pat
     parts = affordable_partitions(typed, parts, max_partitions)
     W.create_dynamic_table(spark, dataset_id, struct, path, parts, domain, table)
     W.insert_rows(typed, table)
-    return spark.table(table)
+    stored = spark.table(table)
+    return stored, dynamic_entry(stored, [r["name"] for r in rows], dataset_id, listing, source)
+
+
+def dynamic_entry(stored: DataFrame, columns: list[str], dataset_id: str, listing: DataFrame | None = None, source: str = "api") -> DataFrame:
+    """Catalog entry of one stored dataset, built like those of registered ones."""
+    time = F.col("time").cast("string") if "time" in stored.columns else F.lit(None).cast("string")
+    stats = stored.agg(F.count("*").alias("record_count"), F.min(time).alias("time_range_start"), F.max(time).alias("time_range_end"))
+    stats = stats.select(F.lit(dataset_id).alias("dataset_id"), "*")
+    known = stored.sparkSession.createDataFrame([(dataset_id, columns)], "dataset_id string, column_names array<string>")
+    if listing is None:
+        listing = known.select("dataset_id", F.col("dataset_id").alias("title"), F.lit("").alias("description"))
+    return C.catalog_entries(listing.filter(F.col("dataset_id") == dataset_id), stats, known, source)
 
 
 def affordable_partitions(rows: DataFrame, columns: list[str], limit: int) -> list[str]:

@@ -25,10 +25,10 @@ def fresh(name: str) -> str:
 
 # --- schema inference ---------------------------------------------------------------------
 
-_VALUES = """fv AS (SELECT DISTINCT dataset_id, f.field, f.v FROM raw_obs, LATERAL (VALUES ('$', value), ('@id', attr_id), ('@tab', attr_tab), ('@cat01', attr_cat01), ('@cat02', attr_cat02), ('@cat03', attr_cat03),
+_VALUES = """fv AS (SELECT DISTINCT dataset_id, f.field, f.v FROM raw_obs, LATERAL (VALUES ('$', value), ('@id', attr_id), ('@tab', attr_tab), ('@cat01', attr_cat01), ('@cat02', attr_cat02), ('@cat03', attr_cat03), ('@cat11', attr_cat11), ('@cat12', attr_cat12),
    ('@area', attr_area), ('@time', attr_time), ('@unit', attr_unit)) f(field, v) WHERE f.v IS NOT NULL),
  vt AS (SELECT dataset_id, field, count(*) AS distinct_values, count(*) FILTER (k = 'I') AS i, count(*) FILTER (k = 'B') AS b, count(*) FILTER (k = 'D') AS d, count(*) FILTER (k = 'T') AS t FROM (
-   SELECT *, CASE WHEN regexp_matches(trim(v), '^-?[0-9]{1,18}$') THEN CASE WHEN CAST(trim(v) AS BIGINT) BETWEEN -2147483648 AND 2147483647 THEN 'I' ELSE 'B' END
+   SELECT *, CASE WHEN regexp_matches(trim(v), '^-?0[0-9]+$') THEN 'S' WHEN regexp_matches(trim(v), '^-?[0-9]{1,18}$') THEN CASE WHEN CAST(trim(v) AS BIGINT) BETWEEN -2147483648 AND 2147483647 THEN 'I' ELSE 'B' END
      WHEN regexp_matches(trim(v), '^-?[0-9]+\\.[0-9]+$') THEN 'D' WHEN lower(trim(v)) IN ('true', 'false') THEN 'T' ELSE 'S' END AS k FROM fv) GROUP BY ALL),
  ty AS (SELECT dataset_id, field, distinct_values, CASE WHEN i = distinct_values THEN 'INT' WHEN i + b = distinct_values THEN 'BIGINT' WHEN i + b + d = distinct_values THEN 'DOUBLE' WHEN t = distinct_values THEN 'BOOLEAN' ELSE 'STRING' END AS type FROM vt)"""
 
@@ -55,10 +55,10 @@ def items(spark, sf):
     return V.dim_items(V.raw_obs(spark, sf), V.area_labels(spark, sf)).withColumn("item_pos", F.col("code"))
 
 
-_META_COLS = """m AS (SELECT dataset_id, dim_pos, dim_id, dim_name, bool_and(regexp_matches(code, '^[0-9]{1,18}$')) AS digits, max(TRY_CAST(code AS BIGINT)) AS top FROM dim_items GROUP BY ALL),
+_META_COLS = """m AS (SELECT dataset_id, dim_pos, dim_id, dim_name, bool_and(regexp_matches(code, '^(0|[1-9][0-9]{0,17})$')) AS digits, max(TRY_CAST(code AS BIGINT)) AS top FROM dim_items GROUP BY ALL),
  n AS (SELECT dataset_id, dim_id, count(*) AS items FROM dim_items GROUP BY ALL),
  d AS (SELECT m.*, items, dim_id = 'time' OR (dim_id = 'area' AND items BETWEEN 10 AND 1000) AS cand, row_number() OVER (PARTITION BY dataset_id ORDER BY dim_pos) + 2 AS position FROM m JOIN n USING (dataset_id, dim_id)),
- s AS (SELECT dataset_id, CAST(position AS INT) AS position, CASE WHEN dim_id = 'tab' THEN 'indicator' WHEN dim_id LIKE 'cat%' THEN 'category_' || dim_id[4:] ELSE dim_id END AS name,
+ s AS (SELECT dataset_id, CAST(position AS INT) AS position, CASE WHEN dim_id = 'tab' THEN 'indicator' WHEN regexp_matches(dim_id, '^cat(0[1-9]|10)$') THEN 'category_' || dim_id[4:] ELSE dim_id END AS name,
   CASE WHEN dim_id IN ('time', 'area') THEN 'STRING' WHEN digits THEN CASE WHEN top > 2147483647 THEN 'BIGINT' ELSE 'INT' END ELSE 'STRING' END AS type, '@' || dim_id AS source_field,
   cand AND sum(CASE WHEN cand THEN 1 ELSE 0 END) OVER (PARTITION BY dataset_id ORDER BY dim_pos) <= 2 AS is_partition FROM d
   UNION ALL SELECT dataset_id, CAST(max(position) + 1 AS INT), 'value', 'DOUBLE', '$', false FROM d GROUP BY 1
@@ -129,7 +129,7 @@ def search_summary(spark, sf):
 
 @query("k17_rich_catalog", "dim_items", f"""WITH {_SUMMARY}, s AS (SELECT dataset_id, count(*) AS record_count, min(attr_time) AS a, max(attr_time) AS b FROM raw_obs GROUP BY 1)
  SELECT s.dataset_id, 'dataset_' || s.dataset_id AS table_name, '労働力調査 ' || s.dataset_id AS title, 'labor' AS domain,
-  array_to_string(list_sort([s.dataset_id, '労働力調査', '総務省', '基本集計', '表章項目', '分類1', '分類2', '指標', '地域', '時間軸（年）']), '|') AS keywords, 6 AS dimensions, start_year, end_year, record_count, a AS time_range_start, b AS time_range_end
+  array_to_string(list_sort([s.dataset_id, '労働力調査', '総務省', '基本集計', '表章項目', '分類1', '分類2', '指標', '品目', '数量区分', '地域', '時間軸（年）']), '|') AS keywords, 8 AS dimensions, start_year, end_year, record_count, a AS time_range_start, b AS time_range_end
  FROM s JOIN y USING (dataset_id)""")
 def rich_catalog(spark, sf):
     docs = metadata_docs(spark, sf)
@@ -159,11 +159,43 @@ def raw_columns(spark, sf):
     return V.raw_obs(spark, sf).select(*_COLS.split(", "))
 
 
-@query("s01_landed_json", "raw_obs", "SELECT attr_id, attr_area, attr_time, attr_cat01, attr_unit, value FROM raw_obs")
+_LANDED_FIELDS = {"@id": "attr_id", "@area": "attr_area", "@time": "attr_time", "@cat01": "attr_cat01", "@cat11": "attr_cat11", "@cat12": "attr_cat12",
+                  "@unit": "attr_unit", "$": "value"}
+_LANDED_SQL = f"SELECT {', '.join(_LANDED_FIELDS.values())} FROM raw_obs"
+
+
+def landed(spark, sf):
+    """Raw rows under their landed names; a field without a value is left out of its record."""
+    return V.raw_obs(spark, sf).select("dataset_id", *[F.col(c).alias(f) for f, c in _LANDED_FIELDS.items()])
+
+
+@query("s01_landed_json", "raw_obs", _LANDED_SQL)
 def landed_json(spark, sf):
     path = scratch_path(spark, "landed")
-    raw_columns(spark, sf).drop("dataset_id").toDF("@id", "@area", "@time", "@cat01", "@unit", "$").write.json(path)
-    return L.read_raw(spark, path, multi_line=False).select("attr_id", "attr_area", "attr_time", "attr_cat01", "attr_unit", "value")
+    landed(spark, sf).drop("dataset_id").write.json(path)
+    return L.read_raw(spark, path).select(*_LANDED_FIELDS.values())
+
+
+@query("s01_landed_arrays", "raw_obs", _LANDED_SQL)
+def landed_arrays(spark, sf):
+    """An array of records for each chunk of a dataset, as a client writes them."""
+    path = scratch_path(spark, "landed")
+    rows = landed(spark, sf).withColumn("chunk", F.pmod(F.xxhash64("@id"), F.lit(16)))
+    one = F.to_json(F.struct(*[F.col(f"`{f}`") for f in _LANDED_FIELDS]))
+    arrays = rows.groupBy("dataset_id", "chunk").agg(F.concat_ws(",\n  ", F.collect_list(one)).alias("r"))
+    arrays.select(F.concat(F.lit("[\n  "), "r", F.lit("\n]"))).write.text(path)
+    return L.read_raw(spark, path).select(*_LANDED_FIELDS.values())
+
+
+@query("s01_landed_objects", "raw_obs", _LANDED_SQL)
+def landed_objects(spark, sf):
+    """Lone objects over several lines; a third of them hold braces in a text, so their files are read whole."""
+    path = scratch_path(spark, "landed")
+    rows = landed(spark, sf).drop("dataset_id").withColumn("@note", F.when(F.col("@id").endswith("3"), "a { brace } in a text"))
+    braced = F.col("@note").isNotNull()
+    for part, options in ((rows.filter(~braced), {"pretty": "true"}), (rows.filter(braced), {})):
+        part.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in part.columns]), options)).write.mode("append").text(path)
+    return L.read_raw(spark, path).select(*_LANDED_FIELDS.values())
 
 
 def envelopes(spark, sf):
@@ -477,16 +509,43 @@ def ingest_complete(spark, sf):
     for dataset_id, rows in (("X1", raw.toDF(*names)), ("X2", regions)):
         path, name = scratch_path(spark, "landed"), fresh("population")
         rows.write.json(path)
-        gate = J.ingest_complete(spark, path, "population", dataset_id, scratch_path(spark, "population"), name, multi_line=False)
+        gate = J.ingest_complete(spark, path, "population", dataset_id, scratch_path(spark, "population"), name, fields=[])
         stored = spark.table(name).groupBy("dataset_id").agg(F.count("*").alias("stored"))
         out.append(gate.join(stored, "dataset_id", "left").select("dataset_id", "total", "passed", F.coalesce("stored", F.lit(0)).alias("stored")))
     return out[0].unionByName(out[1])
 
 
-@query("e03_ingest_dynamic", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, attr_area AS area, attr_cat01 AS category_01, TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
+def dynamic_listing(spark, sf):
+    return V.raw_obs(spark, sf).select("dataset_id").distinct().select(
+        "dataset_id", F.concat(F.lit("労働力調査 "), "dataset_id").alias("title"), F.lit("月次の就業者数").alias("description"))
+
+
+@query("e03_ingest_dynamic", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, attr_area AS area, attr_cat01 AS category_01, attr_cat11 AS cat11, CAST(attr_cat12 AS INT) AS cat12,
+ TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
 def ingest_dynamic(spark, sf):
-    out = J.ingest_dynamic(V.raw_obs(spark, sf), items(spark, sf), "ds00001", scratch_path(spark, "dynamic"), fresh("dataset_ds00001"))
-    return out.select("record_id", "time", "area", "category_01", "value")
+    out, _ = J.ingest_dynamic(V.raw_obs(spark, sf), items(spark, sf), "ds00001", scratch_path(spark, "dynamic"), fresh("dataset_ds00001"))
+    return out.select("record_id", "time", "area", "category_01", "cat11", "cat12", "value")
+
+
+@query("e03_ingest_records", "raw_obs", """SELECT attr_id AS record_id, attr_time AS time, attr_cat11 AS category_11, CAST(attr_cat12 AS INT) AS category_12, 'n' || attr_cat11 AS note,
+ TRY_CAST(replace(value, ',', '') AS DOUBLE) AS value FROM raw_obs WHERE dataset_id = 'ds00001'""")
+def ingest_records(spark, sf):
+    """Landed records without metadata, one field of a name of its own; the schema comes from the data."""
+    path, rows = scratch_path(spark, "landed"), landed(spark, sf).filter("dataset_id = 'ds00001'").drop("dataset_id")
+    rows.withColumn("note", F.concat(F.lit("n"), "@cat11")).write.json(path)
+    records = L.read_records(spark, path).withColumn("dataset_id", F.lit("ds00001"))
+    out, _ = J.ingest_dynamic(records, None, "ds00001", scratch_path(spark, "dynamic"), fresh("dataset_ds00001"))
+    return out.select("record_id", "time", "category_11", "category_12", "note", "value")
+
+
+@query("e03_catalog_entry", "raw_obs", """SELECT dataset_id, 'dataset_' || dataset_id AS table_name, '労働力調査 ' || dataset_id AS title, 'labor' AS domain, count(*) AS record_count,
+ 'area|cat11|cat12|category_01|category_02|category_03|dataset_id|indicator|record_id|time|value' AS column_names, min(attr_time) AS time_range_start, max(attr_time) AS time_range_end
+ FROM raw_obs WHERE dataset_id = 'ds00001' GROUP BY 1""")
+def dynamic_catalog_entry(spark, sf):
+    _, entry = J.ingest_dynamic(V.raw_obs(spark, sf), items(spark, sf), "ds00001", scratch_path(spark, "dynamic"), fresh("dataset_ds00001"),
+                                listing=dynamic_listing(spark, sf))
+    return entry.select("dataset_id", "table_name", "title", "domain", "record_count", F.array_join(F.array_sort("column_names"), "|").alias("column_names"),
+                        "time_range_start", "time_range_end")
 
 
 @query("e04_priority_build", "raw_obs", f"""SELECT dataset_id, count(*) + CASE WHEN CAST(dataset_id[3:] AS INT) % 5 = 0 THEN 1 ELSE 0 END AS total, count(*) AS received, dataset_id IN {_COMPLETE} AS complete FROM raw_obs GROUP BY 1""")

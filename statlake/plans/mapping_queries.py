@@ -305,7 +305,7 @@ def transform_counts(spark, sf):
     return M.transform_results(raw, M.map_domain(raw, "labor"))
 
 
-@query("p18_unmapped_fields", "raw_obs", """SELECT dataset_id, 'attr_cat02|attr_cat03|attr_tab' AS unmapped, '' AS critical_missing FROM raw_obs GROUP BY 1""")
+@query("p18_unmapped_fields", "raw_obs", """SELECT dataset_id, 'attr_cat02|attr_cat03|attr_cat11|attr_cat12|attr_tab' AS unmapped, '' AS critical_missing FROM raw_obs GROUP BY 1""")
 def unmapped_fields(spark, sf):
     out = M.unmapped_fields(V.raw_obs(spark, sf), ["attr_id", "attr_area", "attr_time", "attr_cat01", "attr_unit", "value"],
                             {"value": "value", "year": "attr_time", "region_code": "attr_area"})

@@ -90,6 +90,8 @@ def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("消費支出").alias("attr_cat01"),
         F.when(F.col("l_linestatus") == "O", "学生数").otherwise("輸送量").alias("attr_cat02"),
         pick((F.col("l_partkey") + F.col("l_linenumber")) % 10, INDICATORS).alias("attr_cat03"),
+        F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0").alias("attr_cat11"),
+        F.when(n % 4 != 0, F.col("l_quantity").cast("int").cast("string")).alias("attr_cat12"),
         F.when(n % 23 != 0, F.lpad(F.col("c_nationkey").cast("string"), 5, "0")).alias("attr_area"),
         pick(n % 3, ["円", "人", "件"]).alias("attr_unit"),
         n.alias("_n"), ship.alias("_ship"), whole.alias("_whole"))
@@ -106,6 +108,8 @@ RAW_OBS_SQL = f"""raw_obs AS (
   CASE l_returnflag WHEN 'A' THEN 'GDP（名目）' WHEN 'N' THEN 'GDP（実質）' ELSE '消費支出' END AS attr_cat01,
   CASE l_linestatus WHEN 'O' THEN '学生数' ELSE '輸送量' END AS attr_cat02,
   {_INDICATOR_SQL} AS attr_cat03,
+  lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS attr_cat11,
+  CASE WHEN (l_orderkey + l_linenumber) % 4 <> 0 THEN CAST(CAST(floor(l_quantity) AS INT) AS VARCHAR) END AS attr_cat12,
   CASE WHEN (l_orderkey + l_linenumber) % 23 <> 0 THEN lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS attr_area,
   CASE (l_orderkey + l_linenumber) % 12
    WHEN 0 THEN strftime(l_shipdate, '%Y')
@@ -307,7 +311,7 @@ QUERY_LOG_SQL = """query_log AS (
 
 # --- dimension metadata ---------------------------------------------------------------------
 
-DIMENSIONS = [("tab", "表章項目"), ("cat01", "分類1"), ("cat02", "分類2"), ("cat03", "指標"), ("area", "地域"), ("time", "時間軸（年）")]
+DIMENSIONS = [("tab", "表章項目"), ("cat01", "分類1"), ("cat02", "分類2"), ("cat03", "指標"), ("cat11", "品目"), ("cat12", "数量区分"), ("area", "地域"), ("time", "時間軸（年）")]
 
 
 def dim_items(raw: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,17 +8,95 @@ from statlake import rules
 from statlake.functions import scalars as S
 from statlake.operators.infer import list_or_one
 from statlake.operators.mapping import rename_raw, split_dimension
-from statlake.schemas import RAW_FIELDS, RAW_SCHEMA
+from statlake.schemas import RAW_FIELDS
 
+#: A landed record: every field it has, as text.
+RECORD = "map<string,string>"
+_CLOSE = "}"
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Landed records as all-text rows. A file holds an array or one object.
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, piece, record): files cut at closing braces, wherever their lines end.
 
-    Pass ``multi_line=False`` for JSON lines: they split across tasks, and in
-    multi-line mode only the first record of such a file would be read.
+    A flat record ends at its brace, whether it stands in an array, alone or on a line of
+    its own, so files split across tasks. A piece that is not a record has a null ``record``.
     """
-    return rename_raw(spark.read.schema(RAW_SCHEMA).json(path, multiLine=multi_line))
+    piece = F.regexp_replace("value", r"^[\s\[\],\x{FEFF}]+|\s+$", "")
+    cut = spark.read.text(path, lineSep=_CLOSE).select(F.col("_metadata.file_path").alias("path"), piece.alias("piece")).filter("piece <> ''")
+    return cut.withColumn("record", F.from_json(F.concat("piece", F.lit(_CLOSE)), RECORD))
+
+
+def _whole(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, piece, record) of files read whole, for records that hold braces: an array, or values one after the other.
+
+    No JSON text holds a bare line break, so one between brackets ends a value. If a file is no
+    JSON as a whole, its lines count by themselves.
+    """
+    docs = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
+    values = F.regexp_replace("doc", r"([}\]])\s*\n\s*([{\[])", "$1,$2")
+    v = F.try_parse_json(F.concat(F.lit("["), values, F.lit("]")))
+    inner = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
+    elements = F.transform(F.flatten(inner), lambda x: F.struct(F.lit("").alias("piece"), x.alias("v")))
+    lines = F.transform(F.filter(F.split("doc", "\r?\n"), lambda x: F.trim(x) != ""),
+                        lambda x: F.struct(x.alias("piece"), F.when(x.rlike(r"^\s*\{.*\}[\s,\]]*$"), F.try_parse_json(x)).alias("v")))
+    each = docs.select("path", F.explode(F.when(v.isNotNull(), elements).otherwise(lines)).alias("e"))
+    return each.select("path", F.col("e.piece").alias("piece"), F.try_variant_get(F.col("e.v"), "$", RECORD).alias("record"))
+
+
+def _survey(pieces: DataFrame) -> tuple[list[str], list[str]]:
+    """Field names met, and files with pieces that are no records; both are folded where they are read."""
+    none = F.lit(None).cast("string")
+    found = F.when(F.col("record").isNull(), F.array(F.struct(none.alias("field"), F.col("path").alias("odd")))).otherwise(
+        F.transform(F.map_keys("record"), lambda k: F.struct(k.alias("field"), none.alias("odd"))))
+    rows = pieces.select(F.explode(found).alias("x")).select("x.*").distinct().collect()       # one row a field name, one an odd file
+    return [r["field"] for r in rows if r["field"] is not None], sorted(r["odd"] for r in rows if r["odd"] is not None)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Landed records as (path, record): all fields, whatever their names. Arrays, lone objects and JSON lines alike."""
+    return _records(spark, path)[0]
+
+
+def _records(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    pieces = _pieces(spark, path)
+    fields, odd = _survey(pieces)
+    if odd:
+        names = spark.createDataFrame([(x,) for x in odd], "path string")
+        rest = _whole(spark, odd)
+        more, _ = _survey(rest)
+        fields, pieces = sorted({*fields, *more}), pieces.join(names, "path", "left_anti").unionByName(rest)
+    return pieces.filter(F.col("record").isNotNull()).select("path", "record"), fields
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """(path, piece) of what is no record in landed files, read whole if need be; an empty piece stands for an element of an array."""
+    _, odd = _survey(_pieces(spark, path))
+    if not odd:
+        return spark.createDataFrame([], "path string, piece string")
+    return _whole(spark, odd).filter(F.col("record").isNull()).select("path", "piece")
+
+
+def all_fields(names: list[str]) -> list[str]:
+    """The fields every landing may have, in their order, then all others by name."""
+    return [*RAW_FIELDS, *sorted(set(names) - set(RAW_FIELDS))]
+
+
+def spread(records: DataFrame, fields: list[str], record: str = "record") -> DataFrame:
+    """One renamed column a field in place of the record."""
+    keep = [c for c in records.columns if c != record]
+    return rename_raw(records.select(*keep, *[F.element_at(record, F.lit(f)).alias(f) for f in fields]))
+
+
+def read_raw(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
+    """Landed records as all-text rows, one column a field.
+
+    Without ``fields`` the files are surveyed first, and a column is made of every field
+    that occurs. With them files are read once, and each must be cut at its braces.
+    """
+    if fields is not None:
+        return spread(_pieces(spark, path).filter(F.col("record").isNotNull()).select("record"), all_fields(fields))
+    records, names = _records(spark, path)
+    return spread(records.select("record"), all_fields(names))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -26,21 +104,27 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
-_RECORD = "struct<" + ",".join(f"`{f}`:string" for f in RAW_FIELDS) + ">"
 DATA_PATH = "$.GET_STATS_DATA.STATISTICAL_DATA"
 LIST_PATH = "$.GET_STATS_LIST.DATALIST_INF.TABLE_INF"
 
 
 def _values(docs: DataFrame, doc: str) -> DataFrame:
     v = docs.withColumn("_v", F.try_parse_json(doc))
-    return v.withColumn("_values", list_or_one(F.col("_v"), f"{DATA_PATH}.DATA_INF.VALUE", _RECORD))
+    return v.withColumn("_values", list_or_one(F.col("_v"), f"{DATA_PATH}.DATA_INF.VALUE", RECORD))
 
 
-def unwrap_data(docs: DataFrame, doc: str = "doc") -> DataFrame:
-    """Observations of data envelopes; ``VALUE`` is a list or one object."""
+def unwrap_records(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Observations of data envelopes with all their fields, as ``record``; ``VALUE`` is a list or one object."""
     keep = [c for c in docs.columns if c != doc]
-    rows = _values(docs, doc).select(*keep, F.explode("_values").alias("r"))
-    return rename_raw(rows.select(*keep, *[F.col("r")[f].alias(f) for f in RAW_FIELDS]))
+    return _values(docs, doc).select(*keep, F.explode("_values").alias("record"))
+
+
+def unwrap_data(docs: DataFrame, doc: str = "doc", fields: list[str] | None = None) -> DataFrame:
+    """Observations of data envelopes, one column a field; a survey finds the fields where none are given."""
+    records = unwrap_records(docs, doc)
+    if fields is None:
+        fields = [r[0] for r in records.select(F.explode(F.map_keys("record"))).distinct().collect()]
+    return spread(records, all_fields(fields))
 
 
 def unwrap_failures(docs: DataFrame, doc: str = "doc") -> DataFrame:

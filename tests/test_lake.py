@@ -146,3 +146,68 @@ def test_ingest_twice_appends_open_work_only(spark, tmp_path):
     J.ingest(raw, reg.filter("dataset_id = 'd2'"), path, 1.0)
     rows = {(r["dataset_id"], r["domain"], r["year"]) for r in spark.read.parquet(path).collect()}
     assert rows == {("d1", "labor", 2020), ("d2", "trade", 2021)}
+
+
+def landed_file(tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    return str(tmp_path / name)
+
+
+RECORDS = [{"@id": str(i), "@cat11": f"{i:03d}", "$": f"{i}.5", **({"備考": "x"} if i % 7 == 0 else {})} for i in range(3000)]
+FORMS = {
+    "lines": "\n".join(json.dumps(r) for r in RECORDS), "array": json.dumps(RECORDS), "pretty": json.dumps(RECORDS, indent=2, ensure_ascii=False),
+    "objects": "\n".join(json.dumps(r, indent=1) for r in RECORDS), "marked": "﻿" + json.dumps(RECORDS),
+    "line_arrays": "\n".join(json.dumps(RECORDS[i:i + 100]) for i in range(0, 3000, 100)),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_all_fields_of_all_forms_arrive_and_files_split(spark, tmp_path, form):
+    path = landed_file(tmp_path, "a.json", FORMS[form])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = L.read_raw(spark, path)
+        assert rows.rdd.getNumPartitions() > 3
+        assert rows.columns[-2:] == ["attr_cat11", "備考"]
+        got = sorted((r["attr_id"], r["attr_cat11"], r["value"], r["備考"]) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted((r["@id"], r["@cat11"], r["$"], r.get("備考")) for r in RECORDS)
+    assert L.read_failures(spark, path).count() == 0
+
+
+ODD = [{"@id": "1", "@name": "a } in { text"}, {"@id": "2", "$": {"nested": "}"}}, {"@id": "3"}, {"@id": "4", "$": None, "n": 1.5, "t": True}]
+
+
+@pytest.mark.parametrize("text", [json.dumps(ODD), json.dumps(ODD, indent=1), "\n".join(map(json.dumps, ODD)), "\n".join(json.dumps(x, indent=2) for x in ODD)])
+def test_braces_in_texts_and_nested_values(spark, tmp_path, text):
+    path = landed_file(tmp_path, "a.json", text)
+    landed_file(tmp_path, "b.json", json.dumps([{"@id": "5", "@cat15": "007"}]))
+    rows = {r["attr_id"]: r for r in L.read_raw(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == ["1", "2", "3", "4", "5"] and rows["5"]["attr_cat15"] == "007"
+    assert rows["1"]["attr_name"] == "a } in { text" and json.loads(rows["2"]["value"]) == {"nested": "}"}
+    assert rows["4"]["value"] is None and rows["4"]["n"] == "1.5" and rows["4"]["t"] == "true"
+    assert L.read_failures(spark, path).count() == 0
+
+
+def test_broken_lines_are_reported_and_others_kept(spark, tmp_path):
+    path = landed_file(tmp_path, "a.json", '{"@id":"1"}\n{"@id":"2\n{"@id":"3"}\n')
+    assert sorted(r["attr_id"] for r in L.read_raw(spark, path).collect()) == ["1", "3"]
+    assert [r["piece"] for r in L.read_failures(spark, path).collect()] == ['{"@id":"2']
+    empty = landed_file(tmp_path, "empty.json", "[]")
+    assert L.read_raw(spark, empty).count() == 0
+
+
+def test_known_fields_spare_the_survey(spark, tmp_path):
+    path = landed_file(tmp_path, "a.json", FORMS["array"])
+    assert L.read_raw(spark, path, fields=["@cat11"]).agg(F.max("attr_cat11")).first()[0] == "999"
+
+
+def test_codes_with_leading_zeros_stay_text_and_names_do_not_meet(spark):
+    rows = [("d", {"@cat11": "007", "@CAT11": "1", "@record_id": "9", "value": "2", "$": "1", "備考": "true"}), ("d", {"@cat11": "12", "@area": "01000"})]
+    schema = {r["source_field"]: (r["name"], r["type"]) for r in I.schema_from_data(spark.createDataFrame(rows, "dataset_id string, record map<string,string>")).collect()}
+    assert schema["@cat11"] == ("category_11", "STRING") and schema["@CAT11"] == ("cat11", "INT") and schema["@record_id"] == ("record_id_2", "INT")
+    assert schema["$"] == ("value", "DOUBLE") and schema["value"] == ("value_2", "INT") and schema["備考"] == ("備考", "BOOLEAN")
+    values = spark.createDataFrame([(v,) for v in ("0", "-0", "00", "007", "-07", "10", "0.5")], "v string")
+    assert [r[0] for r in values.select(I.value_class(F.col("v"))).collect()] == ["INT", "INT", "STRING", "STRING", "STRING", "INT", "DOUBLE"]
