@@ -447,17 +447,34 @@ def new_or_changed(spark, sf):
     return U.new_or_changed(fetched.drop("priority"), stored.drop("priority"), ["dataset_id"])
 
 
-@query("u03_stream_landing", "raw_obs", """SELECT attr_id, CASE WHEN right(attr_id, 1) = '1' THEN value || '0' ELSE value END AS value
+@query("u03_stream_landing", "raw_obs", """SELECT attr_id, CASE WHEN right(attr_id, 1) = '1' THEN value || '0' ELSE value END AS value, CASE WHEN right(attr_id, 1) = '2' THEN attr_id END AS attr_cat15
  FROM (SELECT attr_id, min(value) AS value FROM raw_obs GROUP BY 1)""")
 def stream_landing(spark, sf):
+    """Three batches: half the records, all of them with some changed and some with a field more, and a part once again."""
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-state"))
     rows = V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$"))
     rows.filter(F.length("@id") % 2 == 0).write.json(landing)
-    U.stream_landing(spark, landing, out, checkpoint, ["attr_id"])
-    changed = F.when(F.col("@id").endswith("1"), F.concat("$", F.lit("0"))).otherwise(F.col("$"))
-    rows.withColumn("$", changed).write.mode("append").json(landing)
-    U.stream_landing(spark, landing, out, checkpoint, ["attr_id"])
-    return U.stored_records(spark, out, ["attr_id"]).select("attr_id", "value")
+    U.stream_landing(spark, landing, out, checkpoint, ["@id"])
+    changed = rows.withColumn("$", F.when(F.col("@id").endswith("1"), F.concat("$", F.lit("0"))).otherwise(F.col("$")))
+    changed = changed.withColumn("@cat15", F.when(F.col("@id").endswith("2"), F.col("@id")))
+    for part in (changed, changed.filter(F.col("@id").endswith("1"))):
+        part.write.mode("append").json(landing)
+        U.stream_landing(spark, landing, out, checkpoint, ["@id"])
+    return U.stored_records(spark, out).select("attr_id", "value", "attr_cat15")
+
+
+@query("u03_stream_versions", "raw_obs", """SELECT version, count(*) AS records FROM (SELECT CASE WHEN length(attr_id) % 2 = 0 AND (right(attr_id, 1) = '2' OR right(attr_id, 1) = '1' AND value IS NOT NULL) THEN 2 ELSE 1 END AS top,
+  unnest(range(1, top + 1)) AS version FROM (SELECT attr_id, min(value) AS value FROM raw_obs GROUP BY 1)) GROUP BY 1""")
+def stream_versions(spark, sf):
+    """Versions stored: one for a record met first, one more where its content is another, none for the same again."""
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-state"))
+    rows = V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$"))
+    rows.filter(F.length("@id") % 2 == 0).write.json(landing)
+    U.stream_landing(spark, landing, out, checkpoint, ["@id"])
+    last = F.substring("@id", -1, 1)
+    rows.withColumn("$", F.when(last.isin("1", "2"), F.concat("$", F.lit("0"))).otherwise(F.col("$"))).withColumn("@cat15", F.when(last == "2", F.col("@id"))).write.mode("append").json(landing)
+    U.stream_landing(spark, landing, out, checkpoint, ["@id"])
+    return U.stored_versions(spark, out).groupBy("version").agg(F.count("*").alias("records"))
 
 
 def landed_registry(spark, sf):

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keyed stream state on disk, so that a batch touches its own keys only.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",     # top-n per group cuts each input task
 }
 

@@ -13,6 +13,7 @@ from statlake.schemas import RAW_FIELDS
 #: A landed record: every field it has, as text.
 RECORD = "map<string,string>"
 _CLOSE = "}"
+PIECE_EDGES = r"^[\s\[\],\x{FEFF}]+|\s+$"
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,7 +22,7 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     A flat record ends at its brace, whether it stands in an array, alone or on a line of
     its own, so files split across tasks. A piece that is not a record has a null ``record``.
     """
-    piece = F.regexp_replace("value", r"^[\s\[\],\x{FEFF}]+|\s+$", "")
+    piece = F.regexp_replace("value", PIECE_EDGES, "")
     cut = spark.read.text(path, lineSep=_CLOSE).select(F.col("_metadata.file_path").alias("path"), piece.alias("piece")).filter("piece <> ''")
     return cut.withColumn("record", F.from_json(F.concat("piece", F.lit(_CLOSE)), RECORD))
 

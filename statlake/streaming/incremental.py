@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Iterator
 
-from statlake.operators.mapping import rename_raw
-from statlake.schemas import RAW_SCHEMA
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from statlake.sources.landing import PIECE_EDGES, RECORD, all_fields, spread
 
 
 def updated_since(listing: DataFrame, last_ingested: DataFrame) -> DataFrame:
@@ -31,49 +34,66 @@ def new_or_changed(fetched: DataFrame, stored: DataFrame, keys: list[str]) -> Da
     return fetched.withColumn("_hash", row_hash(rest)).join(old, cond, "left_anti").drop("_hash")
 
 
-BUCKETS = 64
-
-
 def latest(versions: DataFrame, keys: list[str], recency: list[str]) -> DataFrame:
     """The newest version of every key."""
     rest = [c for c in versions.columns if c not in keys and c not in recency]
     return versions.groupBy(*keys).agg(F.max(F.struct(*recency, *rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def stored_records(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """What ``stream_landing`` has stored: the newest version of every key."""
-    return latest(spark.read.schema(_stored_schema(spark)).parquet(out).drop("bucket"), keys, ["batch_id"])
+_STORED = "key string, version long, path string, text string"
 
 
-def _stored_schema(spark: SparkSession) -> T.StructType:
-    columns = rename_raw(spark.createDataFrame([], RAW_SCHEMA)).schema
-    return T.StructType([*columns.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.LongType())])
+def _changed(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The newest landed piece of a key if its content is another than the stored one's; the state holds that content's hash."""
+    newest = None
+    for frame in pieces:
+        for row in zip(frame["landed"], frame["path"], frame["content"], frame["text"]):
+            if newest is None or row > newest:
+                newest = row
+    content, version = state.get if state.exists else (None, 0)
+    if content != newest[2]:
+        state.update((int(newest[2]), version + 1))
+        yield pd.DataFrame({"key": [key[0]], "version": [version + 1], "path": [newest[1]], "text": [newest[3]]})
 
 
 def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str, keys: list[str], files_per_batch: int = 1000) -> None:
     """Append new and changed records of newly landed files, then stop.
 
-    Of several versions of a key within a batch the one landed last counts (by time of
-    its file). Each batch writes its own folder, by key bucket, and only looks at the
-    buckets it touches in earlier folders; a batch that is run again after a failure
-    replaces itself and nothing else.
+    Files hold arrays, lone objects or lines of flat records with any fields, and are cut at
+    closing braces; ``keys`` are landed field names. The state store keeps a hash of the content
+    and a version number per key, so a batch touches the keys it brings and reads nothing of
+    what is stored. Of several versions of a key within a batch the one landed last counts
+    (time of its file, then its name). The file sink keeps each batch exactly once. Pieces
+    that are no records are stored as well, see ``stored_failures``.
     """
-    schema = _stored_schema(spark)
-    spark.createDataFrame([], rename_raw(spark.createDataFrame([], RAW_SCHEMA)).schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1/bucket=-1")
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        one = latest(batch, keys, ["_landed", "_file"]).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)))
-        one.persist()
-        try:
-            touched = [r[0] for r in one.select("bucket").distinct().collect()]           # at most BUCKETS numbers
-            seen = session.read.schema(schema).parquet(out).filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
-            fresh = new_or_changed(one, latest(seen, [*keys, "bucket"], ["batch_id"]).select(*one.columns), keys)
-            fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/batch_id={batch_id}")
-        finally:
-            one.unpersist()
-
-    source = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    landed = rename_raw(source.select("*", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file")))
-    query = landed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    source = spark.readStream.option("maxFilesPerTrigger", files_per_batch).format("text").option("lineSep", "}").load(landing)
+    piece = F.regexp_replace("value", PIECE_EDGES, "")
+    text = F.concat(piece, F.lit("}"))
+    landed = source.select(F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("path"), text.alias("text"),
+                           F.from_json(text, RECORD).alias("record")).filter(F.col("text") != "}")
+    own = F.to_json(F.array(*[F.element_at("record", F.lit(k)) for k in keys]), {"ignoreNullFields": "false"})
+    sorted_record = F.array_sort(F.map_entries("record"))
+    rows = landed.select("landed", "path", "text", F.when(F.col("record").isNotNull(), own).alias("own"), F.xxhash64(sorted_record, F.col("record").isNull()).alias("content"))
+    rows = rows.select(F.coalesce("own", F.concat(F.lit("!"), "path", F.lit(" "), "text")).alias("key"), "landed", "path", "content", "text")
+    changed = rows.groupBy("key").applyInPandasWithState(_changed, _STORED, "content long, version long", "append", GroupStateTimeout.NoTimeout)
+    query = changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def stored_versions(spark: SparkSession, out: str) -> DataFrame:
+    """Everything stored: key, version number, file and text."""
+    return spark.read.schema(_STORED).parquet(out)
+
+
+def stored_records(spark: SparkSession, out: str, fields: list[str] | None = None) -> DataFrame:
+    """What ``stream_landing`` has stored: the newest version of every key, one column a field (a survey finds them if none are given)."""
+    newest = latest(stored_versions(spark, out).filter(~F.col("key").startswith("!")), ["key"], ["version"])
+    records = newest.select(F.from_json("text", RECORD).alias("record"))
+    if fields is None:
+        fields = [r[0] for r in records.select(F.explode(F.map_keys("record"))).distinct().collect()]
+    return spread(records, all_fields(fields))
+
+
+def stored_failures(spark: SparkSession, out: str) -> DataFrame:
+    """(path, text) of pieces that were no records; files whose texts hold braces are read in whole by ``read_raw``."""
+    return stored_versions(spark, out).filter(F.col("key").startswith("!")).select("path", "text")

@@ -1,6 +1,7 @@
 """Landed files, sinks, tables, streaming and jobs on local folders."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,19 +101,54 @@ def test_new_or_changed(spark):
     assert {tuple(r) for r in U.new_or_changed(new, old, ["k"]).collect()} == {("b", "3"), ("c", "4")}
 
 
+def land(folder, name, records, at, **dump):
+    path = folder / name
+    path.write_text(json.dumps(records, **dump))
+    os.utime(path, (at, at))
+
+
+def streamed(spark, out):
+    return sorted(((r["attr_id"], r["value"]) for r in U.stored_records(spark, out).collect()), key=str)
+
+
 def test_stream_keeps_the_newest_version_of_each_key(spark, tmp_path):
-    landing, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    rows = spark.createDataFrame([("1", "5"), ("2", "6"), ("1", "5")], "`@id` string, `$` string")
-    rows.write.json(landing)
-    U.stream_landing(spark, landing, out, state, ["attr_id"])
-    spark.createDataFrame([("2", "9"), ("3", "7")], "`@id` string, `$` string").write.mode("append").json(landing)
-    U.stream_landing(spark, landing, out, state, ["attr_id"])
-    got = U.stored_records(spark, out, ["attr_id"])
-    assert sorted((r["attr_id"], r["value"]) for r in got.collect()) == [("1", "5"), ("2", "9"), ("3", "7")]
-    assert spark.read.parquet(out).count() == 4
-    spark.createDataFrame([("3", "7"), ("2", "6")], "`@id` string, `$` string").write.mode("append").json(landing)
-    U.stream_landing(spark, landing, out, state, ["attr_id"])
-    assert sorted((r["attr_id"], r["value"]) for r in U.stored_records(spark, out, ["attr_id"]).collect()) == [("1", "5"), ("2", "6"), ("3", "7")]
+    landing, out, state = (tmp_path / n for n in ("landing", "out", "state"))
+    landing.mkdir()
+
+    def run():
+        U.stream_landing(spark, str(landing), str(out), str(state), ["@id"])
+    land(landing, "a.json", [{"@id": "1", "$": "5"}, {"@id": "2", "$": "5"}], 1000)
+    run()
+    land(landing, "c.json", [{"@id": "2", "$": "6"}, {"@id": "1", "$": "5"}], 3000, indent=2)
+    land(landing, "b.json", {"@id": "2", "$": "0", "@new": "x"}, 2000)
+    run()
+    assert streamed(spark, str(out)) == [("1", "5"), ("2", "6")]
+    run()
+    land(landing, "d.json", [{"$": "5", "@id": "2"}, {"@id": "3", "$": "7"}, {"@id": None, "$": "8"}], 4000)       # back to an earlier content
+    (landing / "e.json").write_text('{"@id":"9 } {"')
+    run()
+    assert streamed(spark, str(out)) == [("1", "5"), ("2", "5"), ("3", "7"), (None, "8")]
+    versions = {(r["key"], r["version"]) for r in U.stored_versions(spark, str(out)).filter("key NOT LIKE '!%'").collect()}
+    assert versions == {('["1"]', 1), ('["2"]', 1), ('["2"]', 2), ('["2"]', 3), ('["3"]', 1), ("[null]", 1)}
+    assert U.stored_failures(spark, str(out)).count() == 2
+
+
+def test_stream_reads_nothing_of_what_is_stored(spark, tmp_path):
+    """Ten batches over the same keys; before the last, all stored files are made unreadable, and it still tells changed keys from others."""
+    landing, out, state = (tmp_path / n for n in ("landing", "out", "state"))
+    landing.mkdir()
+    for batch in range(10):
+        land(landing, f"{batch}.json", [{"@id": str(i), "$": str(batch if i < 5 else 0)} for i in range(50)], 1000 + batch)
+        if batch == 9:
+            before = {f: f.read_bytes() for f in out.glob("*.parquet")}
+            for f in before:
+                f.write_bytes(b"")
+        U.stream_landing(spark, str(landing), str(out), str(state), ["@id"])
+    for f, content in before.items():
+        f.write_bytes(content)
+    new = [f for f in out.glob("*.parquet") if f not in before]
+    assert spark.read.parquet(*map(str, new)).count() == 5
+    assert streamed(spark, str(out)) == sorted(((str(i), "9" if i < 5 else "0") for i in range(50)), key=str)
 
 
 def test_partition_decision(spark, tmp_path):
