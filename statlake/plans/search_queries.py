@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions import text as X
-from statlake.operators import catalog as C, mapping as M, search as S, tfidf as TF
+from statlake.operators import catalog as C, mapping as M, search as S, substrings as SUB, tfidf as TF
 from statlake.operators.ranking import select_diverse
 from statlake.plans import views as V
 from statlake.plans.mapping_queries import CANDIDATE_SQL, SELECTION_SQL
@@ -84,6 +84,43 @@ def search_filtered(spark, sf):
     return S.search(V.catalog(spark, sf), QUERIES, 5, domain="labor", min_records=50000)
 
 
+def indexed(spark, sf):
+    path = scratch_path(spark, "substrings")
+    SUB.build(V.catalog(spark, sf), SUB.CATALOG_FIELDS, path)
+    return path
+
+
+def query_table(spark, queries=QUERIES):
+    return spark.createDataFrame(list(enumerate(queries)), "query_id int, query string")
+
+
+@query("k05_indexed_search", "catalog", f"SELECT dataset_id, score FROM (SELECT *, {_cscore('word')} AS score FROM (SELECT *, '労働' AS word FROM catalog)) WHERE {_MATCH}")
+def indexed_catalog_search(spark, sf):
+    return SUB.search_word(spark, indexed(spark, sf), "労働").select("dataset_id", "score")
+
+
+@query("k07_indexed_matches", "catalog", f"WITH {_HITS} SELECT query_id, query, dataset_id, word_idx, word FROM m")
+def indexed_matches(spark, sf):
+    hits = SUB.expanded_matches(spark, indexed(spark, sf), query_table(spark), SUB.CATALOG_FIELDS)
+    first = hits.groupBy("query_id", "query", "dataset_id").agg(F.min(F.struct("word_idx", "word")).alias("w"))
+    return first.select("query_id", "query", "dataset_id", "w.word_idx", "w.word")
+
+
+@query("k09_indexed_search", "catalog", f"WITH {_RANKED} SELECT * FROM s WHERE rank <= 20")
+def indexed_search(spark, sf):
+    return SUB.search(spark, indexed(spark, sf), query_table(spark))
+
+
+@query("k34_indexed_words", "catalog", """SELECT w.word, dataset_id FROM catalog JOIN (SELECT DISTINCT lower(regexp_extract(description, '[^ ]+')) AS word FROM catalog) w
+ ON contains(lower(description), w.word) WHERE w.word <> ''""")
+def indexed_words(spark, sf):
+    """Many words at once: the first words of all descriptions, looked for in all descriptions."""
+    path, c = scratch_path(spark, "substrings"), V.catalog(spark, sf)
+    SUB.build(c.select("dataset_id", "description"), ["description"], path)
+    words = c.select(F.lower(F.regexp_extract("description", "[^ ]+", 0)).alias("word")).filter("word <> ''")
+    return SUB.containing(spark, path, words, ["description"]).select("word", "dataset_id")
+
+
 _TOP3 = "(SELECT list(domain || '関連データ' ORDER BY n DESC, s) FROM (SELECT domain, count(*) AS n, min(seq) AS s FROM catalog GROUP BY 1 ORDER BY 2 DESC, 3 LIMIT 3))"
 
 
