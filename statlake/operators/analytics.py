@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from statlake.session import materialise
 
 
 
@@ -171,24 +173,33 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # --- compatibility of datasets --------------------------------------------------------
 
-def dataset_profiles(facts: DataFrame) -> DataFrame:
-    """Year range, region count and granularity of every dataset."""
-    cells = facts.groupBy("dataset_id", "year", "region_code", F.col("quarter") > 0, F.col("month") > 0).agg(F.count("*").alias("n"))
-    q, m = cells.columns[3], cells.columns[4]
+def dataset_cells(facts: DataFrame) -> DataFrame:
+    """(dataset_id, year, region_code, has_quarter, has_month, n): what all comparisons of datasets need, written once."""
+    flags = [F.coalesce(F.col(c) > 0, F.lit(False)).alias(f"has_{c}") for c in ("quarter", "month")]
+    return materialise(facts.groupBy("dataset_id", "year", "region_code", *flags).agg(F.count("*").alias("n")), "dataset-cells")
+
+
+def profiles_of(cells: DataFrame) -> DataFrame:
     return cells.groupBy("dataset_id").agg(
         F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.countDistinct("year").alias("years"),
         F.countDistinct("region_code").alias("regions"), F.sum("n").alias("records"),
-        F.when(F.max(m), "month").when(F.max(q), "quarter").otherwise("year").alias("granularity"))
+        F.when(F.max("has_month"), "month").when(F.max("has_quarter"), "quarter").otherwise("year").alias("granularity"))
+
+
+def dataset_profiles(facts: DataFrame) -> DataFrame:
+    """Year range, region count and granularity of every dataset."""
+    return profiles_of(dataset_cells(facts))
 
 
 def join_compatibility(facts: DataFrame, dataset_id: str) -> DataFrame:
     """How other datasets can be joined with one dataset: shared regions, overlapping years, keys, join type.
 
-    One dataset's regions are joined with the (dataset, region) pairs, so the
-    work grows with the pairs, not with pairs of datasets.
+    Facts are read once, into cells; one dataset's regions are joined with the (dataset, region)
+    pairs, so the work grows with the pairs, not with pairs of datasets.
     """
-    profiles = dataset_profiles(facts)
-    regions = facts.groupBy("dataset_id", "region_code").agg(F.count("*").alias("_n"))
+    cells = dataset_cells(facts)
+    profiles = materialise(profiles_of(cells), "dataset-profiles")
+    regions = cells.select("dataset_id", "region_code").distinct()
     own = regions.filter(F.col("dataset_id") == dataset_id).select("region_code")
     shared = (regions.filter(F.col("dataset_id") != dataset_id).join(own, "region_code")
               .groupBy("dataset_id").agg(F.count("*").alias("shared_regions")))
@@ -196,13 +207,55 @@ def join_compatibility(facts: DataFrame, dataset_id: str) -> DataFrame:
     start, end, grain = (me.select(c).scalar() for c in ("first_year", "last_year", "granularity"))
     overlap = F.least("last_year", end) - F.greatest("first_year", start) + 1
     joined = profiles.filter(F.col("dataset_id") != dataset_id).join(shared, "dataset_id", "left")
-    n = F.coalesce("shared_regions", F.lit(0))
     years = F.greatest(overlap, F.lit(0)).cast("int")
-    both = (years > 0) & (n > 0)
-    return joined.select(
-        "dataset_id", years.alias("overlap_years"), n.alias("shared_regions"), (F.col("granularity") == grain).alias("same_granularity"),
-        F.when(both, "year,region_code").when(years > 0, "year").when(n > 0, "region_code").otherwise("").alias("join_keys"),
-        F.when(both & (F.col("granularity") == grain), "inner").when(both, "left").otherwise("none").alias("join_type"))
+    return _compatibility(joined, [F.col("dataset_id")], years, F.coalesce("shared_regions", F.lit(0)), F.col("granularity") == grain)
+
+
+def _compatibility(pairs: DataFrame, ids: list[Column], years: Column, regions: Column, same: Column) -> DataFrame:
+    both = (years > 0) & (regions > 0)
+    return pairs.select(
+        *ids, years.alias("overlap_years"), regions.alias("shared_regions"), same.alias("same_granularity"),
+        F.when(both, "year,region_code").when(years > 0, "year").when(regions > 0, "region_code").otherwise("").alias("join_keys"),
+        F.when(both & same, "inner").when(both, "left").otherwise("none").alias("join_type"))
+
+
+def overlapping(left: DataFrame, right: DataFrame, start: str, end: str, least: int = 1, width: int = 4) -> DataFrame:
+    """Pairs of rows whose closed integer intervals share ``least`` points or more, as columns ``a`` and ``b`` of structs.
+
+    An interval shortened by ``least - 1`` points meets another such one exactly where the two
+    share enough. Shortened ones are cut into bins of ``width`` points and meet by bin; a pair is
+    kept in the first bin that both have, so it comes once. Work follows the bins' pairs: no
+    interval meets one far from it. Rows with a null bound meet nothing.
+    """
+    def binned(df: DataFrame, name: str) -> DataFrame:
+        low, high = F.floor(F.col(start) / width), F.floor((F.col(end) - (least - 1)) / width)
+        rows = df.filter(F.col(end) - F.col(start) >= least - 1).select(F.struct(*df.columns).alias(name), low.alias(f"{name}_first"), high.alias("_last"))
+        return rows.select(name, f"{name}_first", F.explode(F.sequence(f"{name}_first", F.greatest("_last", f"{name}_first"))).alias("bin"))
+
+    met = binned(left, "a").join(binned(right, "b"), "bin").filter(F.col("bin") == F.greatest("a_first", "b_first"))
+    shared = F.least(F.col("a")[end], F.col("b")[end]) - F.greatest(F.col("a")[start], F.col("b")[start]) + 1
+    return met.filter(shared >= least).select("a", "b", shared.cast("int").alias("shared"))
+
+
+def joinable_pairs(facts: DataFrame, least_years: int = 1) -> DataFrame:
+    """All pairs of datasets that share ``least_years`` years or more, with what they can be joined on.
+
+    A dataset's regions are a row of 64-bit words over numbered regions, so a pair's shared
+    regions are counted on the pair itself, however many datasets have a region.
+    """
+    cells = dataset_cells(facts)
+    names = cells.select("region_code").filter(F.col("region_code").isNotNull()).distinct()
+    numbers = materialise(names.select("region_code", (F.row_number().over(Window.orderBy("region_code")) - 1).alias("nr")), "regions")     # one row a region
+    bits = (cells.select("dataset_id", "region_code").distinct().join(numbers, "region_code")
+            .groupBy("dataset_id", F.floor(F.col("nr") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(nr % 64 as int))")).alias("bits")))
+    words = bits.groupBy("dataset_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("region_bits"))
+    rows = profiles_of(cells).select("dataset_id", "first_year", "last_year", "granularity").join(words, "dataset_id", "left")
+    rows = materialise(rows, "dataset-profiles")
+    pairs = overlapping(rows, rows, "first_year", "last_year", least_years).filter("a.dataset_id < b.dataset_id")
+    both = F.transform(F.map_entries("a.region_bits"), lambda e: F.bit_count(e["value"].bitwiseAND(F.coalesce(F.try_element_at("b.region_bits", e["key"]), F.lit(0).cast("long")))))
+    regions = F.coalesce(F.aggregate(both, F.lit(0), lambda s, n: s + n), F.lit(0)).cast("long")
+    return _compatibility(pairs, [F.col("a.dataset_id").alias("dataset_a"), F.col("b.dataset_id").alias("dataset_b")], F.col("shared"), regions,
+                          F.col("a.granularity") == F.col("b.granularity"))
 
 
 def fetch_and_join(facts: DataFrame, dataset_ids: list[str], keys: list[str]) -> DataFrame:

@@ -74,28 +74,31 @@ def top_with_priority(df: DataFrame, group: str, order: list, n: int) -> DataFra
     return best.join(size, group).withColumn("priority", F.col("_m") - F.col("rn") + 1).drop("_m")
 
 
-def lag_by_blocks(df: DataFrame, key: str, order: list[str], block: Column, column: str, out: str) -> DataFrame:
-    """Previous value of ``column`` within a key, in the order given.
-
-    Rows are cut into (key, block) pieces, a block being a coarse step of the
-    leading order column. Inside a piece it is a plain lag; the first row of a
-    piece takes the last value of the key's piece before it, from a summary
-    with one row per piece. A key with a third of all rows is thus sorted in
-    as many tasks as it has blocks.
+def range_blocks(df: DataFrame, columns: list[str], blocks: int | None = None) -> DataFrame:
+    """Rows written with ``_block``: ranges of the columns with about equal counts, in their order."""
+    dealt = df.repartitionByRange(blocks, *columns) if blocks else df.repartitionByRange(*columns)
+    return materialise(dealt.withColumn("_block", F.spark_partition_id()), "range-blocks")      # block numbers must not change
+
+
+def lag_by_blocks(df: DataFrame, key: str, order: list[str], column: str, out: str, blocks: int | None = None) -> DataFrame:
+    """Previous value of ``column`` within a key. A key is cut by ranges of (key, order), so one with many rows is many tasks.
+
+    A block brings its own lags; where a key starts in a block, the value is the last one
+    of the key's block before. That summary has one row per key and block.
     """
-    cut = df.withColumn("_b", block)
-    summary = cut.groupBy(key, "_b").agg(F.max(F.struct(*order, column)).alias("_l"))
-    before = summary.select(key, "_b", F.lag(F.col("_l")[column]).over(Window.partitionBy(key).orderBy("_b")).alias("_prev"))
-    w = Window.partitionBy(key, "_b").orderBy(*order)
+    cut = range_blocks(df, [key, *order], blocks)
+    summary = cut.groupBy(key, "_block").agg(F.max(F.struct(*order, column)).alias("_l"))
+    before = summary.select(key, "_block", F.lag(F.col("_l")[column]).over(Window.partitionBy(key).orderBy("_block")).alias("_prev"))
+    w = Window.partitionBy("_block", key).orderBy(*order)
     local = cut.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(column).over(w))
-    # Only first rows of a piece need the summary; they are one per piece as well.
-    joined = local.join(before, [key, "_b"], "left")
-    return joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("_lag"))).drop("_b", "_rn", "_lag", "_prev")
+    # Only the first rows of a key in a block need the summary; rows without a key are none.
+    joined = local.join(before, (local[key].eqNullSafe(before[key])) & (local["_block"] == before["_block"]), "left").drop(before[key], before["_block"])
+    return joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("_lag"))).drop("_block", "_rn", "_lag", "_prev")
 
 
 def status_transitions(events: DataFrame) -> DataFrame:
     """One row per status change of a dataset: from, to, time, error."""
-    out = lag_by_blocks(events, "dataset_id", ["ts", "event_id"], F.date_trunc("day", "ts"), "status", "from_status")
+    out = lag_by_blocks(events, "dataset_id", ["ts", "event_id"], "status", "from_status")
     changed = F.col("from_status").isNull() | (F.col("from_status") != F.col("status"))
     return out.filter(changed).select("dataset_id", "from_status", F.col("status").alias("to_status"), F.col("ts").alias("timestamp"),
                                       "error_message", "event_id")

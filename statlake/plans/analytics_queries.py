@@ -260,6 +260,16 @@ def join_compatibility(spark, sf):
     return A.join_compatibility(grained(spark, sf), "ds00001")
 
 
+@query("j11_joinable_pairs", "obs", """WITH p AS (SELECT dataset_id, min(year) AS a, max(year) AS b,
+  CASE WHEN max(month) > 0 THEN 'month' WHEN max(quarter) > 0 THEN 'quarter' ELSE 'year' END AS g FROM obs GROUP BY 1),
+ r AS (SELECT DISTINCT dataset_id, region_code FROM obs), s AS (SELECT x.dataset_id AS da, y.dataset_id AS db, count(*) AS n FROM r x JOIN r y ON x.region_code = y.region_code AND x.dataset_id < y.dataset_id GROUP BY 1, 2)
+ SELECT p.dataset_id AS dataset_a, m.dataset_id AS dataset_b, CAST(least(p.b, m.b) - greatest(p.a, m.a) + 1 AS INT) AS overlap_years, coalesce(s.n, 0) AS shared_regions, p.g = m.g AS same_granularity,
+  CASE WHEN s.n > 0 THEN 'year,region_code' ELSE 'year' END AS join_keys, CASE WHEN s.n > 0 THEN CASE WHEN p.g = m.g THEN 'inner' ELSE 'left' END ELSE 'none' END AS join_type
+ FROM p JOIN p m ON p.dataset_id < m.dataset_id AND least(p.b, m.b) - greatest(p.a, m.a) + 1 >= 3 LEFT JOIN s ON s.da = p.dataset_id AND s.db = m.dataset_id""")
+def joinable_pairs(spark, sf):
+    return A.joinable_pairs(grained(spark, sf), 3)
+
+
 @query("j12_fetch_and_join", "obs", """SELECT year, region_code, sum(value) FILTER (dataset_id = 'ds00001') AS ds00001, sum(value) FILTER (dataset_id = 'ds00002') AS ds00002
  FROM obs GROUP BY 1, 2 HAVING count(*) FILTER (dataset_id = 'ds00001') > 0 AND count(*) FILTER (dataset_id = 'ds00002') > 0""")
 def fetch_and_join(spark, sf):

@@ -12,7 +12,7 @@ from statlake.plans import jobs as J, views as V
 from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
 from statlake.plans.search_queries import classified
-from statlake.session import scratch_path
+from statlake.session import materialise, scratch_path
 from statlake.sources import landing as L, sinks as W
 from statlake.streaming import incremental as U
 
@@ -150,6 +150,17 @@ _detail("k32_by_indicator", "SELECT DISTINCT dataset_id FROM dim_items WHERE con
 _detail("k33_by_unit", "SELECT DISTINCT dataset_id FROM dim_items WHERE unit = '円'", lambda s, i: SE.by_unit(i, "円"))
 
 
+@query("k31_by_year_ranges", "dim_items", f"""WITH {_SUMMARY}, r AS (SELECT DISTINCT year(o_orderdate) AS a, year(o_orderdate) + 1 AS b FROM orders)
+ SELECT CAST(r.a AS INT) AS range_start, dataset_id, CAST(least(r.b, end_year) - greatest(r.a, start_year) + 1 AS INT) AS shared_years FROM y JOIN r ON NOT (end_year < r.a OR start_year > r.b)""")
+def by_year_ranges(spark, sf):
+    """Datasets of each of many year ranges: two years from every year in which orders were placed."""
+    summary = materialise(I.search_summary(items(spark, sf)).select("dataset_id", "start_year", "end_year"), "year-ranges")
+    y = F.year("o_orderdate")
+    ranges = V.table(spark, sf, "orders").select(y.alias("start_year"), (y + 1).alias("end_year")).distinct()
+    return A.overlapping(ranges, summary, "start_year", "end_year").select(
+        F.col("a.start_year").alias("range_start"), F.col("b.dataset_id").alias("dataset_id"), F.col("shared").alias("shared_years"))
+
+
 # --- landed data -----------------------------------------------------------------------------
 
 _COLS = "dataset_id, attr_id, attr_area, attr_time, attr_cat01, attr_unit, value"

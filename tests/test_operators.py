@@ -107,7 +107,7 @@ def test_top_per_group_in_pieces(spark, n):
 
 def test_lag_by_blocks(spark):
     rows, df = skewed(spark, 1500)
-    out = R.lag_by_blocks(df, "k", ["g", "i"], F.floor(F.col("g") / 10), "v", "prev")
+    out = R.lag_by_blocks(df, "k", ["g", "i"], "v", "prev", 7)
     got = {r["i"]: r["prev"] for r in out.collect()}
     last, want = {}, {}
     for k, i, _, v in sorted(rows, key=lambda r: (r[2], r[1])):
@@ -303,3 +303,55 @@ def test_latency_metrics_are_ordered(spark, values):
     r = latency_report(df).first()
     assert r["p50"] <= r["p95"] + 1e-9 and r["p95"] <= r["p99"] + 1e-9
     assert r["min"] - 1e-9 <= r["avg"] <= r["max"] + 1e-9 and r["p50"] == pytest.approx(statistics.median(values))
+
+
+def test_overlapping_intervals_equal_brute_force(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(i, a, a + rng.randint(-1, 30)) for i, a in enumerate(rng.choices(range(-40, 60), k=120))] + [(500, None, 4), (501, 4, None), (502, 7, 7), (502, 7, 7)]
+    df = spark.createDataFrame(rows, "id int, s int, e int")
+    for least, width in ((1, 4), (3, 4), (5, 1), (2, 50)):
+        pairs = A.overlapping(df, df, "s", "e", least, width)
+        assert "NestedLoop" not in pairs._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in pairs._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in pairs.select("a.id", F.col("b.id").alias("j"), "shared").collect())
+        full = [r for r in rows if None not in r]
+        want = sorted((a[0], b[0], n) for a in full for b in full if (n := min(a[2], b[2]) - max(a[1], b[1]) + 1) >= least)
+        assert got == want
+
+
+def test_joinable_pairs_read_facts_once(spark):
+    regions = [f"r{i:03d}" for i in range(150)]
+    rows = [(f"d{d}", 2000 + d % 4 + y, 1 if d % 2 else 0, 0, regions[(d * 7 + k) % 150]) for d in range(12) for y in range(4) for k in range(d * 10 + 1)]
+    facts = spark.createDataFrame(rows, "dataset_id string, year int, quarter int, month int, region_code string")
+    pairs = A.joinable_pairs(facts, 2)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "NestedLoop" not in plan                # the facts went into the written cells
+    got = {(r["dataset_a"], r["dataset_b"]): (r["overlap_years"], r["shared_regions"]) for r in pairs.collect()}
+    own = {}
+    for d, y, _, _, r in rows:
+        a = own.setdefault(d, (set(), set()))
+        a[0].add(y)
+        a[1].add(r)
+    want = {}
+    for a in own:
+        for b in own:
+            n = min(max(own[a][0]), max(own[b][0])) - max(min(own[a][0]), min(own[b][0])) + 1
+            if a < b and n >= 2:
+                want[a, b] = (n, len(own[a][1] & own[b][1]))
+    assert got == want
+
+
+def test_lag_over_range_blocks_with_one_key_and_one_day(spark):
+    import random
+    from statlake.operators import ranking as R
+    rng = random.Random(6)
+    rows = [("d", 86400 * 10 + i // 3, i, rng.choice(["a", "b", None])) for i in range(4000)] + [("e", 1, 1, "a"), ("f", 1, 1, None), ("f", 2, 2, "b"), (None, 1, 1, "x"), (None, 2, 2, "y")]
+    df = spark.createDataFrame(rows, "k string, t int, id int, status string").repartition(5)
+    out = R.lag_by_blocks(df, "k", ["t", "id"], "status", "prev", blocks=16)
+    want, last = {}, {}
+    for k, t, i, s in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        want[k, i] = last.get(k)
+        last[k] = s
+    assert {(r["k"], r["id"]): r["prev"] for r in out.collect()} == want
+    sizes = sorted(r["count"] for r in R.range_blocks(df, ["k", "t", "id"], 16).groupBy("_block").count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
