@@ -13,7 +13,7 @@ from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
 from statlake.plans.search_queries import classified
 from statlake.session import materialise, scratch_path
-from statlake.sources import landing as L, sinks as W
+from statlake.sources import facts as FA, keyed as KT, landing as L, sinks as W
 from statlake.streaming import incremental as U
 
 
@@ -441,6 +441,70 @@ def refresh_catalog(spark, sf):
     return spark.table(table)
 
 
+@query("s30_update_rows", "catalog", """SELECT dataset_id, CASE WHEN priority = 3 THEN 'failed' ELSE ingestion_status END AS ingestion_status, CASE WHEN priority = 4 THEN title || ' (2)' ELSE title END AS title,
+ CASE WHEN priority = 3 THEN priority + 10 ELSE priority END AS priority FROM catalog WHERE priority <> 5
+ UNION ALL SELECT 'new-' || dataset_id, ingestion_status, title, priority FROM catalog WHERE priority = 6""")
+def update_rows(spark, sf):
+    """A stored table after an update, an upsert of known and new keys, and a removal; read back from the table."""
+    c, table = V.catalog(spark, sf).select("dataset_id", "ingestion_status", "title", "priority"), fresh("keyed_catalog")
+    KT.create(c, "dataset_id", table, scratch_path(spark, "keyed"))
+    KT.update(c.filter("priority = 3").select("dataset_id", F.lit("failed").alias("ingestion_status"), (F.col("priority") + 10).alias("priority")), table)
+    again = c.filter("priority = 4").withColumn("title", F.concat("title", F.lit(" (2)")))
+    KT.upsert(again.unionByName(c.filter("priority = 6").withColumn("dataset_id", F.concat(F.lit("new-"), "dataset_id"))), table)
+    KT.remove(c.filter("priority = 5").select("dataset_id"), table)
+    return KT.read(spark, table)
+
+
+# --- stored facts ------------------------------------------------------------------------------
+
+def stored_facts(spark, sf, domain):
+    return FA.create(domain_rows(spark, sf, domain), domain, fresh(f"facts_{domain}"), scratch_path(spark, "facts"))
+
+
+@query("f01_stored_facts", "obs", "SELECT year, region_code, cat01 AS category, value FROM obs WHERE year >= 1998 AND region_code = '00013'")
+def stored_year_and_region(spark, sf):
+    rows = stored_facts(spark, sf, "population").rows(spark)
+    return rows.filter((F.col("year") >= 1998) & (F.col("region_code") == "00013")).select("year", "region_code", "category", "value")
+
+
+@query("a02_stored_totals", "obs", """SELECT year, region_code, count(*) AS record_count, sum(value) AS total_value, avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value
+ FROM obs GROUP BY 1, 2 ORDER BY year DESC, region_code LIMIT 100""")
+def stored_region_year(spark, sf):
+    """Facts in two loads: the first years, and then all later ones with a part of the first year once more."""
+    rows = materialise(domain_rows(spark, sf, "population"), "mapped")
+    late = (F.col("year") > 1995) | (F.col("region_code") == "00003")
+    tables = FA.create(rows.filter(~late), "population", fresh("facts"), scratch_path(spark, "facts"))
+    FA.append(rows.filter(late), tables)
+    return FA.region_year_statistics(spark, tables)
+
+
+@query("a14_stored_facts", "obs", "SELECT region_code, cat01 AS school_type, count(DISTINCT dataset_id) AS facility_count FROM obs WHERE year = 1998 GROUP BY 1, 2")
+def stored_datasets_by_region(spark, sf):
+    return A.distinct_count(stored_facts(spark, sf, "education").rows(spark), ["region_code", "school_type"], "dataset_id", "facility_count", F.col("year") == 1998)
+
+
+@query("a15_stored_totals", "obs", "SELECT year, count(*) AS records, sum(value) AS total FROM obs GROUP BY 1")
+def stored_years(spark, sf):
+    """Totals of all years after a second load that touches some of them."""
+    rows = materialise(domain_rows(spark, sf, "economy"), "mapped")
+    late = (F.col("year") > 1996) | (F.col("region_code") == "00003")
+    tables = FA.create(rows.filter(~late), "economy", fresh("facts"), scratch_path(spark, "facts"))
+    FA.append(rows.filter((F.col("year") > 1996)), tables)
+    FA.append(rows.filter(late & (F.col("year") <= 1996)), tables)
+    return tables.by_region(spark).groupBy("year").agg(F.sum("records").alias("records"), F.sum("total").alias("total"))
+
+
+@query("a26_stored_totals", "obs", "SELECT region_code, sum(value) AS total_value FROM obs WHERE year = 1998 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def stored_top_regions(spark, sf):
+    return FA.top_regions(spark, stored_facts(spark, sf, "population"), 1998)
+
+
+@query("j01_stored_totals", "obs", """SELECT year, region_code, population, gdp FROM (SELECT year, region_code, sum(value) AS population FROM obs GROUP BY 1, 2)
+ JOIN (SELECT year, region_code, sum(value) AS gdp FROM obs GROUP BY 1, 2) USING (year, region_code) WHERE year >= 1996""")
+def stored_join(spark, sf):
+    return FA.joined_totals(spark, {"population": stored_facts(spark, sf, "population"), "gdp": stored_facts(spark, sf, "economy")}, F.col("year") >= 1996)
+
+
 # --- increments and jobs -----------------------------------------------------------------------------
 
 @query("f20_updated_since", "registry", "SELECT dataset_id FROM registry WHERE load_date IS NULL OR seq % 3 = 0")
