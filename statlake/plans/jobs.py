@@ -21,26 +21,29 @@ def open_work(registry: DataFrame) -> DataFrame:
 def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.1, stage_path: str | None = None) -> DataFrame:
     """Map, check and store every open dataset that has landed; returns one result row per dataset.
 
-    Rows are mapped once into a staging folder; the gate and the final write both
-    read it. Datasets above the failure threshold stay in staging. With a
-    ``stage_path`` kept between runs, a dataset whose transformation is stamped
-    resumes from its staged rows and is not mapped again. A run can be repeated:
-    of a dataset only its newest staged rows count, and one with rows in the lake
-    gets no second copy (it fails if their number is not that of its staged rows).
+    Rows are mapped once into a staging folder and summed up per dataset: number, failing
+    rows, and a content sum. Gate and load decide from that summary; rows are read again only
+    for the write. Datasets above the failure threshold stay in staging. With a ``stage_path``
+    kept between runs, a dataset whose transformation is stamped resumes from its staged rows
+    and is not mapped again. A run can be repeated: of a dataset only its newest staged rows
+    count, and one with rows in the lake gets no second copy; it fails if these are not the
+    staged ones, in number or in content.
     """
     spark = raw.sparkSession
     work = materialise(open_work(registry).select("dataset_id", "domain", "start_stage"), "work")
     unmapped = F.lit(stage_path is None) | F.col("start_stage").isin("fetch", "transform")
     to_map = raw.join(work.filter(unmapped).select("dataset_id", "domain"), "dataset_id")
-    staged = stage_rows(M.map_domains(to_map, F.col("domain")), stage_path or scratch_path(spark, "staged"))
-    staged = staged.join(work.select("dataset_id"), "dataset_id", "left_semi")
-    stored = W.read_if_there(spark, path, staged.schema).join(work.select("dataset_id"), "dataset_id", "left_semi")
-    gate = core_gate(staged, threshold).join(stored.groupBy("dataset_id").agg(F.count("*").alias("stored")), "dataset_id", "left")
-    gate = materialise(gate, "gate")
-    new = gate.filter(F.col("passed") & F.col("stored").isNull()).select("dataset_id")
-    W.write_typed(staged.join(new, "dataset_id", "left_semi"), path, ["domain", "year"], mode="append")
+    rows, newest = stage_rows(M.map_domains(to_map, F.col("domain")), stage_path or scratch_path(spark, "staged"))
+    newest = newest.join(work.select("dataset_id"), "dataset_id", "left_semi")
+    lake = W.read_if_there(spark, path, rows.drop("run").schema).join(work.select("dataset_id"), "dataset_id", "left_semi")
+    stored = lake.groupBy("dataset_id").agg(F.count("*").alias("stored"), content_sum(lake.columns).alias("stored_content"))
+    rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
+    gate = materialise(newest.withColumn("passed", rate <= threshold).join(stored, "dataset_id", "left"), "gate")
+    new = gate.filter(F.col("passed") & F.col("stored").isNull()).select("dataset_id", "run")
+    W.write_typed(rows.join(new, ["dataset_id", "run"], "left_semi").drop("run"), path, ["domain", "year"], mode="append")
     done = work.join(gate, "dataset_id", "left")
-    loaded = F.col("passed") & (F.coalesce("stored", "total") == F.col("total"))
+    same = F.col("stored").isNull() | ((F.col("stored") == F.col("total")) & F.col("stored_content").eqNullSafe(F.col("content")))
+    loaded = F.col("passed") & same
     return done.select(
         "dataset_id", "domain", F.when(loaded, "success").when(F.col("total").isNull(), "skipped").otherwise("failed").alias("status"),
         F.when(loaded, F.col("total")).otherwise(0).alias("records"), "start_stage",
@@ -48,14 +51,26 @@ def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.
         .otherwise("validation: too many rows fail").alias("error_message"))
 
 
-def stage_rows(mapped: DataFrame, path: str) -> DataFrame:
-    """Add a run to the staging folder; returns of every dataset the rows of its newest run."""
-    run = f"{time.time_ns():020d}"
-    mapped.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
+def content_sum(columns: list[str]) -> Column:
+    """Sum of row hashes: equal for equal rows in any order, and repeated rows count."""
+    return F.sum(F.xxhash64(*[F.col(c) for c in sorted(columns)]).cast("decimal(38,0)"))
+
+
+def stage_rows(mapped: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Add a run to the staging folder. Returns all staged rows with their ``run``, and of every dataset the summary of its newest run.
+
+    The summary is written beside the rows (dataset_id, run, total, failed, content), so later runs need not read those again.
+    """
+    spark, run = mapped.sparkSession, f"{time.time_ns():020d}"
     schema = T.StructType([*mapped.schema.fields, T.StructField("run", T.StringType())])
-    rows = mapped.sparkSession.read.schema(schema).parquet(path)
-    newest = rows.groupBy("dataset_id").agg(F.max("run").alias("run"))
-    return rows.join(newest, ["dataset_id", "run"], "left_semi").select(*mapped.columns)
+    mapped.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(f"{path}/rows")
+    rows = spark.read.schema(schema).parquet(f"{path}/rows")
+    own = rows.filter(F.col("run") == run).groupBy("dataset_id").agg(F.lit(run).alias("run"), *gate_counts(), content_sum(mapped.columns).alias("content"))
+    own.write.mode("append").parquet(f"{path}/summaries")
+    summaries = spark.read.schema(own.schema).parquet(f"{path}/summaries")
+    rest = [c for c in own.columns if c not in ("dataset_id", "run")]
+    newest = summaries.groupBy("dataset_id").agg(F.max(F.struct("run", *rest)).alias("s")).select("dataset_id", "s.*")
+    return rows, newest
 
 
 def record_results(registry: DataFrame, results: DataFrame, at: Column) -> DataFrame:
@@ -71,12 +86,10 @@ def record_results(registry: DataFrame, results: DataFrame, at: Column) -> DataF
         F.when(ok, at).alias("validation_date"), F.when(ok, at).alias("load_date")))
 
 
-def core_gate(rows: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Failure share on the columns every domain has: a blank region or a missing value fails a row."""
+def gate_counts() -> list[Column]:
+    """Rows, and rows that fail on the columns every domain has: a blank region, or no value or year."""
     bad = Q.is_blank(F.col("region_code")) | F.col("value").isNull() | F.col("year").isNull()
-    c = rows.groupBy("dataset_id").agg(F.count("*").alias("total"), F.count_if(bad).alias("failed"))
-    rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
-    return c.select("dataset_id", "total", "failed", rate.alias("failure_rate"), (rate <= threshold).alias("passed"))
+    return [F.count("*").alias("total"), F.count_if(bad).alias("failed")]
 
 
 def ingest_complete(spark: SparkSession, raw_path: str, domain: str, dataset_id: str, path: str, table: str,

@@ -102,3 +102,19 @@ def test_no_change_and_emptied_buckets(spark, tmp_path):
     assert contents(spark, table) == []
     KT.upsert(spark.createDataFrame([("a", 2)], "id string, n int"), table)
     assert contents(spark, table) == [("a", 2)]
+
+
+def test_reopened_datasets_with_other_values_are_reported(spark, sf, tmp_path):
+    from statlake.plans import jobs as J, views as V
+    raw = V.raw_obs(spark, sf).filter(F.col("attr_area").isNotNull()).withColumn("attr_area", F.coalesce("attr_area", F.lit("x")))
+    ids = raw.select("dataset_id").distinct()
+    registry = ids.select("dataset_id", F.lit("labor").alias("domain"), *[F.lit(None).cast("string").alias(c) for c in (
+        "fetch_date", "transformation_date", "validation_date", "load_date")])
+    first = J.ingest(raw, registry, str(tmp_path / "lake"))
+    assert {r["status"] for r in first.collect()} == {"success"}
+    again = J.ingest(raw, registry, str(tmp_path / "lake"))
+    assert {(r["status"], r["error_message"]) for r in again.collect()} == {("success", "")}
+    changed = raw.withColumn("value", F.when((F.col("dataset_id") == "ds00003") & F.col("attr_id").endswith("1"), "17").otherwise(F.col("value")))
+    revised = {r["dataset_id"]: (r["status"], r["records"], r["error_message"]) for r in J.ingest(changed, registry, str(tmp_path / "lake")).collect()}
+    assert revised.pop("ds00003") == ("failed", 0, "load: other rows are stored already") and {v[0] for v in revised.values()} == {"success"}
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == raw.count()
