@@ -67,8 +67,9 @@ def map_domains(raw: DataFrame, domain: Column) -> DataFrame:
 
     Columns a row's domain does not have stay null, so one scan feeds every table.
     """
-    known = F.when(domain.isin(list(DOMAINS)), domain).otherwise("generic")
-    base = computed_once(raw, [known.alias("_domain")])
+    known, time = F.when(domain.isin(list(DOMAINS)), domain).otherwise("generic"), F.col("attr_time")
+    # Inside a condition common parts would be computed again and again, so periods are computed for every row.
+    base = computed_once(raw, [known.alias("_domain"), TC.loose_quarter(time).alias("_quarter"), TC.loose_month(time).alias("_month")])
     kind = F.col("_domain")
 
     def of(names):
@@ -84,12 +85,11 @@ def map_domains(raw: DataFrame, domain: Column) -> DataFrame:
             case = F.when(of(names), _attr(raw, attr)) if case is None else case.when(of(names), _attr(raw, attr))
         dims.append(case.alias(column))
     periods = {p: [d.name for d in DOMAINS.values() if d.period == p] for p in ("quarter", "month")}
-    time = F.col("attr_time")
     return base.select(
         kind.alias("domain"), F.coalesce(F.nullif(F.col("dataset_id"), F.lit("")), _attr(raw, "id")).alias("dataset_id"),
         _attr(raw, "id").alias("stats_data_id"), TC.loose_year(time).alias("year"),
-        F.when(of(periods["quarter"]), TC.loose_quarter(time)).alias("quarter"),
-        F.when(of(periods["month"]), TC.loose_month(time)).alias("month"),
+        F.when(of(periods["quarter"]), F.col("_quarter")).alias("quarter"),
+        F.when(of(periods["month"]), F.col("_month")).alias("month"),
         _attr(raw, "area").alias("region_code"), *dims,
         S.parse_value(F.col("value")).alias("value"), _attr(raw, "unit").alias("unit"))
 
