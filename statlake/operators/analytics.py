@@ -39,10 +39,14 @@ def region_year_statistics(facts: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def custom_sql(spark: SparkSession, tables: dict[str, DataFrame], text: str) -> DataFrame:
-    """A user's own SQL over named tables."""
+    """A user's own SQL over named tables; the names are gone once the text is resolved."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
 
 
 def group_statistics(facts: DataFrame, keys: list[str], *, where: Column | None = None, total: str | None = None,

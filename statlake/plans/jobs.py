@@ -18,7 +18,8 @@ def open_work(registry: DataFrame) -> DataFrame:
     return registry.filter(F.col("load_date").isNull()).withColumn("start_stage", G.start_stage())
 
 
-def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.1, stage_path: str | None = None) -> DataFrame:
+def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.1, stage_path: str | None = None,
+           audit_path: str | None = None, at: Column | None = None) -> DataFrame:
     """Map, check and store every open dataset that has landed; returns one result row per dataset.
 
     Rows are mapped once into a staging folder and summed up per dataset: number, failing
@@ -27,7 +28,8 @@ def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.
     kept between runs, a dataset whose transformation is stamped resumes from its staged rows
     and is not mapped again. A run can be repeated: of a dataset only its newest staged rows
     count, and one with rows in the lake gets no second copy; it fails if these are not the
-    staged ones, in number or in content.
+    staged ones, in number or in content. With an ``audit_path`` the load adds a row per
+    domain to its history, stamped ``at`` (now by default).
     """
     spark = raw.sparkSession
     work = materialise(open_work(registry).select("dataset_id", "domain", "start_stage"), "work")
@@ -40,7 +42,10 @@ def ingest(raw: DataFrame, registry: DataFrame, path: str, threshold: float = 0.
     rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
     gate = materialise(newest.withColumn("passed", rate <= threshold).join(stored, "dataset_id", "left"), "gate")
     new = gate.filter(F.col("passed") & F.col("stored").isNull()).select("dataset_id", "run")
-    W.write_typed(rows.join(new, ["dataset_id", "run"], "left_semi").drop("run"), path, ["domain", "year"], mode="append")
+    chosen = rows.join(new, ["dataset_id", "run"], "left_semi").drop("run")
+    W.write_typed(chosen, path, ["domain", "year"], mode="append")
+    if audit_path:
+        W.append_load_audits(chosen, audit_path, F.current_timestamp() if at is None else at)
     done = work.join(gate, "dataset_id", "left")
     same = F.col("stored").isNull() | ((F.col("stored") == F.col("total")) & F.col("stored_content").eqNullSafe(F.col("content")))
     loaded = F.col("passed") & same

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from statlake.functions import scalars as S, timecode as TC
-from statlake.operators import analytics as A, infer as I, registry as G, search as SE
+from statlake.operators import analytics as A, infer as I, mapping as M, registry as G, search as SE
 from statlake.plans import jobs as J, views as V
 from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
@@ -325,15 +325,17 @@ def time_partitions(spark, sf):
     return spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
 
 
-@query("s18_partition_decision", "raw_obs", """SELECT 'all' AS part, count(*) FILTER (attr_time IS NULL OR length(attr_time) < 4) = 0 AS partitioned, count(*) AS rows FROM raw_obs
- UNION ALL SELECT 'timed', true, count(*) FROM raw_obs WHERE length(attr_time) >= 4""")
+@query("s18_partition_decision", "raw_obs", """SELECT 'all' AS part, true AS partitioned, TRY_CAST(attr_time[1:4] AS INT) AS year, count(*) AS rows FROM raw_obs GROUP BY 3
+ UNION ALL SELECT 'untimed', false, NULL, count(*) FROM raw_obs""")
 def partition_decision(spark, sf):
-    """All rows, of which some have a short time code, and those with a code long enough."""
+    """All rows, some of them without a year in their time code, and rows without time codes."""
     raw, out = V.raw_obs(spark, sf), []
-    for part, rows in (("all", raw), ("timed", raw.filter(F.length("attr_time") >= 4))):
+    for part, rows in (("all", raw), ("untimed", raw.drop("attr_time"))):
         path = scratch_path(spark, "decision")
         ok = W.create_from_raw(rows, path)
-        out.append(spark.read.parquet(path).agg(F.lit(part).alias("part"), F.lit(ok).alias("partitioned"), F.count("*").alias("rows")))
+        back = spark.read.parquet(path)
+        year = F.col("year") if "year" in back.columns else F.lit(None).cast("int")
+        out.append(back.groupBy(year.alias("year")).agg(F.lit(part).alias("part"), F.lit(ok).alias("partitioned"), F.count("*").alias("rows")))
     return out[0].unionByName(out[1])
 
 
@@ -393,14 +395,43 @@ def file_inventory(spark, sf):
     return files.agg(F.sum("record_count").alias("record_count"), F.bool_and(F.col("file_size_in_bytes") > 0).alias("sizes_known"))
 
 
-@query("s28_load_history", "obs", """SELECT 'd' || lpad(CAST(year - 1990 AS VARCHAR), 2, '0') AS domain, count(*) AS record_count, year AS first_year, year AS last_year, CAST(1 AS BIGINT) AS partitions FROM obs GROUP BY year""")
+@query("s25_schema_documents", "dim_items", f"""WITH {_META_COLS}, t AS (SELECT dataset_id, count(*) AS columns, string_agg(name || ':' || type, ',' ORDER BY position) AS types,
+  coalesce(string_agg(name, ',' ORDER BY position) FILTER (is_partition), '') AS partitions FROM s GROUP BY 1)
+ SELECT * FROM t WHERE dataset_id IN (SELECT min(dataset_id) FROM dim_items UNION ALL SELECT max(dataset_id) FROM dim_items)""")
+def schema_documents(spark, sf):
+    """Schemas of the first and the last dataset, stored as documents and read back."""
+    rows = materialise(I.schema_from_metadata(items(spark, sf)), "schemas")
+    ends = rows.agg(F.min("dataset_id"), F.max("dataset_id")).first()
+    path = scratch_path(spark, "schema-documents")
+    for dataset_id in dict.fromkeys(ends):
+        own = sorted(rows.filter(F.col("dataset_id") == dataset_id).collect(), key=lambda r: r["position"])        # one row a column
+        struct = M.dynamic_struct([r.asDict() for r in own])
+        text = W.schema_to_text(struct, [r["name"] for r in own if r["is_partition"]], {"dataset_id": dataset_id})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+    back = [W.schema_from_text(r[0]) for r in spark.read.text(path).collect()]
+    return spark.createDataFrame([(info["dataset_id"], len(struct.fields), ",".join(f"{f.name}:{f.metadata['type']}" for f in struct.fields), ",".join(parts))
+                                  for struct, parts, info in back], "dataset_id string, columns long, types string, partitions string")
+
+
+@query("p19_column_mapping", "dim_items", f"""WITH {_META_COLS} SELECT source_field, name FROM s WHERE dataset_id = (SELECT min(dataset_id) FROM dim_items) AND source_field IS NOT NULL""")
+def column_mapping(spark, sf):
+    """Source fields and columns of the first dataset's dynamic schema."""
+    rows = materialise(I.schema_from_metadata(items(spark, sf)), "schemas")
+    struct = I.to_struct(rows.filter(F.col("dataset_id") == rows.agg(F.min("dataset_id")).scalar()))
+    return spark.createDataFrame(sorted(M.column_mapping(struct).items()), "source_field string, name string")
+
+
+@query("s28_load_history", "obs", f"""SELECT CASE d % 3 WHEN 0 THEN 'labor' WHEN 1 THEN 'trade' ELSE 'generic' END AS domain, CAST(count(*) AS BIGINT) AS record_count, min(year) AS first_year, max(year) AS last_year,
+  count(DISTINCT year) AS partitions, strftime(CASE d % 3 WHEN 0 THEN TIMESTAMP '2002-01-01' ELSE TIMESTAMP '2002-01-02' END, '%Y-%m-%d') AS committed
+ FROM (SELECT o.*, CAST(o.dataset_id[3:] AS INT) AS d FROM obs o JOIN (SELECT dataset_id FROM obs GROUP BY 1 HAVING count(*) FILTER (region_code = '') / count(*) <= 0.05) g ON o.dataset_id = g.dataset_id)
+ WHERE d % 4 <> 0 GROUP BY d % 3""")
 def load_history(spark, sf):
-    path = scratch_path(spark, "audit")
-    rows = domain_rows(spark, sf, "generic").groupBy("year").agg(F.count("*").alias("record_count"))
-    audit = rows.select(F.concat(F.lit("d"), F.lpad((F.col("year") - 1990).cast("string"), 2, "0")).alias("domain"), "record_count", F.col("year").alias("first_year"),
-                        F.col("year").alias("last_year"), F.lit(1).cast("bigint").alias("partitions"), F.timestamp_seconds(F.lit(1009756800) + F.col("year")).alias("committed_at"))
-    W.append_audit(audit, path)
-    return W.load_history(spark, path).drop("committed_at")
+    """History of two real loads: the labor datasets on one day, all others on the next."""
+    raw, registry = V.raw_obs(spark, sf), landed_registry(spark, sf)
+    lake, audit = scratch_path(spark, "lake"), scratch_path(spark, "audit")
+    for day, part in (("2002-01-01", F.col("domain") == "labor"), ("2002-01-02", F.col("domain") != "labor")):
+        J.ingest(raw, registry.filter(part), lake, 0.05, audit_path=audit, at=F.lit(day).cast("timestamp"))
+    return W.load_history(spark, audit).withColumn("committed", F.date_format("committed_at", "yyyy-MM-dd")).drop("committed_at")
 
 
 @query("s32_load_metadata", "obs", "SELECT 'generic' AS domain, count(*) AS record_count, min(year) AS first_year, max(year) AS last_year, count(DISTINCT year) AS partitions FROM obs")
@@ -640,21 +671,29 @@ def dynamic_catalog_entry(spark, sf):
                         "time_range_start", "time_range_end")
 
 
-@query("e04_priority_build", "raw_obs", f"""SELECT dataset_id, count(*) + CASE WHEN CAST(dataset_id[3:] AS INT) % 5 = 0 THEN 1 ELSE 0 END AS total, count(*) AS received, dataset_id IN {_COMPLETE} AS complete FROM raw_obs GROUP BY 1""")
+@query("e04_priority_build", "raw_obs", f"""SELECT dataset_id, count(*) + CASE WHEN CAST(dataset_id[3:] AS INT) % 5 = 0 THEN 1 ELSE 0 END AS total, count(*) AS received, dataset_id IN {_COMPLETE} AS complete,
+ CASE WHEN dataset_id IN {_COMPLETE} THEN count(*) ELSE 0 END AS stored, CASE WHEN dataset_id IN {_COMPLETE} THEN count(DISTINCT TRY_CAST(attr_time[1:4] AS INT)) ELSE 0 END AS years FROM raw_obs GROUP BY 1""")
 def priority_build(spark, sf):
-    audit = J.priority_build(*chunked(spark, sf), scratch_path(spark, "priority"))
-    return audit.select("dataset_id", F.col("total").cast("bigint").alias("total"), "received", "complete")
+    """The audit beside what the build has stored."""
+    path = scratch_path(spark, "priority")
+    audit = J.priority_build(*chunked(spark, sf), path)
+    stored = spark.read.parquet(path).groupBy("dataset_id").agg(F.count("*").alias("stored"), F.countDistinct("year").alias("years"))
+    return audit.join(stored, "dataset_id", "left").select("dataset_id", F.col("total").cast("bigint").alias("total"), "received", "complete",
+                                                           F.coalesce("stored", F.lit(0)).alias("stored"), F.coalesce("years", F.lit(0)).alias("years"))
 
 
 _BATCH = f"""ds AS (SELECT dataset_id, CAST(dataset_id[3:] AS INT) AS d, {_BLANK} AS good, count(*) AS n FROM obs GROUP BY dataset_id),
  b AS (SELECT * FROM ds WHERE d % 4 <> 0 AND d % 10 + 1 >= 6 ORDER BY d % 10 DESC, d LIMIT 8)"""
 
 
-@query("e06_run_batch", "obs", f"""WITH {_BATCH} SELECT count(*) AS total, count(*) FILTER (d % 4 = 0) + (SELECT count(*) FILTER (good) FROM b) AS completed, (SELECT count(*) FILTER (NOT good) FROM b) AS failed FROM ds""")
+@query("e06_run_batch", "obs", f"""WITH {_BATCH} SELECT ds.dataset_id, CASE WHEN ds.d % 4 = 0 THEN 'completed' WHEN b.d IS NULL THEN 'pending' WHEN ds.good THEN 'completed' ELSE 'failed' END AS status,
+ CASE WHEN ds.d % 4 = 0 THEN '2001-01-01T00:00:00' WHEN b.d IS NOT NULL AND ds.good THEN '{_AT}' END AS load_date, CASE WHEN b.d IS NOT NULL AND ds.good THEN ds.n ELSE 0 END AS stored
+ FROM ds LEFT JOIN b ON ds.dataset_id = b.dataset_id""")
 def run_batch(spark, sf):
-    r = landed_registry(spark, sf)
-    _, after = J.run_batch(r, V.raw_obs(spark, sf), r, scratch_path(spark, "batch"), 8, 0.05, priority_min=6)
-    return G.progress_percent(after).select("total", "completed", "failed")
+    r, path = landed_registry(spark, sf), scratch_path(spark, "batch")
+    _, after = J.run_batch(r, V.raw_obs(spark, sf), r, path, 8, 0.05, F.lit(_AT), priority_min=6)
+    stored = spark.read.parquet(path).groupBy("dataset_id").agg(F.count("*").alias("stored"))
+    return after.join(stored, "dataset_id", "left").select("dataset_id", "status", "load_date", F.coalesce("stored", F.lit(0)).alias("stored"))
 
 
 @query("e07_priority_ingest", "obs", f"""WITH {_BATCH} SELECT dataset_id, CASE WHEN good THEN 'completed' ELSE 'failed' END AS status, CASE WHEN good THEN '{_AT}' END AS load_date, CASE WHEN good THEN n ELSE 0 END AS stored FROM b""")

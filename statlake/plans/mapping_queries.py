@@ -114,7 +114,7 @@ def normalize_dimension(spark, sf):
 
 # --- classifiers and scores of titles ---------------------------------------------------
 
-@query("x11_classify_listing", "listing", """SELECT id, CASE
+_LANDING = """CASE
   WHEN regexp_matches(lower(title), '人口|世帯|出生|死亡|国勢調査|人口動態') THEN 'population'
   WHEN regexp_matches(lower(title), '労働|雇用|賃金|給与|就業|失業|労働力') THEN 'labor'
   WHEN regexp_matches(lower(title), '教育|学校|学生|生徒|児童|教員|大学') THEN 'education'
@@ -124,7 +124,11 @@ def normalize_dimension(spark, sf):
   WHEN regexp_matches(lower(title), '運輸|輸送|交通|通信|自動車|鉄道|航空') THEN 'transport'
   WHEN regexp_matches(lower(title), '商業|小売|卸売|サービス|飲食|宿泊') THEN 'trade'
   WHEN regexp_matches(lower(title), '福祉|介護|保育|年金|社会保障|生活保護') THEN 'social_welfare'
-  WHEN regexp_matches(lower(title), '経済|gdp|産業|企業|事業所|家計|消費|景気') THEN 'economy' ELSE 'generic' END AS landing_domain,
+  WHEN regexp_matches(lower(title), '経済|gdp|産業|企業|事業所|家計|消費|景気') THEN 'economy' ELSE 'generic' END AS landing_domain"""
+LANDING_SQL = f"SELECT id, {_LANDING} FROM listing"
+
+
+@query("x11_classify_listing", "listing", f"""SELECT id, {_LANDING},
  CASE WHEN regexp_matches(title, '人口|国勢調査|世帯') THEN 'population' WHEN regexp_matches(title, '労働|雇用|賃金|就業') THEN 'labor'
   WHEN regexp_matches(title, '経済|GDP|景気|物価|消費') THEN 'economy' WHEN regexp_matches(title, '教育|学校|学生|生徒') THEN 'education'
   WHEN regexp_matches(title, '医療|健康|病院|診療') THEN 'health' WHEN regexp_matches(title, '農業|林業|水産|農林') THEN 'agriculture'
@@ -299,17 +303,24 @@ def dynamic_projection(spark, sf):
     return M.transform_dynamic(V.raw_obs(spark, sf), M.dynamic_struct(DYNAMIC))
 
 
-@query("p16_transform_counts", "raw_obs", "SELECT dataset_id, count(*) AS input_records, count(*) AS output_records, true AS success FROM raw_obs GROUP BY 1")
+@query("p16_transform_counts", "raw_obs", """SELECT dataset_id, count(*) AS input_records, count(*) FILTER (CAST(dataset_id[3:] AS INT) % 2 = 1 OR attr_area IS NOT NULL) AS output_records,
+ count(*) = count(*) FILTER (CAST(dataset_id[3:] AS INT) % 2 = 1 OR attr_area IS NOT NULL) AS success FROM raw_obs GROUP BY 1""")
 def transform_counts(spark, sf):
+    """Every second dataset loses its rows without a region on the way."""
     raw = V.raw_obs(spark, sf)
-    return M.transform_results(raw, M.map_domain(raw, "labor"))
+    odd = F.substring("dataset_id", 3, 9).cast("int") % 2 == 1
+    return M.transform_results(raw, M.map_domain(raw.filter(odd | F.col("attr_area").isNotNull()), "labor"))
 
 
-@query("p18_unmapped_fields", "raw_obs", """SELECT dataset_id, 'attr_cat02|attr_cat03|attr_cat11|attr_cat12|attr_tab' AS unmapped, '' AS critical_missing FROM raw_obs GROUP BY 1""")
+@query("p18_unmapped_fields", "raw_obs", """SELECT dataset_id, CASE WHEN CAST(dataset_id[3:] AS INT) % 2 = 0 THEN 'attr_cat03|attr_cat11|attr_cat12|attr_tab' ELSE 'attr_cat02|attr_cat03|attr_cat11|attr_cat12|attr_tab' END AS unmapped,
+ CASE WHEN CAST(dataset_id[3:] AS INT) % 3 = 0 THEN 'region_code' ELSE '' END AS critical_missing FROM raw_obs GROUP BY 1""")
 def unmapped_fields(spark, sf):
-    out = M.unmapped_fields(V.raw_obs(spark, sf), ["attr_id", "attr_area", "attr_time", "attr_cat01", "attr_unit", "value"],
+    """Every second dataset has no second category, every third one no areas."""
+    d = F.substring("dataset_id", 3, 9).cast("int")
+    raw = V.raw_obs(spark, sf).withColumn("attr_cat02", F.when(d % 2 != 0, F.col("attr_cat02"))).withColumn("attr_area", F.when(d % 3 != 0, F.col("attr_area")))
+    out = M.unmapped_fields(raw, ["attr_id", "attr_area", "attr_time", "attr_cat01", "attr_unit", "value"],
                             {"value": "value", "year": "attr_time", "region_code": "attr_area"})
-    return out.select("dataset_id", F.concat_ws("|", "unmapped").alias("unmapped"),
+    return out.select("dataset_id", F.concat_ws("|", F.array_sort("unmapped")).alias("unmapped"),
                       F.concat_ws("|", "critical_missing").alias("critical_missing"))
 
 

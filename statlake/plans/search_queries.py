@@ -8,7 +8,7 @@ from statlake.functions import text as X
 from statlake.operators import catalog as C, mapping as M, search as S, substrings as SUB, tfidf as TF
 from statlake.operators.ranking import select_diverse
 from statlake.plans import views as V
-from statlake.plans.mapping_queries import CANDIDATE_SQL, SELECTION_SQL
+from statlake.plans.mapping_queries import CANDIDATE_SQL, LANDING_SQL, SELECTION_SQL
 from statlake.plans.registered import query
 from statlake.session import materialise, scratch_path
 
@@ -124,21 +124,24 @@ def indexed_words(spark, sf):
 _TOP3 = "(SELECT list(domain || '関連データ' ORDER BY n DESC, s) FROM (SELECT domain, count(*) AS n, min(seq) AS s FROM catalog GROUP BY 1 ORDER BY 2 DESC, 3 LIMIT 3))"
 
 
-@query("k10_suggestions", "catalog", f"""SELECT query_id, query, CASE query_id WHEN 0 THEN '世帯|国勢調査|人口動態|人口推計|人口統計' WHEN 1 THEN '雇用|就業|失業率|賃金' WHEN 2 THEN 'GDP|景気動向|物価|消費'
-  WHEN 3 THEN '病院|患者|医療費|健康' WHEN 6 THEN '統計データ|調査データ|集計データ' ELSE array_to_string({_TOP3}, '|') END AS suggestions
- FROM (VALUES {', '.join(f"({i}, '{q}')" for i, q in enumerate(QUERIES))}) v(query_id, query)""")
+_SUGGESTED = f"""CASE query_id WHEN 0 THEN '世帯|国勢調査|人口動態|人口推計|人口統計' WHEN 1 THEN '雇用|就業|失業率|賃金' WHEN 2 THEN 'GDP|景気動向|物価|消費'
+  WHEN 3 THEN '病院|患者|医療費|健康' WHEN 6 THEN '統計データ|調査データ|集計データ' ELSE array_to_string({_TOP3}, '|') END AS suggestions"""
+_QUERY_ROWS = f"(VALUES {', '.join(f"({i}, '{q}')" for i, q in enumerate(QUERIES))}) v(query_id, query)"
+
+
+@query("k10_suggestions", "catalog", f"SELECT query_id, query, {_SUGGESTED} FROM {_QUERY_ROWS}")
 def suggestions(spark, sf):
     return S.suggestions(V.catalog(spark, sf), QUERIES).withColumn("suggestions", F.concat_ws("|", "suggestions"))
 
 
-@query("k09_suggest_when_few", "catalog", f"""WITH {_RANKED}, h AS (SELECT query_id, count(*) AS n FROM s WHERE rank <= 20 GROUP BY 1)
- SELECT v.query_id, v.query, coalesce(h.n, 0) AS hits FROM (VALUES {', '.join(f"({i}, '{q}')" for i, q in enumerate(QUERIES))}) v(query_id, query) LEFT JOIN h USING (query_id) WHERE coalesce(h.n, 0) < 3""")
+@query("k09_suggest_when_few", "catalog", f"""WITH {_RANKED}, h AS (SELECT query_id AS hq, count(*) AS n FROM s WHERE rank <= 20 GROUP BY 1)
+ SELECT query_id, query, coalesce(h.n, 0) AS hits, {_SUGGESTED} FROM {_QUERY_ROWS} LEFT JOIN h ON query_id = hq WHERE coalesce(h.n, 0) < 3""")
 def suggest_when_few(spark, sf):
     c = V.catalog(spark, sf)
     found = S.search(c, QUERIES)
     few = S.suggestions(c, QUERIES, found)
     hits = found.groupBy("query_id").agg(F.count("*").alias("n"))
-    return few.join(hits, "query_id", "left").select("query_id", "query", F.coalesce("n", F.lit(0)).alias("hits"))
+    return few.join(hits, "query_id", "left").select("query_id", "query", F.coalesce("n", F.lit(0)).alias("hits"), F.concat_ws("|", "suggestions").alias("suggestions"))
 
 
 _KEYWORDS_SQL = """SELECT id, array_to_string(list_transform(list_sort(list_transform(list_filter(list_distinct(t || list_filter(list_transform(t, lambda w: CASE w
@@ -172,16 +175,15 @@ def english_synonyms(spark, sf):
     return C.english_synonyms(V.catalog(spark, sf).select("dataset_id", F.explode("keywords").alias("keyword")))
 
 
-@query("k01_register_entries", "catalog", """SELECT doc.dataset_id, c.title, 'dataset_' || doc.dataset_id AS table_name, doc.domain AS domain, n AS record_count, len(c.column_names) AS columns,
+@query("k01_register_entries", "catalog listing", """SELECT doc.dataset_id, c.title, 'dataset_' || doc.dataset_id AS table_name, l.landing_domain AS domain, c.record_count, len(c.column_names) AS columns,
   len(list_distinct(list_filter(string_split_regex(c.title, '[、。・ ]+') || string_split_regex(c.description, '[、。・ \\t\\n\\r\\f\\v\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: length(x) >= 2))) AS keywords
- FROM catalog doc JOIN catalog c USING (dataset_id), (SELECT count(*) AS n FROM region)""")
+ FROM catalog doc JOIN catalog c USING (dataset_id) JOIN (""" + LANDING_SQL + """) l ON l.id = doc.dataset_id""")
 def register_entries(spark, sf):
     c = V.catalog(spark, sf)
-    n = V.table(spark, sf, "region").agg(F.count("*")).scalar()
     listing = c.select("dataset_id", "title", "description")
-    stats = c.select("dataset_id", "time_range_start", "time_range_end").withColumn("record_count", n)
+    stats = c.select("dataset_id", "time_range_start", "time_range_end", "record_count")
     out = C.catalog_entries(listing, stats, c.select("dataset_id", "column_names"), "api")
-    return out.select("dataset_id", "title", "table_name", V.pick(F.substring("dataset_id", 4, 9).cast("int") % 15, [d for _, d in V.TITLES]).alias("domain"),
+    return out.select("dataset_id", "title", "table_name", "domain",
                       "record_count", F.size("column_names").cast("bigint").alias("columns"), F.size("keywords").cast("bigint").alias("keywords"))
 
 

@@ -45,20 +45,11 @@ def time_partitioned(df: DataFrame) -> DataFrame:
     return df.withColumn("year", to_int(F.substring("attr_time", 1, 4)))
 
 
-def can_partition(df: DataFrame) -> Column:
-    """Scalar: every row has a time code of four characters or more (decided over all rows)."""
-    bad = F.count_if(F.col("attr_time").isNull() | (F.length("attr_time") < 4))
-    return df.agg((bad == 0).alias("ok")).scalar()
-
-
 def create_from_raw(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    """Write raw rows partitioned by year, or unpartitioned if a time code is missing or too short."""
-    ok = "attr_time" in df.columns and df.agg(F.count_if(F.col("attr_time").isNull() | (F.length("attr_time") < 4)) == 0).first()[0]
-    if ok:
-        write_typed(time_partitioned(df), path, PARTITION_COLUMNS, mode=mode)
-    else:
-        write_typed(df, path, mode=mode)
-    return bool(ok)
+    """Write raw rows partitioned by year where they have time codes at all; rows whose code gives no year share the null partition."""
+    timed = "attr_time" in df.columns
+    write_typed(time_partitioned(df) if timed else df, path, PARTITION_COLUMNS if timed else None, mode=mode)
+    return timed
 
 
 # --- tables ---------------------------------------------------------------------------------
@@ -182,6 +173,12 @@ def append_audit(row: DataFrame, path: str) -> None:
     row.write.mode("append").parquet(path)
 
 
+def append_load_audits(rows: DataFrame, path: str, loaded_at: Column) -> None:
+    """One audit row a domain of what a load has written."""
+    append_audit(rows.groupBy("domain").agg(F.count("*").alias("record_count"), F.min("year").alias("first_year"), F.max("year").alias("last_year"),
+                                            F.countDistinct("year").alias("partitions")).select("*", loaded_at.alias("committed_at")), path)
+
+
 def load_history(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
     return spark.read.parquet(path).orderBy(F.desc("committed_at"), "domain").limit(n)
 

@@ -153,9 +153,10 @@ def test_stream_reads_nothing_of_what_is_stored(spark, tmp_path):
 
 def test_partition_decision(spark, tmp_path):
     ok = spark.createDataFrame([("1", "2020", "5"), ("2", "2021Q1", "6")], "attr_id string, attr_time string, value string")
-    assert W.create_from_raw(ok, str(tmp_path / "y")) is True
-    assert W.create_from_raw(ok.unionAll(spark.createDataFrame([("3", "99", "1")], ok.schema)), str(tmp_path / "n")) is False
-    assert "year" in spark.read.parquet(str(tmp_path / "y")).columns and "year" not in spark.read.parquet(str(tmp_path / "n")).columns
+    assert W.create_from_raw(ok.unionAll(spark.createDataFrame([("3", "99", "1"), ("4", None, "2")], ok.schema)), str(tmp_path / "y")) is True
+    assert W.create_from_raw(ok.drop("attr_time"), str(tmp_path / "n")) is False
+    assert {r["year"]: r["n"] for r in spark.read.parquet(str(tmp_path / "y")).groupBy("year").agg(F.count("*").alias("n")).collect()} == {2020: 1, 2021: 1, None: 2}
+    assert "year" not in spark.read.parquet(str(tmp_path / "n")).columns
 
 
 def test_reload_replaces_the_folder_and_partitions_can_be_replaced_alone(spark, tmp_path):
