@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,21 +89,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _url_sql(iterations: int = 25, damping: float = 0.85, threshold: float = 0.5) -> str:
+def _url_sql(damping: float = 0.85, threshold: float = 0.5) -> str:
     host = "coalesce(translate(regexp_extract(CASE WHEN {u} LIKE '%://%' THEN substr({u}, strpos({u}, '://') + 3) END, '^([^/?#]*)', 1), '" \
         + UPPER + "', '" + LOWER + "'), '')"
     page_host = host.format(u="url")
     path = "coalesce(regexp_extract(CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) END, '^[^/?#]*([^?#]*)', 1), '')"
     keep = 1 - damping
-    steps = [f"s0 AS MATERIALIZED (SELECT host, {keep} * allowed AS t, {keep} * blocked AS d FROM seeds)"]
-    for i in range(1, iterations + 1):
-        steps.append(f"""s{i} AS MATERIALIZED (
-  SELECT host, sum(t) AS t, sum(d) AS d FROM (
-    SELECT host, {keep} * allowed AS t, {keep} * blocked AS d FROM seeds
-    UNION ALL SELECT e.dst, {damping} * s.t * e.links / e.n_out, 0 FROM edges e JOIN s{i - 1} s ON e.src = s.host
-    UNION ALL SELECT e.src, 0, {damping} * s.d * e.links / e.n_in FROM edges e JOIN s{i - 1} s ON e.dst = s.host) GROUP BY host)""")
+    rounds = math.ceil(math.log(1e-10) / math.log(damping))                # what is still on its way then is below the query's tolerance
     return f"""
-WITH parsed AS MATERIALIZED (SELECT page_id, {page_host} AS host, {path} AS path, html FROM pages),
+WITH RECURSIVE parsed AS MATERIALIZED (SELECT page_id, {page_host} AS host, {path} AS path, html FROM pages),
 judged AS MATERIALIZED (
   SELECT page_id, host, path, html,
     CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
@@ -113,17 +108,24 @@ judged AS MATERIALIZED (
   FROM parsed),
 ruled AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS rule_verdict FROM judged),
 seeds AS MATERIALIZED (
-  SELECT host, count(*) FILTER (rule_verdict = 'allow') / count(*) AS allowed, count(*) FILTER (rule_verdict = 'block') / count(*) AS blocked
+  SELECT host, count(*) FILTER (rule_verdict = 'allow') / count(*) * {keep}::DOUBLE AS t, count(*) FILTER (rule_verdict = 'block') / count(*) * {keep}::DOUBLE AS d
   FROM ruled WHERE host <> '' GROUP BY host),
 links AS (
   SELECT src, dst, count(*) AS links FROM (
     SELECT host AS src, translate(unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''\\s>]+)', 1)), '{UPPER}', '{LOWER}') AS dst
     FROM parsed) WHERE src <> '' AND src <> dst GROUP BY src, dst),
-edges AS MATERIALIZED (
-  SELECT *, sum(links) OVER (PARTITION BY src) AS n_out, sum(links) OVER (PARTITION BY dst) AS n_in FROM links),
-{', '.join(steps)}
-SELECT page_id, r.host AS host, path, rule, coalesce(rule_verdict, CASE WHEN d > t AND d >= {threshold * keep} THEN 'block' END, 'allow') AS verdict
-FROM ruled r LEFT JOIN s{iterations} s ON r.host = s.host"""
+edges AS MATERIALIZED (SELECT src, dst, links / sum(links) OVER (PARTITION BY src) * {damping}::DOUBLE AS part FROM links),
+hosts AS MATERIALIZED (SELECT h.host AS host, coalesce(t, 0) AS t, coalesce(d, 0) AS d
+  FROM (SELECT host FROM seeds UNION SELECT src FROM edges UNION SELECT dst FROM edges) h LEFT JOIN seeds ON h.host = seeds.host),
+moves AS MATERIALIZED (
+  SELECT host AS src, host AS dst, 0::DOUBLE AS give, 0::DOUBLE AS earn, t, d FROM hosts
+  UNION ALL SELECT src, dst, part, 0, 0, 0 FROM edges UNION ALL SELECT dst, src, 0, part, 0, 0 FROM edges),
+s(i, host, t, d) AS (
+  SELECT 0, host, t, d FROM hosts
+  UNION ALL SELECT s.i + 1, m.dst, sum(m.t + m.give * s.t), sum(m.d + m.earn * s.d) FROM s JOIN moves m ON s.host = m.src WHERE s.i < {rounds} GROUP BY s.i, m.dst),
+last AS MATERIALIZED (SELECT host, t, d FROM s WHERE i = {rounds})
+SELECT page_id, r.host AS host, path, rule, coalesce(rule_verdict, CASE WHEN d > t AND d >= {threshold}::DOUBLE * {keep}::DOUBLE THEN 'block' END, 'allow') AS verdict
+FROM ruled r LEFT JOIN last s ON r.host = s.host"""
 
 
 def _secret_sql() -> str:

@@ -2,12 +2,10 @@
 
 Pages that a rule fits get the rule's verdict. For all others the host decides:
 personalised PageRank carries trust from hosts with allowed pages along links, and
-distrust from hosts with blocked pages against links (a host that links to blocked
+distrust goes from hosts with blocked pages against links (a host that links to blocked
 hosts earns distrust). Both start from the share of the host's own pages that rules
-allow or block. Distrust is divided among all links into a host, so each linker of a much
-linked host earns little; the verdict therefore rests on ``exposure``, the same share
-carried against links but divided by the linking host's own links out. It does not depend
-on how many others link to the same hosts.
+allow or block. A host hands its trust out in parts of its own links, and takes distrust
+in the same parts: it does not depend on how many others link to the same hosts.
 
 Defined results: null urls and urls without ``://`` have empty host and path and no
 rule; a host without rules and links is allowed; self links carry nothing; mass of
@@ -83,10 +81,11 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RULES, damping: float = 0.85,
                 tolerance: float = 1e-6, max_iterations: int | None = None) -> DataFrame:
-    """``host, trust, distrust, exposure`` at the fixed point of the propagations, to within ``tolerance``.
+    """``host, trust, distrust`` at the fixed point of the propagations, to within ``tolerance``.
 
-    An iteration shrinks the sum of all changes by ``damping`` at least, which bounds
-    their number; it is an error to pass the bound (or ``max_iterations``). Every iteration is written to the shared folder and read back, so a lost
+    An iteration shrinks the sum of all changes of trust, and the largest change of distrust, by
+    ``damping`` at least, which bounds their number; it is an error to pass the bound (or
+    ``max_iterations``). Every iteration is written to the shared folder and read back, so a lost
     executor costs one iteration at most; only the largest change reaches the driver.
     """
     verdict = F.col("found.verdict")
@@ -95,27 +94,21 @@ def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RU
              .agg((F.count_if(verdict == "allow") / F.count("*") * keep).alias("trust0"),
                   (F.count_if(verdict == "block") / F.count("*") * keep).alias("distrust0")))
     seeds = materialise(seeds, "url-seeds")
-    links_out = edges.groupBy("src").agg(F.sum("links").alias("out"))
-    links_in = edges.groupBy("dst").agg(F.sum("links").alias("in"))
-    edges = materialise(
-        edges.join(links_out, "src").join(links_in, "dst")
-        .select("src", "dst", (F.col("links") / F.col("out")).alias("forward"), (F.col("links") / F.col("in")).alias("backward")),
-        "url-edges")
+    links_out = materialise(edges.groupBy("src").agg(F.sum("links").alias("out")), "url-links-out")      # a plain side: the join can split a hub
+    edges = materialise(edges.join(links_out, "src").select("src", "dst", (F.col("links") / F.col("out") * damping).alias("part")), "url-edges")
     if max_iterations is None:
-        mass = seeds.agg(F.sum("trust0"), F.sum("distrust0"), F.lit(1.0)).first()
+        mass = seeds.agg(F.sum("trust0"), F.lit(1.0)).first()
         max_iterations = 2 + math.ceil(math.log(tolerance / max(x or 0.0 for x in mass)) / math.log(damping))
     zero = F.lit(0.0)
-    scores = ("trust", "distrust", "exposure")
-    own = seeds.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"), F.col("distrust0").alias("exposure"))
+    scores = ("trust", "distrust")
+    own = seeds.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
     state = own
     for _ in range(max_iterations):
         old = state.select("host", *[zero.alias(c) for c in scores], *[F.col(c).alias(f"{c}_was") for c in scores])
-        given = edges.join(state.select(F.col("host").alias("src"), "trust"), "src").select(
-            "dst", F.col("trust") * F.col("forward") * damping, zero, zero, zero, zero, zero)
-        earned = edges.join(state.select(F.col("host").alias("dst"), "distrust", "exposure"), "dst").select(
-            "src", zero, F.col("distrust") * F.col("backward") * damping, F.col("exposure") * F.col("forward") * damping, zero, zero, zero)
+        given = edges.join(state.select(F.col("host").alias("src"), "trust"), "src").select("dst", F.col("trust") * F.col("part"), zero, zero, zero)
+        earned = edges.join(state.select(F.col("host").alias("dst"), "distrust"), "dst").select("src", zero, F.col("distrust") * F.col("part"), zero, zero)
         new = materialise(
-            old.union(own.select("*", zero, zero, zero)).union(given).union(earned).groupBy("host")
+            old.union(own.select("*", zero, zero)).union(given).union(earned).groupBy("host")
             .agg(*[F.sum(c).alias(c) for c in (*scores, *[f"{c}_was" for c in scores])]), "url-scores")
         change = new.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"{c}_was")) for c in scores]))).first()[0]
         state = new.select("host", *scores)
@@ -129,11 +122,12 @@ def host_scores(pages: DataFrame, edges: DataFrame, rules: tuple[Rule, ...] = RU
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, damping: float = 0.85) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every page.
 
-    A host is blocked if its exposure exceeds its trust and reaches ``threshold``
+    A host is blocked if its distrust exceeds its trust and reaches ``threshold``
     times what a host with nothing but blocked pages holds by itself.
     """
     scores = host_scores(pages, host_edges(pages), rules, damping)
-    blocked = scores.filter((F.col("exposure") > F.col("trust")) & (F.col("exposure") >= threshold * (1.0 - damping)))
-    return (parsed_pages(pages, rules).join(blocked.select("host", F.lit("block").alias("host_verdict")), "host", "left")
+    blocked = scores.filter((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold * (1.0 - damping)))
+    blocked = materialise(blocked.select("host", F.lit("block").alias("host_verdict")), "url-blocked")
+    return (parsed_pages(pages, rules).join(blocked, "host", "left")
             .select("page_id", "host", "path", F.col("found.text").alias("rule"),
                     F.coalesce(F.col("found.verdict"), F.col("host_verdict"), F.lit("allow")).alias("verdict")))
