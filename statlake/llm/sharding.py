@@ -1,10 +1,11 @@
 """Sharding by longest processing time.
 
-Rows with equal texts form a group and stay together. Groups above a fixed share of
-all bytes are scheduled one by one; their number is bounded by that share. All other
-groups are hashed into bundles of three grain sizes, whose number is a parameter. The
-bounded list of items, sorted by size, goes to the least-loaded shard through a heap;
-the fine bundles come last and even out what the coarse ones leave.
+Rows with equal texts form a group and stay together. Groups are scheduled by size, the
+largest first, each to the least-loaded shard through a heap. The heap needs no names:
+groups of one size are alike, so the driver gets one row per distinct size (at most the
+root of twice all bytes), and a long run of equal sizes is dealt at once, with the loads
+that single steps would leave. A group finds its shard by its place among the groups of
+its size, counted in hash blocks.
 
 Defined results: a null text counts as empty, is 8 bytes long and stays with empty
 texts; repeated rows are rows of one group; slots count from 0 without gaps in each
@@ -14,40 +15,57 @@ shard and agree between runs; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statlake.llm.common import text_of
 from statlake.session import materialise
 
-HEAVY_PER_SHARD = 64
-#: (share of the hash space in thousandths, number of bundles): coarse, fine, finest.
-GRAINS = ((900, 2048), (90, 1024), (10, 1024))
+PIECE = 1 << 14                      # repeated rows that one row stands for at most when they are written out
 
 
-def schedule(items: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """Longest first to the least-loaded shard; ``items`` are (item, size)."""
+def schedule(sizes: list[tuple[int, int]], shards: int) -> dict[int, list[tuple[int, int]]]:
+    """(shard, number of groups) for each size of ``sizes`` (size, number of groups): longest first, to the least-loaded shard."""
     heap = [(0, shard) for shard in range(shards)]
     placed = {}
-    for item, size in sorted(items, key=lambda x: (-x[1], x[0])):
-        load, shard = heapq.heappop(heap)
-        placed[item] = shard
-        heapq.heappush(heap, (load + size, shard))
+    for size, count in sorted(sizes, reverse=True):
+        taken: Counter = Counter()
+        if count > shards and size > 0:
+            # Up to a level T, every shard below T takes groups until it is at T or above, whatever the order.
+            low, high = heap[0][0], heap[0][0] + size * (count + 1)
+            while low < high:
+                middle = (low + high + 1) // 2
+                if sum(-(-(middle - load) // size) for load, _ in heap if load < middle) <= count:
+                    low = middle
+                else:
+                    high = middle - 1
+            fill = {shard: max(0, -(-(low - load) // size)) for load, shard in heap}
+            heap = [(load + fill[shard] * size, shard) for load, shard in heap]
+            heapq.heapify(heap)
+            taken.update(fill)
+            count -= sum(fill.values())
+        for _ in range(count if size > 0 else 1):
+            load, shard = heap[0]
+            taken[shard] += 1 if size > 0 else count
+            heapq.heapreplace(heap, (load + size, shard))
+        placed[size] = [(s, n) for s, n in sorted(taken.items()) if n]
     return placed
 
 
-def _bundle():
-    """Bundle of a group key: a grain by one hash, a place in it by another."""
-    grain, at, base = F.pmod(F.xxhash64(F.lit("grain"), F.col("group")), F.lit(1000)), F.xxhash64(F.lit("place"), F.col("group")), 0
-    out, upto = None, 0
-    for share, count in GRAINS:
-        upto += share
-        place = F.pmod(at, F.lit(count)) + base
-        out = F.when(grain < upto, place) if out is None else out.when(grain < upto, place)
-        base += count
-    return out
+def _numbered(rows: DataFrame, within: str, order: list[str], weight: Column, out: str) -> DataFrame:
+    """``rows`` with ``out``: the weights of the rows before, in each ``within``; rows are counted in hash blocks, about as many as a block has rows."""
+    most = rows.groupBy(within).count().agg(F.max("count")).first()[0] or 0
+    blocks = max(1, int(most ** 0.5))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(*order), F.lit(blocks))).withColumn("weight", weight)
+    counts = rows.groupBy(within, "block").agg(F.sum("weight").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(within).orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = materialise(counts.select(within, "block", F.coalesce(before, F.lit(0)).alias("offset")), "shard-offsets")
+    earlier = F.sum("weight").over(Window.partitionBy(within, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    local = rows.withColumn("local", F.coalesce(earlier, F.lit(0)))
+    return local.join(offsets, [within, "block"]).withColumn(out, (F.col("offset") + F.col("local")).cast("long")).drop("block", "weight", "offset", "local")
 
 
 def assign(rows: DataFrame, shards: int) -> DataFrame:
@@ -56,34 +74,37 @@ def assign(rows: DataFrame, shards: int) -> DataFrame:
         raise ValueError("at least one shard")
     spark = rows.sparkSession
     groups = materialise(rows.groupBy("group").agg(F.sum("size").alias("bytes")), "shard-groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    heavy_from = total // (shards * HEAVY_PER_SHARD) + 1        # at most shards * HEAVY_PER_SHARD groups reach it
-    heavy = groups.filter(F.col("bytes") >= heavy_from).collect()
-    bundles = (groups.filter(F.col("bytes") < heavy_from).groupBy(_bundle().alias("bundle")).agg(F.sum("bytes").alias("bytes")).collect())
-    items = [(("group", g.group), g.bytes) for g in heavy] + [(("bundle", b.bundle), b.bytes) for b in bundles]
-    placed = schedule(items, shards)
-    of = {kind: spark.createDataFrame([(k, s) for (x, k), s in placed.items() if x == kind], f"`{kind}` long, `{kind}_shard` int")
-          for kind in ("group", "bundle")}
-    return (rows.join(F.broadcast(of["group"]), "group", "left").withColumn("bundle", _bundle())
-            .join(F.broadcast(of["bundle"]), "bundle", "left")
-            .withColumn("shard", F.coalesce("group_shard", "bundle_shard")).drop("bundle", "group_shard", "bundle_shard"))
+    sizes = groups.groupBy("bytes").agg(F.count("*").alias("groups")).collect()              # distinct sizes: at most the root of twice all bytes
+    ends = []
+    for size, parts in schedule([(r["bytes"], r["groups"]) for r in sizes], shards).items():
+        upto = 0
+        for shard, n in parts:
+            upto += n
+            ends.append((size, upto, shard))
+    ends = spark.createDataFrame(ends, "bytes long, upto long, shard int").groupBy("bytes").agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("ends"))
+    ends = materialise(ends, "shard-ends")
+    placed = _numbered(groups, "bytes", ["group"], F.lit(1), "place").join(ends, "bytes")
+    own = F.filter("ends", lambda e: F.col("place") < e["upto"])[0]["shard"]
+    placed = materialise(placed.select("group", own.alias("shard")), "shard-of-group")        # a plain side: the join can split a group of many rows
+    return rows.join(placed, "group")
 
 
 def number(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` (with ``shard``) with ``slot``, gapless in each shard.
 
-    Rows are numbered in hash blocks, about as many as a block has rows, and blocks are
-    offset by the rows before them: no task sees a whole shard.
+    Rows that are equal in all columns are counted first and written out again at the end, so
+    neither a shard nor a row repeated without end is one task.
     """
-    per_shard = rows.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
-    blocks = max(1, int(per_shard ** 0.5))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(*order), F.lit(blocks)))
-    counts = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    local = F.row_number().over(Window.partitionBy("shard", "block").orderBy(*order)) - 1
-    return (rows.withColumn("local", local).join(offsets, ["shard", "block"])
-            .withColumn("slot", (F.col("offset") + F.col("local")).cast("long")).drop("block", "offset", "local"))
+    columns = rows.columns
+    counted = materialise(rows.groupBy(*columns).agg(F.count("*").alias("copies")), "shard-counted")
+    first = _numbered(counted, "shard", order, F.col("copies"), "first")
+    few = first.filter(F.col("copies") <= PIECE).withColumn("slot", F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)))
+    many = first.filter(F.col("copies") > PIECE)
+    starts = F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1, F.lit(PIECE).cast("long")))
+    many = many.withColumn("start", starts).repartition("start")
+    last = F.least(F.col("start") + PIECE, F.col("first") + F.col("copies")) - 1
+    many = many.withColumn("slot", F.explode(F.sequence("start", last)))
+    return few.select(*columns, "slot").union(many.select(*columns, "slot"))
 
 
 def thin(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -96,4 +117,4 @@ def thin(docs: DataFrame, text: str = "text") -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 24, text: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of each row."""
     placed = materialise(assign(materialise(thin(docs, text), "shard-rows"), shards), "shard-placed")
-    return number(placed, ["doc_id", "group"]).drop("group")
+    return number(placed, ["doc_id", "group"]).select("doc_id", "size", "text_crc32", "shard", "slot")

@@ -1,5 +1,7 @@
 """Sharding and mixing."""
 
+import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -13,8 +15,48 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(i, t, s, 1, "clash", 2) for i, t, s in rows], DOCS)
 
 
-def test_schedule_is_longest_first():
-    assert sharding.schedule([(1, 5), (2, 4), (3, 3), (4, 3), (5, 3)], 2) == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
+def brute_schedule(sizes, shards):
+    """One group at a time, longest first, to the least-loaded shard."""
+    loads, taken = [0] * shards, defaultdict(Counter)
+    for size in sorted((s for s, n in sizes for _ in range(n)), reverse=True):
+        shard = min(range(shards), key=lambda i: (loads[i], i))
+        loads[shard] += size
+        taken[size][shard] += 1
+    return {size: sorted(of.items()) for size, of in taken.items()}, loads
+
+
+def test_schedule_equals_one_group_at_a_time():
+    rng = random.Random(3)
+    assert sharding.schedule([(5, 1), (4, 1), (3, 3)], 2) == {5: [(0, 1)], 4: [(1, 1)], 3: [(0, 1), (1, 2)]}
+    for shards in (1, 2, 5, 24):
+        for _ in range(30):
+            sizes = [(s, rng.choice([1, 2, 30, 400])) for s in rng.sample(range(1, 5000), rng.randint(1, 12))]
+            assert sharding.schedule(sizes, shards) == brute_schedule(sizes, shards)[0]
+    assert sharding.schedule([(10 ** 9, 1), (9, 10 ** 10)], 3)[9] == [(0, 3259259259), (1, 3370370371), (2, 3370370370)]
+
+
+def test_shards_equal_a_schedule_of_all_groups(spark):
+    rng = random.Random(4)
+    rows = [(i, "x" * rng.choice([3, 10, 10, 11, 500]) + str(rng.randint(0, 400)), None) for i in range(2500)]
+    groups = Counter()
+    for _, t, _ in rows:
+        groups[t] += len(t) + 8
+    _, want = brute_schedule(list(Counter(groups.values()).items()), 7)
+    loads = Counter()
+    for r in sharding.shard_documents(docs_of(spark, rows), 7).collect():
+        loads[r.shard] += r["size"]
+    assert [loads[i] for i in range(7)] == want
+
+
+def test_rows_repeated_without_end(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE", 64)
+    rows = [(1, "the same row", None)] * 1500 + [(i, f"text {i}", None) for i in range(3000)]
+    got = sharding.shard_documents(docs_of(spark, rows), 4).collect()
+    assert Counter(r.doc_id for r in got)[1] == 1501 and len({r.shard for r in got if r.text_crc32 == zlib.crc32(b"the same row")}) == 1
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
 def test_shards(spark):
