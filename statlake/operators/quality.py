@@ -140,11 +140,11 @@ def reconcile_counts(df: DataFrame, expected: DataFrame) -> DataFrame:
     actual = df.groupBy("dataset_id").agg(F.count("*").alias("actual"))
     j = expected.join(actual, "dataset_id", "full").select(
         "dataset_id", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("actual", F.lit(0)).alias("actual"))
-    return _result(j.withColumn("difference", F.col("actual") - F.col("expected")), "row_count",
+    return result_rows(j.withColumn("difference", F.col("actual") - F.col("expected")), "row_count",
                    F.col("difference") == 0)
 
 
-def _result(df: DataFrame, check: str, ok: Column) -> DataFrame:
+def result_rows(df: DataFrame, check: str, ok: Column) -> DataFrame:
     return df.select("dataset_id", F.lit(check).alias("check_type"), F.when(ok, "passed").otherwise("failed").alias("status"),
                      *[F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c)
                        for c in RESULT[3:]])
@@ -174,7 +174,7 @@ def column_sets(actual: DataFrame, expected: DataFrame) -> DataFrame:
 def reconcile_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     counts = df.groupBy("dataset_id").agg(F.count("*").alias("expected"), *[F.count(c).alias(c) for c in columns])
     total = reduce(lambda a, b: a + b, [F.col("expected") - F.col(c) for c in columns])
-    return _result(counts.withColumn("difference", total).withColumn("actual", F.col("expected") - total),
+    return result_rows(counts.withColumn("difference", total).withColumn("actual", F.col("expected") - total),
                    "null_value", F.col("difference") == 0)
 
 
@@ -182,7 +182,7 @@ def partition_check(df: DataFrame, column: str = "year") -> DataFrame:
     """Per dataset: number of distinct partition values; none or a null value fails."""
     cells = df.groupBy("dataset_id", column).agg(F.count("*").alias("n"))
     out = cells.groupBy("dataset_id").agg(F.count(column).alias("actual"), F.count_if(F.col(column).isNull()).alias("difference"))
-    return _result(out.withColumn("expected", F.lit(column)), "partition", (F.col("actual") > 0) & (F.col("difference") == 0))
+    return result_rows(out.withColumn("expected", F.lit(column)), "partition", (F.col("actual") > 0) & (F.col("difference") == 0))
 
 
 def full_check(df: DataFrame, expected: DataFrame, expected_schema: DataFrame, columns: list[str],
@@ -193,7 +193,7 @@ def full_check(df: DataFrame, expected: DataFrame, expected_schema: DataFrame, c
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema.fields])).alias("c")
     ).select("dataset_id", "c.*")
     issues = reconcile_schema(actual, expected_schema).groupBy("dataset_id").agg(F.count("*").alias("difference"))
-    schema = _result(wanted.join(issues, "dataset_id", "left").fillna(0, ["difference"]), "schema", F.col("difference") == 0)
+    schema = result_rows(wanted.join(issues, "dataset_id", "left").fillna(0, ["difference"]), "schema", F.col("difference") == 0)
     parts = [reconcile_counts(df, expected), schema, reconcile_nulls(df, columns), partition_check(df, partition)]
     return reduce(DataFrame.unionByName, parts)
 

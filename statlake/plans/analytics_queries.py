@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statlake.operators import analytics as A
+from statlake.operators import analytics as A, bitmaps as B
 from statlake.plans import views as V
 from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
+from statlake.session import scratch_path
 
 Y = 1996      # first year of the reports below
 
@@ -23,6 +24,26 @@ def basic(spark, sf):
     return A.basic_statistics(domain_rows(spark, sf, "generic"))
 
 
+def bitmapped(spark, sf):
+    """Bitmaps of two loads: years up to 1996, and all later ones."""
+    path, rows = scratch_path(spark, "bitmaps"), domain_rows(spark, sf, "generic")
+    for load, part in (("first", F.col("year") <= 1996), ("second", F.col("year") > 1996)):
+        B.append(rows.filter(part), ["dataset_id", "region_code", "category", "stats_data_id"], "year", load, path)
+    return path
+
+
+@query("a01_bitmap_counts", "obs", """SELECT v.* FROM (SELECT count(DISTINCT dataset_id) AS a, count(DISTINCT region_code) AS b, count(DISTINCT cat01) AS c, count(DISTINCT stats_data_id) AS d FROM obs),
+ LATERAL (VALUES ('dataset_id', a), ('region_code', b), ('category', c), ('stats_data_id', d)) v("column", "distinct")""")
+def bitmap_counts(spark, sf):
+    return B.distinct_counts(spark, bitmapped(spark, sf))
+
+
+@query("a14_bitmap_counts_by_year", "obs", """SELECT CAST(year AS VARCHAR) AS "group", v.* FROM (SELECT year, count(DISTINCT dataset_id) AS a, count(DISTINCT region_code) AS b, count(DISTINCT cat01) AS c, count(DISTINCT stats_data_id) AS d FROM obs GROUP BY 1),
+ LATERAL (VALUES ('dataset_id', a), ('region_code', b), ('category', c), ('stats_data_id', d)) v("column", "distinct")""")
+def bitmap_counts_by_year(spark, sf):
+    return B.distinct_counts(spark, bitmapped(spark, sf), by_group=True)
+
+
 @query("a02_region_year_statistics", "obs", """SELECT year, region_code, count(*) AS record_count, sum(value) AS total_value, avg(value) AS avg_value,
  min(value) AS min_value, max(value) AS max_value FROM obs GROUP BY 1, 2 ORDER BY year DESC, region_code LIMIT 100""")
 def region_year(spark, sf):

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions import scalars as S
-from statlake.operators import quality as Q, ranking as R
+from statlake.operators import profile as PR, quality as Q, ranking as R
 from statlake.plans import views as V
 from statlake.plans.analytics_queries import grained
 from statlake.plans.mapping_queries import CANDIDATE_SQL, SELECTION_SQL, domain_rows
 from statlake.plans.registered import query
 from statlake.schemas import DOMAINS, get_schema
+from statlake.session import scratch_path
 from statlake.sources import sinks as W
 
 KEYS = ["dataset_id", "attr_area", "attr_time", "attr_cat01"]
@@ -170,6 +171,31 @@ def full_check(spark, sf):
     return _full(spark, sf)
 
 
+def profiled(spark, sf):
+    """Profiles of three loads of generic rows: the early years, the later ones without an area, the rest."""
+    path, rows = scratch_path(spark, "profile"), domain_rows(spark, sf, "generic")
+    early, plain = F.col("year") <= 1995, F.col("region_code") == ""
+    for load, part in (("first", early), ("second", ~early & plain), ("third", ~early & ~plain)):
+        PR.append(rows.filter(part), load, path)
+    return PR.read(spark, path)
+
+
+@query("q14_profile_check", "obs", _FULL_SQL)
+def profile_check(spark, sf):
+    return PR.full_check(profiled(spark, sf), _expected(spark, sf), _expected_schema(spark, sf), ["region_code", "value"])
+
+
+@query("a20_profile_counts", "obs", """SELECT dataset_id, count(*) AS rows, count(DISTINCT year) AS parts, CAST(min(year) AS VARCHAR) AS first_part, CAST(max(year) AS VARCHAR) AS last_part, false AS null_part FROM obs GROUP BY 1""")
+def profile_counts(spark, sf):
+    return PR.datasets(profiled(spark, sf)).drop("loads")
+
+
+@query("a22_profile_columns", "obs", """SELECT dataset_id, c.* FROM (SELECT dataset_id, count(*) AS n FROM obs GROUP BY 1), LATERAL (VALUES ('dataset_id', 'string', n, CAST(0 AS BIGINT)), ('stats_data_id', 'string', n, 0), ('year', 'int', n, 0),
+ ('region_code', 'string', n, 0), ('category', 'string', n, 0), ('value', 'double', n, 0), ('unit', 'string', n, 0)) c("column", type, filled, nulls)""")
+def profile_columns(spark, sf):
+    return PR.columns(profiled(spark, sf))
+
+
 @query("q15_validation_report", "obs", f"""SELECT t.check_type, count(DISTINCT dataset_id) AS datasets, count(*) AS checks, count(*) FILTER (status = 'passed') AS passed,
  count(*) FILTER (status = 'failed') AS failed, CAST(0 AS BIGINT) AS errors, count(*) FILTER (status = 'passed') / count(*) * 100 AS pass_rate
  FROM ({_FULL_SQL}) r JOIN (VALUES ('all'), ('row_count'), ('schema'), ('null_value'), ('partition')) t(check_type) ON t.check_type IN ('all', r.check_type) GROUP BY 1""")

@@ -118,3 +118,45 @@ def test_reopened_datasets_with_other_values_are_reported(spark, sf, tmp_path):
     revised = {r["dataset_id"]: (r["status"], r["records"], r["error_message"]) for r in J.ingest(changed, registry, str(tmp_path / "lake")).collect()}
     assert revised.pop("ds00003") == ("failed", 0, "load: other rows are stored already") and {v[0] for v in revised.values()} == {"success"}
     assert spark.read.parquet(str(tmp_path / "lake")).count() == raw.count()
+
+
+def test_profiles_add_up_over_loads_with_other_columns(spark, tmp_path):
+    from statlake.operators import profile as PR, quality as Q
+    path = str(tmp_path / "profile")
+    one = spark.createDataFrame([("a", 2000, "r", 1.0), ("a", 2001, None, 2.0), ("b", None, "r", None)], "dataset_id string, year int, region_code string, value double")
+    two = spark.createDataFrame([("a", 2001, "r", 1.0, "n"), ("c", 1999, "r", 3.0, None)], "dataset_id string, year int, region_code string, value double, note string")
+    PR.append(one, "1", path)
+    PR.append(two, "2", path)
+    profile = PR.read(spark, path)
+    both = one.unionByName(two, allowMissingColumns=True)
+    expected = spark.createDataFrame([("a", 3), ("b", 1), ("d", 1)], "dataset_id string, expected long")
+    schema = spark.createDataFrame([(d, c, t) for d in "abc" for c, t in both.dtypes], "dataset_id string, column string, type string")
+    got = PR.full_check(profile, expected, schema, ["region_code", "value"])
+    want = Q.full_check(both, expected, schema, ["region_code", "value"])
+    # Only what a data set has brought counts as its schema: the note column is missing in "b".
+    differ = {tuple(r) for r in got.collect()} ^ {tuple(r) for r in want.collect()}
+    assert {r[:3] for r in differ} == {("b", "schema", "failed"), ("b", "schema", "passed")}
+    assert {tuple(r) for r in PR.columns(profile).filter("dataset_id = 'a'").select("column", "filled", "nulls").collect()} == {
+        ("dataset_id", 3, 0), ("year", 3, 0), ("region_code", 2, 1), ("value", 3, 0), ("note", 1, 2)}
+    assert {r["part"]: r["rows"] for r in PR.partitions(profile).collect()} == {"2000": 1, "2001": 2, None: 1, "1999": 1}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [load" in plan and "Relation [dataset_id" not in plan             # of files, profiles alone
+    assert PR.datasets(PR.read(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_bitmaps_of_loads_count_exactly(spark, tmp_path):
+    from statlake.operators import bitmaps as B
+    path = str(tmp_path / "bitmaps")
+
+    def load(name, year, ids):
+        B.append(spark.createDataFrame([(year, f"c{i}" if i is not None else None, f"x{(i or 0) % 3}") for i in ids], "year int, code string, kind string"), ["code", "kind"], "year", name, path)
+    load("1", 2000, [*range(40_000), None, 5, 5])
+    files = {f.name for f in (tmp_path / "bitmaps" / "bitmaps").glob("load=*/*.parquet")}
+    load("2", 2001, range(39_990, 40_010))
+    load("3", 2001, range(40_005, 40_020))
+    assert files < {f.name for f in (tmp_path / "bitmaps" / "bitmaps").glob("load=*/*.parquet")}
+    assert {tuple(r) for r in B.distinct_counts(spark, path).collect()} == {("code", 40_020), ("kind", 3)}
+    by_year = {(r["group"], r["column"]): r["distinct"] for r in B.distinct_counts(spark, path, by_group=True).collect()}
+    assert by_year == {("2000", "code"): 40_000, ("2000", "kind"): 3, ("2001", "code"): 30, ("2001", "kind"): 3}
+    numbers = spark.read.parquet(f"{path}/dictionary").filter("column = 'code'")
+    assert numbers.agg(F.countDistinct("nr"), F.max("nr")).first() == (40_020, 40_020)
