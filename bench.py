@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from statlake.plans import all_queries
@@ -27,7 +28,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-        "spark.sql.files.maxPartitionBytes": str(4 << 20)})
+        "spark.sql.files.maxPartitionBytes": str(4 << 20), "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
     queries["a20_row_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()      # warm-up

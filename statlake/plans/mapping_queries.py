@@ -105,7 +105,7 @@ def normalize_name(spark, sf):
 
 
 @query("x10_normalize_dimension", "dim_items", """SELECT DISTINCT dim_id, lower(CASE WHEN dim_id LIKE 'cat%' THEN 'category_' || dim_id[4:] ELSE dim_id END) AS field_name,
-  CASE WHEN dim_id = 'tab' THEN 'indicator' WHEN dim_id LIKE 'cat%' THEN 'category_' || dim_id[4:] ELSE dim_id END AS column_name FROM dim_items""")
+  CASE WHEN dim_id = 'tab' THEN 'indicator' WHEN regexp_matches(dim_id, '^cat(0[1-9]|10)$') THEN 'category_' || dim_id[4:] ELSE dim_id END AS column_name FROM dim_items""")
 def normalize_dimension(spark, sf):
     d = V.dim_items(V.raw_obs(spark, sf), V.area_labels(spark, sf)).select("dim_id").distinct()
     return d.select("dim_id", S.normalize_field(F.concat(F.lit("@"), "dim_id")).alias("field_name"),
