@@ -93,8 +93,11 @@ def containing(spark: SparkSession, path: str, words: DataFrame, fields: list[st
     own = words.select("word").filter(F.col("word").isNotNull()).distinct()
     found = materialise(candidates(spark, path, own), "substring-candidates")
     parts = [r[0] for r in found.select("part").distinct().collect()]                # at most PARTS numbers; none: nothing is read
-    near = entries.filter(F.col("part").isin(parts)).join(found.drop("part"), "_row") if parts else entries.limit(0).withColumn("word", F.lit(""))
-    met = near.filter(holds(near, fields, F.col("word")))
+    if parts:                                                                        # a row's texts travel once, with all words to try on them
+        near = entries.filter(F.col("part").isin(parts)).join(found.groupBy("_row").agg(F.collect_list("word").alias("_words")), "_row")
+        met = near.withColumn("word", F.explode(F.filter("_words", lambda w: holds(near, fields, w)))).drop("_words")
+    else:
+        met = entries.limit(0).withColumn("word", F.lit(""))
     short = own.filter(F.size(_word_grams(F.col("word"))) == 0)
     if not short.isEmpty():
         tried = entries.withColumn("_short", short.agg(F.collect_list("word")).scalar())

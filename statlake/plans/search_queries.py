@@ -111,13 +111,13 @@ def indexed_search(spark, sf):
     return SUB.search(spark, indexed(spark, sf), query_table(spark))
 
 
-@query("k34_indexed_words", "catalog", """SELECT w.word, dataset_id FROM catalog JOIN (SELECT DISTINCT lower(regexp_extract(description, '[^ ]+')) AS word FROM catalog) w
- ON contains(lower(description), w.word) WHERE w.word <> ''""")
-def indexed_words(spark, sf):
-    """Many words at once: the first words of all descriptions, looked for in all descriptions."""
+@query("k34_indexed_phrases", "catalog", """SELECT w.word, dataset_id FROM catalog JOIN (SELECT DISTINCT lower(substr(description, 1, 24)) AS word FROM catalog) w
+ ON contains(lower(description), w.word) WHERE length(w.word) = 24""")
+def indexed_phrases(spark, sf):
+    """Many phrases at once: the beginnings of all descriptions, looked for in all descriptions."""
     path, c = scratch_path(spark, "substrings"), V.catalog(spark, sf)
     SUB.build(c.select("dataset_id", "description"), ["description"], path)
-    words = c.select(F.lower(F.regexp_extract("description", "[^ ]+", 0)).alias("word")).filter("word <> ''")
+    words = c.select(F.lower(F.substring("description", 1, 24)).alias("word")).filter(F.length("word") == 24)
     return SUB.containing(spark, path, words, ["description"]).select("word", "dataset_id")
 
 
