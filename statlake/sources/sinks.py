@@ -48,7 +48,9 @@ def time_partitioned(df: DataFrame) -> DataFrame:
 def create_from_raw(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
     """Write raw rows partitioned by year where they have time codes at all; rows whose code gives no year share the null partition."""
     timed = "attr_time" in df.columns
-    write_typed(time_partitioned(df) if timed else df, path, PARTITION_COLUMNS if timed else None, mode=mode)
+    if timed:                                    # a code of fewer than four characters gives no year
+        df = time_partitioned(df).withColumn("year", F.when(F.length("attr_time") >= 4, F.col("year")))
+    write_typed(df, path, PARTITION_COLUMNS if timed else None, mode=mode)
     return timed
 
 
