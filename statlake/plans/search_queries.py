@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions import text as X
-from statlake.operators import catalog as C, mapping as M, search as S, substrings as SUB, tfidf as TF
+from statlake.operators import catalog as C, impacts as IM, mapping as M, search as S, substrings as SUB, tfidf as TF
 from statlake.operators.ranking import select_diverse
 from statlake.plans import views as V
 from statlake.plans.mapping_queries import CANDIDATE_SQL, LANDING_SQL, SELECTION_SQL
@@ -341,8 +341,11 @@ def _tfidf(spark, sf, k):
     return TF.tfidf_search(V.catalog(spark, sf), "dataset_id", _search_text(), "労働力調査", k)
 
 
-@query("k24_tfidf_search", "catalog", _TFIDF_SQL + """ SELECT CAST(row_number() OVER (ORDER BY round(s, 9) DESC, dataset_id) AS INT) AS rank, dataset_id, round(s, 6) AS score
- FROM r ORDER BY rank LIMIT 100""")
+_TFIDF_TOP = _TFIDF_SQL + """ SELECT CAST(row_number() OVER (ORDER BY round(s, 9) DESC, dataset_id) AS INT) AS rank, dataset_id, round(s, 6) AS score
+ FROM r ORDER BY rank LIMIT 100"""
+
+
+@query("k24_tfidf_search", "catalog", _TFIDF_TOP)
 def tfidf_search(spark, sf):
     path = scratch_path(spark, "index")
     TF.build_index(V.catalog(spark, sf).select("dataset_id", _search_text().alias("text")), "dataset_id", F.col("text"), path)
@@ -350,6 +353,16 @@ def tfidf_search(spark, sf):
     return hits.withColumn("score", F.round("score", 6))
 
 
+@query("k24_ranked_loads", "catalog", _TFIDF_TOP)
+def ranked_loads(spark, sf):
+    """Entries ingested are indexed first, all others in a second load; ranked as one index."""
+    path, c = scratch_path(spark, "impacts"), V.catalog(spark, sf)
+    done = F.col("ingestion_status").eqNullSafe("success")
+    for load in (c.filter(done), c.filter(~done)):
+        IM.add(load, "dataset_id", _search_text(), path)
+    return IM.search(spark, path, "dataset_id", "労働力調査", 100).withColumn("score", F.round("score", 6))
+
+
 @query("k25_tfidf_keywords", "catalog", f"""WITH docs AS (SELECT dataset_id AS k, regexp_replace(lower(title || ' ' || description), '[\\s\\x{{0085}}\\x{{00A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]{{2,}}', ' ', 'g') AS t FROM catalog), {_GRAMS}
  g AS (SELECT k, c || c1 AS gram FROM sq WHERE c1 IS NOT NULL UNION ALL SELECT k, c || c1 || c2 FROM sq WHERE c2 IS NOT NULL UNION ALL SELECT k, c || c1 || c2 || c3 FROM sq WHERE c3 IS NOT NULL),
  tf AS (SELECT k, gram, count(*) AS tf FROM g GROUP BY ALL), v AS (SELECT gram, sum(tf) AS total, count(*) AS df FROM tf GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1000),

@@ -16,7 +16,7 @@ SAMPLE = ["x01_parse_time", "p_map_labor", "a02_region_year_statistics", "j02_le
           "w06_status_transitions", "a21_exact_percentiles", "k09_search", "k25_tfidf_keywords", "m12_dashboard", "i01_schema_from_data",
           "s02_unwrap_data", "s16_domain_table", "e01_ingest_resumed", "e02_ingest_complete", "e07_priority_ingest", "u03_new_or_changed",
           "s01_landed_objects", "s28_load_history", "s30_update_rows", "e03_ingest_records", "u03_stream_landing", "k09_indexed_search", "j11_joinable_pairs",
-          "a15_stored_totals", "q14_profile_check", "a01_bitmap_counts", "x10_normalize_dimension"]
+          "a15_stored_totals", "q14_profile_check", "a01_bitmap_counts", "x10_normalize_dimension", "k24_ranked_loads"]
 all_queries()
 NAMES = sorted(ORACLES) if os.environ.get("STATLAKE_ALL") else SAMPLE
 
