@@ -12,7 +12,8 @@ level. One bucket of each class waits for the end, where undecided documents of
 classes meet ones of ever smaller size, so that what is left over is small.
 
 Defined results: a null text has no words; documents without words take nothing;
-equal rows are treated alike but rounded one by one; a null source is a source, the
+rows that repeat one id, text and source are counted before the shuffle, numbered, and rounded
+one by one, in buckets of their own numbers; a null source is a source, the
 last one; a source without words has target 0; an empty table gives an empty result.
 """
 
@@ -28,6 +29,7 @@ from statlake.session import materialise
 
 WEIGHTS = (5, 2, 1)
 BUCKET = 32
+PIECE = 1 << 14                      # repeated rows that one row stands for at most when they are written out
 
 
 def targets(stats: DataFrame, total: float, stop: float = 2.0) -> DataFrame:
@@ -94,14 +96,14 @@ def _item(p: Column) -> Column:
 
 
 def round_copies(rows: DataFrame, seed: int = 7) -> DataFrame:
-    """``source, id, size, copies`` from ``source, id struct(doc_id, content), size, expected``.
+    """``source, id, size, copies`` from ``source, id struct(doc_id, content), nr, size, expected``; ``nr`` tells repeated rows apart.
 
     Sorting a bucket puts large sizes first. Levels are written to the shared folder, so
     none is computed twice and a lost executor costs one level. The driver sees only
     the number of levels.
     """
     part = F.col("expected") - F.floor("expected")
-    rows = (rows.withColumn("part", part).withColumn("hash", F.xxhash64(F.lit(seed), "id"))
+    rows = (rows.withColumn("part", part).withColumn("hash", F.xxhash64(F.lit(seed), "id", "nr"))
             .withColumn("class", F.floor(F.log2(F.greatest("size", F.lit(1)))).cast("int")))
     loose = (F.col("size") > 0) & (F.col("part") > 0)
     whole = rows.filter(~loose).select("source", "id", "size", F.floor("expected").cast("int").alias("copies"))
@@ -138,46 +140,62 @@ def round_copies(rows: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def thin(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``source, id, size`` of each row."""
     content = text_of(text)
     return docs.select("source", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(content).alias("content")).alias("id"),
                        word_count(content).alias("size"))
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Equal rows as one, with their number as ``times``."""
+    return rows.groupBy("source", "id", "size").agg(F.count("*").alias("times"))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Each row of ``counted`` as often as it was counted, with ``nr`` from 0; a row repeated without end is written out by many tasks."""
+    few = rows.filter(F.col("times") <= PIECE).withColumn("nr", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(PIECE).cast("long")))
+    many = rows.filter(F.col("times") > PIECE).withColumn("start", starts).repartition("id", "start")
+    last = F.least(F.col("start") + PIECE, F.col("times")) - 1
+    many = many.withColumn("nr", F.explode(F.sequence("start", last))).drop("start")
+    return few.unionByName(many).drop("times")
+
+
 def source_targets(rows: DataFrame, share: float = 1.5, stop: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``source, words, weight, target``; sources in code point order take the weights in turn, null last."""
+    """``source, words, weight, target`` from counted rows; sources in code point order take the weights in turn, null last."""
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1       # one row per source
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % len(weights) + 1).cast("int"))
-    stats = materialise(rows.groupBy("source").agg(F.sum("size").alias("words")).withColumn("weight", weight), "mix-sources")
+    stats = materialise(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("words")).withColumn("weight", weight), "mix-sources")
     total = stats.agg(F.sum("words")).first()[0] or 0
     return materialise(targets(stats, share * total, stop), "mix-targets")
 
 
 def mix(docs: DataFrame, share: float = 1.5, stop: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 7,
         text: str = "text") -> DataFrame:
-    """``doc_id, content, size, source_size, target, copies, taken`` of each row; ``content`` is a hash of the text."""
-    rows = materialise(thin(docs, text), "mix-rows")
+    """``source, doc_id, content, size, source_size, target, copies, taken`` of each row; ``content`` is a hash of the text."""
+    rows = materialise(counted(thin(docs, text)), "mix-rows")
     goal = source_targets(rows, share, stop, weights).select(
         F.col("source").alias("g_source"), F.col("words").alias("source_size"), "target")
     same = F.col("source").eqNullSafe(F.col("g_source"))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    copies = round_copies(rows.join(goal, same).select("source", "id", "size", expected.alias("expected")), seed)
-    return copies.join(goal, same).select("id.doc_id", "id.content", "size", "source_size", "target", "copies",
+    copies = round_copies(numbered(rows).join(goal, same).select("source", "id", "nr", "size", expected.alias("expected")), seed)
+    return copies.join(goal, same).select("source", "id.doc_id", "id.content", "size", "source_size", "target", "copies",
                                           (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it.
 
-    Rows that are equal in id and text are told apart by a number on both sides.
+    Rows that are equal in source, id and text are told apart by a number on both sides.
     """
     taken = mix(docs, text=text, **options)
-    number = Window.partitionBy("m_id", "m_content")
-    taken = taken.select(F.col("doc_id").alias("m_id"), F.col("content").alias("m_content"), F.col("copies").alias("m_copies"))
+    number = Window.partitionBy("m_source", "m_id", "m_content")
+    taken = taken.select(F.col("source").alias("m_source"), F.col("doc_id").alias("m_id"), F.col("content").alias("m_content"), F.col("copies").alias("m_copies"))
     taken = taken.withColumn("m_nr", F.row_number().over(number.orderBy("m_copies")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("m_source"),
                        F.col("doc_id").cast("long").alias("m_id"), F.xxhash64(text_of(text)).alias("m_content"))
     rows = rows.withColumn("m_nr", F.row_number().over(number.orderBy("m_id")))
     t = taken.select(*[F.col(c).alias(f"t_{c}") for c in taken.columns])
-    same = F.col("m_id").eqNullSafe(F.col("t_m_id")) & (F.col("m_content") == F.col("t_m_content")) & (F.col("m_nr") == F.col("t_m_nr"))
+    same = F.col("m_source").eqNullSafe(F.col("t_m_source")) & F.col("m_id").eqNullSafe(F.col("t_m_id")) & (F.col("m_content") == F.col("t_m_content")) & (F.col("m_nr") == F.col("t_m_nr"))
     return (rows.join(t, same).filter("t_m_copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("t_m_copies"))).alias("m_copy")).select("row.*"))

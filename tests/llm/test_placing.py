@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from statlake.llm import mixing, sharding
 
@@ -153,6 +154,27 @@ def test_mixed_rows(spark):
     assert got == +copies
 
 
+def test_row_repeated_without_end(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 100)
+    rows = [(7, "one two three", "a")] * 2_050 + [(None, None, None)] * 130 + [(7, "one two three", "b")] * 60
+    rows += [(i, "w " * (1 + i % 9), "ab"[i % 2]) for i in range(100, 4_000)]
+    df = docs_of(spark, rows)
+    numbers = mixing.numbered(mixing.counted(mixing.thin(df)))
+    same = [r for r in numbers.collect() if r.source == "a" and r.id.doc_id == 7]
+    assert sorted(r.nr for r in same) == list(range(2_050))
+    held = numbers.filter("source = 'a' AND id.doc_id = 7").groupBy(F.pmod(F.xxhash64(F.lit(7), "id", "nr"), F.lit(64))).count()
+    assert max(r["count"] for r in held.collect()) < 3 * 2_050 / 64                 # no bucket takes them all
+    got = mixing.mix(df).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in rows)
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 30
+    copies = Counter()
+    for r in got:
+        copies[(r.doc_id, r.source)] += r.copies
+    assert Counter((r.doc_id, r.source) for r in mixing.mixed_documents(df).collect()) == +copies
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(docs_of(spark, [])).count() == 0
     assert mixing.mixed_documents(docs_of(spark, [])).count() == 0
