@@ -9,8 +9,8 @@ the scalar also bounds the error with a chosen confidence. Within a block a cand
 is computed exactly, in double precision, unless its upper bound is below the k-th
 largest lower bound of the query there.
 
-Queries and candidates meet in packed blocks. Candidate blocks form groups of bounded
-size, query blocks are sent to every group, and each pair of blocks is worked off by
+Queries and candidates meet in packed blocks. Candidate blocks form a bounded number
+of groups, query blocks are sent to every group, and each pair of blocks is worked off by
 itself: no vector meets another as a row, nothing is broadcast or collected. Work is
 queries times candidates, as the task states a query set against all rows.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from statlake.session import materialise
 
 BLOCK, QUERY_BLOCK, GROUP_BLOCKS = 1024, 256, 4
-#: Most tasks that pairs of blocks are dealt to; beyond, a task has several groups.
+#: Most groups, a task each; beyond, a group has more blocks, so that queries travel no more often.
 MOST_TASKS = 4096
 QUERY_BITS = 4
 #: Error bound in standard deviations of the estimate.
@@ -153,15 +153,14 @@ def nearest(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     candidates = materialise(packed(rows, BLOCK, True).withColumn("group", F.monotonically_increasing_id()), "code-blocks")
     # Blocks are grouped by number within the folder written, so groups are fixed from here on.
     count = candidates.count()
-    groups = max(1, -(-count // GROUP_BLOCKS))
+    groups = min(max(1, -(-count // GROUP_BLOCKS)), MOST_TASKS)
     candidates = candidates.withColumn("group", F.pmod(F.xxhash64("group"), F.lit(groups)))
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
     queries = materialise(packed(queries.repartition(F.pmod("mix", F.lit(1 << 10))), QUERY_BLOCK, False), "query-blocks")
     sent = queries.select("dims", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"))
     # Blocks are few and small beside the work they make, so the number of tasks is set, not found from their size.
-    tasks = min(groups, MOST_TASKS)
-    pairs = candidates.repartition(tasks, "dims", "group").join(sent.repartition(tasks, "dims", "group").hint("shuffle_merge"), ["dims", "group"])
+    pairs = candidates.repartition(groups, "dims", "group").join(sent.repartition(groups, "dims", "group").hint("shuffle_merge"), ["dims", "group"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

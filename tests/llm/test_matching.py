@@ -137,7 +137,9 @@ def neighbours_of(spark, rows, **options):
     return got
 
 
-def test_neighbours_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("groups", [4096, 2])                 # as many as blocks need, and the most there may be
+def test_neighbours_equal_brute_force(spark, monkeypatch, groups):
+    monkeypatch.setattr(neighbours, "MOST_TASKS", groups)
     monkeypatch.setattr(neighbours, "BLOCK", 100)
     monkeypatch.setattr(neighbours, "QUERY_BLOCK", 3)
     rng = np.random.default_rng(1)
