@@ -7,12 +7,16 @@ and never multiplies.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from statlake.session import materialise
 
+PAIR_ROWS, MOST_PIECES, PAIR_TASKS = 2048, 64, 256      # rows of a piece that meets others as a whole, pieces of a table, tasks that pairs are spread over
+WORD_COLUMNS = 16                                       # words of region bits that are columns
+
 
 
 def basic_statistics(facts: DataFrame) -> DataFrame:
@@ -223,43 +227,83 @@ def _compatibility(pairs: DataFrame, ids: list[Column], years: Column, regions:
         F.when(both & same, "inner").when(both, "left").otherwise("none").alias("join_type"))
 
 
-def overlapping(left: DataFrame, right: DataFrame, start: str, end: str, least: int = 1, width: int = 4) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, start: str, end: str, least: int = 1, width: int = 4, pieces: int = 1, once: str | None = None) -> DataFrame:
     """Pairs of rows whose closed integer intervals share ``least`` points or more, as columns ``a`` and ``b`` of structs.
 
     An interval shortened by ``least - 1`` points meets another such one exactly where the two
     share enough. Shortened ones are cut into bins of ``width`` points and meet by bin; a pair is
     kept in the first bin that both have, so it comes once. Work follows the bins' pairs: no
     interval meets one far from it. Rows with a null bound meet nothing.
+
+    Either side is cut into ``pieces`` by a hash of the row, and each two pieces meet by themselves, so a
+    bin that holds most rows is the work of many tasks. With ``once``, a column that tells rows apart, left
+    and right are the same rows: two of them are one pair, in either order, and no row meets itself.
     """
-    def binned(df: DataFrame, name: str) -> DataFrame:
-        low, high = F.floor(F.col(start) / width), F.floor((F.col(end) - (least - 1)) / width)
-        rows = df.filter(F.col(end) - F.col(start) >= least - 1).select(F.struct(*df.columns).alias(name), low.alias(f"{name}_first"), high.alias("_last"))
-        return rows.select(name, f"{name}_first", F.explode(F.sequence(f"{name}_first", F.greatest("_last", f"{name}_first"))).alias("bin"))
+    both = ["bin", "_i", "_j"]
 
-    met = binned(left, "a").join(binned(right, "b"), "bin").filter(F.col("bin") == F.greatest("a_first", "b_first"))
+    def binned(df: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        low, high = F.floor(F.col(start) / width), F.floor((F.col(end) - (least - 1)) / width)
+        piece = F.pmod(F.xxhash64(*([once] if once else [start, end, F.monotonically_increasing_id()])), F.lit(pieces)).cast("int")
+        flat = [F.col(c).alias(f"_{name}_{c}") for c in df.columns]
+        rows = df.filter(F.col(end) - F.col(start) >= least - 1).select(*flat, low.alias(f"{name}_first"), high.alias("_last"), piece.alias(own))
+        met = F.sequence(own, F.lit(pieces - 1)) if own == "_i" else F.sequence(F.lit(0), own)
+        rows = rows.withColumn(other, F.explode(met if once else F.sequence(F.lit(0), F.lit(pieces - 1))))
+        rows = rows.select(*[f"_{name}_{c}" for c in df.columns], f"{name}_first", "_i", "_j", F.explode(F.sequence(f"{name}_first", F.greatest("_last", f"{name}_first"))).alias("bin"))
+        return rows.repartition(min(pieces * (pieces + 1) // 2, PAIR_TASKS), *both) if pieces > 1 else rows
+
+    a, b = binned(left, "a", "_i", "_j"), binned(right, "b", "_j", "_i")
+    met = a.join(b.hint("merge") if pieces > 1 else b, both).filter(F.col("bin") == F.greatest("a_first", "b_first"))
+    if once:
+        met = met.filter((F.col("_i") < F.col("_j")) | (F.col(f"_a_{once}") < F.col(f"_b_{once}")))
+    met = met.select(*[F.struct(*[F.col(f"_{side}_{c}").alias(c) for c in df.columns]).alias(side) for side, df in (("a", left), ("b", right))])
     shared = F.least(F.col("a")[end], F.col("b")[end]) - F.greatest(F.col("a")[start], F.col("b")[start]) + 1
     return met.filter(shared >= least).select("a", "b", shared.cast("int").alias("shared"))
 
 
-def joinable_pairs(facts: DataFrame, least_years: int = 1) -> DataFrame:
-    """All pairs of datasets that share ``least_years`` years or more, with what they can be joined on.
+def _region_bits(cells: DataFrame) -> tuple[DataFrame, Callable[[str, str], Column]]:
+    """A row of 64-bit words over numbered regions for every dataset, and the count of regions that two such rows share.
 
-    A dataset's regions are a row of 64-bit words over numbered regions, so a pair's shared
-    regions are counted on the pair itself, however many datasets have a region.
+    A few words are columns of their own, more are a map of those that are not zero.
     """
-    cells = dataset_cells(facts)
     names = cells.select("region_code").filter(F.col("region_code").isNotNull()).distinct()
     numbers = materialise(names.select("region_code", (F.row_number().over(Window.orderBy("region_code")) - 1).alias("nr")), "regions")     # one row a region
     bits = (cells.select("dataset_id", "region_code").distinct().join(numbers, "region_code")
             .groupBy("dataset_id", F.floor(F.col("nr") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(nr % 64 as int))")).alias("bits")))
+    n = (numbers.count() + 63) // 64
+    if n <= WORD_COLUMNS:
+        words = bits.groupBy("dataset_id").agg(F.count("*").alias("_n"), *[F.max(F.when(F.col("word") == i, F.col("bits"))).alias(f"_w{i}") for i in range(n)])
+        held = [F.coalesce(f"_w{i}", F.lit(0).cast("long")).alias(f"_w{i}") for i in range(n)]
+
+        def shared(a: str, b: str) -> Column:
+            counts = [F.coalesce(F.bit_count(F.col(f"{a}._w{i}").bitwiseAND(F.col(f"{b}._w{i}"))), F.lit(0)) for i in range(n)]
+            return reduce(lambda x, y: x + y, counts, F.lit(0)).cast("long")
+        return words.select("dataset_id", *held), shared
     words = bits.groupBy("dataset_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("region_bits"))
-    rows = profiles_of(cells).select("dataset_id", "first_year", "last_year", "granularity").join(words, "dataset_id", "left")
+
+    def shared_of_maps(a: str, b: str) -> Column:
+        both = F.transform(F.map_entries(f"{a}.region_bits"),
+                           lambda e: F.bit_count(e["value"].bitwiseAND(F.coalesce(F.try_element_at(f"{b}.region_bits", e["key"]), F.lit(0).cast("long")))))
+        return F.coalesce(F.aggregate(both, F.lit(0), lambda s, n: s + n), F.lit(0)).cast("long")
+    return words, shared_of_maps
+
+
+def joinable_pairs(facts: DataFrame, least_years: int = 1) -> DataFrame:
+    """All pairs of datasets that share ``least_years`` years or more, with what they can be joined on.
+
+    A dataset's regions are a row of 64-bit words over numbered regions, so a pair's shared
+    regions are counted on the pair itself, however many datasets have a region. Datasets meet in
+    pieces of about ``PAIR_ROWS``, two at a time; nearly all datasets share years, so pairs grow with their square.
+    """
+    cells = dataset_cells(facts)
+    words, regions = _region_bits(cells)
+    rows = profiles_of(cells).select("dataset_id", "first_year", "last_year", "granularity").filter(F.col("dataset_id").isNotNull()).join(words, "dataset_id", "left")
     rows = materialise(rows, "dataset-profiles")
-    pairs = overlapping(rows, rows, "first_year", "last_year", least_years).filter("a.dataset_id < b.dataset_id")
-    both = F.transform(F.map_entries("a.region_bits"), lambda e: F.bit_count(e["value"].bitwiseAND(F.coalesce(F.try_element_at("b.region_bits", e["key"]), F.lit(0).cast("long")))))
-    regions = F.coalesce(F.aggregate(both, F.lit(0), lambda s, n: s + n), F.lit(0)).cast("long")
-    return _compatibility(pairs, [F.col("a.dataset_id").alias("dataset_a"), F.col("b.dataset_id").alias("dataset_b")], F.col("shared"), regions,
-                          F.col("a.granularity") == F.col("b.granularity"))
+    found = rows.agg(F.count("*").alias("n"), F.avg(F.col("last_year") - F.col("first_year")).alias("span")).first()
+    width = max(4, 2 * (int(found["span"] or 0) + 2 - least_years))                       # most intervals lie in one bin or two
+    pieces = min(MOST_PIECES, found["n"] // PAIR_ROWS + 1)
+    pairs = overlapping(rows, rows, "first_year", "last_year", least_years, width, pieces, once="dataset_id")
+    ids = [F.least("a.dataset_id", "b.dataset_id").alias("dataset_a"), F.greatest("a.dataset_id", "b.dataset_id").alias("dataset_b")]
+    return _compatibility(pairs, ids, F.col("shared"), regions("a", "b"), F.col("a.granularity") == F.col("b.granularity"))
 
 
 def fetch_and_join(facts: DataFrame, dataset_ids: list[str], keys: list[str]) -> DataFrame:

@@ -319,6 +319,19 @@ def test_overlapping_intervals_equal_brute_force(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("regions", [3, 70, 1200])
+def test_joinable_pairs_meet_in_pieces(spark, monkeypatch, regions):
+    """All datasets share years, so one bin holds them all: its pairs are spread over tasks, and each comes once."""
+    monkeypatch.setattr(A, "PAIR_ROWS", 10)
+    cells = {f"d{d:02d}": (2000 + d % 3, 2006 + d % 5, {(d * 7 + k) * 13 % regions for k in range(d % 9)}) for d in range(60)}
+    rows = [(k, y, 0, 0, f"r{r}") for k, (first, last, own) in cells.items() for y in (first, last) for r in own] + [(k, y, 0, 0, None) for k, v in cells.items() for y in v[:2]]
+    pairs = A.joinable_pairs(spark.createDataFrame(rows, "dataset_id string, year int, quarter int, month int, region_code string"), 2)
+    busy = pairs.select(F.spark_partition_id().alias("p")).distinct().count()
+    got = sorted((r["dataset_a"], r["dataset_b"], r["overlap_years"], r["shared_regions"]) for r in pairs.collect())
+    want = sorted((a, b, n, len(x[2] & y[2])) for a, x in cells.items() for b, y in cells.items() if a < b and (n := min(x[1], y[1]) - max(x[0], y[0]) + 1) >= 2)
+    assert got == want and busy > 4
+
+
 def test_joinable_pairs_read_facts_once(spark):
     regions = [f"r{i:03d}" for i in range(150)]
     rows = [(f"d{d}", 2000 + d % 4 + y, 1 if d % 2 else 0, 0, regions[(d * 7 + k) % 150]) for d in range(12) for y in range(4) for k in range(d * 10 + 1)]
