@@ -558,7 +558,7 @@ def new_or_changed(spark, sf):
 def stream_landing(spark, sf):
     """Three batches: half the records, all of them with some changed and some with a field more, and a part once again."""
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-state"))
-    rows = V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$"))
+    rows = materialise(V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$")), "records")
     rows.filter(F.length("@id") % 2 == 0).write.json(landing)
     U.stream_landing(spark, landing, out, checkpoint, ["@id"])
     changed = rows.withColumn("$", F.when(F.col("@id").endswith("1"), F.concat("$", F.lit("0"))).otherwise(F.col("$")))
@@ -574,7 +574,7 @@ def stream_landing(spark, sf):
 def stream_versions(spark, sf):
     """Versions stored: one for a record met first, one more where its content is another, none for the same again."""
     landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-state"))
-    rows = V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$"))
+    rows = materialise(V.raw_obs(spark, sf).groupBy(F.col("attr_id").alias("@id")).agg(F.min("value").alias("$")), "records")
     rows.filter(F.length("@id") % 2 == 0).write.json(landing)
     U.stream_landing(spark, landing, out, checkpoint, ["@id"])
     last = F.substring("@id", -1, 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,19 +42,26 @@ def latest(versions: DataFrame, keys: list[str], recency: list[str]) -> DataFram
 
 
 _STORED = "key string, version long, path string, text string"
+KEY_GROUPS = 2048                   # groups of keys by hash; a group is one call, its keys share a row of state
 
 
-def _changed(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The newest landed piece of a key if its content is another than the stored one's; the state holds that content's hash."""
-    newest = None
+def _changed(group: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The newest landed piece of every key of a group if its content is another than the stored one's; the state holds hash and version by key."""
+    newest: dict[str, tuple] = {}
     for frame in pieces:
-        for row in zip(frame["landed"], frame["path"], frame["content"], frame["text"]):
-            if newest is None or row > newest:
-                newest = row
-    content, version = state.get if state.exists else (None, 0)
-    if content != newest[2]:
-        state.update((int(newest[2]), version + 1))
-        yield pd.DataFrame({"key": [key[0]], "version": [version + 1], "path": [newest[1]], "text": [newest[3]]})
+        for key, *row in zip(frame["key"], frame["landed"], frame["path"], frame["content"], frame["text"]):
+            if key not in newest or row > newest[key]:
+                newest[key] = row
+    known = json.loads(state.get[0]) if state.exists else {}
+    out = []
+    for key, (_, path, content, text) in newest.items():
+        before, version = known.get(key, (None, 0))
+        if content != before:
+            known[key] = (int(content), version + 1)
+            out.append((key, version + 1, path, text))
+    if out:
+        state.update((json.dumps(known),))
+        yield pd.DataFrame(out, columns=["key", "version", "path", "text"])
 
 
 def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str, keys: list[str], files_per_batch: int = 1000) -> None:
@@ -61,9 +69,9 @@ def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str,
 
     Files hold arrays, lone objects or lines of flat records with any fields, and are cut at
     closing braces; ``keys`` are landed field names. The state store keeps a hash of the content
-    and a version number per key, so a batch touches the keys it brings and reads nothing of
-    what is stored. Of several versions of a key within a batch the one landed last counts
-    (time of its file, then its name). The file sink keeps each batch exactly once. Pieces
+    and a version number per key, so a batch reads nothing of what is stored. Keys are handled in
+    ``KEY_GROUPS`` groups by hash, since a call costs more than a key; a batch touches the state of
+    the groups it brings. Of several versions of a key within a batch the one landed last counts (time of its file, then its name). The file sink keeps each batch exactly once. Pieces
     that are no records are stored as well, see ``stored_failures``.
     """
     source = spark.readStream.option("maxFilesPerTrigger", files_per_batch).format("text").option("lineSep", "}").load(landing)
@@ -75,7 +83,7 @@ def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str,
     sorted_record = F.array_sort(F.map_entries("record"))
     rows = landed.select("landed", "path", "text", F.when(F.col("record").isNotNull(), own).alias("own"), F.xxhash64(sorted_record, F.col("record").isNull()).alias("content"))
     rows = rows.select(F.coalesce("own", F.concat(F.lit("!"), "path", F.lit(" "), "text")).alias("key"), "landed", "path", "content", "text")
-    changed = rows.groupBy("key").applyInPandasWithState(_changed, _STORED, "content long, version long", "append", GroupStateTimeout.NoTimeout)
+    changed = rows.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(KEY_GROUPS))).groupBy("group").applyInPandasWithState(_changed, _STORED, "known string", "append", GroupStateTimeout.NoTimeout)
     query = changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 

@@ -151,6 +151,29 @@ def test_stream_reads_nothing_of_what_is_stored(spark, tmp_path):
     assert streamed(spark, str(out)) == sorted(((str(i), "9" if i < 5 else "0") for i in range(50)), key=str)
 
 
+def test_stream_handles_many_keys_in_a_call(spark, tmp_path, monkeypatch):
+    """Keys of a group share a call and a row of state; each has its own version."""
+    landing, out, state = (tmp_path / n for n in ("landing", "out", "state"))
+    landing.mkdir()
+    monkeypatch.setattr(U, "KEY_GROUPS", 3)
+    monkeypatch.setattr(U, "_changed", counted := _counting(str(tmp_path / "calls"), U._changed))
+    for batch in range(3):
+        land(landing, f"{batch}.json", [{"@id": str(i), "$": str(batch if i % 4 == 0 else 0)} for i in range(200)], 1000 + batch)
+        U.stream_landing(spark, str(landing), str(out), str(state), ["@id"])
+    assert len((tmp_path / "calls").read_text()) <= 9 and counted
+    got = {r["key"]: r["n"] for r in U.stored_versions(spark, str(out)).groupBy("key").agg(F.max("version").alias("n")).collect()}
+    assert got == {f'["{i}"]': 3 if i % 4 == 0 else 1 for i in range(200)}
+    assert U.stored_versions(spark, str(out)).count() == 150 + 50 * 3
+
+
+def _counting(path, call):
+    def counted(group, pieces, state):
+        with open(path, "a") as f:
+            f.write("x")
+        yield from call(group, pieces, state)
+    return counted
+
+
 def test_partition_decision(spark, tmp_path):
     ok = spark.createDataFrame([("1", "2020", "5"), ("2", "2021Q1", "6")], "attr_id string, attr_time string, value string")
     assert W.create_from_raw(ok.unionAll(spark.createDataFrame([("3", "99", "1"), ("4", None, "2")], ok.schema)), str(tmp_path / "y")) is True
