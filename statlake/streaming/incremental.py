@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from statlake.sources.landing import PIECE_EDGES, RECORD, all_fields, spread
 
+register_pickle_by_value(sys.modules[__name__])         # the state update travels with its jobs
+
 
 def updated_since(listing: DataFrame, last_ingested: DataFrame) -> DataFrame:
     """Listed datasets whose source changed after their last ingestion, or that were never ingested."""

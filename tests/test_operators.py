@@ -1,7 +1,9 @@
 """Operators against brute force on small, skewed fixtures."""
 
 import random
+import re
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -230,6 +232,26 @@ def test_tfidf_against_plain_python(spark):
     assert got == pytest.approx({k: v for k, v in want.items() if v > 0})
 
 
+def test_keywords_shuffle_texts_not_ngrams(spark):
+    """Keywords against plain Python, with a key in two rows, empty and null texts; no n-gram of a document is exchanged."""
+    rng = random.Random(5)
+    docs = [(i % 57, "".join(rng.choices("abc日本 \n", k=rng.randint(0, 60)))) for i in range(60)] + [(98, ""), (99, None)]
+    df = spark.createDataFrame(docs, "k long, t string")
+    got = TF.tfidf_keywords(df, "k", F.col("t"), 3, (2, 3, 4), 20)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    tf = {}
+    for k, t in docs:
+        t = re.sub(r"\s\s+", " ", (t or "").lower())
+        tf.setdefault(k, Counter()).update(t[i:i + n] for n in (2, 3, 4) for i in range(len(t) - n + 1))
+    total, held = Counter(), Counter()
+    for c in tf.values():
+        total.update(c)
+        held.update(c.keys())
+    idf = {g: np.log((1 + len(docs)) / (1 + held[g])) + 1 for g, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:20]}
+    want = [(k, r, g) for k, c in tf.items() for r, (_, g) in enumerate(sorted((-n * idf[g], g) for g, n in c.items() if g in idf)[:3], 1)]
+    assert sorted((r["k"], r["rank"], r["gram"]) for r in got.collect()) == sorted(want)
+
+
 def test_vector_search(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [0.0, 2.0])], "vec_id bigint, embedding array<float>")
     assert [r["vec_id"] for r in SE.vector_search(df, [0.0, 1.0], 2).collect()] == [3, 2]
