@@ -6,12 +6,21 @@ the latter two in folders by a hash of the n-gram. Words are rows of a table: a
 them make the same plan as one. Of each word the rarest n-grams are read and intersected,
 and only folders that hold such n-grams or the rows left are opened; a word with an n-gram
 that does not occur ends there. Words too short for an n-gram are tried on every row.
+
+Three characters of a long phrase stand in most texts. Words of ``LONG`` characters or more are found
+by a fourth table, ``prints`` (fingerprint, row): of every ``LONG`` characters of a text the least hash of the
+``PRINT`` characters within. A text that holds a word holds the fingerprints of all its stretches of that length.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from statlake.functions.text import char_ngrams, expand_query
@@ -20,7 +29,10 @@ from statlake.operators.ranking import top_per_group
 from statlake.session import materialise
 from statlake.sources.sinks import write_typed
 
+register_pickle_by_value(sys.modules[__name__])         # fingerprints travel with their jobs
+
 BUCKETS, PARTS = 64, 64
+LONG, PRINT = 24, 12                # characters of a long word, and of what is hashed in it
 BLOCK_BITS = 12                     # rows of a posting: at most 2^12
 RAREST = 3                          # n-grams of a word that are intersected
 CATALOG_FIELDS = ["title", "description", "keywords", "column_names", "tags"]
@@ -54,6 +66,32 @@ def _texts(df: DataFrame, fields: list[str]) -> list[Column]:
     return [F.transform(f, F.lower) if isinstance(kinds[f], T.ArrayType) else F.array(F.lower(f)) for f in fields]
 
 
+def _prints_of(text: str) -> np.ndarray:
+    """Distinct least hashes of every ``LONG`` characters; equal stretches have equal ones, others may."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    if len(points) < LONG:
+        return np.empty(0, np.int64)
+    n = len(points) - PRINT + 1
+    h = np.zeros(n, np.uint64)
+    for i in range(PRINT):
+        h = (h ^ points[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    least = np.lib.stride_tricks.sliding_window_view(h, LONG - PRINT + 1).min(axis=1)
+    return np.unique(least).view(np.int64)
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, text in zip(batch.column(0), batch.column(1)):
+            found = _prints_of(text.as_py() or "")
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.repeat(key, len(found)), pa.array(found)], names=[batch.schema.names[0], "print"])
+
+
+def _print_bucket() -> Column:
+    return F.pmod("print", F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
 def build(entries: DataFrame, fields: list[str], path: str) -> None:
     """Store the rows and the postings of their text fields (strings or arrays of them)."""
     rows = materialise(entries.withColumn("_row", F.monotonically_increasing_id()), "numbered")
@@ -65,6 +103,8 @@ def build(entries: DataFrame, fields: list[str], path: str) -> None:
     write_typed(postings, f"{path}/postings", ["bucket"])
     held = rows.sparkSession.read.parquet(f"{path}/postings")
     write_typed(held.groupBy("bucket", "gram").agg(F.sum("n").alias("n")), f"{path}/grams", ["bucket"])
+    prints = rows.select("_row", text.alias("t")).mapInArrow(_prints, "_row long, print long")
+    write_typed(prints.withColumn("bucket", _print_bucket()), f"{path}/prints", ["bucket"])
 
 
 def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
@@ -82,6 +122,16 @@ def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
     return rows.groupBy("word", "of", "_row").count().filter("count = of").select("word", "_row", _part(F.col("_row")).alias("part"))
 
 
+def long_candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
+    """(word, _row, part) of rows that hold the fingerprints of a long word, ``RAREST`` of them at most."""
+    own = words.select("word", F.col("word").alias("t")).mapInArrow(_prints, "word string, print long")
+    few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_list("print")), 1, RAREST).alias("p"))
+    keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")).withColumn("bucket", _print_bucket()), "fingerprints")
+    read = [r[0] for r in keys.select("bucket").distinct().collect()]                # at most BUCKETS numbers
+    rows = spark.read.schema("_row long, print long, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read)).join(keys, ["bucket", "print"])
+    return rows.groupBy("word", "of", "_row").count().filter("count = of").select("word", "_row", _part(F.col("_row")).alias("part"))
+
+
 def holds(df: DataFrame, fields: list[str], word: Column) -> Column:
     """Whether one of the text fields holds the lower-case word."""
     return reduce(lambda a, b: a | b, [F.coalesce(F.exists(t, lambda x: x.contains(word)), F.lit(False)) for t in _texts(df, fields)])
@@ -91,7 +141,11 @@ def containing(spark: SparkSession, path: str, words: DataFrame, fields: list[st
     """``word`` and the stored row, for every row that holds a word of ``words`` (lower case) in one of the fields."""
     entries = spark.read.parquet(f"{path}/entries")
     own = words.select("word").filter(F.col("word").isNotNull()).distinct()
-    found = materialise(candidates(spark, path, own), "substring-candidates")
+    long = F.length("word") >= LONG
+    near_words = candidates(spark, path, own.filter(~long))
+    if not own.filter(long).isEmpty():
+        near_words = near_words.unionByName(long_candidates(spark, path, own.filter(long)))
+    found = materialise(near_words, "substring-candidates")
     parts = [r[0] for r in found.select("part").distinct().collect()]                # at most PARTS numbers; none: nothing is read
     if parts:                                                                        # a row's texts travel once, with all words to try on them
         near = entries.filter(F.col("part").isin(parts)).join(found.groupBy("_row").agg(F.collect_list("word").alias("_words")), "_row")

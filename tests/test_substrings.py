@@ -48,6 +48,19 @@ def test_a_thousand_words_make_one_plan(spark, corpus):
     assert found(spark, path, words) == brute(rows, words)
 
 
+def test_long_phrases_are_not_found_by_three_characters(spark, tmp_path):
+    """Texts of the same few syllables share all their n-grams; phrases of them lead to few texts besides those that hold them."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["ka", "ki", "日本", "ko", "\U00020bb7"], k=60)), ["x"]) for i in range(120)]
+    path = str(tmp_path / "i")
+    SUB.build(spark.createDataFrame(rows, "id int, title string, names array<string>"), FIELDS, path)
+    words = [t[a:a + n] for _, t, _ in rows for a, n in ((0, 24), (9, 25), (20, 70))] + ["ka " * 30, "k" * 23]
+    want = brute(rows, words)
+    assert found(spark, path, words) == want
+    df = spark.createDataFrame([(w,) for w in words if len(w) >= 24], "word string").distinct()
+    assert SUB.long_candidates(spark, path, df).count() * 10 < SUB.candidates(spark, path, df).count()
+
+
 def test_words_without_candidates_open_no_texts(spark, corpus):
     _, path = corpus
     words = spark.createDataFrame([("no such word",), ("統計統計統計統計",)], "word string")
