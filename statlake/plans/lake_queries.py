@@ -200,12 +200,12 @@ def landed_arrays(spark, sf):
 
 @query("s01_landed_objects", "raw_obs", _LANDED_SQL)
 def landed_objects(spark, sf):
-    """Lone objects over several lines; a third of them hold braces in a text, so their files are read whole."""
+    """Lone objects over several lines, and in other files objects that hold braces in a text, one a line."""
     path = scratch_path(spark, "landed")
     rows = landed(spark, sf).drop("dataset_id").withColumn("@note", F.when(F.col("@id").endswith("3"), "a { brace } in a text"))
-    braced = F.col("@note").isNotNull()
-    for part, options in ((rows.filter(~braced), {"pretty": "true"}), (rows.filter(braced), {})):
-        part.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in part.columns]), options)).write.mode("append").text(path)
+    braced, record = F.col("@note").isNotNull(), F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    text = F.when(braced, F.to_json(record)).otherwise(F.to_json(record, {"pretty": "true"}))
+    rows.select(text.alias("value"), braced.alias("braced")).write.partitionBy("braced").text(path)
     return L.read_raw(spark, path).select(*_LANDED_FIELDS.values())
 
 

@@ -76,7 +76,8 @@ def _time_and_value() -> tuple[Column, Column]:
 
 def raw_obs(spark: SparkSession, sf: str) -> DataFrame:
     l, o, c = (table(spark, sf, t) for t in ("lineitem", "orders", "customer"))
-    joined = (l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey))
+    placed = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")       # so that items are shuffled once
+    joined = l.join(placed, l.l_orderkey == placed.o_orderkey)
     n = F.col("l_orderkey") + F.col("l_linenumber")
     whole, ship = F.floor("l_extendedprice").cast("bigint"), F.col("l_shipdate")
     time, value = _time_and_value()

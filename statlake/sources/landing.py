@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statlake import rules
 from statlake.functions import scalars as S
@@ -13,7 +13,13 @@ from statlake.schemas import RAW_FIELDS
 #: A landed record: every field it has, as text.
 RECORD = "map<string,string>"
 _CLOSE = "}"
-PIECE_EDGES = r"^[\s\[\],\x{FEFF}]+|\s+$"
+BLANK = " \t\n\x0b\f\r"
+BEFORE = BLANK + "[],\ufeff"                 # what stands between records
+
+
+def stripped(piece: str) -> Column:
+    """A piece without what stands around it; brackets at its end are its own."""
+    return F.rtrim(F.ltrim(piece, F.lit(BEFORE)), F.lit(BLANK))
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -22,13 +28,26 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     A flat record ends at its brace, whether it stands in an array, alone or on a line of
     its own, so files split across tasks. A piece that is not a record has a null ``record``.
     """
-    piece = F.regexp_replace("value", PIECE_EDGES, "")
+    piece = stripped("value")
     cut = spark.read.text(path, lineSep=_CLOSE).select(F.col("_metadata.file_path").alias("path"), piece.alias("piece")).filter("piece <> ''")
     return cut.withColumn("record", F.from_json(F.concat("piece", F.lit(_CLOSE)), RECORD))
 
 
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, piece, record) of files read by lines, for records that hold braces and end with their line.
+
+    No JSON text holds a bare line break, so where every line of a file is made of whole objects
+    these are its records, and the file splits. Elsewhere some line gives a null ``record``.
+    """
+    piece = F.rtrim(F.ltrim("value", F.lit(BEFORE)), F.lit(BEFORE))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), piece.alias("piece")).filter("piece <> ''")
+    values = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), "piece", F.lit("]"))), "$", "array<variant>")
+    each = lines.withColumn("v", F.coalesce(values, F.array(F.lit(None).cast("variant"))))
+    return each.select("path", "piece", F.explode("v").alias("v")).select("path", "piece", F.try_variant_get("v", "$", RECORD).alias("record"))
+
+
 def _whole(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, piece, record) of files read whole, for records that hold braces: an array, or values one after the other.
+    """(path, piece, record) of files read whole, for records that hold braces and line breaks: an array, or values one after the other.
 
     No JSON text holds a bare line break, so one between brackets ends a value. If a file is no
     JSON as a whole, its lines count by themselves.
@@ -46,10 +65,8 @@ def _whole(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _survey(pieces: DataFrame) -> tuple[list[str], list[str]]:
     """Field names met, and files with pieces that are no records; both are folded where they are read."""
-    none = F.lit(None).cast("string")
-    found = F.when(F.col("record").isNull(), F.array(F.struct(none.alias("field"), F.col("path").alias("odd")))).otherwise(
-        F.transform(F.map_keys("record"), lambda k: F.struct(k.alias("field"), none.alias("odd"))))
-    rows = pieces.select(F.explode(found).alias("x")).select("x.*").distinct().collect()       # one row a field name, one an odd file
+    met = pieces.select(F.map_keys("record").alias("fields"), F.when(F.col("record").isNull(), F.col("path")).alias("odd")).distinct()
+    rows = met.select(F.explode_outer("fields").alias("field"), "odd").distinct().collect()    # one row a field name, one an odd file
     return [r["field"] for r in rows if r["field"] is not None], sorted(r["odd"] for r in rows if r["odd"] is not None)
 
 
@@ -62,19 +79,27 @@ def _records(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     pieces = _pieces(spark, path)
     fields, odd = _survey(pieces)
     if odd:
-        names = spark.createDataFrame([(x,) for x in odd], "path string")
-        rest = _whole(spark, odd)
-        more, _ = _survey(rest)
-        fields, pieces = sorted({*fields, *more}), pieces.join(names, "path", "left_anti").unionByName(rest)
+        lines = _lines(spark, odd)
+        more, hard = _survey(lines)
+        if hard:
+            whole = _whole(spark, hard)
+            lines = _without(lines, hard).unionByName(whole)
+            more, _ = _survey(lines)
+        fields, pieces = sorted({*fields, *more}), _without(pieces, odd).unionByName(lines)
     return pieces.filter(F.col("record").isNotNull()).select("path", "record"), fields
 
 
+def _without(pieces: DataFrame, paths: list[str]) -> DataFrame:
+    return pieces.join(pieces.sparkSession.createDataFrame([(x,) for x in paths], "path string"), "path", "left_anti")
+
+
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
     """(path, piece) of what is no record in landed files, read whole if need be; an empty piece stands for an element of an array."""
     _, odd = _survey(_pieces(spark, path))
-    if not odd:
+    hard = _survey(_lines(spark, odd))[1] if odd else []
+    if not hard:
         return spark.createDataFrame([], "path string, piece string")
-    return _whole(spark, odd).filter(F.col("record").isNull()).select("path", "piece")
+    return _whole(spark, hard).filter(F.col("record").isNull()).select("path", "piece")
 
 
 def all_fields(names: list[str]) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from statlake.sources.landing import PIECE_EDGES, RECORD, all_fields, spread
+from statlake.sources.landing import RECORD, all_fields, spread, stripped
 
 register_pickle_by_value(sys.modules[__name__])         # the state update travels with its jobs
 
@@ -79,7 +79,7 @@ def stream_landing(spark: SparkSession, landing: str, out: str, checkpoint: str,
     that are no records are stored as well, see ``stored_failures``.
     """
     source = spark.readStream.option("maxFilesPerTrigger", files_per_batch).format("text").option("lineSep", "}").load(landing)
-    piece = F.regexp_replace("value", PIECE_EDGES, "")
+    piece = stripped("value")
     text = F.concat(piece, F.lit("}"))
     landed = source.select(F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("path"), text.alias("text"),
                            F.from_json(text, RECORD).alias("record")).filter(F.col("text") != "}")

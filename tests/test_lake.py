@@ -271,3 +271,17 @@ def test_codes_with_leading_zeros_stay_text_and_names_do_not_meet(spark):
     assert schema["$"] == ("value", "DOUBLE") and schema["value"] == ("value_2", "INT") and schema["備考"] == ("備考", "BOOLEAN")
     values = spark.createDataFrame([(v,) for v in ("0", "-0", "00", "007", "-07", "10", "0.5")], "v string")
     assert [r[0] for r in values.select(I.value_class(F.col("v"))).collect()] == ["INT", "INT", "STRING", "STRING", "STRING", "INT", "DOUBLE"]
+
+
+def test_records_with_braces_read_by_lines(spark, tmp_path):
+    """Braces in texts and nested values, one record or more a line: nothing is read whole. Files with line breaks in such records still are."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[\n {"@id": "1", "n": "a { brace } {}"},\n {"@id": "2"}, {"@id": "3", "n": {"b": "}"}}\n]\n', encoding="utf-8")
+    (tmp_path / "in" / "b.json").write_text('{"@id": "4",\n "n": "}{"}\n{"@id": "5"}\n', encoding="utf-8")
+    (tmp_path / "in" / "c.json").write_text('{\n  "@id" : "6",\n  "$" : "x"\n}', encoding="utf-8")
+    _, odd = L._survey(L._pieces(spark, f"{tmp_path}/in"))
+    _, hard = L._survey(L._lines(spark, odd))
+    assert [p[-6:] for p in odd] == ["a.json", "b.json"] and [p[-6:] for p in hard] == ["b.json"]
+    got = sorted((r["attr_id"], r["n"], r["value"]) for r in L.read_raw(spark, f"{tmp_path}/in").select("attr_id", "n", "value").collect())
+    assert got == [("1", "a { brace } {}", None), ("2", None, None), ("3", '{"b":"}"}', None), ("4", "}{", None), ("5", None, None), ("6", None, "x")]
+    assert L.read_failures(spark, f"{tmp_path}/in").count() == 0
