@@ -34,13 +34,14 @@ register_pickle_by_value(sys.modules[__name__])         # fingerprints travel wi
 BUCKETS, PARTS = 64, 64
 LONG, PRINT = 24, 12                # characters of a long word, and of what is hashed in it
 BLOCK_BITS = 12                     # rows of a posting: at most 2^12
+PIECE = 1 << 20                     # n-grams or fingerprints folded and handed on at once
 RAREST = 3                          # n-grams of a word that are intersected
 CATALOG_FIELDS = ["title", "description", "keywords", "column_names", "tags"]
 _CUT = "\0"                         # between texts; no n-gram spans two of them
 
 
 def grams(text: Column) -> Column:
-    """Distinct n-grams of a lower-case text: three characters, or two if one is beyond ASCII."""
+    """Distinct n-grams of a lower-case text: three characters, or two if one is beyond ASCII. ``_postings`` makes the same."""
     three = F.filter(char_ngrams(text, (3,)), lambda g: ~g.contains(_CUT))
     two = F.filter(char_ngrams(text, (2,)), lambda g: g.rlike(r"[^\x00-\x7F]") & ~g.contains(_CUT))
     return F.array_distinct(F.concat(three, two))
@@ -76,16 +77,60 @@ def _prints_of(text: str) -> np.ndarray:
     for i in range(PRINT):
         h = (h ^ points[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    least = np.lib.stride_tricks.sliding_window_view(h, LONG - PRINT + 1).min(axis=1)
-    return np.unique(least).view(np.int64)
+    width, wanted = 1, LONG - PRINT + 1                  # least of ever wider windows
+    while 2 * width <= wanted:
+        h, width = np.minimum(h[:-width], h[width:]), 2 * width
+    rest = wanted - width
+    return np.unique(np.minimum(h[:-rest], h[rest:]) if rest else h).view(np.int64)
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, text in zip(batch.column(0), batch.column(1)):
-            found = _prints_of(text.as_py() or "")
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.repeat(key, len(found)), pa.array(found)], names=[batch.schema.names[0], "print"])
+        for rows, found in _in_pieces(batch, _prints_of):
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(found)], names=[batch.schema.names[0], "print"])
+
+
+def _in_pieces(batch: pa.RecordBatch, of_text) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place in the batch, number) of the numbers that each text gives, in pieces of about ``PIECE``; a text is never cut."""
+    places, found, held, last = [], [], 0, batch.num_rows - 1
+    for i in range(batch.num_rows):
+        own = of_text(batch.column(1)[i].as_py() or "")
+        places.append(np.full(len(own), i))
+        found.append(own)
+        held += len(own)
+        if held >= PIECE or (held and i == last):
+            yield np.concatenate(places), np.concatenate(found)
+            places, found, held = [], [], 0
+
+
+def _grams_of(text: str) -> np.ndarray:
+    """The n-grams of ``grams`` as numbers: 21 bits a character, so that n-grams of two are the small ones."""
+    p = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    cut = p == ord(_CUT)
+    first, second, third = p[:-2], p[1:-1], p[2:]
+    three = ((first << 42) | (second << 21) | third)[~(cut[:-2] | cut[1:-1] | cut[2:])] if len(p) > 2 else p[:0]
+    two = ((p[:-1] << 21) | p[1:])[~(cut[:-1] | cut[1:]) & ((p[:-1] > 127) | (p[1:] > 127))]
+    return np.unique(np.concatenate([two, three]))
+
+
+def _gram_texts(codes: np.ndarray) -> list[str]:
+    points = np.stack([codes >> 42, (codes >> 21) & 0x1FFFFF, codes & 0x1FFFFF], axis=1).astype("<u4")
+    text = points.tobytes().decode("utf-32-le")
+    return [text[i:i + 3].lstrip(_CUT) for i in range(0, len(text), 3)]
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, block, rows): the rows of a piece folded by n-gram and block."""
+    for batch in batches:
+        numbers = batch.column(0).to_numpy()
+        for places, codes in _in_pieces(batch, _grams_of):
+            rows = numbers[places]
+            order = np.lexsort((rows, codes))
+            rows, codes = rows[order], codes[order]
+            block = rows >> BLOCK_BITS
+            start = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])]))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(rows)).astype(np.int32)), pa.array(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(_gram_texts(codes[start])), pa.array(block[start]), lists], names=["gram", "block", "rows"])
 
 
 def _print_bucket() -> Column:
@@ -97,8 +142,8 @@ def build(entries: DataFrame, fields: list[str], path: str) -> None:
     rows = materialise(entries.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     write_typed(rows.withColumn("part", _part(F.col("_row"))), f"{path}/entries", ["part"])
     text = F.array_join(F.array_compact(F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in _texts(rows, fields)]))), _CUT)
-    each = rows.select("_row", text.alias("t")).select("_row", F.explode(grams(F.col("t"))).alias("gram"))
-    blocks = each.groupBy("gram", F.shiftright("_row", BLOCK_BITS).alias("block")).agg(F.array_sort(F.collect_list("_row")).alias("rows"))
+    each = rows.select("_row", text.alias("t")).mapInArrow(_postings, "gram string, block long, rows array<long>")
+    blocks = each.groupBy("gram", "block").agg(F.sort_array(F.flatten(F.collect_list("rows"))).alias("rows"))
     postings = blocks.select("gram", "rows", F.size("rows").alias("n"), _bucket(F.col("gram")).alias("bucket"))
     write_typed(postings, f"{path}/postings", ["bucket"])
     held = rows.sparkSession.read.parquet(f"{path}/postings")

@@ -75,3 +75,15 @@ def test_indexed_search_ranks_like_the_scan(spark, sf, tmp_path):
     got = SUB.search(spark, str(tmp_path / "i"), spark.createDataFrame(list(enumerate(queries)), "query_id int, query string"), 7, min_records=100)
     want = S.search(catalog, queries, 7, min_records=100)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_posted_grams_are_those_of_the_column(spark):
+    """N-grams and rows stored by the build against the column function; short, empty, cut and null texts, characters beyond the basic plane."""
+    texts = ["", None, "a", "ab", "日", "日本", "abc", "ab日", "a\0bcd", "統計\0データ", "x𠀋y\nz", "\0", "aaaa aaaa"] + ["lorem ipsum %d 調査" % (i % 7) for i in range(300)]
+    df = spark.createDataFrame([(i * 37, t) for i, t in enumerate(texts)], "_row long, t string").repartition(2)
+    got = df.mapInArrow(SUB._postings, "gram string, block long, rows array<long>").collect()
+    want = df.select("_row", F.explode(SUB.grams(F.col("t"))).alias("gram")).collect()
+    pairs = sorted((r["gram"], x) for r in got for x in r["rows"])
+    assert pairs == sorted((r["gram"], r["_row"]) for r in want)
+    assert all(x >> SUB.BLOCK_BITS == r["block"] for r in got for x in r["rows"])
+    assert len(got) < len(pairs) / 2                       # folded before they are shuffled
