@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from statlake.operators.ranking import range_blocks
 from statlake.session import materialise
 from statlake.sources.sinks import read_if_there, write_typed
 
@@ -24,17 +23,22 @@ def _pairs(rows: DataFrame, columns: list[str], *keep) -> DataFrame:
 
 def extend_dictionary(rows: DataFrame, columns: list[str], path: str) -> DataFrame:
     """Number the codes that are new, after those that have a number; returns the whole dictionary."""
-    spark = rows.sparkSession
+    return _extend(_pairs(rows, columns), path)
+
+
+def _extend(pairs: DataFrame, path: str) -> DataFrame:
+    spark = pairs.sparkSession
     schema = spark.createDataFrame([], _DICTIONARY).schema
     known = read_if_there(spark, path, schema)
-    new = _pairs(rows, columns).distinct().join(known.select("column", "code"), ["column", "code"], "left_anti")
-    cut = range_blocks(new, ["column", "code"])                       # numbers run through blocks, so no task orders all codes
-    sizes = cut.groupBy("column", "_block").agg(F.count("*").alias("n"))
+    new = pairs.select("column", "code").distinct().join(known.select("column", "code"), ["column", "code"], "left_anti")
+    # Numbers run through blocks, so no task orders all codes; rows are written with their place in the block.
+    cut = materialise(materialise(new, "unnumbered").repartitionByRange("column", "code").sortWithinPartitions("column", "code")
+                      .withColumn("_block", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()), "range-blocks")
+    sizes = cut.groupBy("column", "_block").agg(F.count("*").alias("n"), F.min("_place").alias("first"))
     before = F.sum("n").over(Window.partitionBy("column").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     top = known.groupBy("column").agg(F.max("nr").alias("top"))
-    starts = sizes.join(top, "column", "left").select("column", "_block", (F.coalesce(before, F.lit(0)) + F.coalesce("top", F.lit(0))).alias("start"))
-    local = F.row_number().over(Window.partitionBy("_block", "column").orderBy("code"))
-    numbered = cut.withColumn("local", local).join(starts, ["column", "_block"]).select("column", "code", (F.col("start") + F.col("local")).cast("bigint").alias("nr"))
+    starts = sizes.join(top, "column", "left").select("column", "_block", (F.coalesce(before, F.lit(0)) + F.coalesce("top", F.lit(0)) - F.col("first") + 1).alias("start"))
+    numbered = cut.join(starts, ["column", "_block"]).select("column", "code", (F.col("start") + F.col("_place")).cast("bigint").alias("nr"))
     materialise(numbered, "new-codes").write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
@@ -42,8 +46,8 @@ def extend_dictionary(rows: DataFrame, columns: list[str], path: str) -> DataFra
 def append(rows: DataFrame, columns: list[str], group: str, load: str, path: str) -> None:
     """Add a load's bitmaps, one per value of ``group``, column and range of 32768 numbers."""
     spark = rows.sparkSession
-    numbers = extend_dictionary(rows, columns, f"{path}/dictionary")
-    own = _pairs(rows, columns, F.col(group).cast("string").alias("group")).distinct()
+    own = materialise(_pairs(rows, columns, F.col(group).cast("string").alias("group")).distinct(), "load-codes")
+    numbers = _extend(own, f"{path}/dictionary")
     numbered = own.join(numbers, ["column", "code"])
     bits = numbered.groupBy("group", "column", F.bitmap_bucket_number("nr").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("nr")).alias("bits"))
     write_typed(bits.select(F.lit(load).alias("load"), "group", "column", "bucket", "bits"), f"{path}/bitmaps", ["load"], mode="append")

@@ -8,7 +8,7 @@ from statlake.operators import analytics as A, bitmaps as B
 from statlake.plans import views as V
 from statlake.plans.mapping_queries import domain_rows
 from statlake.plans.registered import query
-from statlake.session import scratch_path
+from statlake.session import materialise, scratch_path
 
 Y = 1996      # first year of the reports below
 
@@ -26,7 +26,7 @@ def basic(spark, sf):
 
 def bitmapped(spark, sf):
     """Bitmaps of two loads: years up to 1996, and all later ones."""
-    path, rows = scratch_path(spark, "bitmaps"), domain_rows(spark, sf, "generic")
+    path, rows = scratch_path(spark, "bitmaps"), materialise(domain_rows(spark, sf, "generic"), "mapped")
     for load, part in (("first", F.col("year") <= 1996), ("second", F.col("year") > 1996)):
         B.append(rows.filter(part), ["dataset_id", "region_code", "category", "stats_data_id"], "year", load, path)
     return path
