@@ -11,7 +11,7 @@ from statlake.plans.analytics_queries import grained
 from statlake.plans.mapping_queries import CANDIDATE_SQL, SELECTION_SQL, domain_rows
 from statlake.plans.registered import query
 from statlake.schemas import DOMAINS, get_schema
-from statlake.session import scratch_path
+from statlake.session import materialise, scratch_path
 from statlake.sources import sinks as W
 
 KEYS = ["dataset_id", "attr_area", "attr_time", "attr_cat01"]
@@ -173,7 +173,7 @@ def full_check(spark, sf):
 
 def profiled(spark, sf):
     """Profiles of three loads of generic rows: the early years, the later ones without an area, the rest."""
-    path, rows = scratch_path(spark, "profile"), domain_rows(spark, sf, "generic")
+    path, rows = scratch_path(spark, "profile"), materialise(domain_rows(spark, sf, "generic"), "mapped")
     early, plain = F.col("year") <= 1995, F.col("region_code") == ""
     for load, part in (("first", early), ("second", ~early & plain), ("third", ~early & ~plain)):
         PR.append(rows.filter(part), load, path)
