@@ -12,22 +12,26 @@ from statlake import rules
 from statlake.functions import scalars as S
 from statlake.functions.safe import digits_to_int
 from statlake.operators.ranking import top_per_group
+from statlake.session import together
 
 COLUMNS = ["dataset_id", "position", "name", "type", "nullable", "source_field", "description", "is_partition"]
 INT_MAX = 2147483647
 
 
-def field_values(raw: DataFrame) -> DataFrame:
-    """(dataset_id, field, v): the distinct non-null values of all records, folded before they are shuffled.
+def field_values(raw: DataFrame, repeated: bool = False) -> DataFrame:
+    """(dataset_id, field, v): the distinct non-null values of all records, folded where the rows of a dataset lie together.
 
-    Records come as columns, or as a ``record`` map with whatever fields they have.
+    Records come as columns, or as a ``record`` map with whatever fields they have. Values may
+    stay ``repeated`` where only types are wanted: these are the same, and no value is shuffled by itself.
     """
+    raw = together(raw, "dataset_id")
     if "record" in raw.columns:
         pairs = F.transform(F.map_entries("record"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("v")))
     else:
         attrs = [c for c in raw.columns if c.startswith("attr_") or c == "value"]
         pairs = F.array(*[F.struct(F.lit("$" if c == "value" else "@" + c[5:]).alias("field"), F.col(c).alias("v")) for c in attrs])
-    return raw.select("dataset_id", F.explode(pairs).alias("p")).select("dataset_id", "p.*").filter(F.col("v").isNotNull()).distinct()
+    values = raw.select("dataset_id", F.explode(pairs).alias("p")).select("dataset_id", "p.*").filter(F.col("v").isNotNull())
+    return values if repeated else values.distinct()
 
 
 def is_code(text: Column) -> Column:
@@ -119,13 +123,14 @@ def schema_from_metadata(items: DataFrame, area_as_text: bool = True) -> DataFra
     candidate = (F.col("dim_id") == "time") | ((F.col("dim_id") == "area") & F.col("items").between(10, 1000))
     w = Window.partitionBy("dataset_id").orderBy("dim_pos")
     dims = dims.withColumn("_c", candidate).withColumn("_k", F.sum(F.col("_c").cast("int")).over(w)).withColumn("position", F.row_number().over(w) + 2)
-    cols = dims.select("dataset_id", "position", S.normalize_dimension(F.col("dim_id")).alias("name"), kind.alias("type"), F.lit(True).alias("nullable"),
+    dims = dims.withColumn("_last", F.lead("position").over(w).isNull())
+    cols = dims.select("dataset_id", "_last", "position", S.normalize_dimension(F.col("dim_id")).alias("name"), kind.alias("type"), F.lit(True).alias("nullable"),
                        F.concat(F.lit("@"), "dim_id").alias("source_field"), F.col("dim_name").alias("description"),
                        (F.col("_c") & (F.col("_k") <= 2)).alias("is_partition"))
-    value = dims.groupBy("dataset_id").agg((F.max("position") + 1).alias("position")).select(
-        "dataset_id", "position", F.lit("value").alias("name"), F.lit("DOUBLE").alias("type"), F.lit(True).alias("nullable"),
-        F.lit("$").alias("source_field"), F.lit("統計値").alias("description"), F.lit(False).alias("is_partition"))
-    return with_leading(cols.unionByName(value))
+    value = F.struct((F.col("position") + 1).alias("position"), F.lit("value").alias("name"), F.lit("DOUBLE").alias("type"), F.lit(True).alias("nullable"),
+                     F.lit("$").alias("source_field"), F.lit("統計値").alias("description"), F.lit(False).alias("is_partition"))
+    own = F.struct(*COLUMNS[1:])                 # the last dimension brings the value along, so items are read once
+    return with_leading(cols.select("dataset_id", F.inline(F.when(F.col("_last"), F.array(own, value)).otherwise(F.array(own)))))
 
 
 def preferred_schema(from_metadata: DataFrame, from_data: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from statlake.functions import scalars as S, text as X
 from statlake.operators import catalog as C, infer as I, mapping as M, quality as Q, registry as G
-from statlake.session import materialise, scratch_path
+from statlake.session import materialise, scratch_path, together
 from statlake.sources import landing as L, sinks as W
 
+MOST_LISTED = 1000                      # datasets of a batch that are named in a filter
 
 
 def open_work(registry: DataFrame) -> DataFrame:
@@ -68,7 +69,8 @@ def stage_rows(mapped: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """
     spark, run = mapped.sparkSession, f"{time.time_ns():020d}"
     schema = T.StructType([*mapped.schema.fields, T.StructField("run", T.StringType())])
-    mapped.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(f"{path}/rows")
+    near = together(mapped, "dataset_id")             # so that a dataset's sums are made in the task that reads its rows
+    near.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(f"{path}/rows")
     rows = spark.read.schema(schema).parquet(f"{path}/rows")
     own = rows.filter(F.col("run") == run).groupBy("dataset_id").agg(F.lit(run).alias("run"), *gate_counts(), content_sum(mapped.columns).alias("content"))
     own.write.mode("append").parquet(f"{path}/summaries")
@@ -172,6 +174,7 @@ def build_catalog(info: DataFrame, items: DataFrame, stats: DataFrame, search_ke
     ``info`` comes from landed metadata (one row per dataset), ``stats`` holds
     dataset_id, record_count, time_range_start, time_range_end.
     """
+    items = materialise(items, "items")              # parsed once for all that is made of them
     dims = I.dimension_summary(items).groupBy("dataset_id").agg(
         F.array_sort(F.collect_list(F.struct("dim_pos", "dim_id", "dim_name", "item_count"))).alias("dimensions"))
     j = info.join(dims, "dataset_id", "left").join(I.search_summary(items), "dataset_id", "left").join(stats, "dataset_id", "left")
@@ -202,7 +205,8 @@ def run_selected(batch: DataFrame, raw: DataFrame, registry: DataFrame, path: st
 def run_batch(listing: DataFrame, raw: DataFrame, registry: DataFrame, path: str, n: int, threshold: float = 0.1, at: Column | None = None,
               stage_path: str | None = None, **wanted) -> tuple[DataFrame, DataFrame]:
     """Next datasets of the listing through ``ingest``; returns results and the stored registry after the batch."""
-    return run_selected(C.work_batch(listing, n, key="dataset_id", **wanted), raw, registry, path, threshold, now() if at is None else at, stage_path)
+    batch = materialise(C.work_batch(listing, n, key="dataset_id", **wanted).select("dataset_id"), "batch")
+    return run_selected(batch, of_batch(raw, batch, n), registry, path, threshold, now() if at is None else at, stage_path)
 
 
 def priority_batch(registry: DataFrame, n: int = 5, threshold: int = 0) -> DataFrame:
@@ -215,7 +219,14 @@ def run_priority_batch(raw: DataFrame, registry: DataFrame, path: str, n: int =
                        at: Column | None = None, stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Next pending datasets by priority through ``ingest``; returns results and the stored registry."""
     batch = materialise(priority_batch(registry, n, priority).select("dataset_id"), "batch")
-    return run_selected(batch, raw, registry, path, threshold, now() if at is None else at, stage_path)
+    return run_selected(batch, of_batch(raw, batch, n), registry, path, threshold, now() if at is None else at, stage_path)
+
+
+def of_batch(raw: DataFrame, batch: DataFrame, n: int) -> DataFrame:
+    """Raw rows of a batch of at most ``n`` datasets. Ids of a small batch become a filter, which reaches the files and comes before joins."""
+    if n > MOST_LISTED:
+        return raw
+    return raw.filter(F.col("dataset_id").isin([r[0] for r in batch.select("dataset_id").collect()]))        # at most MOST_LISTED ids
 
 
 def now() -> Column:

@@ -35,7 +35,7 @@ _VALUES = """fv AS (SELECT DISTINCT dataset_id, f.field, f.v FROM raw_obs, LATER
 
 @query("i02_type_vote", "raw_obs", f"WITH {_VALUES} SELECT dataset_id, field, type FROM ty")
 def type_vote(spark, sf):
-    return I.voted_types(I.field_values(V.raw_obs(spark, sf).drop("_none")))
+    return I.voted_types(I.field_values(V.raw_obs(spark, sf), repeated=True))
 
 
 def data_schema(spark, sf):
@@ -86,10 +86,10 @@ def metadata_docs(spark, sf):
     """One metadata envelope (JSON text) per dataset, in the landed form: a dimension with one item is a lone object."""
     it = V.dim_items(V.raw_obs(spark, sf), V.area_labels(spark, sf))
     one = F.struct(F.col("code").alias("@code"), F.col("name").alias("@name"), F.col("unit").alias("@unit"), F.col("level").alias("@level"))
-    dim = it.groupBy("dataset_id", "dim_pos", "dim_id", "dim_name").agg(F.array_sort(F.collect_list(one)).alias("c"))
+    dim = it.groupBy("dataset_id", "dim_pos", "dim_id", "dim_name").agg(F.sort_array(F.collect_list(one)).alias("c"))
     text = F.concat(F.lit('{"@id":"'), "dim_id", F.lit('","@name":"'), "dim_name", F.lit('","CLASS":'),
                     F.when(F.size("c") == 1, F.to_json(F.get("c", F.lit(0)))).otherwise(F.to_json("c")), F.lit("}"))
-    docs = dim.select("dataset_id", F.struct("dim_pos", text.alias("t")).alias("d")).groupBy("dataset_id").agg(F.array_sort(F.collect_list("d")).alias("d"))
+    docs = dim.select("dataset_id", F.struct("dim_pos", text.alias("t")).alias("d")).groupBy("dataset_id").agg(F.sort_array(F.collect_list("d")).alias("d"))
     objects = F.concat_ws(",", F.transform("d", lambda x: x["t"]))
     return docs.select("dataset_id", F.concat(
         F.lit('{"GET_META_INFO":{"METADATA_INF":{"TABLE_INF":{"@id":"'), "dataset_id", F.lit('","TITLE":{"$":"労働力調査 '), "dataset_id",
@@ -132,7 +132,7 @@ def search_summary(spark, sf):
   array_to_string(list_sort([s.dataset_id, '労働力調査', '総務省', '基本集計', '表章項目', '分類1', '分類2', '指標', '品目', '数量区分', '地域', '時間軸（年）']), '|') AS keywords, 8 AS dimensions, start_year, end_year, record_count, a AS time_range_start, b AS time_range_end
  FROM s JOIN y USING (dataset_id)""")
 def rich_catalog(spark, sf):
-    docs = metadata_docs(spark, sf)
+    docs = materialise(metadata_docs(spark, sf), "metadata")
     stats = V.raw_obs(spark, sf).groupBy("dataset_id").agg(F.count("*").alias("record_count"), F.min("attr_time").alias("time_range_start"), F.max("attr_time").alias("time_range_end"))
     out = J.build_catalog(I.table_info(docs), I.dimension_items(docs), stats)
     return out.select("dataset_id", "table_name", "title", "domain", F.concat_ws("|", "keywords").alias("keywords"), F.size("dimensions").alias("dimensions"),
@@ -140,7 +140,10 @@ def rich_catalog(spark, sf):
 
 
 def _detail(name, sql, run):
-    query(name, "dim_items", f"WITH {_SUMMARY} {sql}")(lambda spark, sf: run(I.search_summary(items(spark, sf)), items(spark, sf)))
+    def detail(spark, sf):
+        stored = materialise(items(spark, sf), "items")          # summary and items are both read, the summary several times
+        return run(I.search_summary(stored), stored)
+    query(name, "dim_items", f"WITH {_SUMMARY} {sql}")(detail)
 
 
 _detail("k29_by_place", "SELECT DISTINCT dataset_id FROM dim_items WHERE dim_id = 'area' AND contains(name, '_1')", lambda s, i: SE.by_place(s, i, "_1"))
@@ -265,6 +268,7 @@ def retrieval_plan(spark, sf):
 def chunked(spark, sf):
     """Rows with a chunk number, and the chunk table: every seventh chunk of a dataset failed."""
     raw = raw_columns(spark, sf).withColumn("chunk_num", F.pmod(F.length("attr_id") + F.substring("attr_id", -1, 1).cast("int"), F.lit(5)))
+    raw = materialise(raw, "chunk-rows")                     # landed chunks are files: totals, audit and merge read them
     counts = raw.groupBy("dataset_id").agg(F.count("*").alias("n"))
     d = F.substring("dataset_id", 3, 9).cast("int")
     chunks = counts.select("dataset_id", (F.col("n") + F.when(d % 5 == 0, 1).otherwise(0)).alias("total"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("chunk_num"))
@@ -583,13 +587,14 @@ def stream_versions(spark, sf):
     return U.stored_versions(spark, out).groupBy("version").agg(F.count("*").alias("records"))
 
 
-def landed_registry(spark, sf):
-    """Registry of the landed datasets: domain by number, every fourth one loaded already."""
+def landed_registry(spark, sf, raw=None):
+    """Registry of the landed datasets, stored as registries are: domain by number, every fourth one loaded already."""
     d = F.substring("dataset_id", 3, 9).cast("int")
-    ids = V.raw_obs(spark, sf).select("dataset_id").distinct()
+    ids = (V.raw_obs(spark, sf) if raw is None else raw).select("dataset_id").distinct()
     stamp = F.when(d % 4 == 0, "2001-01-01T00:00:00")
-    return ids.select("dataset_id", V.pick(d % 3, ["labor", "trade", "generic"]).alias("domain"), F.when(d % 4 == 0, "completed").otherwise("pending").alias("status"),
+    rows = ids.select("dataset_id", V.pick(d % 3, ["labor", "trade", "generic"]).alias("domain"), F.when(d % 4 == 0, "completed").otherwise("pending").alias("status"),
                       (d % 10 + 1).alias("priority"), d.alias("seq"), stamp.alias("fetch_date"), stamp.alias("transformation_date"), stamp.alias("validation_date"), stamp.alias("load_date"))
+    return materialise(rows, "registry")
 
 
 _LANDED = """CASE CAST(dataset_id[3:] AS INT) % 3 WHEN 0 THEN 'labor' WHEN 1 THEN 'trade' ELSE 'generic' END"""
@@ -611,7 +616,8 @@ _BLANK = "count(*) FILTER (region_code = '') / count(*) <= 0.05"
 def ingest_resumed(spark, sf):
     """Registry and stored rows after three runs: one, the same again as after a crash, and one on the stamped registry."""
     path, staged = scratch_path(spark, "lake"), scratch_path(spark, "stage")
-    raw, before = V.raw_obs(spark, sf), landed_registry(spark, sf)
+    raw = materialise(V.raw_obs(spark, sf), "landed")
+    before = landed_registry(spark, sf, raw)
     J.ingest(raw, before, path, 0.05, staged)
     first, after = J.run_selected(before, raw, before, path, 0.05, F.lit(_AT), staged)
     second, last = J.run_selected(after, raw, after, path, 0.05, F.lit("2003-03-03T00:00:00"), staged)

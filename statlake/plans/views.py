@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from statlake.functions.timecode import computed_once
+from statlake.session import together
 
 # Titles by document number; the given texts are Latin, so rules on Japanese
 # words need titles of their own.
@@ -317,10 +318,11 @@ DIMENSIONS = [("tab", "表章項目"), ("cat01", "分類1"), ("cat02", "分類2"
 
 def dim_items(raw: DataFrame, labels: DataFrame) -> DataFrame:
     """Dimension items of every dataset: what its observations hold, one row per code."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("dim_pos"), F.lit(d).alias("dim_id"), F.lit(n).alias("dim_name"),
-                               F.col(f"attr_{d}").alias("code")) for i, (d, n) in enumerate(DIMENSIONS)])
-    codes = (raw.select("dataset_id", F.explode(pairs).alias("p")).select("dataset_id", "p.*")
-             .filter(F.col("code").isNotNull()).distinct())
+    fields = [f"attr_{d}" for d, _ in DIMENSIONS]
+    near = together(raw.select("dataset_id", *fields), "dataset_id")
+    codes = (near.select("dataset_id", F.posexplode(F.array(*fields)).alias("dim_pos", "code")).filter(F.col("code").isNotNull()).distinct()
+             .select("dataset_id", "dim_pos", pick(F.col("dim_pos"), [d for d, _ in DIMENSIONS]).alias("dim_id"),
+                     pick(F.col("dim_pos"), [n for _, n in DIMENSIONS]).alias("dim_name"), "code"))
     area = labels.select(F.lit("area").alias("dim_id"), "code", "label")
     return (codes.join(area, ["dim_id", "code"], "left")
             .select("dataset_id", "dim_pos", "dim_id", "dim_name", "code",
