@@ -12,19 +12,22 @@ from statlake import rules
 from statlake.functions import scalars as S
 from statlake.functions.safe import digits_to_int
 from statlake.operators.ranking import top_per_group
-from statlake.session import together
+from statlake.session import materialise, together
 
 COLUMNS = ["dataset_id", "position", "name", "type", "nullable", "source_field", "description", "is_partition"]
 INT_MAX = 2147483647
+PARTITION_FIELDS = 2
 
 
 def field_values(raw: DataFrame, repeated: bool = False) -> DataFrame:
-    """(dataset_id, field, v): the distinct non-null values of all records, folded where the rows of a dataset lie together.
+    """(dataset_id, field, v): the distinct non-null values of all records.
 
     Records come as columns, or as a ``record`` map with whatever fields they have. Values may
-    stay ``repeated`` where only types are wanted: these are the same, and no value is shuffled by itself.
+    stay ``repeated`` where only types are wanted: these are the same, the rows of a dataset meet once
+    and no value is shuffled by itself.
     """
-    raw = together(raw, "dataset_id")
+    if repeated:
+        raw = together(raw, "dataset_id")
     if "record" in raw.columns:
         pairs = F.transform(F.map_entries("record"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("v")))
     else:
@@ -83,17 +86,20 @@ def with_leading(columns: DataFrame) -> DataFrame:
 def schema_from_data(raw: DataFrame, area_as_text: bool = True) -> DataFrame:
     """One column per field, typed over all values. Area codes are text unless ``area_as_text`` is off.
 
-    Fields whose names fall together are numbered from the second on.
+    Fields whose names fall together are numbered from the second on. Distinct values are counted
+    for datasets whose time and area fields do not make both partition columns; for others the
+    numbers decide nothing.
     """
-    cols = field_types(field_values(raw))
+    cols = voted_types(field_values(raw, repeated=True))
     by_field = Window.partitionBy("dataset_id").orderBy("field")
     name = F.when(F.col("field") == "$", "value").otherwise(S.normalize_field(F.col("field")))
     cols = cols.withColumn("_name", F.when(name == "", "column").otherwise(name)).withColumn("position", F.row_number().over(by_field) + 2)
     same = F.row_number().over(Window.partitionBy("dataset_id", "_name").orderBy(F.col("field") != "$", "field"))
     same = same + F.col("_name").isin(*[n for _, n, _ in _LEADING]).cast("int")
     cols = cols.withColumn("_same", same).withColumn("name", F.when(F.col("_same") > 1, F.concat_ws("_", "_name", "_same")).otherwise(F.col("_name")))
-    rank = (F.when(F.col("name").isin("year", "time", "date"), 1).when(F.col("name").isin("area", "region_code", "prefecture"), 2)
-            .when(F.col("distinct").between(10, 1000), 3))
+    named = F.when(F.col("name").isin("year", "time", "date"), 1).when(F.col("name").isin("area", "region_code", "prefecture"), 2)
+    cols = _with_distinct(materialise(cols.withColumn("_named", named), "named-columns"), raw)
+    rank = F.coalesce("_named", F.when(F.col("distinct").between(10, 1000), 3))
     chosen = F.row_number().over(Window.partitionBy("dataset_id").orderBy(F.asc_nulls_last("_rank"), "position"))
     cols = cols.withColumn("_rank", rank).withColumn("_order", chosen)
     kind = F.when(F.col("field") == "$", "DOUBLE")
@@ -102,7 +108,17 @@ def schema_from_data(raw: DataFrame, area_as_text: bool = True) -> DataFrame:
     return with_leading(cols.select(
         "dataset_id", "position", "name", kind.otherwise(F.col("type")).alias("type"),
         F.lit(True).alias("nullable"), F.col("field").alias("source_field"), S.field_description(F.col("field")).alias("description"),
-        (F.col("_rank").isNotNull() & (F.col("_order") <= 2)).alias("is_partition")))
+        (F.col("_rank").isNotNull() & (F.col("_order") <= PARTITION_FIELDS)).alias("is_partition")))
+
+
+def _with_distinct(cols: DataFrame, raw: DataFrame) -> DataFrame:
+    """Add the distinct values of fields (``distinct``) in datasets with fewer than two ranked names (``_named``); null elsewhere."""
+    few = materialise(cols.groupBy(F.col("dataset_id").alias("_id")).agg(F.count("_named").alias("n")).filter(f"n < {PARTITION_FIELDS}").select("_id"), "unranked")
+    if few.isEmpty():
+        return cols.withColumn("distinct", F.lit(None).cast("long"))
+    own = raw.join(few, F.col("dataset_id").eqNullSafe(F.col("_id")), "left_semi")
+    counts = field_values(own).groupBy(F.col("dataset_id").alias("_id"), F.col("field").alias("_field")).agg(F.count("*").alias("distinct"))
+    return cols.join(counts, F.col("dataset_id").eqNullSafe(F.col("_id")) & (F.col("field") == F.col("_field")), "left").drop("_id", "_field")
 
 
 def schema_from_metadata(items: DataFrame, area_as_text: bool = True) -> DataFrame:

@@ -72,3 +72,19 @@ def test_schema_reads_items_once(spark, sf):
     assert "Union" not in plan(I.schema_from_metadata(items))
     last = I.schema_from_metadata(items).filter("name = 'value'")
     assert last.count() == items.select("dataset_id").distinct().count() and last.filter("position <> 11").isEmpty()
+
+
+def test_distinct_values_are_counted_where_they_decide(spark, monkeypatch):
+    """Partition columns by plain Python; datasets with time and area fields have no values counted."""
+    rows = [("full", str(i), "000%d" % (i % 3), str(2000 + i % 2), str(i % 40), str(i)) for i in range(80)]
+    rows += [("timed", str(i % 9), None, "2001", str(i % 40), str(i % 1001)) for i in range(1100)]
+    rows += [("bare", str(i % 10), None, None, str(i % 1001), str(i % 1000)) for i in range(1100)]
+    df = spark.createDataFrame(rows, "dataset_id string, attr_id string, attr_area string, attr_time string, attr_cat01 string, value string")
+    seen, real = [], I.field_values
+    monkeypatch.setattr(I, "field_values", lambda raw, repeated=False: (seen.append((repeated, {r[0] for r in raw.select("dataset_id").distinct().collect()})), real(raw, repeated))[1])
+    got = {(r["dataset_id"], r["name"]) for r in I.schema_from_data(df).collect() if r["is_partition"]}
+    assert got == {("full", "time"), ("full", "area"), ("timed", "time"), ("timed", "category_01"), ("bare", "id"), ("bare", "value")}
+    assert seen == [(True, {"full", "timed", "bare"}), (False, {"timed", "bare"})]
+    seen.clear()
+    I.schema_from_data(df.filter("dataset_id = 'full'")).collect()
+    assert [x for x, _ in seen] == [True]
