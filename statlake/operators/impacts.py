@@ -34,6 +34,9 @@ from statlake.sources.sinks import write_typed
 BANDS = 40
 PARTS = 64
 STATE = "segment int, documents long, low double, high double, key_type string"
+#: Rows of a side that every task gets; a larger one is shuffled. Not the planner's choice: files of repeated values are a
+#: hundredth of their rows' memory, so that it sends whole loads through the driver.
+MOST_SENT = 1 << 18
 #: Room for rounding when a bound is compared with a score of nine places.
 SLACK = 1e-8
 
@@ -66,10 +69,10 @@ def add(docs: DataFrame, key: str, text: Column, path: str, sizes=(2, 3)) -> int
     idf = F.log(F.lit(total + 1) / (F.col("df") + 1)) + 1
     (frequencies.withColumn("idf", idf).repartitionByRange("gram").sortWithinPartitions("gram")
      .write.mode("overwrite").parquet(f"{path}/totals/version={n}"))
-    totals = _totals(spark, path, n)
+    totals = _sent(_totals(spark, path, n).select("gram", "idf"))
 
-    lengths = counts.join(totals, "gram").groupBy("key").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("length"))
-    postings = counts.join(lengths, "key").select("gram", "key", (F.col("tf") / F.col("length")).alias("impact"))
+    length = F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).over(Window.partitionBy("key")))       # a document's n-grams
+    postings = counts.join(totals, "gram").select("gram", "key", (F.col("tf") / length).alias("impact"))
     band = F.greatest(F.lit(0), F.least(F.lit(BANDS - 1), F.floor(-2 * F.log2("impact")))).cast("int")
     # Ranges of (band, n-gram, key): a frequent n-gram is spread over tasks, a rare one is found by file statistics.
     (postings.withColumn("band", band).repartitionByRange("band", "gram", "key").sortWithinPartitions("band", "gram")
@@ -117,7 +120,7 @@ def search(spark: SparkSession, path: str, key: str, query: str, k: int = 10, si
     parts = [r[0] for r in left.select("part").distinct().collect()]                             # at most PARTS
     counts = spark.read.schema(f"key {kind}, gram string, tf long, segment int, part int").parquet(f"{path}/documents")
     counts = counts.filter((F.col("segment") <= version) & F.col("part").isin(parts))
-    counts = counts.join(left, ["segment", "part", "key"]).join(totals.select("gram", "idf"), "gram")
+    counts = counts.join(_sent(left), ["segment", "part", "key"]).join(_sent(totals.select("gram", "idf")), "gram")
     dot = F.sum(F.coalesce(_lookup(weight, "gram"), F.lit(0.0)) * F.col("tf"))
     score = F.round(dot / F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))), 9)
     best = counts.groupBy("segment", "key").agg(score.alias("score")).orderBy(F.desc("score"), "key", "segment").limit(k)
@@ -177,13 +180,18 @@ def _moved(spark: SparkSession, path: str, version: int) -> DataFrame:
     """By which factors the weights of earlier versions have changed: (version, low, high)."""
     earlier = spark.read.schema("gram string, df long, idf double, version int").parquet(f"{path}/totals").filter(F.col("version") < version).select("version", "gram", F.col("idf").alias("was"))
     factor = F.col("idf") / F.col("was")
-    return earlier.join(_totals(spark, path, version), "gram").groupBy("version").agg(F.min(factor).alias("low"), F.max(factor).alias("high"))
+    return earlier.join(_sent(_totals(spark, path, version).select("gram", "idf")), "gram").groupBy("version").agg(F.min(factor).alias("low"), F.max(factor).alias("high"))
 
 
 def _totals(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema("gram string, df long, idf double").parquet(f"{path}/totals/version={version}")
 
 
+def _sent(side: DataFrame) -> DataFrame:
+    """A side to join with, sent or shuffled by its rows."""
+    return side.hint("broadcast" if side.count() <= MOST_SENT else "merge")
+
+
 def _lookup(values: dict, column: str) -> Column:
     pairs = [F.lit(x) for kv in sorted(values.items()) for x in kv]
     return F.try_element_at(F.create_map(*pairs), F.col(column)) if pairs else F.lit(None).cast("double")

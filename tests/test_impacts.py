@@ -1,9 +1,10 @@
 """Ranked n-gram index against the scores of all documents."""
 
 import random
+import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from statlake.operators import impacts as I, tfidf as TF
 
@@ -86,3 +87,20 @@ def test_search_reads_strong_bands_only(spark, tmp_path, monkeypatch):
     assert [r["k"] for r in I.search(spark, path, "k", "労働力調査", 5).collect()] == ["s00", "s01", "s02", "s03", "s04"]
     listed, depth = depths[0]
     assert depth["労働"] < len(listed["労働"]) and sum(r for _, r, _ in listed["労働"][:depth["労働"]]) == 20
+
+
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_loads_are_not_sent_through_the_driver(spark, tmp_path, monkeypatch, most):
+    """Files of repeated n-grams are small, their rows are not: only the vocabulary and candidates are sent, and those by their rows."""
+    plans, real, path = [], DataFrameWriter.parquet, str(tmp_path / "i")
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen(self._df), real(self, *a, **k))[1])
+    monkeypatch.setattr(I, "MOST_SENT", most, raising=False)
+    docs = spark.range(400).select(F.format_string("d%04d", "id").alias("k"), F.concat(F.lit("労働力調査 "), F.repeat(F.lit("人口 "), (F.col("id") % 3).cast("int"))).alias("t"))
+    for part in (docs.filter("id < 300"), docs.filter("id >= 300")):
+        I.add(part, "k", F.col("t"), path)
+    hits = I.search(spark, path, "k", "労働力調査", 150)
+    seen(hits)
+    joins = [j for p in plans for j in re.findall(r"(?:Broadcast|Shuffled|SortMerge)\w*Join[^,]*", p)]
+    assert {re.sub(r"#\d+L?", "", j) for j in joins} == ({"BroadcastHashJoin [gram]", "BroadcastHashJoin [segment"} if most else {"SortMergeJoin [gram]", "SortMergeJoin [segment"})
+    same(hits.collect(), brute(docs, "労働力調査", 150).collect())
