@@ -10,6 +10,9 @@ that does not occur ends there. Words too short for an n-gram are tried on every
 Three characters of a long phrase stand in most texts. Words of ``LONG`` characters or more are found
 by a fourth table, ``prints`` (fingerprint, row): of every ``LONG`` characters of a text the least hash of the
 ``PRINT`` characters within. A text that holds a word holds the fingerprints of all its stretches of that length.
+
+Texts are tried where they lie, in one call with all their words, lower-cased once. A text with few words is searched for
+each of them; with ``MANY`` of a length it is walked once, and its stretches of that length are looked up among the words.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ from statlake.sources.sinks import write_typed
 register_pickle_by_value(sys.modules[__name__])         # fingerprints travel with their jobs
 
 BUCKETS, PARTS = 64, 64
-LONG, PRINT = 24, 12                # characters of a long word, and of what is hashed in it
+LONG, PRINT = 24, 16                # characters of a long word, and of what is hashed in it
+MANY = 128                          # words of one length tried on a text: from here on a walk costs less
 BLOCK_BITS = 12                     # rows of a posting: at most 2^12
 PIECE = 1 << 20                     # n-grams or fingerprints folded and handed on at once
 RAREST = 3                          # n-grams of a word that are intersected
@@ -67,21 +71,34 @@ def _texts(df: DataFrame, fields: list[str]) -> list[Column]:
     return [F.transform(f, F.lower) if isinstance(kinds[f], T.ArrayType) else F.array(F.lower(f)) for f in fields]
 
 
+def _all_texts(df: DataFrame, fields: list[str]) -> Column:
+    """Lower-case texts of a row in one array, nulls among them."""
+    return F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in _texts(df, fields)]))
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    return pa.array(numbers).unique().to_numpy()         # by hashing: a text repeats most of its numbers
+
+
 def _prints_of(text: str) -> np.ndarray:
     """Distinct least hashes of every ``LONG`` characters; equal stretches have equal ones, others may."""
-    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    if len(points) < LONG:
-        return np.empty(0, np.int64)
-    n = len(points) - PRINT + 1
-    h = np.zeros(n, np.uint64)
-    for i in range(PRINT):
-        h = (h ^ points[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+    h = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    if len(h) < LONG:
+        return np.empty(0, np.int32)
+    width = 1
+    while width < PRINT:                                 # hashes of ever longer stretches
+        step = min(width, PRINT - width)
+        h = h[:-step] * np.uint32(0x9E3779B1) + h[step:]
+        h ^= h >> np.uint32(15)
+        h *= np.uint32(0x85EBCA77)
+        h ^= h >> np.uint32(13)
+        width += step
     width, wanted = 1, LONG - PRINT + 1                  # least of ever wider windows
     while 2 * width <= wanted:
         h, width = np.minimum(h[:-width], h[width:]), 2 * width
     rest = wanted - width
-    return np.unique(np.minimum(h[:-rest], h[rest:]) if rest else h).view(np.int64)
+    h = np.minimum(h[:-rest], h[rest:]) if rest else h
+    return _distinct(h[np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))].view(np.int32))
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +127,7 @@ def _grams_of(text: str) -> np.ndarray:
     first, second, third = p[:-2], p[1:-1], p[2:]
     three = ((first << 42) | (second << 21) | third)[~(cut[:-2] | cut[1:-1] | cut[2:])] if len(p) > 2 else p[:0]
     two = ((p[:-1] << 21) | p[1:])[~(cut[:-1] | cut[1:]) & ((p[:-1] > 127) | (p[1:] > 127))]
-    return np.unique(np.concatenate([two, three]))
+    return _distinct(np.concatenate([two, three]))
 
 
 def _gram_texts(codes: np.ndarray) -> list[str]:
@@ -141,14 +158,14 @@ def build(entries: DataFrame, fields: list[str], path: str) -> None:
     """Store the rows and the postings of their text fields (strings or arrays of them)."""
     rows = materialise(entries.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     write_typed(rows.withColumn("part", _part(F.col("_row"))), f"{path}/entries", ["part"])
-    text = F.array_join(F.array_compact(F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in _texts(rows, fields)]))), _CUT)
+    text = F.array_join(F.array_compact(_all_texts(rows, fields)), _CUT)
     each = rows.select("_row", text.alias("t")).mapInArrow(_postings, "gram string, block long, rows array<long>")
     blocks = each.groupBy("gram", "block").agg(F.sort_array(F.flatten(F.collect_list("rows"))).alias("rows"))
     postings = blocks.select("gram", "rows", F.size("rows").alias("n"), _bucket(F.col("gram")).alias("bucket"))
     write_typed(postings, f"{path}/postings", ["bucket"])
     held = rows.sparkSession.read.parquet(f"{path}/postings")
     write_typed(held.groupBy("bucket", "gram").agg(F.sum("n").alias("n")), f"{path}/grams", ["bucket"])
-    prints = rows.select("_row", text.alias("t")).mapInArrow(_prints, "_row long, print long")
+    prints = rows.select("_row", text.alias("t")).mapInArrow(_prints, "_row long, print int")
     write_typed(prints.withColumn("bucket", _print_bucket()), f"{path}/prints", ["bucket"])
 
 
@@ -169,11 +186,11 @@ def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
 
 def long_candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
     """(word, _row, part) of rows that hold the fingerprints of a long word, ``RAREST`` of them at most."""
-    own = words.select("word", F.col("word").alias("t")).mapInArrow(_prints, "word string, print long")
+    own = words.select("word", F.col("word").alias("t")).mapInArrow(_prints, "word string, print int")
     few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_list("print")), 1, RAREST).alias("p"))
     keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")).withColumn("bucket", _print_bucket()), "fingerprints")
     read = [r[0] for r in keys.select("bucket").distinct().collect()]                # at most BUCKETS numbers
-    rows = spark.read.schema("_row long, print long, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read)).join(keys, ["bucket", "print"])
+    rows = spark.read.schema("_row long, print int, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read)).join(keys, ["bucket", "print"])
     return rows.groupBy("word", "of", "_row").count().filter("count = of").select("word", "_row", _part(F.col("_row")).alias("part"))
 
 
@@ -182,10 +199,29 @@ def holds(df: DataFrame, fields: list[str], word: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(F.exists(t, lambda x: x.contains(word)), F.lit(False)) for t in _texts(df, fields)])
 
 
+def _held_in(texts: list[str], words: list[str]) -> list[str]:
+    """The words that a text holds; each at most once."""
+    held, by_length = [], {}
+    for w in words:
+        by_length.setdefault(len(w), set()).add(w)
+    for n, own in by_length.items():
+        if len(own) < MANY:
+            held += [w for w in own if any(w in t for t in texts)]
+        else:
+            held += own.intersection(t[i:i + n] for t in texts for i in range(len(t) - n + 1))
+    return held
+
+
+@F.arrow_udf(returnType=T.ArrayType(T.StringType()))
+def _held(texts: pa.Array, words: pa.Array) -> pa.Array:
+    """Of each row the words that one of its texts holds."""
+    return pa.array([_held_in([t for t in texts[i].as_py() if t is not None], words[i].as_py()) for i in range(len(words))], pa.list_(pa.string()))
+
+
 def containing(spark: SparkSession, path: str, words: DataFrame, fields: list[str]) -> DataFrame:
     """``word`` and the stored row, for every row that holds a word of ``words`` (lower case) in one of the fields."""
     entries = spark.read.parquet(f"{path}/entries")
-    own = words.select("word").filter(F.col("word").isNotNull()).distinct()
+    own = materialise(words.select("word").filter(F.col("word").isNotNull()).distinct(), "words")
     long = F.length("word") >= LONG
     near_words = candidates(spark, path, own.filter(~long))
     if not own.filter(long).isEmpty():
@@ -194,7 +230,7 @@ def containing(spark: SparkSession, path: str, words: DataFrame, fields: list[st
     parts = [r[0] for r in found.select("part").distinct().collect()]                # at most PARTS numbers; none: nothing is read
     if parts:                                                                        # a row's texts travel once, with all words to try on them
         near = entries.filter(F.col("part").isin(parts)).join(found.groupBy("_row").agg(F.collect_list("word").alias("_words")), "_row")
-        met = near.withColumn("word", F.explode(F.filter("_words", lambda w: holds(near, fields, w)))).drop("_words")
+        met = near.withColumn("word", F.explode(_held(_all_texts(near, fields), F.col("_words")))).drop("_words")
     else:
         met = entries.limit(0).withColumn("word", F.lit(""))
     short = own.filter(F.size(_word_grams(F.col("word"))) == 0)

@@ -87,3 +87,23 @@ def test_posted_grams_are_those_of_the_column(spark):
     assert pairs == sorted((r["gram"], r["_row"]) for r in want)
     assert all(x >> SUB.BLOCK_BITS == r["block"] for r in got for x in r["rows"])
     assert len(got) < len(pairs) / 2                       # folded before they are shuffled
+
+
+def test_a_text_is_lower_cased_once_for_all_its_words(spark, corpus):
+    """Words were tried on a text in a plan that lower-cased and searched it for each of them."""
+    _, path = corpus
+    words = spark.createDataFrame([("same text",), ("abab" * 6,)], "word string")
+    plan = SUB.containing(spark, path, words, FIELDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" not in plan and plan.count("lower(title") == 1
+
+
+def test_many_words_of_a_length_are_found_by_a_walk(spark, tmp_path):
+    """Texts that meet few words and texts that meet more than ``MANY``, of two lengths, against a plain search."""
+    rng = random.Random(5)
+    long = ["".join(rng.choices("abc日\U00020bb7", k=700)) for _ in range(3)]
+    rows = [(i, t.upper(), [t[::-1], None]) for i, t in enumerate(long)] + [(3, long[0][:300], None), (4, long[1][:23], ["x"]), (5, None, [long[2][5:90]])]
+    words = [t[a:a + n] for t in long for n in (24, 30) for a in range(0, 600, 4)] + [t[a:a + 23] + "z" for t in long for a in range(0, 600, 9)]
+    SUB.build(spark.createDataFrame(rows, "id int, title string, names array<string>"), FIELDS, str(tmp_path / "i"))
+    assert found(spark, str(tmp_path / "i"), words) == brute(rows, words)
+    for texts, own in ((long, words), (long[:1], words[:9]), ([], words), ([""], ["", "a"]), (["ab", "cd"], ["bc", "cd", ""])):
+        assert sorted(SUB._held_in(texts, own)) == sorted({w for w in own if any(w in t for t in texts)})
