@@ -8,8 +8,9 @@ and only folders that hold such n-grams or the rows left are opened; a word with
 that does not occur ends there. Words too short for an n-gram are tried on every row.
 
 Three characters of a long phrase stand in most texts. Words of ``LONG`` characters or more are found
-by a fourth table, ``prints`` (fingerprint, row): of every ``LONG`` characters of a text the least hash of the
+by a fourth table, ``prints`` (rows and their fingerprints in lists by a hash of the fingerprint): of every ``LONG`` characters of a text the least hash of the
 ``PRINT`` characters within. A text that holds a word holds the fingerprints of all its stretches of that length.
+A bitmap of fixed size (``BITMAP_BITS``, of the words' fingerprints) drops most stored ones where they are read; the join decides.
 
 Texts are tried where they lie, in one call with all their words, lower-cased once. A text with few words is searched for
 each of them; with ``MANY`` of a length it is walked once, and its stretches of that length are looked up among the words.
@@ -37,6 +38,7 @@ register_pickle_by_value(sys.modules[__name__])         # fingerprints travel wi
 BUCKETS, PARTS = 64, 64
 LONG, PRINT = 24, 16                # characters of a long word, and of what is hashed in it
 MANY = 128                          # words of one length tried on a text: from here on a walk costs less
+BITMAP_BITS = 1 << 25               # 4 MB, whatever the number of words
 BLOCK_BITS = 12                     # rows of a posting: at most 2^12
 PIECE = 1 << 20                     # n-grams or fingerprints folded and handed on at once
 RAREST = 3                          # n-grams of a word that are intersected
@@ -107,6 +109,55 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(found)], names=[batch.schema.names[0], "print"])
 
 
+def _print_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, rows, prints): the fingerprints of a piece and their rows, folded by bucket."""
+    for batch in batches:
+        numbers = batch.column(0).to_numpy()
+        for places, found in _in_pieces(batch, _prints_of):
+            buckets = (found % BUCKETS).astype(np.uint8)
+            order = np.argsort(buckets, kind="stable")
+            buckets = buckets[order]
+            start = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+            cuts = pa.array(np.append(start, len(order)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (numbers[places], found)]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets[start].astype(np.int32)), *lists], names=["bucket", "rows", "prints"])
+
+
+def _bit(prints: np.ndarray) -> np.ndarray:
+    """The bit of a fingerprint: mixed anew, for the least of many hashes are small numbers."""
+    return (prints.view(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(7)).astype(np.int64)          # BITMAP_BITS are 2^25
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word of the bitmap, its bits) of a task's fingerprints."""
+    held = np.zeros(BITMAP_BITS >> 5, np.int64)
+    for batch in batches:
+        bit = _bit(batch.column(0).to_numpy())
+        np.bitwise_or.at(held, bit >> 5, 1 << (bit & 31))
+    at = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], names=["at", "bits"])
+
+
+def _bitmap(prints: DataFrame) -> np.ndarray:
+    """Bitmap of the fingerprints; the driver gets its words that are not empty, at most 2^20."""
+    rows = prints.select("print").mapInArrow(_bits, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    held = np.zeros(BITMAP_BITS >> 5, np.uint32)
+    held[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint32)
+    return held
+
+
+def _within(bitmap: np.ndarray):
+    """A function over lists of rows and fingerprints: (_row, print) of the fingerprints that are in the bitmap."""
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, prints = (batch.column(c)[i].values.to_numpy() for c in (0, 1))
+                bit = _bit(prints)
+                own = np.flatnonzero(bitmap[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1))
+                yield pa.RecordBatch.from_arrays([pa.array(rows[own]), pa.array(prints[own])], names=["_row", "print"])
+    return within
+
+
 def _in_pieces(batch: pa.RecordBatch, of_text) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(place in the batch, number) of the numbers that each text gives, in pieces of about ``PIECE``; a text is never cut."""
     places, found, held, last = [], [], 0, batch.num_rows - 1
@@ -150,10 +201,6 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(_gram_texts(codes[start])), pa.array(block[start]), lists], names=["gram", "block", "rows"])
 
 
-def _print_bucket() -> Column:
-    return F.pmod("print", F.lit(BUCKETS)).cast("int").alias("bucket")
-
-
 def build(entries: DataFrame, fields: list[str], path: str) -> None:
     """Store the rows and the postings of their text fields (strings or arrays of them)."""
     rows = materialise(entries.withColumn("_row", F.monotonically_increasing_id()), "numbered")
@@ -165,8 +212,8 @@ def build(entries: DataFrame, fields: list[str], path: str) -> None:
     write_typed(postings, f"{path}/postings", ["bucket"])
     held = rows.sparkSession.read.parquet(f"{path}/postings")
     write_typed(held.groupBy("bucket", "gram").agg(F.sum("n").alias("n")), f"{path}/grams", ["bucket"])
-    prints = rows.select("_row", text.alias("t")).mapInArrow(_prints, "_row long, print int")
-    write_typed(prints.withColumn("bucket", _print_bucket()), f"{path}/prints", ["bucket"])
+    prints = rows.select("_row", text.alias("t")).mapInArrow(_print_lists, "bucket int, rows array<long>, prints array<int>")
+    write_typed(prints, f"{path}/prints", ["bucket"])
 
 
 def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
@@ -188,9 +235,10 @@ def long_candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFra
     """(word, _row, part) of rows that hold the fingerprints of a long word, ``RAREST`` of them at most."""
     own = words.select("word", F.col("word").alias("t")).mapInArrow(_prints, "word string, print int")
     few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_list("print")), 1, RAREST).alias("p"))
-    keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")).withColumn("bucket", _print_bucket()), "fingerprints")
-    read = [r[0] for r in keys.select("bucket").distinct().collect()]                # at most BUCKETS numbers
-    rows = spark.read.schema("_row long, print int, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read)).join(keys, ["bucket", "print"])
+    keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")), "fingerprints")
+    read = [r[0] for r in keys.select(F.pmod("print", F.lit(BUCKETS)).cast("int")).distinct().collect()]           # at most BUCKETS numbers
+    lists = spark.read.schema("rows array<long>, prints array<int>, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read))
+    rows = lists.select("rows", "prints").mapInArrow(_within(_bitmap(keys)), "_row long, print int").join(keys, "print")
     return rows.groupBy("word", "of", "_row").count().filter("count = of").select("word", "_row", _part(F.col("_row")).alias("part"))
 
 
