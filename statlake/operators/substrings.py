@@ -8,7 +8,7 @@ and only folders that hold such n-grams or the rows left are opened; a word with
 that does not occur ends there. Words too short for an n-gram are tried on every row.
 
 Three characters of a long phrase stand in most texts. Words of ``LONG`` characters or more are found
-by a fourth table, ``prints`` (rows and their fingerprints in lists by a hash of the fingerprint): of every ``LONG`` characters of a text the least hash of the
+by a fourth table, ``prints`` (rows, how many fingerprints each has, and these, in lists by a hash of the fingerprint): of every ``LONG`` characters of a text the least hash of the
 ``PRINT`` characters within. A text that holds a word holds the fingerprints of all its stretches of that length.
 A bitmap of fixed size (``BITMAP_BITS``, of the words' fingerprints) drops most stored ones where they are read; the join decides.
 
@@ -78,13 +78,17 @@ def _all_texts(df: DataFrame, fields: list[str]) -> Column:
     return F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in _texts(df, fields)]))
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(), np.uint8).astype("<u4") if text.isascii() else np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+
+
 def _distinct(numbers: np.ndarray) -> np.ndarray:
     return pa.array(numbers).unique().to_numpy()         # by hashing: a text repeats most of its numbers
 
 
 def _prints_of(text: str) -> np.ndarray:
     """Distinct least hashes of every ``LONG`` characters; equal stretches have equal ones, others may."""
-    h = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    h = _points(text)
     if len(h) < LONG:
         return np.empty(0, np.int32)
     width = 1
@@ -110,17 +114,27 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _print_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, rows, prints): the fingerprints of a piece and their rows, folded by bucket."""
+    """(bucket, rows, counts, prints): the fingerprints of a piece, folded by bucket, with the rows that follow each other in it."""
     for batch in batches:
         numbers = batch.column(0).to_numpy()
         for places, found in _in_pieces(batch, _prints_of):
             buckets = (found % BUCKETS).astype(np.uint8)
             order = np.argsort(buckets, kind="stable")
-            buckets = buckets[order]
-            start = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
-            cuts = pa.array(np.append(start, len(order)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (numbers[places], found)]
-            yield pa.RecordBatch.from_arrays([pa.array(buckets[start].astype(np.int32)), *lists], names=["bucket", "rows", "prints"])
+            buckets, places, found = buckets[order], places[order], found[order]
+            run = _starts(buckets, places)                            # fingerprints of one row in one bucket
+            first, held = _starts(buckets), _starts(buckets[run])     # of a bucket: its fingerprints, its rows
+            lists = [_lists(held, numbers[places[run]]), _lists(held, np.diff(np.append(run, len(found))).astype(np.int32)), _lists(first, found)]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets[first].astype(np.int32)), *lists], names=["bucket", "rows", "counts", "prints"])
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where a new group begins in sorted keys."""
+    new = reduce(np.logical_or, [k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(np.concatenate([[True], new]))
+
+
+def _lists(starts: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values))
 
 
 def _bit(prints: np.ndarray) -> np.ndarray:
@@ -151,10 +165,10 @@ def _within(bitmap: np.ndarray):
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows, prints = (batch.column(c)[i].values.to_numpy() for c in (0, 1))
+                rows, counts, prints = (batch.column(c)[i].values.to_numpy() for c in (0, 1, 2))
                 bit = _bit(prints)
                 own = np.flatnonzero(bitmap[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[own]), pa.array(prints[own])], names=["_row", "print"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows[np.searchsorted(np.cumsum(counts), own, side="right")]), pa.array(prints[own])], names=["_row", "print"])
     return within
 
 
@@ -173,12 +187,15 @@ def _in_pieces(batch: pa.RecordBatch, of_text) -> Iterator[tuple[np.ndarray, np.
 
 def _grams_of(text: str) -> np.ndarray:
     """The n-grams of ``grams`` as numbers: 21 bits a character, so that n-grams of two are the small ones."""
-    p = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    cut = p == ord(_CUT)
-    first, second, third = p[:-2], p[1:-1], p[2:]
-    three = ((first << 42) | (second << 21) | third)[~(cut[:-2] | cut[1:-1] | cut[2:])] if len(p) > 2 else p[:0]
-    two = ((p[:-1] << 21) | p[1:])[~(cut[:-1] | cut[1:]) & ((p[:-1] > 127) | (p[1:] > 127))]
-    return _distinct(np.concatenate([two, three]))
+    p = _points(text).astype(np.int64)
+    pair = (p[:-1] << 21) | p[1:]
+    three = (pair[:-1] << 21) | p[2:] if len(p) > 2 else p[:0]
+    if _CUT in text:
+        cut = p == ord(_CUT)
+        three = three[~(cut[:-2] | cut[1:-1] | cut[2:])] if len(p) > 2 else three
+        pair = np.where(cut[:-1] | cut[1:], 0, pair)
+    two = pair[:0] if text.isascii() else pair[(pair >> 21 > 127) | (pair & 0x1FFFFF > 127)]
+    return np.concatenate([_distinct(two), _distinct(three)])
 
 
 def _gram_texts(codes: np.ndarray) -> list[str]:
@@ -193,12 +210,13 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = batch.column(0).to_numpy()
         for places, codes in _in_pieces(batch, _grams_of):
             rows = numbers[places]
-            order = np.lexsort((rows, codes))
-            rows, codes = rows[order], codes[order]
+            numbered = pa.array(codes).dictionary_encode()
+            group = numbered.indices.to_numpy().astype(np.uint16 if len(numbered.dictionary) <= 1 << 16 else np.int32)         # short numbers sort fastest
+            order = np.argsort(group, kind="stable")
+            rows, codes, group = rows[order], codes[order], group[order]
             block = rows >> BLOCK_BITS
-            start = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])]))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(rows)).astype(np.int32)), pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(_gram_texts(codes[start])), pa.array(block[start]), lists], names=["gram", "block", "rows"])
+            start = _starts(group, block)
+            yield pa.RecordBatch.from_arrays([pa.array(_gram_texts(codes[start])), pa.array(block[start]), _lists(start, rows)], names=["gram", "block", "rows"])
 
 
 def build(entries: DataFrame, fields: list[str], path: str) -> None:
@@ -212,7 +230,7 @@ def build(entries: DataFrame, fields: list[str], path: str) -> None:
     write_typed(postings, f"{path}/postings", ["bucket"])
     held = rows.sparkSession.read.parquet(f"{path}/postings")
     write_typed(held.groupBy("bucket", "gram").agg(F.sum("n").alias("n")), f"{path}/grams", ["bucket"])
-    prints = rows.select("_row", text.alias("t")).mapInArrow(_print_lists, "bucket int, rows array<long>, prints array<int>")
+    prints = rows.select("_row", text.alias("t")).mapInArrow(_print_lists, "bucket int, rows array<long>, counts array<int>, prints array<int>")
     write_typed(prints, f"{path}/prints", ["bucket"])
 
 
@@ -237,8 +255,8 @@ def long_candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFra
     few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_list("print")), 1, RAREST).alias("p"))
     keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")), "fingerprints")
     read = [r[0] for r in keys.select(F.pmod("print", F.lit(BUCKETS)).cast("int")).distinct().collect()]           # at most BUCKETS numbers
-    lists = spark.read.schema("rows array<long>, prints array<int>, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read))
-    rows = lists.select("rows", "prints").mapInArrow(_within(_bitmap(keys)), "_row long, print int").join(keys, "print")
+    lists = spark.read.schema("rows array<long>, counts array<int>, prints array<int>, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read))
+    rows = lists.select("rows", "counts", "prints").mapInArrow(_within(_bitmap(keys)), "_row long, print int").join(keys, "print")
     return rows.groupBy("word", "of", "_row").count().filter("count = of").select("word", "_row", _part(F.col("_row")).alias("part"))
 
 

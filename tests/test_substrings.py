@@ -112,14 +112,15 @@ def test_many_words_of_a_length_are_found_by_a_walk(spark, tmp_path):
 def test_stored_fingerprints_are_dropped_where_they_are_read(spark, corpus):
     """Only fingerprints of the words are joined, and folded lists hold those of every text once."""
     rows, path = corpus
-    stored = spark.read.parquet(path + "/prints").select("bucket", F.inline(F.arrays_zip("rows", "prints"))).collect()
+    each = F.flatten(F.transform(F.arrays_zip("rows", "counts"), lambda x: F.array_repeat(x["rows"], x["counts"])))
+    stored = spark.read.parquet(path + "/prints").withColumn("rows", each).select("bucket", F.inline(F.arrays_zip("rows", "prints"))).collect()
     texts = {r["_row"]: SUB._CUT.join(t.lower() for t in [r["title"], *(r["names"] or [])] if t is not None) for r in spark.read.parquet(path + "/entries").collect()}
     assert sorted((r["rows"], r["prints"]) for r in stored) == sorted((k, int(p)) for k, t in texts.items() for p in SUB._prints_of(t))
     assert all(r["bucket"] == r["prints"] % SUB.BUCKETS for r in stored)
-    few = spark.createDataFrame([(int(p),) for p in SUB._prints_of("ab" * 20) ], "print int")
+    few = spark.createDataFrame([(int(p),) for p in SUB._prints_of("ab" * 20)], "print int")
     bitmap = SUB._bitmap(few)
     assert len(bitmap) * 32 == SUB.BITMAP_BITS and 0 < sum(int(x).bit_count() for x in bitmap) <= few.count()
-    left = spark.read.parquet(path + "/prints").select("rows", "prints").mapInArrow(SUB._within(bitmap), "_row long, print int").collect()
+    left = spark.read.parquet(path + "/prints").select("rows", "counts", "prints").mapInArrow(SUB._within(bitmap), "_row long, print int").collect()
     wanted = {r["print"] for r in few.collect()}
     assert {(r["_row"], r["print"]) for r in left} >= {(r["rows"], r["prints"]) for r in stored if r["prints"] in wanted} and 0 < len(left) < len(stored) / 10
     assert not SUB._bitmap(few.limit(0)).any()
