@@ -86,31 +86,45 @@ def _distinct(numbers: np.ndarray) -> np.ndarray:
     return pa.array(numbers).unique().to_numpy()         # by hashing: a text repeats most of its numbers
 
 
-def _prints_of(text: str) -> np.ndarray:
-    """Distinct least hashes of every ``LONG`` characters; equal stretches have equal ones, others may."""
-    h = _points(text)
-    if len(h) < LONG:
-        return np.empty(0, np.int32)
-    width = 1
+def _least(points: np.ndarray) -> np.ndarray:
+    """Least hashes of every ``LONG`` characters, along the last axis; equal stretches have equal ones, others may."""
+    h, width = points, 1
     while width < PRINT:                                 # hashes of ever longer stretches
         step = min(width, PRINT - width)
-        h = h[:-step] * np.uint32(0x9E3779B1) + h[step:]
+        h = h[..., :-step] * np.uint32(0x9E3779B1) + h[..., step:]
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA77)
         h ^= h >> np.uint32(13)
         width += step
     width, wanted = 1, LONG - PRINT + 1                  # least of ever wider windows
     while 2 * width <= wanted:
-        h, width = np.minimum(h[:-width], h[width:]), 2 * width
+        h, width = np.minimum(h[..., :-width], h[..., width:]), 2 * width
     rest = wanted - width
-    h = np.minimum(h[:-rest], h[rest:]) if rest else h
+    return np.minimum(h[..., :-rest], h[..., rest:]) if rest else h
+
+
+def _prints_of(text: str) -> np.ndarray:
+    """Distinct fingerprints of a text."""
+    points = _points(text)
+    if len(points) < LONG:
+        return np.empty(0, np.int32)
+    h = _least(points)
     return _distinct(h[np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))].view(np.int32))
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, print) of long words, some more than once. Words of a length make one array: a call for each takes longer than its hashes."""
     for batch in batches:
-        for rows, found in _in_pieces(batch, _prints_of):
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(found)], names=[batch.schema.names[0], "print"])
+        by_length: dict[int, list[str]] = {}
+        for w in batch.column(0).to_pylist():
+            if len(w) >= LONG:
+                by_length.setdefault(len(w), []).append(w)
+        for n, own in by_length.items():
+            at_once = max(1, PIECE // n)
+            for i in range(0, len(own), at_once):
+                part = own[i:i + at_once]
+                h = _least(np.frombuffer("".join(part).encode("utf-32-le"), dtype="<u4").reshape(len(part), n)).view(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part).take(pa.array(np.repeat(np.arange(len(part)), h.shape[1]))), pa.array(h.ravel())], names=["word", "print"])
 
 
 def _print_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,8 +265,8 @@ def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
 
 def long_candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
     """(word, _row, part) of rows that hold the fingerprints of a long word, ``RAREST`` of them at most."""
-    own = words.select("word", F.col("word").alias("t")).mapInArrow(_prints, "word string, print int")
-    few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_list("print")), 1, RAREST).alias("p"))
+    own = words.select("word").mapInArrow(_word_prints, "word string, print int")
+    few = own.groupBy("word").agg(F.slice(F.array_sort(F.collect_set("print")), 1, RAREST).alias("p"))
     keys = materialise(few.select("word", F.size("p").alias("of"), F.explode("p").alias("print")), "fingerprints")
     read = [r[0] for r in keys.select(F.pmod("print", F.lit(BUCKETS)).cast("int")).distinct().collect()]           # at most BUCKETS numbers
     lists = spark.read.schema("rows array<long>, counts array<int>, prints array<int>, bucket int").parquet(f"{path}/prints").filter(F.col("bucket").isin(read))

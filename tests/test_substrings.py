@@ -124,3 +124,11 @@ def test_stored_fingerprints_are_dropped_where_they_are_read(spark, corpus):
     wanted = {r["print"] for r in few.collect()}
     assert {(r["_row"], r["print"]) for r in left} >= {(r["rows"], r["prints"]) for r in stored if r["prints"] in wanted} and 0 < len(left) < len(stored) / 10
     assert not SUB._bitmap(few.limit(0)).any()
+
+
+def test_words_have_the_fingerprints_of_a_text(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("ab c日\U00020bb7", k=rng.choice([23, 24, 25, 40, 300]))) for _ in range(60)] + ["ab" * 700, "", "a" * 24]
+    df = spark.createDataFrame([(w,) for w in words], "word string").repartition(2)
+    got = {(r["word"], r["print"]) for r in df.mapInArrow(SUB._word_prints, "word string, print int").collect()}
+    assert got == {(w, int(p)) for w in words for p in SUB._prints_of(w)}
